@@ -55,9 +55,10 @@ def numeric_text(c: Column) -> Column:
     return F.coalesce(F.trim(c).rlike("^[0-9]+$"), F.lit(False))
 
 
-def usable_record(*required: str, time: str = "s_time") -> Column:
+def usable_record(*required: str, time: str = "s_time", time_is_text: bool = False) -> Column:
     """Required fields are filled and the server time is a number."""
-    return not_blank(*required) & numeric_text(F.col(time).cast("string"))
+    timed = numeric_text(F.col(time)) if time_is_text else F.coalesce(F.col(time) >= 0, F.lit(False))
+    return not_blank(*required) & timed
 
 
 def epoch_day(c: Column, first: str, last: str | None = None) -> Column:

@@ -4,46 +4,69 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.text import is_blank
 
 UNKNOWN = "unknown"
 
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``withColumn`` for a costly value.
+
+    The optimizer copies a projected expression into every filter and
+    expression above it.  It does not copy through a generator, and the
+    explode of a one-element array is free of extra rows.
+    """
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
 # Inbound ids that are not in the dimension table.
 INBOUND_INTERNAL = 0
 INBOUND_ALL = 1
 INBOUND_OTHER = 2
 
 
+# scheme, optional user part, host (group 1), optional port, then the rest
+_HOST = r"^https?:(?://(?:[^/?#]*@)?(\[[^\]]*\]|[^/?#:]*))?(?::[0-9]*)?(?:[/?#]|$)"
+
+
 def host(url: Column) -> Column:
-    """Host of a URL; ``http://`` is assumed when there is no scheme."""
+    """Host of a URL; ``http://`` is assumed when there is no scheme.
+
+    Null only for a broken authority.  Characters that do not belong into a
+    path or query are common in referrers and do no harm here, unlike in a
+    strict URI parser.
+    """
     u = F.trim(url)
     full = F.when(u.startswith("http:") | u.startswith("https:"), u).otherwise(
         F.concat(F.lit("http://"), u)
     )
-    return F.try_parse_url(full, F.lit("HOST"))
+    return F.get(F.regexp_extract_all(full, F.lit(_HOST), F.lit(1)), 0)
 
 
-def external_host(url: Column, own_hosts: Sequence[str]) -> Column:
-    """Host of a referrer, null if it is unparsable or one of our own."""
-    h = host(url)
-    return F.when(~h.isin(list(own_hosts)), h)
+def with_external_host(df: DataFrame, url: str, name: str, own_hosts: Sequence[str]) -> DataFrame:
+    """Adds the host of a referrer, null if it is unparsable or one of our own.
 
+    The URL is parsed once per row, however often the host is used afterwards.
+    """
+    h = F.col(name)
+    return computed_once(df, name, host(F.col(url))).withColumn(
+        name, F.when(~h.isin(list(own_hosts)), h)
+    )
 
-def inbound_id(url: Column, patterns: Sequence[tuple[int, str]], own_hosts: Sequence[str]) -> Column:
-    """Inbound id of a referrer for a bounded list of job patterns.
+
+def inbound_id(host: Column, patterns: Sequence[tuple[int, str]]) -> Column:
+    """Inbound id of an external host for a bounded list of job patterns.
 
     Patterns are literals of the plan: compiled once per task, no join and no
-    shuffle.  The smallest matching id wins.
+    shuffle.  The smallest matching id wins; a null host is internal.
     """
-    h = external_host(url, own_hosts)
     hits = [
-        F.when((h == p) | h.startswith(p) | h.rlike(f"^(?:{p})$"), F.lit(i))
+        F.when((host == p) | host.startswith(p) | host.rlike(f"^(?:{p})$"), F.lit(i))
         for i, p in sorted(patterns)
     ]
-    return F.when(h.isNull(), F.lit(INBOUND_INTERNAL)).otherwise(
+    return F.when(host.isNull(), F.lit(INBOUND_INTERNAL)).otherwise(
         F.coalesce(*hits, F.lit(INBOUND_OTHER))
     )
 
@@ -65,22 +88,23 @@ def query_pairs(target: Column) -> Column:
     return F.filter(pairs, lambda p: ~is_blank(p["key"]) & ~is_blank(p["value"]))
 
 
-def pair_value(pairs: Column, name: str) -> Column:
-    """Last value of ``name``: a repeated parameter overwrites the earlier one."""
-    return F.try_element_at(F.filter(pairs, lambda p: p["key"] == name), F.lit(-1))["value"]
-
-
-def pairs_to_map(pairs: Column, without: Sequence[str] = ()) -> Column:
-    """Map of the pairs, the last value of a key winning."""
+def _last_wins(pairs: Column) -> Column:
+    """The pairs without those a later pair of the same key replaces."""
+    keys = F.transform(pairs, lambda p: p["key"])
     last = F.filter(
         pairs,
         lambda p, i: ~F.exists(
             F.slice(pairs, i + 2, F.greatest(F.size(pairs), F.lit(1))), lambda q: q["key"] == p["key"]
         ),
     )
-    if without:
-        last = F.filter(last, lambda p: ~p["key"].isin(list(without)))
-    return F.map_from_entries(last)
+    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), pairs).otherwise(last)
+
+
+def with_query_map(df: DataFrame, target: str, name: str) -> DataFrame:
+    """Adds the parameters of a request target as a map; the last value of a
+    repeated parameter wins.  Each line is taken apart once."""
+    staged = computed_once(df, "_pairs", query_pairs(F.col(target)))
+    return computed_once(staged, name, F.map_from_entries(_last_wins(F.col("_pairs")))).drop("_pairs")
 
 
 def ip_number(ip: Column) -> Column:

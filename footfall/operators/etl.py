@@ -11,6 +11,7 @@ from footfall.functions import predicates as P
 from footfall.functions import web
 from footfall.functions.text import is_blank
 from footfall.functions.times import nginx_ms
+from footfall.functions.web import computed_once
 from footfall.operators.joins import ip_region
 from footfall.operators.skew import top_per_group
 from footfall.schemas import EVENT_LOG_COLUMNS
@@ -32,20 +33,18 @@ def parse_lines(lines: DataFrame, line: str = "value") -> DataFrame:
     # empty fields at the end do not count
     text = F.regexp_replace(F.trim(F.col(line)), rf"({FIELD_MARK})+$", "")
     fields = F.split(text, FIELD_MARK)
-    staged = (
-        lines.withColumn("_f", fields)
-        .withColumn("_target", F.when(F.size("_f") == 4, F.get("_f", 3)))
-        .withColumn("_pairs", web.query_pairs(F.col("_target")))
+    staged = computed_once(lines, "_f", fields).withColumn(
+        "_target", F.when(F.size("_f") == 4, F.get("_f", 3))
     )
-    pair = F.col("_pairs")
-    columns = staged.select(
+    params = F.col("_params")
+    columns = web.with_query_map(staged, "_target", "_params").select(
         *lines.columns,
         F.trim(F.get("_f", 0)).alias("ip"),
         nginx_ms(F.trim(F.get("_f", 1))).alias("s_time"),
         F.size("_f").alias("_n"),
         "_target",
-        *[web.pair_value(pair, c).alias(c) for c in EVENT_LOG_COLUMNS],
-        web.pairs_to_map(pair, without=EVENT_LOG_COLUMNS).alias("extra"),
+        *[params[c].alias(c) for c in EVENT_LOG_COLUMNS],
+        F.map_filter(params, lambda k, _: ~k.isin(EVENT_LOG_COLUMNS)).alias("extra"),
     )
     reject = (
         F.when(F.col("_n") != 4, BAD_FIELDS)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from footfall.functions.web import INBOUND_INTERNAL, INBOUND_OTHER, external_host, ip_number
+from footfall.functions.web import INBOUND_INTERNAL, INBOUND_OTHER, ip_number, with_external_host
 from footfall.operators.skew import checked_broadcast, is_small
 
 
@@ -98,7 +99,7 @@ def inbound_of(rows: DataFrame, patterns: DataFrame, own_hosts: Sequence[str], u
     theta join.  It runs on the distinct hosts only; the smallest matching id
     wins.  0 = internal or unparsable, 2 = none of the patterns.
     """
-    hosted = rows.withColumn("_host", external_host(F.col(url), own_hosts))
+    hosted = with_external_host(rows, url, "_host", own_hosts)
     hosts = hosted.where(F.col("_host").isNotNull()).select("_host").distinct()
     h, p = F.col("_host"), F.col("url")
     match = (h == p) | h.startswith(p) | F.expr("_host RLIKE concat('^(?:', url, ')$')")
@@ -147,12 +148,12 @@ def with_order_info(rows: DataFrame, order_info: DataFrame, order_id: str = "oid
 
 
 def with_previous_day(totals: DataFrame, keys: Sequence[str], value: str, day: str = "date") -> DataFrame:
-    """Each day's value next to the value of the day before (0 if missing)."""
-    previous = totals.select(
-        *keys,
-        F.date_add(F.col(day).cast("date"), 1).cast("string").alias(day),
-        F.col(value).alias(f"prev_{value}"),
-    )
-    return totals.join(previous, [*keys, day], "left").withColumn(
-        f"prev_{value}", F.coalesce(F.col(f"prev_{value}"), F.lit(0).cast("bigint"))
-    )
+    """Each day's value next to the value of the day before (0 if missing).
+
+    ``totals`` holds one row per key and day, so looking back inside the key
+    replaces a self-join that would compute the totals twice.
+    """
+    w = W.partitionBy(*keys).orderBy(day)
+    is_next = F.date_add(F.lag(day).over(w).cast("date"), 1) == F.col(day).cast("date")
+    before = F.when(is_next, F.lag(value).over(w))
+    return totals.withColumn(f"prev_{value}", F.coalesce(before, F.lit(0).cast("bigint")))

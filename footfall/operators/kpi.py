@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from footfall.functions import predicates as P
 from footfall.functions.numbers import ceil_div
+from footfall.functions.text import is_blank
 from footfall.functions.times import DAY_MS, HOUR_MS, ms_day, ms_hour, ms_slice
-from footfall.functions.web import INBOUND_ALL, INBOUND_INTERNAL, inbound_id
+from footfall.functions.web import INBOUND_ALL, INBOUND_INTERNAL, inbound_id, with_external_host
 from footfall.operators import dims as D
 from footfall.operators.skew import sliced_neighbour, sliced_running_sum
 
@@ -171,44 +172,68 @@ def page_views(logs: DataFrame) -> DataFrame:
     return D.rolled_up(base, sets, rolled, F.sum("_n").alias("pv"))
 
 
-def location(logs: DataFrame) -> DataFrame:
-    """Visitors, sessions and one-view sessions by platform and location."""
-    sets, rolled, finest = _sets("location")
-    rows = records(logs, "u_ud", "u_sd", event=PAGE_VIEW, keep=["location", "u_ud", "u_sd"])
-    base = rows.groupBy("date", *finest, "u_ud", "u_sd").agg(F.count(F.lit(1)).alias("n"))
-    dims = ["date", *finest]
-    visitors = D.rolled_up(base, sets, rolled, F.count_distinct("u_ud").alias("visitors"))
-    per_session = D.rolled_up(base, [s + ["u_sd"] for s in sets], rolled, F.sum("n").alias("n"))
-    visits = per_session.groupBy(*dims).agg(
-        F.count(F.lit(1)).alias("sessions"), F.count_if(F.col("n") == 1).alias("bounce_sessions")
+def tagged_ids(rows: DataFrame, dims: Sequence[str], ids: dict[str, Column]) -> DataFrame:
+    """One row per (dims, kind, id) with its row count and time span.
+
+    Every kind of id a report counts comes out of one pass; blank ids are left
+    out.  The copies exist only up to the map-side aggregation.
+    """
+    copies = F.filter(
+        F.array(*[F.struct(F.lit(k).alias("kind"), c.alias("id")) for k, c in ids.items()]),
+        lambda t: ~is_blank(t["id"]),
+    )
+    return (
+        rows.withColumn("_t", F.explode(copies))
+        .groupBy(*dims, F.col("_t.kind").alias("kind"), F.col("_t.id").alias("id"))
+        .agg(F.min("s_time").alias("lo"), F.max("s_time").alias("hi"), F.count(F.lit(1)).alias("n"))
+    )
+
+
+def leveled_ids(tagged: DataFrame, sets: Sequence[Sequence[str]], rolled: Sequence[str]) -> DataFrame:
+    """The rows of ``tagged_ids`` merged at every dimension level."""
+    return D.rolled_up(
+        tagged,
+        [[*s, "kind", "id"] for s in sets],
+        rolled,
+        F.min("lo").alias("lo"),
+        F.max("hi").alias("hi"),
+        F.sum("n").alias("n"),
     )
-    return merge_measures([visitors, visits], dims)
 
 
-def merge_measures(frames: Sequence[DataFrame], dims: Sequence[str], fill: int | None = None) -> DataFrame:
-    """Independent measures with the same dimensions as columns of one row.
+def _of(kind: str, cond: Column | None = None) -> Column:
+    hit = F.col("kind") == kind
+    return F.count_if(hit if cond is None else hit & cond)
 
-    A union and one aggregation instead of a chain of full outer joins; the
-    inputs hold one row per dimension value.
-    """
-    merged = frames[0]
-    for frame in frames[1:]:
-        merged = merged.unionByName(frame, allowMissingColumns=True)
-    measures = [c for c in merged.columns if c not in dims]
-    result = merged.groupBy(*dims).agg(*[F.max(c).alias(c) for c in measures])
-    return result if fill is None else result.fillna(fill, measures)
+
+def location(logs: DataFrame) -> DataFrame:
+    """Visitors, sessions and one-view sessions by platform and location."""
+    sets, rolled, finest = _sets("location")
+    rows = records(logs, "u_ud", "u_sd", event=PAGE_VIEW, keep=["location", "u_ud", "u_sd", "s_time"])
+    ids = tagged_ids(rows, ["date", *finest], {"visitor": F.col("u_ud"), "session": F.col("u_sd")})
+    return (
+        leveled_ids(ids, sets, rolled)
+        .groupBy("date", *finest)
+        .agg(
+            _of("visitor").alias("visitors"),
+            _of("session").alias("sessions"),
+            _of("session", F.col("n") == 1).alias("bounce_sessions"),
+        )
+    )
 
 
-def _landings(logs: DataFrame, patterns, own_hosts, *required: str, event=None, keep=()) -> DataFrame:
+def _referred(logs: DataFrame, own_hosts, *required: str, event=None, keep=()) -> DataFrame:
+    """Records with a referrer and its external host (null = internal)."""
     rows = records(logs, "p_ref", *required, event=event, keep=["p_ref", *keep])
-    return rows.withColumn("inbound", inbound_id(F.col("p_ref"), patterns, own_hosts)).drop("p_ref")
+    return with_external_host(rows, "p_ref", "_host", own_hosts).drop("p_ref")
 
 
 def inbound(logs: DataFrame, patterns: Sequence[tuple[int, str]], own_hosts: Sequence[str]) -> DataFrame:
     """Visitors and sessions by platform and inbound (1 = all inbounds)."""
-    rows = _landings(
-        logs, patterns, own_hosts, "u_ud", "u_sd", event=PAGE_VIEW, keep=["u_ud", "u_sd"]
-    ).where(F.col("inbound") > INBOUND_INTERNAL)
+    external = _referred(logs, own_hosts, "u_ud", "u_sd", event=PAGE_VIEW, keep=["u_ud", "u_sd"]).where(
+        F.col("_host").isNotNull()
+    )
+    rows = external.withColumn("inbound", inbound_id(F.col("_host"), patterns)).drop("_host")
     base = rows.distinct()
     sets = D.level_sets(D.PLATFORM, [["inbound"], []], always=["date"])
     counted = D.rolled_up(
@@ -224,10 +249,13 @@ def inbound(logs: DataFrame, patterns: Sequence[tuple[int, str]], own_hosts: Seq
 
 
 def _visits(logs: DataFrame, patterns, own_hosts) -> DataFrame:
-    """Session steps with their inbound id, once per platform and once for all."""
-    rows = _landings(logs, patterns, own_hosts, "u_sd", keep=["u_sd", "s_time", "event_id"])
-    both = F.explode(F.array(F.col("platform"), F.lit(D.ALL)))
-    return rows.withColumn("platform", both).withColumn("_slice", ms_slice(F.col("s_time")))
+    """Session steps with their inbound id and time slice."""
+    rows = _referred(logs, own_hosts, "u_sd", keep=["u_sd", "s_time", "event_id"])
+    return rows.select(
+        *[c for c in rows.columns if c != "_host"],
+        inbound_id(F.col("_host"), patterns).alias("inbound"),
+        ms_slice(F.col("s_time")).alias("_slice"),
+    )
 
 
 SESSION = ["date", "platform", "u_sd"]
@@ -241,30 +269,27 @@ def inbound_bounce(logs: DataFrame, patterns: Sequence[tuple[int, str]], own_hos
     step is internal.  The row of all inbounds (1) counts sessions with at
     least one bounced landing.
     """
+    visits = _visits(logs, patterns, own_hosts).withColumn(
+        "platform", F.explode(F.array(F.col("platform"), F.lit(D.ALL)))
+    )
     steps = sliced_neighbour(
-        _visits(logs, patterns, own_hosts),
-        SESSION,
-        "_slice",
-        ["s_time", "event_id"],
-        {"inbound": "next_inbound"},
-        forward=True,
+        visits, SESSION, "_slice", ["s_time", "event_id"], {"inbound": "next_inbound"}, forward=True
     )
     landing = F.col("inbound") != INBOUND_INTERNAL
     bounced = landing & F.coalesce(F.col("next_inbound") != INBOUND_INTERNAL, F.lit(True))
-    # per session and inbound first: the totals below see one row for each
-    per_session = steps.groupBy(*SESSION, "inbound").agg(F.count_if(bounced).alias("n"))
-    each = (
-        per_session.where(landing)
-        .groupBy("date", "platform", F.col("inbound").cast("bigint").alias("inbound"))
-        .agg(F.sum("n").alias("bounces"))
+    # per session and inbound, and per session over all its inbounds
+    per_session = D.rolled_up(
+        steps.withColumn("inbound", F.col("inbound").cast("string")),
+        [[*SESSION, "inbound"], SESSION],
+        ["inbound"],
+        F.count_if(bounced).alias("n"),
+    ).where(F.col("inbound") != str(INBOUND_INTERNAL))
+    overall = F.col("inbound") == D.ALL
+    return per_session.groupBy(
+        "date", "platform", F.when(overall, INBOUND_ALL).otherwise(F.col("inbound").try_cast("int")).cast("bigint").alias("inbound")
+    ).agg(
+        F.sum(F.when(overall, (F.col("n") > 0).cast("bigint")).otherwise(F.col("n"))).alias("bounces")
     )
-    overall = (
-        per_session.groupBy(*SESSION)
-        .agg(F.max("n").alias("n"))
-        .groupBy("date", "platform", F.lit(INBOUND_ALL).cast("bigint").alias("inbound"))
-        .agg(F.count_if(F.col("n") > 0).alias("bounces"))
-    )
-    return each.unionByName(overall)
 
 
 def landing_segments(logs: DataFrame, patterns: Sequence[tuple[int, str]], own_hosts: Sequence[str]) -> DataFrame:
@@ -274,8 +299,8 @@ def landing_segments(logs: DataFrame, patterns: Sequence[tuple[int, str]], own_h
     """
     landing = F.when(F.col("inbound") != INBOUND_INTERNAL, 1).otherwise(0).cast("bigint")
     steps = sliced_running_sum(
-        _visits(logs, patterns, own_hosts).where(F.col("platform") == D.ALL),
-        SESSION,
+        _visits(logs, patterns, own_hosts).drop("platform"),
+        ["date", "u_sd"],
         "_slice",
         ["s_time", "event_id"],
         landing,
@@ -289,57 +314,68 @@ def landing_segments(logs: DataFrame, patterns: Sequence[tuple[int, str]], own_h
 def dense_running_total(daily: DataFrame, keys: Sequence[str], value: str, name: str, day: str = "date") -> DataFrame:
     """Running total per key and day; days without a row carry the total on.
 
-    Runs on daily sums.  A key's grid starts at its first day and ends at the
-    last day of the whole frame.
+    ``daily`` holds one row per key and day.  Each row is repeated for the days
+    up to the next one of its key (the last one up to the last day of the whole
+    frame), so no day grid has to be built and joined.
     """
-    keys = list(keys)
     d = daily.withColumn("_d", F.col(day).cast("date"))
-    last = d.agg(F.max("_d")).scalar()
-    grid = (
-        d.groupBy(*keys)
-        .agg(F.min("_d").alias("_from"))
-        .withColumn("_d", F.explode(F.sequence(F.col("_from"), last)))
-        .drop("_from")
-    )
-    until = W.partitionBy(*keys).orderBy("_d").rowsBetween(W.unboundedPreceding, 0)
-    dense = grid.join(d.select(*keys, "_d", value), [*keys, "_d"], "left")
-    return dense.select(
-        F.col("_d").cast("string").alias(day),
-        *keys,
-        F.coalesce(F.col(value), F.lit(0).cast("bigint")).alias(value),
-        F.sum(F.coalesce(F.col(value), F.lit(0).cast("bigint"))).over(until).alias(name),
-    )
+    last = d.agg(F.max(F.when(F.col(value).isNotNull(), F.col("_d")))).scalar()
+    w = W.partitionBy(*keys).orderBy("_d")
+    until = w.rowsBetween(W.unboundedPreceding, 0)
+    summed = d.withColumns({
+        name: F.sum(value).over(until),
+        "_until": F.coalesce(F.date_sub(F.lead("_d").over(w), 1), last),
+    })
+    dense = summed.withColumn("_day", F.explode(F.sequence("_d", "_until")))
+    own = F.when(F.col("_day") == F.col("_d"), F.col(value)).otherwise(F.lit(0).cast("bigint"))
+    return dense.select(F.col("_day").cast("string").alias(day), *keys, own.alias(value), name)
+
+
+def _facts(logs: DataFrame, member_info: DataFrame, by: str | None, with_views: bool) -> DataFrame:
+    """All KPIs of one dimension as columns of one row, from one scan of the logs."""
+    sets, rolled, finest = _sets(by)
+    keep = ["en", "u_ud", "u_mid", "u_sd", "s_time"] + (["p_url"] if with_views else []) + ([by] if by else [])
+    rows = records(logs, keep=keep)
+    is_view = F.col("en") == PAGE_VIEW
+    ids = {
+        "user": F.col("u_ud"),
+        "launch": F.when(F.col("en") == LAUNCH, F.col("u_ud")),
+        "member": F.when(is_view, F.col("u_mid")),
+        "new": F.when(P.valid_member_id(F.col("u_mid")), F.col("u_mid")),
+        "session": F.trim("u_sd"),
+    }
+    if with_views:
+        ids["view"] = F.when(is_view & P.not_blank("p_url"), "view")
+    tagged = tagged_ids(rows, ["date", *finest], ids)
+    # Members already known are no new ones.  The other kinds take part under a
+    # key that matches nothing, which also spreads them over the join.
+    key = F.when(F.col("kind") == "new", F.col("id")).otherwise(F.concat_ws("\x01", "kind", "id"))
+    known = member_info.select(F.col("member_id").alias("_key"))
+    fresh = tagged.withColumn("_key", key).join(known, "_key", "left_anti").drop("_key")
+
+    span = F.col("hi") - F.col("lo")
+    length = F.sum(F.when((F.col("kind") == "session") & span.between(0, DAY_MS), span).otherwise(0))
+    measures = [
+        _of("user").alias("active_users"),
+        _of("launch").alias("new_install_users"),
+        _of("member").alias("active_members"),
+        _of("new").alias("new_members"),
+        _of("session").alias("sessions"),
+        ceil_div(length, 1000).alias("sessions_length"),
+    ]
+    if with_views:
+        measures.append(F.sum(F.when(F.col("kind") == "view", F.col("n")).otherwise(0)).alias("pv"))
+    return leveled_ids(fresh, sets, rolled).groupBy("date", *finest).agg(*measures)
 
 
 def user_facts(logs: DataFrame, member_info: DataFrame) -> DataFrame:
     """All platform-level KPIs as columns of one row per (date, platform)."""
-    return merge_measures(
-        [
-            active_users(logs),
-            new_install_users(logs),
-            active_members(logs),
-            new_members(logs, member_info),
-            sessions(logs),
-        ],
-        ["date", "platform"],
-        fill=0,
-    )
+    return _facts(logs, member_info, None, with_views=False)
 
 
 def browser_facts(logs: DataFrame, member_info: DataFrame) -> DataFrame:
-    """All browser-level KPIs as columns of one row."""
-    return merge_measures(
-        [
-            active_users(logs, "browser"),
-            new_install_users(logs, "browser"),
-            active_members(logs, "browser"),
-            new_members(logs, member_info, "browser"),
-            sessions(logs, "browser"),
-            page_views(logs),
-        ],
-        ["date", "platform", "browser", "browser_version"],
-        fill=0,
-    )
+    """All browser-level KPIs, page views included, as columns of one row."""
+    return _facts(logs, member_info, "browser", with_views=True)
 
 
 def expanded_levels(logs: DataFrame) -> DataFrame:

@@ -40,6 +40,12 @@ def checked_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:
     return F.broadcast(df) if is_small(df, limit) else df
 
 
+def _with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    for key in keys:
+        df = df.where(F.col(key).isNotNull())
+    return df
+
+
 def sliced_neighbour(
     df: DataFrame,
     keys: Sequence[str],
@@ -51,32 +57,32 @@ def sliced_neighbour(
     """``lag`` (``lead`` when ``forward``) of ``values`` per key, computed by slices.
 
     ``slice_col`` must not decrease along ``order``.  ``values`` maps a source
-    column to the name of its neighbour column.
+    column to the name of its neighbour column.  Rows with a null key belong to
+    no sequence and are left out.  Taking them out up front also makes both
+    readers of the rows ask for the same exchange, as long as ``df`` has no
+    other columns than these: the input is read and shuffled once, and the join
+    with the carried values keeps its partitioning.
     """
-    keys, order = list(keys), list(order)
-    part = keys + [slice_col]
+    part = [*keys, slice_col]
+    df = _with_keys(df, part)
     inside = W.partitionBy(*part).orderBy(*order)
-    step = F.lead if forward else F.lag
-    edge_of = F.min_by if forward else F.max_by
+    step, back = (F.lead, F.lag) if forward else (F.lag, F.lead)
 
-    # the edge row of every slice, then its neighbour slice: one row per slice
-    edges = df.groupBy(*part).agg(
-        edge_of(F.struct(*values), F.struct(*order)).alias("_edge")
-    )
+    marked = df.withColumns({
+        **{name: step(source).over(inside) for source, name in values.items()},
+        "_open": step(F.lit(1)).over(inside).isNull(),
+        "_edge": back(F.lit(1)).over(inside).isNull(),
+    })
     across = W.partitionBy(*keys).orderBy(slice_col)
-    carry = edges.select(*part, step("_edge").over(across).alias("_carry"))
+    edges = marked.where("_edge").select(*part, F.struct(*values).alias("_value"))
+    carry = edges.select(*part, step("_value").over(across).alias("_carry"))
 
-    marked = df
-    for source, name in values.items():
-        marked = marked.withColumn(name, step(source).over(inside))
-    marked = marked.withColumn("_open", step(F.lit(1)).over(inside).isNull())
-
-    joined = _null_safe_join(marked, carry, part)
-    for source, name in values.items():
-        joined = joined.withColumn(
-            name, F.when(F.col("_open"), F.col("_carry")[source]).otherwise(F.col(name))
-        )
-    return joined.drop("_open", "_carry")
+    joined = marked.join(carry, part, "left")
+    filled = {
+        name: F.when(F.col("_open"), F.col("_carry")[source]).otherwise(F.col(name))
+        for source, name in values.items()
+    }
+    return joined.withColumns(filled).select(*df.columns, *values.values())
 
 
 def sliced_running_sum(
@@ -87,30 +93,24 @@ def sliced_running_sum(
     value: Column,
     name: str,
 ) -> DataFrame:
-    """Running sum of ``value`` per key in ``order``, computed by slices."""
-    keys = list(keys)
-    part = keys + [slice_col]
-    df = df.withColumn("_v", value)
-    totals = df.groupBy(*part).agg(F.sum("_v").alias("_t"))
+    """Running sum of ``value`` per key in ``order``, computed by slices.
+
+    Conditions as for ``sliced_neighbour``.  What came before a slice is a sum,
+    so it is pre-aggregated on the map side and shuffles one row per slice.
+    """
+    part = [*keys, slice_col]
+    df = _with_keys(df, part).withColumn("_v", value)
     before = W.partitionBy(*keys).orderBy(slice_col).rowsBetween(W.unboundedPreceding, -1)
-    carry = totals.select(*part, F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_before"))
-    inside = W.partitionBy(*part).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    local = df.withColumn("_local", F.sum("_v").over(inside))
-    joined = _null_safe_join(local, carry, part)
+    carry = (
+        df.groupBy(*part)
+        .agg(F.sum("_v").alias("_t"))
+        .select(*part, F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_before"))
+    )
+    until = W.partitionBy(*part).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    joined = df.withColumn("_local", F.sum("_v").over(until)).join(carry, part)
     return joined.withColumn(name, F.col("_local") + F.col("_before")).drop("_v", "_local", "_before")
 
 
-def _null_safe_join(big: DataFrame, per_slice: DataFrame, part: Sequence[str]) -> DataFrame:
-    """Join the one row per slice back; the big side keeps its partitioning."""
-    right = per_slice.select(*[F.col(c).alias(f"_r_{c}") for c in part], *[
-        c for c in per_slice.columns if c not in part
-    ])
-    cond = F.lit(True)
-    for c in part:
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
-    return big.join(right, cond).drop(*[f"_r_{c}" for c in part])
-
-
 def numbered(
     df: DataFrame, order: Sequence[str | Column], name: str, keys: Sequence[str] = ()
 ) -> DataFrame:
@@ -123,28 +123,27 @@ def numbered(
     partition numbers.
     """
     spark = df.sparkSession
-    keys = list(keys)
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # one struct for all keys: never null itself, so rows with a null key join too
+    group = F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)
     ranged = materialize(
-        df.repartitionByRange(parts, *[F.col(k) for k in keys], *order).withColumn(
-            "_pid", F.spark_partition_id()
-        ),
+        df.withColumn("_group", group)
+        .repartitionByRange(parts, F.col("_group"), *order)
+        .withColumn("_pid", F.spark_partition_id()),
         "numbered",
     )
-    part = keys + ["_pid"]
-    before = W.partitionBy(*keys).orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)
-    # at most one row per partition and key that touches it
+    part = ["_group", "_pid"]
+    before = W.partitionBy("_group").orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)
+    # at most one row per partition and group that touches it
     offsets = (
         ranged.groupBy(*part)
         .agg(F.count(F.lit(1)).alias("_n"))
         .select(*part, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     )
     local = ranged.withColumn("_local", F.row_number().over(W.partitionBy(*part).orderBy(*order)))
-    joined = _null_safe_join(local, offsets, part)
-    return joined.withColumn(name, (F.col("_local") + F.col("_before")).cast("bigint")).drop(
-        "_local", "_before", "_pid"
-    )
+    number = (F.col("_local") + F.col("_before")).cast("bigint")
+    return local.join(offsets, part).select(*df.columns, number.alias(name))
 
 
 def hot_keys(df: DataFrame, key: str, top: int) -> DataFrame:

@@ -26,7 +26,7 @@ def _lines(spark, sf, purpose):
     with_views("el", _REJECT + """
 SELECT s_time, ip, en, pl, u_ud, coalesce(u_mid, '') AS u_mid, u_sd, p_url, coalesce(p_ref, '') AS p_ref,
   coalesce(ca, '') AS ca, CAST(k % 10 AS VARCHAR) AS kv_page,
-  CASE WHEN event_id % 73 = 0 THEN 1 ELSE 1 END AS extra_params
+  CAST(1 AS BIGINT) AS extra_params
 FROM (SELECT * REPLACE (CASE WHEN pl = '' THEN '-' ELSE pl END AS pl) FROM tagged) WHERE reject IS NULL"""),
 )
 def access_log_parse(spark, sf):

@@ -56,7 +56,7 @@ def sample_fraction(spark, sf):
 
 @query(
     "random_split",
-    "SELECT count(*) AS rows_in_parts, count(DISTINCT event_id) AS distinct_keys, 0 AS keys_in_two_parts FROM events",
+    "SELECT count(*) AS rows_in_parts, count(DISTINCT event_id) AS distinct_keys, CAST(0 AS BIGINT) AS keys_in_two_parts FROM events",
 )
 def random_split(spark, sf):
     parts = src.table(spark, sf, "events").select("event_id").randomSplit([3.0, 10.0, 20.0], seed=9)

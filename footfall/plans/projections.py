@@ -191,8 +191,9 @@ SELECT coalesce(host, '') AS host, count(*) AS n FROM (
 def url_external_host(spark, sf):
     # every third referrer comes without its scheme
     ref = F.when(F.col("event_id") % 3 == 0, F.regexp_replace("p_ref", "^https?://", "")).otherwise(F.col("p_ref"))
-    host = F.coalesce(web.external_host(ref, params.OWN_HOSTS), F.lit(""))
-    return src.event_logs(spark, sf).groupBy(host.alias("host")).agg(F.count(F.lit(1)).alias("n"))
+    logs = src.event_logs(spark, sf).select(ref.alias("ref"))
+    hosted = web.with_external_host(logs, "ref", "host", params.OWN_HOSTS)
+    return hosted.groupBy(F.coalesce("host", F.lit("")).alias("host")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(

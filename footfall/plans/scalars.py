@@ -75,7 +75,7 @@ def fn_date(spark, sf):
 @query(
     "fn_epoch",
     with_views("el", """
-SELECT event_id, s_time AS parsed_ms, dt AS day, (s_time//3600000)%24 AS hour, -1 AS bad FROM el"""),
+SELECT event_id, s_time AS parsed_ms, dt AS day, (s_time//3600000)%24 AS hour, CAST(-1 AS BIGINT) AS bad FROM el"""),
 )
 def fn_epoch(spark, sf):
     ms = F.col("s_time")
@@ -126,7 +126,7 @@ def fn_json(spark, sf):
 @query(
     "fn_url_query",
     with_views("el", """
-SELECT event_id, en, u_sd, coalesce(p_ref, '') AS p_ref, 3 + CASE WHEN p_ref IS NULL THEN 0 ELSE 1 END AS n_params,
+SELECT event_id, en, u_sd, coalesce(p_ref, '') AS p_ref, CAST(3 + CASE WHEN p_ref IS NULL THEN 0 ELSE 1 END AS BIGINT) AS n_params,
   concat('last ', event_id) AS twice FROM el"""),
 )
 def fn_url_query(spark, sf):
@@ -137,15 +137,15 @@ def fn_url_query(spark, sf):
         F.lit("&twice=first"), F.coalesce(F.concat(F.lit("&p_ref="), F.url_encode("p_ref")), F.lit("")),
         F.lit("&twice="), F.concat(F.lit("last+"), F.col("event_id")),
     )
-    pairs = web.query_pairs(target)
-    m = web.pairs_to_map(pairs)
-    return src.event_logs(spark, sf).select(
+    logs = src.event_logs(spark, sf).select("event_id", target.alias("target"))
+    m = F.col("params")
+    return web.with_query_map(logs, "target", "params").select(
         "event_id",
         m["en"].alias("en"),
-        web.pair_value(pairs, "u_sd").alias("u_sd"),
+        m["u_sd"].alias("u_sd"),
         F.coalesce(m["p_ref"], F.lit("")).alias("p_ref"),
         F.size(m).cast("bigint").alias("n_params"),
-        web.pair_value(pairs, "twice").alias("twice"),
+        m["twice"].alias("twice"),
     )
 
 

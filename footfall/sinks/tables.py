@@ -105,10 +105,8 @@ def without_run(table: DataFrame, run_date: str, column: str = "created") -> Dat
 
 def latest(versions: DataFrame, keys: Sequence[str], version: str = "batch_id") -> DataFrame:
     """Newest stored row per key of a table that gets one partition per batch."""
-    keys = list(keys)
     rest = [c for c in versions.columns if c not in [*keys, version]]
-    newest = versions.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(version)).alias("_row"))
-    return newest.select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
+    return versions.groupBy(*keys).agg(*[F.max_by(c, version).alias(c) for c in rest])
 
 
 def latest_groups(versions: DataFrame, group: Sequence[str], version: str = "batch_id") -> DataFrame:

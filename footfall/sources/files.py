@@ -5,9 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from footfall.functions.predicates import known_event
 from footfall.functions.times import yesterday
@@ -104,8 +106,12 @@ def only_known_events(df: DataFrame, column: str = "en") -> DataFrame:
 
 
 def literal_relation(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
-    """A small inline table."""
-    return spark.createDataFrame(list(rows), schema)
+    """A small inline table.  Made from an Arrow table, it becomes a local
+    relation whose size the planner knows."""
+    columns = [pa.array(list(c), to_arrow_type(f.dataType)) for c, f in zip(zip(*rows), schema.fields)]
+    if not rows:
+        columns = [pa.array([], to_arrow_type(f.dataType)) for f in schema.fields]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, names=schema.names), schema)
 
 
 def numbered_relation(spark: SparkSession, n: int, *columns: Column) -> DataFrame:

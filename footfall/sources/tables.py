@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.functions.times import epoch_ms
+from footfall.functions.web import computed_once
 
 OWN_HOST = "shop.example.com"
 
@@ -21,7 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("bigint")
-    return table(spark, sf_dir, "events").withColumn("k", k)
+    return computed_once(table(spark, sf_dir, "events"), "k", k)
 
 
 def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from footfall.operators import ads
 from footfall.operators.joins import without_users
 from footfall.sinks.tables import latest, latest_groups
+from footfall.sources.files import literal_relation
 from footfall.streaming.base import run_available, store_batch, stored
 
 _STR, _LONG = T.StringType(), T.LongType()
@@ -81,7 +82,7 @@ def dynamic_blacklist(
 
         def earlier(path: str, schema) -> DataFrame:
             if batch_id == 0:
-                return spark.createDataFrame([], schema)
+                return literal_relation(spark, [], schema)
             return stored(spark, path, schema).where(F.col("batch_id") < batch_id).drop("batch_id")
 
         banned = earlier(banned_path, USERS)
