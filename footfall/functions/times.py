@@ -39,10 +39,6 @@ def ms_hour(ms: Column) -> Column:
     return F.pmod(F.floor(ms / F.lit(HOUR_MS)), F.lit(24)).cast("bigint")
 
 
-def ms_slice(ms: Column, width_ms: int = HOUR_MS) -> Column:
-    return F.floor(ms / F.lit(width_ms)).cast("bigint")
-
-
 def nginx_ms(c: Column) -> Column:
     """``seconds.millis`` text to epoch millis; -1 when it does not parse."""
     return F.coalesce((c.try_cast("decimal(26,9)") * 1000).cast("bigint"), F.lit(-1).cast("bigint"))

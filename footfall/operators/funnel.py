@@ -8,27 +8,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.numbers import ratio2
-from footfall.functions.times import epoch_ms, ms_slice
-from footfall.operators.skew import sliced_neighbour
+from footfall.functions.times import epoch_ms
+from footfall.operators.skew import HOT_ROWS, sliced_neighbour, time_sliced
 
-SLICE_SECONDS = 3600
 
-
-def transitions(actions: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
+def transitions(actions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Consecutive pages of a session as (session_id, prev_page, page_id).
 
     Sessions are cut into time slices, so one endless session does not end up
     in one task; the step across a border comes from the neighbouring slice.
     """
-    steps = actions.select(
-        "session_id",
-        "page_id",
-        "action_time",
-        "event_id",
-        ms_slice(epoch_ms("action_time"), slice_seconds * 1000).alias("_slice"),
-    )
+    steps = actions.select("session_id", "page_id", "action_time", "event_id")
+    sliced = time_sliced(steps, ["session_id"], epoch_ms("action_time"), hot_rows=hot_rows)
     lagged = sliced_neighbour(
-        steps, ["session_id"], "_slice", ["action_time", "event_id"], {"page_id": "prev_page"}
+        sliced, ["session_id"], "_slice", ["action_time", "event_id"], {"page_id": "prev_page"}
     )
     return lagged.where(F.col("prev_page").isNotNull()).drop("_slice")
 

@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from footfall.functions import predicates as P
 from footfall.functions.numbers import ceil_div
 from footfall.functions.text import is_blank
-from footfall.functions.times import DAY_MS, HOUR_MS, ms_day, ms_hour, ms_slice
+from footfall.functions.times import DAY_MS, HOUR_MS, ms_day, ms_hour
 from footfall.functions.web import INBOUND_ALL, INBOUND_INTERNAL, inbound_id, with_external_host
 from footfall.operators import dims as D
-from footfall.operators.skew import sliced_neighbour, sliced_running_sum
+from footfall.operators.skew import HOT_ROWS, sliced_neighbour, sliced_running_sum, time_sliced
 
 LAUNCH, PAGE_VIEW = "e_l", "e_pv"
 HOURS = range(24)
@@ -248,20 +248,22 @@ def inbound(logs: DataFrame, patterns: Sequence[tuple[int, str]], own_hosts: Seq
     )
 
 
-def _visits(logs: DataFrame, patterns, own_hosts) -> DataFrame:
+def _visits(logs: DataFrame, patterns, own_hosts, hot_rows: int) -> DataFrame:
     """Session steps with their inbound id and time slice."""
     rows = _referred(logs, own_hosts, "u_sd", keep=["u_sd", "s_time", "event_id"])
-    return rows.select(
-        *[c for c in rows.columns if c != "_host"],
-        inbound_id(F.col("_host"), patterns).alias("inbound"),
-        ms_slice(F.col("s_time")).alias("_slice"),
-    )
+    steps = rows.withColumn("inbound", inbound_id(F.col("_host"), patterns)).drop("_host")
+    return time_sliced(steps, ["date", "u_sd"], F.col("s_time"), hot_rows=hot_rows)
 
 
 SESSION = ["date", "platform", "u_sd"]
 
 
-def inbound_bounce(logs: DataFrame, patterns: Sequence[tuple[int, str]], own_hosts: Sequence[str]) -> DataFrame:
+def inbound_bounce(
+    logs: DataFrame,
+    patterns: Sequence[tuple[int, str]],
+    own_hosts: Sequence[str],
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
     """Bounced landings by inbound.
 
     A landing (inbound not 0) bounces unless an internal step follows before
@@ -269,7 +271,7 @@ def inbound_bounce(logs: DataFrame, patterns: Sequence[tuple[int, str]], own_hos
     step is internal.  The row of all inbounds (1) counts sessions with at
     least one bounced landing.
     """
-    visits = _visits(logs, patterns, own_hosts).withColumn(
+    visits = _visits(logs, patterns, own_hosts, hot_rows).withColumn(
         "platform", F.explode(F.array(F.col("platform"), F.lit(D.ALL)))
     )
     steps = sliced_neighbour(
@@ -292,14 +294,19 @@ def inbound_bounce(logs: DataFrame, patterns: Sequence[tuple[int, str]], own_hos
     )
 
 
-def landing_segments(logs: DataFrame, patterns: Sequence[tuple[int, str]], own_hosts: Sequence[str]) -> DataFrame:
+def landing_segments(
+    logs: DataFrame,
+    patterns: Sequence[tuple[int, str]],
+    own_hosts: Sequence[str],
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
     """Segments of a session, each opened by a landing, with their sizes.
 
     Segment 0 holds the steps before the first landing.
     """
     landing = F.when(F.col("inbound") != INBOUND_INTERNAL, 1).otherwise(0).cast("bigint")
     steps = sliced_running_sum(
-        _visits(logs, patterns, own_hosts).drop("platform"),
+        _visits(logs, patterns, own_hosts, hot_rows).drop("platform"),
         ["date", "u_sd"],
         "_slice",
         ["s_time", "event_id"],

@@ -10,7 +10,7 @@ from footfall.functions import predicates as P
 from footfall.functions.numbers import int_div, ratio2
 from footfall.functions.text import distinct_list
 from footfall.functions.times import seconds_between
-from footfall.operators.skew import top_per_group
+from footfall.operators.skew import checked_broadcast, top_per_group
 
 # Inclusive bounds of the histogram buckets.
 VISIT_SECONDS = {
@@ -135,8 +135,7 @@ def top_sessions_per_category(actions: DataFrame, categories: DataFrame, k: int
     clicks = actions.where(F.col("click_category_id").isNotNull()).select(
         F.col("click_category_id").alias("category_id"), "session_id"
     )
-    # ``categories`` is the result of a limit, so its size is bounded
-    wanted = F.broadcast(categories.select("category_id"))
+    wanted = checked_broadcast(categories.select("category_id"))
     counted = (
         clicks.join(wanted, "category_id", "left_semi")
         .groupBy("category_id", "session_id")

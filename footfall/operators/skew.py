@@ -40,6 +40,44 @@ def checked_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:
     return F.broadcast(df) if is_small(df, limit) else df
 
 
+HOT_ROWS = 1_000_000
+HOT_GROUPS = 1000
+
+
+def time_sliced(
+    df: DataFrame,
+    keys: Sequence[str],
+    ms: Column,
+    name: str = "_slice",
+    wide_ms: int = 3_600_000,
+    narrow_ms: int = 1000,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Adds the time slice of each row for the sliced operators below.
+
+    A slice is an hour, or a second where one key has ``hot_rows`` or more rows
+    in the hour.  Only the thousand fullest (key, hour) groups are looked at:
+    any other holds less than a thousandth of the rows.  Slices only steer the
+    distribution of the work; results do not depend on them.
+    """
+    start = F.floor(ms / F.lit(wide_ms)).cast("bigint") * wide_ms
+    staged = df.withColumn("_wide", start)
+    full = (
+        staged.groupBy(*keys, "_wide")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") >= hot_rows)
+        .orderBy(F.desc("_n"), *keys, "_wide")
+        .limit(HOT_GROUPS)
+        .select(*keys, "_wide", F.lit(True).alias("_hot"))
+    )
+    narrow = F.floor(ms / F.lit(narrow_ms)).cast("bigint") * narrow_ms
+    return (
+        staged.join(F.broadcast(full), [*keys, "_wide"], "left")
+        .withColumn(name, F.when(F.col("_hot"), narrow).otherwise(F.col("_wide")))
+        .select(*df.columns, name)
+    )
+
+
 def _with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     for key in keys:
         df = df.where(F.col(key).isNotNull())
@@ -201,6 +239,22 @@ def salted_join(
     )
 
 
+def chunked_lists(
+    df: DataFrame, key: str, value: str, order: Sequence[str | Column], chunk_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Values of each key as arrays in ``order``: (key, chunk, values).
+
+    A key with up to ``chunk_rows`` rows gives one array; a bigger one gives
+    several, so that no task and no row holds an unbounded group.
+    """
+    rows = numbered(df.select(key, value), order, "_n", keys=[key])
+    chunk = F.call_function("div", F.col("_n") - 1, F.lit(chunk_rows))
+    pairs = F.array_sort(F.collect_list(F.struct("_n", value)))
+    return rows.groupBy(key, chunk.alias("chunk")).agg(
+        F.transform(pairs, lambda p: p[value]).alias("values")
+    )
+
+
 def two_phase_count(df: DataFrame, keys: Sequence[str], salts: int = 10) -> DataFrame:
     """Count per key in two steps: per (key, salt), then per key."""
     keys = list(keys)

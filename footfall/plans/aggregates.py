@@ -132,13 +132,15 @@ def basic_aggregates(spark, sf):
 @query(
     "collect_set_list",
     with_views("emp", """
-SELECT depId AS dep_id, array_to_string(list_sort(list(DISTINCT age)), ',') AS ages,
+SELECT depId AS dep_id, CAST(0 AS BIGINT) AS chunk, array_to_string(list_sort(list(DISTINCT age)), ',') AS ages,
   array_to_string(list_sort(list(name)), ',') AS names FROM emp GROUP BY ALL"""),
 )
 def collect_set_list(spark, sf):
-    return src.employee(spark, sf).groupBy(F.col("depId").alias("dep_id")).agg(
-        distinct_list(F.col("age")).alias("ages"),
-        F.array_join(F.array_sort(F.collect_list("name")), ",").alias("names"),
+    employees = src.employee(spark, sf)
+    ages = employees.groupBy("depId").agg(distinct_list(F.col("age")).alias("ages"))
+    names = skew.chunked_lists(employees, "depId", "name", ["name"])
+    return names.join(ages, "depId").select(
+        F.col("depId").alias("dep_id"), "chunk", "ages", F.array_join("values", ",").alias("names")
     )
 
 

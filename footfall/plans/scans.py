@@ -94,7 +94,7 @@ def jdbc_dim_scan(spark, sf):
     "hive_table_load",
     """SELECT CAST(p_partkey AS INTEGER) AS key, p_name AS value, n_per_value
 FROM part JOIN (SELECT p_name AS pn, count(*) AS n_per_value FROM part GROUP BY p_name) ON pn = p_name
-WHERE p_partkey > 10 ORDER BY key""",
+WHERE n_per_value > 1 ORDER BY key""",
 )
 def hive_table_load(spark, sf):
     path = workspace(spark, "src")
@@ -105,7 +105,7 @@ def hive_table_load(spark, sf):
     return spark.sql(f"""
         SELECT key, value, n_per_value
         FROM {name} JOIN (SELECT value, count(*) AS n_per_value FROM {name} GROUP BY value) USING (value)
-        WHERE key > 10 ORDER BY key""")
+        WHERE n_per_value > 1 ORDER BY key""")
 
 
 EVENT_LOG_SCHEMA_COLUMNS = ["dt", "en", "u_ud", "s_time", "pl", "browser", "browser_v"]
@@ -118,7 +118,7 @@ SELECT dt, en, u_ud, s_time, pl, browser, browser_v FROM el WHERE dt = '{params.
 )
 def event_log_scan(spark, sf):
     logs = src.event_logs(spark, sf)
-    path = sink.overwrite(logs.repartition("dt"), workspace(spark, "event-logs"), ["dt"])
+    path = sink.overwrite(logs.hint("rebalance", "dt"), workspace(spark, "event-logs"), ["dt"])
     return files.event_log(
         spark, path, params.RUN_DATE, EVENT_LOG_SCHEMA_COLUMNS, event="e_l", schema=logs.schema
     )

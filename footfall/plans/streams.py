@@ -41,7 +41,7 @@ def stream_ad_parse(spark, sf):
 SELECT click_ms, province, city, user_id, ad_id, date FROM ads WHERE user_id NOT IN ({_BLACKLIST})"""),
 )
 def stream_blacklist_filter(spark, sf):
-    return _click_job(spark, sf, "stream-filter", ads.allowed_clicks, blacklist(spark, sf))
+    return _click_job(spark, sf, "stream-filter", ads.allowed_clicks, lambda s: blacklist(s, sf))
 
 
 @query(

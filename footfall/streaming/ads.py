@@ -7,15 +7,17 @@ again later.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from footfall.operators import ads
 from footfall.operators.joins import without_users
 from footfall.sinks.tables import latest, latest_groups
-from footfall.sources.files import literal_relation
-from footfall.streaming.base import run_available, store_batch, stored
+from footfall.streaming import ledger
+from footfall.streaming.base import run_available
 
 _STR, _LONG = T.StringType(), T.LongType()
 
@@ -46,32 +48,52 @@ def parsed_clicks(lines: DataFrame, out: str, checkpoint: str) -> DataFrame:
     return lines.sparkSession.read.schema(CLICKS).parquet(out)
 
 
-def allowed_clicks(lines: DataFrame, blacklist: DataFrame, out: str, checkpoint: str) -> DataFrame:
-    """Clicks of users outside the blacklist, which is read anew for each batch."""
-    keep = store_batch(out, lambda batch: without_users(batch, blacklist))
-    run_available(ads.parse_clicks(lines).writeStream.foreachBatch(keep), checkpoint)
-    return stored(lines.sparkSession, out, CLICKS).drop("batch_id")
+def allowed_clicks(
+    lines: DataFrame, load_blacklist: Callable[[SparkSession], DataFrame], out: str, checkpoint: str
+) -> DataFrame:
+    """Clicks of users outside the blacklist, which is loaded anew for each batch."""
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        ledger.store(without_users(batch, load_blacklist(batch.sparkSession)), out, batch_id)
+
+    run_available(ads.parse_clicks(lines).writeStream.foreachBatch(step), checkpoint)
+    return lines.sparkSession.read.schema(CLICKS).parquet(f"{out}/batches").drop("batch_id")
+
+
+USER_AD_KEYS = ["date", "user_id", "ad_id"]
+STAT_KEYS = ["date", "province", "city", "ad_id"]
+
+
+def _summed(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*USER_AD_KEYS).agg(F.sum("click_count").alias("click_count"))
 
 
-def user_ad_totals(lines: DataFrame, out: str, checkpoint: str) -> DataFrame:
-    """Clicks per (day, user, ad): one delta per batch, added up on reading."""
-    keep = store_batch(out, ads.user_ad_counts)
-    run_available(ads.parse_clicks(lines).writeStream.foreachBatch(keep), checkpoint)
-    return read_user_ad_totals(lines.sparkSession, out)
+def _users(rows: DataFrame) -> DataFrame:
+    return rows.select("user_id").distinct()
 
 
-def read_user_ad_totals(spark, out: str) -> DataFrame:
-    deltas = stored(spark, out, USER_AD)
-    return deltas.groupBy("date", "user_id", "ad_id").agg(F.sum("click_count").alias("click_count"))
+def user_ad_totals(lines: DataFrame, out: str, checkpoint: str, every: int = ledger.EVERY) -> DataFrame:
+    """Clicks per (day, user, ad): batches store their counts, reading adds them up."""
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        ledger.fold_if_due(batch.sparkSession, out, USER_AD, batch_id, _summed, every)
+        ledger.store(ads.user_ad_counts(batch), out, batch_id)
+
+    run_available(ads.parse_clicks(lines).writeStream.foreachBatch(step), checkpoint)
+    return ledger.content(lines.sparkSession, out, USER_AD, _summed, every)
 
 
 def dynamic_blacklist(
-    lines: DataFrame, out: str, checkpoint: str, threshold: int = ads.BLACKLIST_THRESHOLD
+    lines: DataFrame,
+    out: str,
+    checkpoint: str,
+    threshold: int = ads.BLACKLIST_THRESHOLD,
+    every: int = ledger.EVERY,
 ) -> DataFrame:
     """Blacklist that grows batch by batch.
 
     A batch first loses the clicks of users banned so far, then adds its counts
-    to the stored ones and bans the users who reach the threshold.  Deltas and
+    to the stored ones and bans the users who reach the threshold.  Counts and
     bans of a batch are stored under its id, and a repeated batch reads only
     what earlier batches stored, so a retry gives the same result.
     """
@@ -79,24 +101,18 @@ def dynamic_blacklist(
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-
-        def earlier(path: str, schema) -> DataFrame:
-            if batch_id == 0:
-                return literal_relation(spark, [], schema)
-            return stored(spark, path, schema).where(F.col("batch_id") < batch_id).drop("batch_id")
-
-        banned = earlier(banned_path, USERS)
-        store_batch(counts_path, lambda b: ads.user_ad_counts(without_users(b, banned)))(batch, batch_id)
-        delta = spark.read.schema(USER_AD).parquet(f"{counts_path}/batch_id={batch_id}")
+        ledger.fold_if_due(spark, counts_path, USER_AD, batch_id, _summed, every)
+        ledger.fold_if_due(spark, banned_path, USERS, batch_id, _users, every)
+        banned = _users(ledger.before(spark, banned_path, USERS, batch_id, every))
+        delta = ledger.store(ads.user_ad_counts(without_users(batch, banned)), counts_path, batch_id)
         # only keys this batch touched can newly reach the threshold
-        keys = ["date", "user_id", "ad_id"]
-        touched = earlier(counts_path, USER_AD).join(delta.select(*keys), keys, "left_semi")
-        totals = touched.unionByName(delta).groupBy(*keys).agg(F.sum("click_count").alias("click_count"))
-        fresh = without_users(ads.over_threshold(totals, threshold), banned)
-        store_batch(banned_path)(fresh, batch_id)
+        earlier = ledger.before(spark, counts_path, USER_AD, batch_id, every).drop("batch_id")
+        touched = earlier.join(delta.select(*USER_AD_KEYS), USER_AD_KEYS, "left_semi")
+        totals = _summed(touched.unionByName(delta))
+        ledger.store(without_users(ads.over_threshold(totals, threshold), banned), banned_path, batch_id)
 
     run_available(ads.parse_clicks(lines).writeStream.foreachBatch(step), checkpoint)
-    return stored(lines.sparkSession, banned_path, USERS).drop("batch_id")
+    return ledger.content(lines.sparkSession, banned_path, USERS, _users, every)
 
 
 def _timed(lines: DataFrame, delay: str) -> DataFrame:
@@ -114,34 +130,55 @@ def _daily_state(lines: DataFrame, delay: str) -> DataFrame:
     )
 
 
-STAT_KEYS = ["date", "province", "city", "ad_id"]
+def _newest(keys: list[str]) -> ledger.Fold:
+    return lambda rows: latest(rows, keys)
 
 
-def ad_totals(lines: DataFrame, out: str, checkpoint: str, delay: str = "1 day") -> DataFrame:
-    """Running counts per (day, province, city, ad); the newest value counts."""
-    writer = _daily_state(lines, delay).writeStream.outputMode("update").foreachBatch(store_batch(out))
-    run_available(writer, checkpoint)
-    return latest(stored(lines.sparkSession, out, STAT), STAT_KEYS)
+def _updates(counted: DataFrame, out: str, checkpoint: str, schema, keys: list[str], every: int) -> DataFrame:
+    """Keep the updates of a running aggregation; the newest value of a key counts."""
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        ledger.fold_if_due(batch.sparkSession, out, schema, batch_id, _newest(keys), every)
+        ledger.store(batch, out, batch_id)
+
+    run_available(counted.writeStream.outputMode("update").foreachBatch(step), checkpoint)
+    return ledger.content(counted.sparkSession, out, schema, _newest(keys), every)
 
 
-def province_top3(lines: DataFrame, out: str, checkpoint: str, delay: str = "1 day") -> DataFrame:
+def ad_totals(
+    lines: DataFrame, out: str, checkpoint: str, delay: str = "1 day", every: int = ledger.EVERY
+) -> DataFrame:
+    """Running counts per (day, province, city, ad)."""
+    return _updates(_daily_state(lines, delay), out, checkpoint, STAT, STAT_KEYS, every)
+
+
+def province_top3(
+    lines: DataFrame, out: str, checkpoint: str, delay: str = "1 day", every: int = ledger.EVERY
+) -> DataFrame:
     """Best three ads per (day, province), renewed for the groups a batch touched."""
     stat_path, top_path = f"{out}/stat", f"{out}/top"
+    group = ["date", "province"]
+
+    def newest_groups(rows: DataFrame) -> DataFrame:
+        return latest_groups(rows, group)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        store_batch(stat_path)(batch, batch_id)
-        known = stored(spark, stat_path, STAT).where(F.col("batch_id") <= batch_id)
-        group = ["date", "province"]
-        touched = known.where(F.col("batch_id") == batch_id).select(*group).distinct()
-        current = latest(known.join(touched, group, "left_semi"), STAT_KEYS)
-        store_batch(top_path, ads.province_top_ads)(current, batch_id)
+        ledger.fold_if_due(spark, stat_path, STAT, batch_id, _newest(STAT_KEYS), every)
+        ledger.fold_if_due(spark, top_path, TOP, batch_id, newest_groups, every)
+        delta = ledger.store(batch, stat_path, batch_id)
+        earlier = ledger.before(spark, stat_path, STAT, batch_id, every)
+        touched = earlier.join(delta.select(*group).distinct(), group, "left_semi")
+        known = touched.unionByName(delta.withColumn("batch_id", F.lit(batch_id).cast("bigint")))
+        ledger.store(ads.province_top_ads(latest(known, STAT_KEYS)), top_path, batch_id)
 
     run_available(_daily_state(lines, delay).writeStream.outputMode("update").foreachBatch(step), checkpoint)
-    return latest_groups(stored(lines.sparkSession, top_path, TOP), ["date", "province"])
+    return ledger.content(lines.sparkSession, top_path, TOP, newest_groups, every)
 
 
-def click_trend(lines: DataFrame, out: str, checkpoint: str, delay: str = "1 hour") -> DataFrame:
+def click_trend(
+    lines: DataFrame, out: str, checkpoint: str, delay: str = "1 hour", every: int = ledger.EVERY
+) -> DataFrame:
     """Clicks per (minute, ad); a minute stays open for ``delay``."""
     minute = F.col("window.start")
     counted = (
@@ -156,13 +193,17 @@ def click_trend(lines: DataFrame, out: str, checkpoint: str, delay: str = "1 hou
             "click_count",
         )
     )
-    run_available(counted.writeStream.outputMode("update").foreachBatch(store_batch(out)), checkpoint)
-    return latest(stored(lines.sparkSession, out, TREND), ["date", "hour", "minute", "ad_id"])
+    return _updates(counted, out, checkpoint, TREND, ["date", "hour", "minute", "ad_id"], every)
 
 
 def sliding_counts(
-    lines: DataFrame, out: str, checkpoint: str, size: str = "60 minutes", slide: str = "10 minutes",
+    lines: DataFrame,
+    out: str,
+    checkpoint: str,
+    size: str = "60 minutes",
+    slide: str = "10 minutes",
     delay: str = "1 hour",
+    every: int = ledger.EVERY,
 ) -> DataFrame:
     """Clicks per ad in overlapping windows."""
     counted = (
@@ -176,5 +217,4 @@ def sliding_counts(
             "click_count",
         )
     )
-    run_available(counted.writeStream.outputMode("update").foreachBatch(store_batch(out)), checkpoint)
-    return latest(stored(lines.sparkSession, out, WINDOWED), ["window_start", "window_end", "ad_id"])
+    return _updates(counted, out, checkpoint, WINDOWED, ["window_start", "window_end", "ad_id"], every)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -47,24 +45,3 @@ def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
 
 def run_continuously(writer: DataStreamWriter, checkpoint: str, every: str = "5 seconds"):
     return writer.option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
-
-
-def store_batch(path: str, shape: Callable[[DataFrame], DataFrame] = lambda df: df):
-    """A ``foreachBatch`` function that keeps each batch in its own folder.
-
-    A repeated batch overwrites its folder, so the result counts every input
-    row exactly once.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        shape(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    return write
-
-
-def stored(spark: SparkSession, path: str, schema) -> DataFrame:
-    """All stored batches with their ``batch_id``; empty before the first one."""
-    from pyspark.sql import types as T
-
-    full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType(), True)])
-    return spark.read.schema(full).parquet(path)

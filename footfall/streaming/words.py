@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from footfall.operators.relational import word_count
-from footfall.streaming.base import run_available, store_batch, stored
+from footfall.streaming import ledger
+from footfall.streaming.base import run_available
 
 WORDS = T.StructType([T.StructField("word", T.StringType()), T.StructField("n", T.LongType())])
 
 
 def word_totals(lines: DataFrame, out: str, checkpoint: str) -> DataFrame:
     """Counts over all lines so far; every batch stores the complete result."""
+    spark = lines.sparkSession
     counted = word_count(lines, "value")
-    run_available(counted.writeStream.outputMode("complete").foreachBatch(store_batch(out)), checkpoint)
-    batches = stored(lines.sparkSession, out, WORDS)
-    newest = batches.agg(F.max("batch_id")).scalar()
-    return batches.where(F.col("batch_id") == newest).drop("batch_id")
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        ledger.store(batch, out, batch_id)
+
+    run_available(counted.writeStream.outputMode("complete").foreachBatch(step), checkpoint)
+    newest = ledger.last_batch(spark, out)
+    return spark.read.schema(WORDS).parquet(f"{out}/batches/batch_id={newest}")

@@ -66,15 +66,18 @@ def compare(con, sql, frame):
 def main() -> int:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="0.01")
+    ap.add_argument("--dir", help="data folder, instead of --sf")
+    ap.add_argument("--broadcast", default="10MB", help="broadcast threshold; -1 for none")
     ap.add_argument("keys", nargs="*")
     args = ap.parse_args()
     import __spark_entry__ as entry
 
     from footfall.session import build_session
 
-    sf_dir = f"/root/testdata/sf{args.sf}"
+    sf_dir = args.dir or f"/root/testdata/sf{args.sf}"
     spark = build_session("oracle-check", "local[8]", 8, {
-        "spark.driver.memory": "12g", "spark.ui.showConsoleProgress": "false"
+        "spark.driver.memory": "12g", "spark.ui.showConsoleProgress": "false",
+        "spark.sql.autoBroadcastJoinThreshold": args.broadcast,
     })
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
