@@ -27,8 +27,9 @@ INBOUND_ALL = 1
 INBOUND_OTHER = 2
 
 
-# scheme, optional user part, host (group 1), optional port, then the rest
-_HOST = r"^https?:(?://(?:[^/?#]*@)?(\[[^\]]*\]|[^/?#:]*))?(?::[0-9]*)?(?:[/?#]|$)"
+# After the scheme: user part, host (group 1), port and the rest; or, without
+# the two slashes, no host at all.
+_HOST = r"^https?:(?://(?:[^/?#]*@)?(\[[^\]]*\]|[^/?#:]*)(?::[0-9]*)?(?:[/?#]|$)|(?!//))"
 
 
 def host(url: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from footfall.functions.web import INBOUND_INTERNAL, INBOUND_OTHER, ip_number, with_external_host
-from footfall.operators.skew import checked_broadcast, is_small
+from footfall.operators.skew import checked_broadcast, is_small, plan_bytes
 
 
 def session_with_user(sessions: DataFrame, users: DataFrame) -> DataFrame:
@@ -92,21 +92,37 @@ def ip_region(rows: DataFrame, ranges: DataFrame, ip: str = "ip", columns: Seque
     return rows.join(known, ip, "left")
 
 
+PATTERN_CHUNK_BYTES = 1 << 20
+MAX_PATTERN_CHUNKS = 64
+
+
 def inbound_of(rows: DataFrame, patterns: DataFrame, own_hosts: Sequence[str], url: str = "p_ref") -> DataFrame:
     """Adds ``inbound`` by matching the referrer host with a pattern table.
 
-    Patterns may be a host, a prefix or a regular expression, so this is a
-    theta join.  It runs on the distinct hosts only; the smallest matching id
-    wins.  0 = internal or unparsable, 2 = none of the patterns.
+    A pattern may be a host, a prefix or a regular expression, so no key joins
+    the two.  Instead of a nested-loop join, the patterns travel as arrays: one
+    array for a small table, several for a large one, each met by every
+    distinct host through an equi-join on the array number.  The smallest
+    matching id wins.  0 = internal or unparsable, 2 = none of the patterns.
     """
     hosted = with_external_host(rows, url, "_host", own_hosts)
     hosts = hosted.where(F.col("_host").isNotNull()).select("_host").distinct()
-    h, p = F.col("_host"), F.col("url")
-    match = (h == p) | h.startswith(p) | F.expr("_host RLIKE concat('^(?:', url, ')$')")
+    h = F.col("_host")
+    chunks = min(MAX_PATTERN_CHUNKS, 1 + plan_bytes(patterns) // PATTERN_CHUNK_BYTES)
+    arrays = patterns.groupBy(F.pmod(F.xxhash64("url"), F.lit(chunks)).cast("int").alias("_chunk")).agg(
+        F.collect_list(F.struct("id", "url")).alias("_patterns")
+    )
+
+    def matches(p):
+        u = p["url"]
+        return (h == u) | F.startswith(h, u) | F.rlike(h, F.concat(F.lit("^(?:"), u, F.lit(")$")))
+
+    hit = F.array_min(F.transform(F.filter("_patterns", matches), lambda p: p["id"]))
     found = (
-        hosts.join(checked_broadcast(patterns), match)
+        hosts.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+        .join(arrays, "_chunk")
         .groupBy("_host")
-        .agg(F.min("id").alias("_id"))
+        .agg(F.min(hit).alias("_id"))
     )
     return (
         hosted.join(found, "_host", "left")

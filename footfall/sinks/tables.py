@@ -113,4 +113,5 @@ def latest_groups(versions: DataFrame, group: Sequence[str], version: str = "bat
     """All rows of the newest batch of each group."""
     group = list(group)
     newest = versions.groupBy(*group).agg(F.max(version).alias(version))
-    return versions.join(newest, [*group, version], "left_semi").drop(version)
+    kept = versions.join(newest, [*group, version], "left_semi")
+    return kept.select(*[c for c in versions.columns if c != version])
