@@ -31,8 +31,14 @@ def yesterday() -> str:
     return (date.today() - timedelta(days=1)).isoformat()
 
 
+def ms_date(ms: Column) -> Column:
+    """Day of an epoch value as DATE: the narrow form to group by."""
+    return F.date_from_unix_date(F.floor(ms / F.lit(DAY_MS)).cast("int"))
+
+
 def ms_day(ms: Column) -> Column:
-    return F.date_from_unix_date(F.floor(ms / F.lit(DAY_MS)).cast("int")).cast("string")
+    """Day of an epoch value as ``yyyy-MM-dd`` text."""
+    return ms_date(ms).cast("string")
 
 
 def ms_hour(ms: Column) -> Column:

@@ -139,23 +139,28 @@ SYSTEM_RULES = [
 ]
 
 
-def _first_rule(text: Column, rules: Sequence[tuple[str, str]], part: str) -> Column:
-    picks = []
-    for name, pattern in rules:
-        value = F.lit(name) if part == "name" else F.regexp_extract(text, pattern, 1)
-        picks.append(F.when(text.rlike(pattern), value))
-    return F.coalesce(*picks, F.lit(UNKNOWN))
-
-
-def user_agent(text: Column) -> Column:
-    """Struct of browser, browser_v, os, os_v; null for a blank user agent."""
-    parsed = F.struct(
-        _first_rule(text, BROWSER_RULES, "name").alias("browser"),
-        _first_rule(text, BROWSER_RULES, "version").alias("browser_v"),
-        _first_rule(text, SYSTEM_RULES, "name").alias("os"),
-        _first_rule(text, SYSTEM_RULES, "version").alias("os_v"),
+def _first_rule(text: Column, rules: Sequence[tuple[str, str]]) -> Column:
+    """(name, version) by the first rule that matches, in one chain of tests."""
+
+    def found(name: Column, version: Column) -> Column:
+        return F.struct(name.alias("name"), version.alias("version"))
+
+    picks = [F.when(text.rlike(p), found(F.lit(n), F.regexp_extract(text, p, 1))) for n, p in rules]
+    return F.coalesce(*picks, found(F.lit(UNKNOWN), F.lit(UNKNOWN)))
+
+
+def with_user_agent(df: DataFrame, column: str) -> DataFrame:
+    """Adds browser, browser_v, os and os_v; all null for a blank user agent."""
+    text = F.col(column)
+    parsed = computed_once(df, "_b", F.when(~is_blank(text), _first_rule(text, BROWSER_RULES)))
+    parsed = computed_once(parsed, "_o", F.when(~is_blank(text), _first_rule(text, SYSTEM_RULES)))
+    return parsed.select(
+        *df.columns,
+        F.col("_b.name").alias("browser"),
+        F.col("_b.version").alias("browser_v"),
+        F.col("_o.name").alias("os"),
+        F.col("_o.version").alias("os_v"),
     )
-    return F.when(~is_blank(text), parsed)
 
 
 # Names the region text of an address range may begin with.

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.times import ms_day
+from footfall.functions.web import computed_once
 from footfall.operators.skew import top_per_group
 
 BLACKLIST_THRESHOLD = 100
@@ -16,8 +17,8 @@ BLACKLIST_THRESHOLD = 100
 
 def parse_clicks(lines: DataFrame, line: str = "value") -> DataFrame:
     """``millis province city user ad`` as typed columns; other lines are dropped."""
-    f = F.split(F.col(line), " ")
-    parsed = lines.withColumn("_f", f).where(F.size("_f") == 5).select(
+    fields = computed_once(lines, "_f", F.split(F.col(line), " "))
+    parsed = fields.where(F.size("_f") == 5).select(
         *[c for c in lines.columns if c != line],
         F.get("_f", 0).try_cast("bigint").alias("click_ms"),
         F.get("_f", 1).alias("province"),

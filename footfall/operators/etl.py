@@ -66,11 +66,7 @@ def rejected(parsed: DataFrame, line: str = "value") -> DataFrame:
 
 def with_user_agent(events: DataFrame, column: str = USER_AGENT) -> DataFrame:
     """Browser and system columns; the raw user agent is dropped."""
-    return (
-        events.withColumn("_ua", web.user_agent(F.col(column)))
-        .select("*", "_ua.browser", "_ua.browser_v", "_ua.os", "_ua.os_v")
-        .drop("_ua", column)
-    )
+    return web.with_user_agent(events, column).drop(column)
 
 
 def with_location(events: DataFrame, ranges: DataFrame) -> DataFrame:

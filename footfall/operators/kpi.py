@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from footfall.functions import predicates as P
 from footfall.functions.numbers import ceil_div
 from footfall.functions.text import is_blank
-from footfall.functions.times import DAY_MS, HOUR_MS, ms_day, ms_hour
+from footfall.functions.times import DAY_MS, HOUR_MS, ms_date, ms_hour
 from footfall.functions.web import INBOUND_ALL, INBOUND_INTERNAL, inbound_id, with_external_host
 from footfall.operators import dims as D
 from footfall.operators.skew import HOT_ROWS, sliced_neighbour, sliced_running_sum, time_sliced
@@ -33,7 +33,7 @@ def records(logs: DataFrame, *required: str, event: str | None = None, keep: Seq
     """
     kept = logs if event is None else logs.where(F.col("en") == event)
     kept = kept.where(P.usable_record("pl", *required))
-    out: list[Column] = [ms_day(F.col("s_time")).alias("date"), D.clean_platform()]
+    out: list[Column] = [ms_date(F.col("s_time")).alias("date"), D.clean_platform()]
     if "browser" in keep:
         out += D.clean_browser()
     if "location" in keep:
@@ -41,6 +41,11 @@ def records(logs: DataFrame, *required: str, event: str | None = None, keep: Seq
     return kept.select(*out, *[c for c in keep if c not in ("browser", "location")])
 
 
+def reported(df: DataFrame, day: str = "date") -> DataFrame:
+    """The finished report: days as text.  Everything before groups by DATE."""
+    return df.withColumn(day, F.col(day).cast("string"))
+
+
 def _sets(by: str | None) -> tuple[list[list[str]], list[str], list[str]]:
     """Grouping sets, columns that can read 'all', and the finest columns."""
     if by == "browser":
@@ -61,7 +66,7 @@ def distinct_count(
     sets, rolled, finest = _sets(by)
     rows = records(logs, id_col, event=event, keep=[id_col] + ([by] if by else []))
     unique = rows.select("date", *finest, id_col).distinct()
-    return D.rolled_up(unique, sets, rolled, F.count_distinct(id_col).alias(name))
+    return reported(D.rolled_up(unique, sets, rolled, F.count_distinct(id_col).alias(name)))
 
 
 def new_install_users(logs: DataFrame, by: str | None = None) -> DataFrame:
@@ -99,12 +104,13 @@ def member_info_rows(logs: DataFrame, member_info: DataFrame, run_date: str) ->
 
 def hour_columns(per_hour: DataFrame, value: str) -> DataFrame:
     """Rows (date, platform, hour, value) as 24 columns, missing hours 0."""
-    return per_hour.groupBy("date", "platform").agg(*[
+    hours = [
         F.coalesce(F.max(F.when(F.col("hour") == h, F.col(value))), F.lit(0).cast("bigint")).alias(
             f"hour_{h:02d}"
         )
         for h in HOURS
-    ])
+    ]
+    return reported(per_hour.groupBy("date", "platform").agg(*hours))
 
 
 def _hour_sets() -> list[list[str]]:
@@ -147,8 +153,10 @@ def _length(limit_ms: int) -> Column:
 def sessions(logs: DataFrame, by: str | None = None) -> DataFrame:
     """Sessions and their summed length; spans over a day are left out."""
     spans, _, finest = _session_spans(logs, by, hourly=False)
-    return spans.groupBy("date", *finest).agg(
-        F.count(F.lit(1)).alias("sessions"), _length(DAY_MS).alias("sessions_length")
+    return reported(
+        spans.groupBy("date", *finest).agg(
+            F.count(F.lit(1)).alias("sessions"), _length(DAY_MS).alias("sessions_length")
+        )
     )
 
 
@@ -169,23 +177,28 @@ def page_views(logs: DataFrame) -> DataFrame:
     sets, rolled, finest = _sets("browser")
     rows = records(logs, "p_url", event=PAGE_VIEW, keep=["browser"])
     base = rows.groupBy("date", *finest).agg(F.count(F.lit(1)).alias("_n"))
-    return D.rolled_up(base, sets, rolled, F.sum("_n").alias("pv"))
+    return reported(D.rolled_up(base, sets, rolled, F.sum("_n").alias("pv")))
 
 
-def tagged_ids(rows: DataFrame, dims: Sequence[str], ids: dict[str, Column]) -> DataFrame:
-    """One row per (dims, kind, id) with its row count and time span.
+def tagged_ids(base: DataFrame, dims: Sequence[str], ids: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """One row per (dims, kind, id) with its count and time span.
 
-    Every kind of id a report counts comes out of one pass; blank ids are left
-    out.  The copies exist only up to the map-side aggregation.
+    ``ids`` maps the kinds of ids a report counts to the id and how much a row
+    of ``base`` adds to its count; rows without the id are left out.  ``base``
+    has one row per combination of ids (columns ``lo``, ``hi``), so the copies
+    are made from far fewer rows than the log has.  Kinds are numbered in order.
     """
-    copies = F.filter(
-        F.array(*[F.struct(F.lit(k).alias("kind"), c.alias("id")) for k, c in ids.items()]),
-        lambda t: ~is_blank(t["id"]),
+    copies = F.array(*[
+        F.struct(F.lit(i).alias("kind"), c.alias("id"), n.cast("bigint").alias("n"))
+        for i, (c, n) in enumerate(ids.values())
+    ])
+    tagged = base.select(*dims, "lo", "hi", F.explode(copies).alias("_t")).select(
+        *dims, "lo", "hi", "_t.kind", "_t.id", "_t.n"
     )
     return (
-        rows.withColumn("_t", F.explode(copies))
-        .groupBy(*dims, F.col("_t.kind").alias("kind"), F.col("_t.id").alias("id"))
-        .agg(F.min("s_time").alias("lo"), F.max("s_time").alias("hi"), F.count(F.lit(1)).alias("n"))
+        tagged.where(~is_blank(F.col("id")))
+        .groupBy(*dims, "kind", "id")
+        .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("n"))
     )
 
 
@@ -201,39 +214,43 @@ def leveled_ids(tagged: DataFrame, sets: Sequence[Sequence[str]], rolled: Sequen
     )
 
 
-def _of(kind: str, cond: Column | None = None) -> Column:
-    hit = F.col("kind") == kind
-    return F.count_if(hit if cond is None else hit & cond)
+def _by_ids(rows: DataFrame, dims: Sequence[str], ids: Sequence[str], *counts: Column) -> DataFrame:
+    """One row per combination of dimension values and ids."""
+    return rows.groupBy(*dims, *ids).agg(
+        F.min("s_time").alias("lo"), F.max("s_time").alias("hi"), *counts
+    )
 
 
 def location(logs: DataFrame) -> DataFrame:
     """Visitors, sessions and one-view sessions by platform and location."""
     sets, rolled, finest = _sets("location")
     rows = records(logs, "u_ud", "u_sd", event=PAGE_VIEW, keep=["location", "u_ud", "u_sd", "s_time"])
-    ids = tagged_ids(rows, ["date", *finest], {"visitor": F.col("u_ud"), "session": F.col("u_sd")})
-    return (
+    dims = ["date", *finest]
+    base = _by_ids(rows, dims, ["u_ud", "u_sd"], F.count(F.lit(1)).alias("views"))
+    views = F.col("views")
+    ids = tagged_ids(base, dims, {"visitor": (F.col("u_ud"), views), "session": (F.col("u_sd"), views)})
+    visitor, session = F.col("kind") == 0, F.col("kind") == 1
+    return reported(
         leveled_ids(ids, sets, rolled)
-        .groupBy("date", *finest)
+        .groupBy(*dims)
         .agg(
-            _of("visitor").alias("visitors"),
-            _of("session").alias("sessions"),
-            _of("session", F.col("n") == 1).alias("bounce_sessions"),
+            F.count_if(visitor).alias("visitors"),
+            F.count_if(session).alias("sessions"),
+            F.count_if(session & (F.col("n") == 1)).alias("bounce_sessions"),
         )
     )
 
 
-def _referred(logs: DataFrame, own_hosts, *required: str, event=None, keep=()) -> DataFrame:
-    """Records with a referrer and its external host (null = internal)."""
-    rows = records(logs, "p_ref", *required, event=event, keep=["p_ref", *keep])
-    return with_external_host(rows, "p_ref", "_host", own_hosts).drop("p_ref")
+def _referred(logs: DataFrame, *required: str, event=None, keep=()) -> DataFrame:
+    """Records with a referrer."""
+    return records(logs, "p_ref", *required, event=event, keep=["p_ref", *keep])
 
 
 def inbound(logs: DataFrame, patterns: Sequence[tuple[int, str]], own_hosts: Sequence[str]) -> DataFrame:
     """Visitors and sessions by platform and inbound (1 = all inbounds)."""
-    external = _referred(logs, own_hosts, "u_ud", "u_sd", event=PAGE_VIEW, keep=["u_ud", "u_sd"]).where(
-        F.col("_host").isNotNull()
-    )
-    rows = external.withColumn("inbound", inbound_id(F.col("_host"), patterns)).drop("_host")
+    referred = _referred(logs, "u_ud", "u_sd", event=PAGE_VIEW, keep=["u_ud", "u_sd"])
+    external = with_external_host(referred, "p_ref", "_host", own_hosts).where(F.col("_host").isNotNull())
+    rows = external.withColumn("inbound", inbound_id(F.col("_host"), patterns)).drop("_host", "p_ref")
     base = rows.distinct()
     sets = D.level_sets(D.PLATFORM, [["inbound"], []], always=["date"])
     counted = D.rolled_up(
@@ -243,19 +260,20 @@ def inbound(logs: DataFrame, patterns: Sequence[tuple[int, str]], own_hosts: Seq
         F.count_distinct("u_ud").alias("visitors"),
         F.count_distinct("u_sd").alias("sessions"),
     )
-    return counted.withColumn(
-        "inbound", F.when(F.col("inbound") == D.ALL, INBOUND_ALL).otherwise(F.col("inbound")).cast("bigint")
-    )
+    number = F.when(F.col("inbound") == D.ALL, INBOUND_ALL).otherwise(F.col("inbound")).cast("bigint")
+    return reported(counted.withColumn("inbound", number))
 
 
-def _visits(logs: DataFrame, patterns, own_hosts, hot_rows: int) -> DataFrame:
-    """Session steps with their inbound id and time slice."""
-    rows = _referred(logs, own_hosts, "u_sd", keep=["u_sd", "s_time", "event_id"])
-    steps = rows.withColumn("inbound", inbound_id(F.col("_host"), patterns)).drop("_host")
-    return time_sliced(steps, ["date", "u_sd"], F.col("s_time"), hot_rows=hot_rows)
+# the session id first: it tells rows apart soonest when they are sorted
+SESSION = ["u_sd", "date", "platform"]
 
 
-SESSION = ["date", "platform", "u_sd"]
+def _visits(logs: DataFrame, patterns, own_hosts, hot_rows: int) -> DataFrame:
+    """Session steps with their time slice and inbound id."""
+    rows = _referred(logs, "u_sd", keep=["u_sd", "s_time", "event_id"])
+    sliced = time_sliced(rows, ["u_sd", "date"], F.col("s_time"), hot_rows=hot_rows)
+    hosted = with_external_host(sliced, "p_ref", "_host", own_hosts).drop("p_ref")
+    return hosted.withColumn("inbound", inbound_id(F.col("_host"), patterns)).drop("_host")
 
 
 def inbound_bounce(
@@ -287,10 +305,10 @@ def inbound_bounce(
         F.count_if(bounced).alias("n"),
     ).where(F.col("inbound") != str(INBOUND_INTERNAL))
     overall = F.col("inbound") == D.ALL
-    return per_session.groupBy(
-        "date", "platform", F.when(overall, INBOUND_ALL).otherwise(F.col("inbound").try_cast("int")).cast("bigint").alias("inbound")
-    ).agg(
-        F.sum(F.when(overall, (F.col("n") > 0).cast("bigint")).otherwise(F.col("n"))).alias("bounces")
+    number = F.when(overall, INBOUND_ALL).otherwise(F.col("inbound").try_cast("int")).cast("bigint")
+    n = F.when(overall, (F.col("n") > 0).cast("bigint")).otherwise(F.col("n"))
+    return reported(
+        per_session.groupBy("date", "platform", number.alias("inbound")).agg(F.sum(n).alias("bounces"))
     )
 
 
@@ -307,14 +325,16 @@ def landing_segments(
     landing = F.when(F.col("inbound") != INBOUND_INTERNAL, 1).otherwise(0).cast("bigint")
     steps = sliced_running_sum(
         _visits(logs, patterns, own_hosts, hot_rows).drop("platform"),
-        ["date", "u_sd"],
+        ["u_sd", "date"],
         "_slice",
         ["s_time", "event_id"],
         landing,
         "segment",
     )
-    return steps.groupBy("date", "u_sd", "segment").agg(
-        F.max("inbound").cast("bigint").alias("inbound"), F.count(F.lit(1)).alias("steps")
+    return reported(
+        steps.groupBy("u_sd", "date", "segment").agg(
+            F.max("inbound").cast("bigint").alias("inbound"), F.count(F.lit(1)).alias("steps")
+        )
     )
 
 
@@ -343,36 +363,47 @@ def _facts(logs: DataFrame, member_info: DataFrame, by: str | None, with_views:
     sets, rolled, finest = _sets(by)
     keep = ["en", "u_ud", "u_mid", "u_sd", "s_time"] + (["p_url"] if with_views else []) + ([by] if by else [])
     rows = records(logs, keep=keep)
+    dims = ["date", *finest]
     is_view = F.col("en") == PAGE_VIEW
+    read = is_view & P.not_blank("p_url") if with_views else F.lit(False)
+    base = _by_ids(
+        rows,
+        dims,
+        ["u_ud", "u_mid", "u_sd"],
+        F.count_if(F.col("en") == LAUNCH).alias("launches"),
+        F.count_if(is_view).alias("views"),
+        F.count_if(read).alias("reads"),
+    )
+    one = F.lit(1)
     ids = {
-        "user": F.col("u_ud"),
-        "launch": F.when(F.col("en") == LAUNCH, F.col("u_ud")),
-        "member": F.when(is_view, F.col("u_mid")),
-        "new": F.when(P.valid_member_id(F.col("u_mid")), F.col("u_mid")),
-        "session": F.trim("u_sd"),
+        "user": (F.col("u_ud"), one),
+        "launch": (F.when(F.col("launches") > 0, F.col("u_ud")), one),
+        "member": (F.when(F.col("views") > 0, F.col("u_mid")), one),
+        "new": (F.when(P.valid_member_id(F.col("u_mid")), F.col("u_mid")), one),
+        "session": (F.trim("u_sd"), one),
     }
     if with_views:
-        ids["view"] = F.when(is_view & P.not_blank("p_url"), "view")
-    tagged = tagged_ids(rows, ["date", *finest], ids)
+        ids["view"] = (F.when(F.col("reads") > 0, "view"), F.col("reads"))
+    is_kind = {k: F.col("kind") == i for i, k in enumerate(ids)}
     # Members already known are no new ones.  The other kinds take part under a
     # key that matches nothing, which also spreads them over the join.
-    key = F.when(F.col("kind") == "new", F.col("id")).otherwise(F.concat_ws("\x01", "kind", "id"))
+    key = F.when(is_kind["new"], F.col("id")).otherwise(F.concat_ws("\x01", "kind", "id"))
     known = member_info.select(F.col("member_id").alias("_key"))
-    fresh = tagged.withColumn("_key", key).join(known, "_key", "left_anti").drop("_key")
+    fresh = tagged_ids(base, dims, ids).withColumn("_key", key).join(known, "_key", "left_anti").drop("_key")
 
     span = F.col("hi") - F.col("lo")
-    length = F.sum(F.when((F.col("kind") == "session") & span.between(0, DAY_MS), span).otherwise(0))
+    length = F.sum(F.when(is_kind["session"] & span.between(0, DAY_MS), span).otherwise(0))
     measures = [
-        _of("user").alias("active_users"),
-        _of("launch").alias("new_install_users"),
-        _of("member").alias("active_members"),
-        _of("new").alias("new_members"),
-        _of("session").alias("sessions"),
+        F.count_if(is_kind["user"]).alias("active_users"),
+        F.count_if(is_kind["launch"]).alias("new_install_users"),
+        F.count_if(is_kind["member"]).alias("active_members"),
+        F.count_if(is_kind["new"]).alias("new_members"),
+        F.count_if(is_kind["session"]).alias("sessions"),
         ceil_div(length, 1000).alias("sessions_length"),
     ]
     if with_views:
-        measures.append(F.sum(F.when(F.col("kind") == "view", F.col("n")).otherwise(0)).alias("pv"))
-    return leveled_ids(fresh, sets, rolled).groupBy("date", *finest).agg(*measures)
+        measures.append(F.sum(F.when(is_kind["view"], F.col("n")).otherwise(0)).alias("pv"))
+    return reported(leveled_ids(fresh, sets, rolled).groupBy(*dims).agg(*measures))
 
 
 def user_facts(logs: DataFrame, member_info: DataFrame) -> DataFrame:
@@ -391,6 +422,8 @@ def expanded_levels(logs: DataFrame) -> DataFrame:
     finest = ["platform", "browser", "browser_version", "country", "province", "city"]
     base = rows.groupBy("date", *finest).agg(F.count(F.lit(1)).alias("_n"))
     sets = D.level_sets(D.PLATFORM, D.BROWSER, D.LOCATION, always=["date"])
-    return D.rolled_up(
-        base, sets, ["platform", "browser_version", "province", "city"], F.sum("_n").alias("n_rows")
+    return reported(
+        D.rolled_up(
+            base, sets, ["platform", "browser_version", "province", "city"], F.sum("_n").alias("n_rows")
+        )
     )

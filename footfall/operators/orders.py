@@ -8,10 +8,10 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions.times import ms_day
+from footfall.functions.times import ms_date
 from footfall.operators.dims import rolled_up
 from footfall.operators.joins import with_order_info
-from footfall.operators.kpi import dense_running_total
+from footfall.operators.kpi import dense_running_total, reported
 
 CREATED, PAID, REFUNDED = "e_crt", "e_cs", "e_cr"
 KEYS = ["pl", "cut", "pt"]
@@ -29,7 +29,7 @@ CUBE = _cube(KEYS, ["date"])
 
 def _dated(events: DataFrame, event: str) -> DataFrame:
     return events.where((F.col("en") == event) & F.col("pl").isNotNull()).withColumn(
-        "date", ms_day(F.col("s_time"))
+        "date", ms_date(F.col("s_time"))
     )
 
 
@@ -60,15 +60,13 @@ def order_info_rows(events: DataFrame) -> DataFrame:
 
 
 def base_counts(events: DataFrame, event: str = CREATED, order_info: DataFrame | None = None) -> DataFrame:
-    return _orders(events, event, order_info).groupBy("date", *KEYS).agg(
-        F.count("oid").alias("orders")
-    )
+    per_order = _orders(events, event, order_info)
+    return reported(per_order.groupBy("date", *KEYS).agg(F.count("oid").alias("orders")))
 
 
 def base_amounts(events: DataFrame, event: str = CREATED, order_info: DataFrame | None = None) -> DataFrame:
-    return _orders(events, event, order_info).groupBy("date", *KEYS).agg(
-        F.sum("amount").alias("amount")
-    )
+    per_order = _orders(events, event, order_info)
+    return reported(per_order.groupBy("date", *KEYS).agg(F.sum("amount").alias("amount")))
 
 
 def cubed(base: DataFrame, value: str) -> DataFrame:
@@ -97,7 +95,7 @@ def event_counts(logs: DataFrame) -> DataFrame:
     """Event counts by category and action with the coarser rows as 'all'."""
     base = (
         logs.where((F.col("en") == "e_e") & F.col("pl").isNotNull())
-        .groupBy("pl", ms_day(F.col("s_time")).alias("date"), "ca", "ac")
+        .groupBy("pl", ms_date(F.col("s_time")).alias("date"), "ca", "ac")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     sets = [
@@ -108,7 +106,7 @@ def event_counts(logs: DataFrame) -> DataFrame:
         ["pl", "date"],
         ["date"],
     ]
-    return rolled_up(base, sets, ["pl", "ca", "ac"], F.sum("_n").alias("times"))
+    return reported(rolled_up(base, sets, ["pl", "ca", "ac"], F.sum("_n").alias("times")))
 
 
 # Half-open depth buckets [low, high).
@@ -139,12 +137,12 @@ def view_depth(logs: DataFrame, id_col: str) -> DataFrame:
             & F.col("pl").isNotNull()
             & F.col(id_col).isNotNull()
         )
-        .groupBy("pl", ms_day(F.col("s_time")).alias("date"), id_col)
+        .groupBy("pl", ms_date(F.col("s_time")).alias("date"), id_col)
         .agg(F.count(F.lit(1)).alias("n"))
     )
     per_platform = per_id.groupBy("pl", "date").agg(*[
         F.count_if(_in_bucket(n, low, high)).alias(name) for name, (low, high) in VIEW_DEPTH.items()
     ])
-    return rolled_up(
-        per_platform, [["pl", "date"], ["date"]], ["pl"], *[F.sum(c).alias(c) for c in VIEW_DEPTH]
+    return reported(
+        rolled_up(per_platform, [["pl", "date"], ["date"]], ["pl"], *[F.sum(c).alias(c) for c in VIEW_DEPTH])
     )

@@ -276,6 +276,13 @@ def udf_random_prefix(spark, sf):
     )
 
 
+@query("udf_remove_random_prefix", "SELECT p_name AS value, count(*) AS n FROM part GROUP BY ALL")
+def udf_remove_random_prefix(spark, sf):
+    salted = text.salted(F.col("p_name"), 10, F.col("p_partkey"))
+    per_salt = src.table(spark, sf, "part").groupBy(salted.alias("salted")).agg(F.count(F.lit(1)).alias("n"))
+    return per_salt.groupBy(text.unsalted(F.col("salted")).alias("value")).agg(F.sum("n").alias("n"))
+
+
 @query(
     "udaf_group_concat_distinct",
     with_views("ci", """
