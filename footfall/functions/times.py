@@ -7,14 +7,13 @@ from datetime import date, timedelta
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 DAY_MS = 86_400_000
 HOUR_MS = 3_600_000
 
 
 def epoch_ms(column: str) -> Column:
-    """Epoch millis of a zone-free time column, whatever the session zone."""
-    return F.expr(f"timestampdiff(MILLISECOND, {EPOCH}, {column})")
+    """Epoch millis of a zone-free time column, read as UTC (the session zone)."""
+    return F.unix_millis(F.col(column).cast("timestamp"))
 
 
 def day_start_ms(day: str) -> int:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from footfall.functions.times import DAY_MS
 from footfall.session import materialize
 
 
@@ -49,15 +50,15 @@ def time_sliced(
     keys: Sequence[str],
     ms: Column,
     name: str = "_slice",
-    wide_ms: int = 3_600_000,
+    wide_ms: int = DAY_MS,
     narrow_ms: int = 1000,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Adds the time slice of each row for the sliced operators below.
 
-    A slice is an hour, or a second where one key has ``hot_rows`` or more rows
-    in the hour.  Only the thousand fullest (key, hour) groups are looked at:
-    any other holds less than a thousandth of the rows.  Slices only steer the
+    A slice is a day, or a second where one key has ``hot_rows`` or more rows
+    on the day.  Only the thousand fullest (key, day) groups are looked at: any
+    other holds less than a thousandth of the rows.  Slices only steer the
     distribution of the work; results do not depend on them.
     """
     start = F.floor(ms / F.lit(wide_ms)).cast("bigint") * wide_ms

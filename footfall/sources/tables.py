@@ -2,7 +2,7 @@
 
 All are projections of one scan, so filters and column choices made on top of
 them still reach the parquet reader.  Times stay ``TIMESTAMP_NTZ``; epoch
-values are computed without a session zone.
+values need the UTC session zone of ``session.SETTINGS``.
 """
 
 from __future__ import annotations
