@@ -8,7 +8,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from footfall.functions.text import is_blank
+from footfall.functions.times import DAY_MS, day_start_ms
 
+# Event codes of the log, and the form of a member id.
 KNOWN_EVENTS = ["e_l", "e_pv", "e_crt", "e_cs", "e_cr", "e_e"]
 MEMBER_ID = "^[0-9a-zA-Z]{1,32}$"
 
@@ -63,8 +65,6 @@ def usable_record(*required: str, time: str = "s_time", time_is_text: bool = Fal
 
 def epoch_day(c: Column, first: str, last: str | None = None) -> Column:
     """Half-open range of whole days on a millisecond column."""
-    from footfall.functions.times import DAY_MS, day_start_ms
-
     return (c >= day_start_ms(first)) & (c < day_start_ms(last or first) + DAY_MS)
 
 

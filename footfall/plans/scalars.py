@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from footfall.functions import numbers, text, times
+from footfall.functions import numbers, text, times, web
 from footfall.operators import dims, skew
 from footfall.plans.oracle_views import ratio2, with_views
 from footfall.plans.registry import query
@@ -130,8 +130,6 @@ SELECT event_id, en, u_sd, coalesce(p_ref, '') AS p_ref, CAST(3 + CASE WHEN p_re
   concat('last ', event_id) AS twice FROM el"""),
 )
 def fn_url_query(spark, sf):
-    from footfall.functions import web
-
     target = F.concat(
         F.lit("/log.gif?en="), F.col("en"), F.lit("&u_sd="), F.url_encode("u_sd"), F.lit("&noise&=x&bad=%zz&blank="),
         F.lit("&twice=first"), F.coalesce(F.concat(F.lit("&p_ref="), F.url_encode("p_ref")), F.lit("")),

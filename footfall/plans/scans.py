@@ -23,7 +23,8 @@ SELECT event_id, CAST(date AS VARCHAR) AS date, user_id, session_id, page_id,
 FROM uva WHERE date >= DATE '{params.START_DATE}' AND date <= DATE '{params.END_DATE}'"""),
 )
 def scan_date_range(spark, sf):
-    actions = files.date_range(src.user_visit_action(spark, sf), params.START_DATE, params.END_DATE)
+    days = (params.START_DATE, params.END_DATE)
+    actions = files.date_range(src.user_visit_action(spark, sf, days), *days)
     return actions.select(
         "event_id",
         F.col("date").cast("string").alias("date"),

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from footfall.operators import kpi, orders, products
+from footfall.operators.ads import parse_clicks, user_ad_counts
 from footfall.plans import params
 from footfall.plans.kpis import HISTORY_SQL, history, kpi_ctes
 from footfall.plans.oracle_views import with_views
@@ -90,7 +91,10 @@ def upsert_set(spark, sf):
         .agg(F.min("s_time").alias("s_time"), F.lit("created").alias("state"))
     )
     new = events.where("en = 'e_cs'").select("oid").distinct().withColumn("state", F.lit("paid"))
-    return sink.upsert_set(old, new, ["oid"]).fillna(0, ["s_time"])
+    root = workspace(spark, "order-state")
+    sink.publish(sink.upsert_set(sink.current(spark, root, old.schema), old, ["oid"]), root)
+    sink.publish(sink.upsert_set(sink.current(spark, root, old.schema), new, ["oid"]), root)
+    return sink.current(spark, root, old.schema).fillna(0, ["s_time"])
 
 
 @query(
@@ -98,8 +102,6 @@ def upsert_set(spark, sf):
     with_views("ads", "SELECT date, user_id, ad_id, count(*) AS click_count FROM ads GROUP BY ALL"),
 )
 def upsert_add(spark, sf):
-    from footfall.operators.ads import parse_clicks, user_ad_counts
-
     clicks = parse_clicks(src.ad_click_lines(spark, sf))
     first_half = F.col("province").isin("P0", "P1")
     stored = user_ad_counts(clicks.where(first_half))
@@ -117,8 +119,6 @@ SELECT * FROM old WHERE (date, province) NOT IN (SELECT date, province FROM new)
 UNION ALL SELECT * FROM new"""),
 )
 def replace_group(spark, sf):
-    from footfall.operators.ads import parse_clicks
-
     clicks = parse_clicks(src.ad_click_lines(spark, sf))
     keys = ["date", "province", "ad_id"]
     old = clicks.groupBy(*keys).agg(F.count(F.lit(1)).alias("click_count"))
@@ -137,7 +137,8 @@ SELECT u_mid AS member_id, min(dt) AS created FROM el WHERE u_mid IS NOT NULL GR
 def rerun_idempotent_delete(spark, sf):
     first_seen = (
         src.event_logs(spark, sf).where(F.col("u_mid").isNotNull())
-        .groupBy(F.col("u_mid").alias("member_id")).agg(F.min("dt").alias("created"))
+        .groupBy(F.col("u_mid").alias("member_id"))
+        .agg(F.min(F.col("dt").cast("date")).cast("string").alias("created"))
     )
     path = sink.overwrite(first_seen, workspace(spark, "member-info"), ["created"])
     # the run of one date is repeated: its partition is rewritten, the others stay

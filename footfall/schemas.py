@@ -40,8 +40,8 @@ MEMBER_INFO = _struct(member_id=STR, last_visit_date=STR, created=STR)
 IP_RANGE = _struct(begin_ip=STR, end_ip=STR, region=STR)
 INBOUND = _struct(id=INT, url=STR)
 
-# Names of the log parameters that get a column of their own; a record may
-# carry more, which land in the map column ``extra``.
+# Names of the log parameters that get a column of their own; a
+# record may carry more, which land in the map column ``extra``.
 EVENT_LOG_COLUMNS = [
     "en", "ver", "pl", "sdk", "u_ud", "u_mid", "u_sd", "c_time", "l", "b_iev", "b_rst",
     "p_url", "p_ref", "tt", "oid", "on", "cua", "cut", "pt", "ca", "ac", "du",

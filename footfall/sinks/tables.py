@@ -1,16 +1,19 @@
 """How result tables change: overwrite, append, upsert, replace, re-run.
 
 The merge rules return the new content of the table.  Plain files cannot be
-updated in place, so the caller writes it to a fresh folder and switches the
-reader over, or lets ``replace_partitions`` overwrite the touched partitions.
+updated in place, so the caller publishes it as the next version, or lets
+``replace_partitions`` overwrite the touched partitions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from footfall.sources.files import literal_relation, newest_folder
 
 BATCH_ROWS = 500
 
@@ -64,6 +67,25 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
     return path
 
 
+def publish(df: DataFrame, root: str) -> int:
+    """Write the new content of a table as its next version; returns the number.
+
+    Readers go on with the old version until the new one is complete, so the
+    new content may be computed from the old.
+    """
+    version = newest_folder(df.sparkSession, root, "version") + 1
+    df.write.mode("overwrite").parquet(f"{root}/version={version}")
+    return version
+
+
+def current(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """The newest complete version of a published table (empty before the first)."""
+    version = newest_folder(spark, root, "version")
+    if version < 0:
+        return literal_relation(spark, [], schema)
+    return spark.read.schema(schema).parquet(f"{root}/version={version}")
+
+
 def upsert_set(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Insert, or on a key conflict replace only the columns ``new`` carries."""
     keys = list(keys)

@@ -117,3 +117,15 @@ def literal_relation(spark: SparkSession, rows: Sequence[tuple], schema: T.Struc
 def numbered_relation(spark: SparkSession, n: int, *columns: Column) -> DataFrame:
     """``n`` generated rows; made on the executors, not shipped from the driver."""
     return spark.range(1, n + 1).select(*columns)
+
+
+def newest_folder(spark: SparkSession, root: str, name: str) -> int:
+    """Largest n of the completely written folders ``root/name=n``, -1 if none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    top = path(root)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(top):
+        return -1
+    folders = [s.getPath().getName() for s in fs.listStatus(top)]
+    numbers = sorted((int(f[len(name) + 1 :]) for f in folders if f.startswith(f"{name}=")), reverse=True)
+    return next((n for n in numbers if fs.exists(path(f"{root}/{name}={n}/_SUCCESS"))), -1)

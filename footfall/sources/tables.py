@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions.times import epoch_ms
 from footfall.functions.web import computed_once
+from footfall.sources.files import time_range
 
 OWN_HOST = "shop.example.com"
 
@@ -20,13 +21,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+Days = tuple[str, str]
+
+
+def _events(spark: SparkSession, sf_dir: str, days: Days | None = None) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    if days is not None:
+        events = time_range(events, *days, "ts")
     k = F.get_json_object("props", "$.k").cast("bigint")
-    return computed_once(table(spark, sf_dir, "events"), "k", k)
+    return computed_once(events, "k", k)
 
 
-def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events(spark, sf_dir).selectExpr(
+def user_visit_action(spark: SparkSession, sf_dir: str, days: Days | None = None) -> DataFrame:
+    """Actions, optionally of the days ``first..last``; that range reaches the scan."""
+    return _events(spark, sf_dir, days).selectExpr(
         "CAST(ts AS DATE) AS date",
         "user_id",
         "concat(CAST(user_id AS STRING), '-', CAST(CAST(ts AS DATE) AS STRING)) AS session_id",

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from footfall.sources.files import literal_relation
+from footfall.sources.files import literal_relation, newest_folder
 
 EVERY = 100
 
@@ -73,19 +73,7 @@ def store(df: DataFrame, path: str, batch_id: int) -> DataFrame:
 
 def last_batch(spark: SparkSession, path: str) -> int:
     """Id of the newest completely written batch, -1 if there is none."""
-    paths = spark._jvm.org.apache.hadoop.fs.Path
-    root = paths(f"{path}/batches")
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return -1
-    ids = sorted(
-        (int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(root) if "=" in s.getPath().getName()),
-        reverse=True,
-    )
-    for batch_id in ids:
-        if fs.exists(paths(f"{_batch(path, batch_id)}/_SUCCESS")):
-            return batch_id
-    return -1
+    return newest_folder(spark, f"{path}/batches", "batch_id")
 
 
 def content(

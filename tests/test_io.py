@@ -61,6 +61,15 @@ def test_upsert_replaces_only_its_columns(spark, stats):
     assert rows_of(sink.upsert_set(stats, new, ["k"]).fillna(-1)) == [("a", 1, 10), ("b", -1, 20), ("c", 9, -1)]
 
 
+def test_publish_switches_versions(spark, stats, tmp_path):
+    root = str(tmp_path / "table")
+    assert sink.current(spark, root, stats.schema).count() == 0
+    assert sink.publish(stats, root) == 0
+    new = spark.createDataFrame([("b", 7)], "k string, x long")
+    assert sink.publish(sink.upsert_set(sink.current(spark, root, stats.schema), new, ["k"]), root) == 1
+    assert rows_of(sink.current(spark, root, stats.schema)) == [("a", 1, 10), ("b", 7, 20)]
+
+
 def test_upsert_add(spark, stats):
     delta = spark.createDataFrame([("b", 5), ("c", 7)], "k string, x long")
     assert rows_of(sink.upsert_add(stats, delta, ["k"], "x")) == [("a", 1), ("b", 7), ("c", 7)]

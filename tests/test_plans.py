@@ -67,6 +67,11 @@ def test_time_filter_is_pushed(spark, small):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in plan
 
 
+def test_date_range_reaches_the_scan(spark, small):
+    plan = plan_of(QUERIES["scan_date_range"](spark, small))
+    assert "GreaterThanOrEqual(ts,2024-01-10" in plan and "LessThan(ts,2024-01-21" in plan
+
+
 def test_one_day_of_the_event_log(spark, small):
     plan = plan_of(QUERIES["event_log_scan"](spark, small))
     assert "PartitionFilters: [isnotnull(dt" in plan
