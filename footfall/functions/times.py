@@ -22,10 +22,6 @@ def day_start_ms(day: str) -> int:
     return (date.fromisoformat(day) - date(1970, 1, 1)).days * DAY_MS
 
 
-def next_day(day: str) -> str:
-    return (date.fromisoformat(day) + timedelta(days=1)).isoformat()
-
-
 def yesterday() -> str:
     return (date.today() - timedelta(days=1)).isoformat()
 

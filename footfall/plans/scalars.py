@@ -157,11 +157,6 @@ def fn_current(spark, sf):
     )
 
 
-def _event_span(spark, sf):
-    d = F.col("ts").cast("date")
-    return src.table(spark, sf, "events").agg(F.min(d).alias("first"), F.max(d).alias("last"))
-
-
 def _order_span(spark, sf):
     d = F.col("o_orderdate").cast("date")
     return src.table(spark, sf, "orders").agg(F.min(d).alias("first"), F.max(d).alias("last"))

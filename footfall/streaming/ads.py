@@ -17,7 +17,7 @@ from footfall.operators import ads
 from footfall.operators.joins import without_users
 from footfall.sinks.tables import latest, latest_groups
 from footfall.streaming import ledger
-from footfall.streaming.base import run_available
+from footfall.streaming.base import Run, run_available
 
 _STR, _LONG = T.StringType(), T.LongType()
 
@@ -41,22 +41,26 @@ WINDOWED = _schema(("window_start", _STR), ("window_end", _STR), ("ad_id", _LONG
 USERS = _schema(("user_id", _LONG))
 
 
-def parsed_clicks(lines: DataFrame, out: str, checkpoint: str) -> DataFrame:
+def parsed_clicks(lines: DataFrame, out: str, checkpoint: str, run: Run = run_available) -> DataFrame:
     """Typed clicks appended to a table."""
     clicks = ads.parse_clicks(lines)
-    run_available(clicks.writeStream.outputMode("append").format("parquet").option("path", out), checkpoint)
+    run(clicks.writeStream.outputMode("append").format("parquet").option("path", out), checkpoint)
     return lines.sparkSession.read.schema(CLICKS).parquet(out)
 
 
 def allowed_clicks(
-    lines: DataFrame, load_blacklist: Callable[[SparkSession], DataFrame], out: str, checkpoint: str
+    lines: DataFrame,
+    load_blacklist: Callable[[SparkSession], DataFrame],
+    out: str,
+    checkpoint: str,
+    run: Run = run_available,
 ) -> DataFrame:
     """Clicks of users outside the blacklist, which is loaded anew for each batch."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
         ledger.store(without_users(batch, load_blacklist(batch.sparkSession)), out, batch_id)
 
-    run_available(ads.parse_clicks(lines).writeStream.foreachBatch(step), checkpoint)
+    run(ads.parse_clicks(lines).writeStream.foreachBatch(step), checkpoint)
     return lines.sparkSession.read.schema(CLICKS).parquet(f"{out}/batches").drop("batch_id")
 
 
@@ -72,14 +76,16 @@ def _users(rows: DataFrame) -> DataFrame:
     return rows.select("user_id").distinct()
 
 
-def user_ad_totals(lines: DataFrame, out: str, checkpoint: str, every: int = ledger.EVERY) -> DataFrame:
+def user_ad_totals(
+    lines: DataFrame, out: str, checkpoint: str, every: int = ledger.EVERY, run: Run = run_available
+) -> DataFrame:
     """Clicks per (day, user, ad): batches store their counts, reading adds them up."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
         ledger.fold_if_due(batch.sparkSession, out, USER_AD, batch_id, _summed, every)
         ledger.store(ads.user_ad_counts(batch), out, batch_id)
 
-    run_available(ads.parse_clicks(lines).writeStream.foreachBatch(step), checkpoint)
+    run(ads.parse_clicks(lines).writeStream.foreachBatch(step), checkpoint)
     return ledger.content(lines.sparkSession, out, USER_AD, _summed, every)
 
 
@@ -89,6 +95,7 @@ def dynamic_blacklist(
     checkpoint: str,
     threshold: int = ads.BLACKLIST_THRESHOLD,
     every: int = ledger.EVERY,
+    run: Run = run_available,
 ) -> DataFrame:
     """Blacklist that grows batch by batch.
 
@@ -111,7 +118,7 @@ def dynamic_blacklist(
         totals = _summed(touched.unionByName(delta))
         ledger.store(without_users(ads.over_threshold(totals, threshold), banned), banned_path, batch_id)
 
-    run_available(ads.parse_clicks(lines).writeStream.foreachBatch(step), checkpoint)
+    run(ads.parse_clicks(lines).writeStream.foreachBatch(step), checkpoint)
     return ledger.content(lines.sparkSession, banned_path, USERS, _users, every)
 
 
@@ -134,26 +141,38 @@ def _newest(keys: list[str]) -> ledger.Fold:
     return lambda rows: latest(rows, keys)
 
 
-def _updates(counted: DataFrame, out: str, checkpoint: str, schema, keys: list[str], every: int) -> DataFrame:
+def _updates(
+    counted: DataFrame, out: str, checkpoint: str, schema, keys: list[str], every: int, run: Run
+) -> DataFrame:
     """Keep the updates of a running aggregation; the newest value of a key counts."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
         ledger.fold_if_due(batch.sparkSession, out, schema, batch_id, _newest(keys), every)
         ledger.store(batch, out, batch_id)
 
-    run_available(counted.writeStream.outputMode("update").foreachBatch(step), checkpoint)
+    run(counted.writeStream.outputMode("update").foreachBatch(step), checkpoint)
     return ledger.content(counted.sparkSession, out, schema, _newest(keys), every)
 
 
 def ad_totals(
-    lines: DataFrame, out: str, checkpoint: str, delay: str = "1 day", every: int = ledger.EVERY
+    lines: DataFrame,
+    out: str,
+    checkpoint: str,
+    delay: str = "1 day",
+    every: int = ledger.EVERY,
+    run: Run = run_available,
 ) -> DataFrame:
     """Running counts per (day, province, city, ad)."""
-    return _updates(_daily_state(lines, delay), out, checkpoint, STAT, STAT_KEYS, every)
+    return _updates(_daily_state(lines, delay), out, checkpoint, STAT, STAT_KEYS, every, run)
 
 
 def province_top3(
-    lines: DataFrame, out: str, checkpoint: str, delay: str = "1 day", every: int = ledger.EVERY
+    lines: DataFrame,
+    out: str,
+    checkpoint: str,
+    delay: str = "1 day",
+    every: int = ledger.EVERY,
+    run: Run = run_available,
 ) -> DataFrame:
     """Best three ads per (day, province), renewed for the groups a batch touched."""
     stat_path, top_path = f"{out}/stat", f"{out}/top"
@@ -172,12 +191,17 @@ def province_top3(
         known = touched.unionByName(delta.withColumn("batch_id", F.lit(batch_id).cast("bigint")))
         ledger.store(ads.province_top_ads(latest(known, STAT_KEYS)), top_path, batch_id)
 
-    run_available(_daily_state(lines, delay).writeStream.outputMode("update").foreachBatch(step), checkpoint)
+    run(_daily_state(lines, delay).writeStream.outputMode("update").foreachBatch(step), checkpoint)
     return ledger.content(lines.sparkSession, top_path, TOP, newest_groups, every)
 
 
 def click_trend(
-    lines: DataFrame, out: str, checkpoint: str, delay: str = "1 hour", every: int = ledger.EVERY
+    lines: DataFrame,
+    out: str,
+    checkpoint: str,
+    delay: str = "1 hour",
+    every: int = ledger.EVERY,
+    run: Run = run_available,
 ) -> DataFrame:
     """Clicks per (minute, ad); a minute stays open for ``delay``."""
     minute = F.col("window.start")
@@ -193,7 +217,7 @@ def click_trend(
             "click_count",
         )
     )
-    return _updates(counted, out, checkpoint, TREND, ["date", "hour", "minute", "ad_id"], every)
+    return _updates(counted, out, checkpoint, TREND, ["date", "hour", "minute", "ad_id"], every, run)
 
 
 def sliding_counts(
@@ -204,6 +228,7 @@ def sliding_counts(
     slide: str = "10 minutes",
     delay: str = "1 hour",
     every: int = ledger.EVERY,
+    run: Run = run_available,
 ) -> DataFrame:
     """Clicks per ad in overlapping windows."""
     counted = (
@@ -217,4 +242,4 @@ def sliding_counts(
             "click_count",
         )
     )
-    return _updates(counted, out, checkpoint, WINDOWED, ["window_start", "window_end", "ad_id"], every)
+    return _updates(counted, out, checkpoint, WINDOWED, ["window_start", "window_end", "ad_id"], every, run)

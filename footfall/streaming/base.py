@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 
 def file_lines(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -37,11 +39,20 @@ def socket_lines(spark: SparkSession, host: str, port: int) -> DataFrame:
     return spark.readStream.format("socket").option("host", host).option("port", port).load()
 
 
-def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
+# How a job runs: (writer, checkpoint folder) -> query.
+Run = Callable[[DataStreamWriter, str], StreamingQuery]
+
+
+def run_available(writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
     """Process everything that has arrived, then stop."""
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
+    return query
 
 
-def run_continuously(writer: DataStreamWriter, checkpoint: str, every: str = "5 seconds"):
+def run_continuously(writer: DataStreamWriter, checkpoint: str, every: str = "5 seconds") -> StreamingQuery:
+    """Start a query that keeps taking batches; the caller stops it.
+
+    The job then returns its table as of now; ``ledger.content`` reads it later.
+    """
     return writer.option("checkpointLocation", checkpoint).trigger(processingTime=every).start()

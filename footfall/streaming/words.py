@@ -7,12 +7,12 @@ from pyspark.sql import types as T
 
 from footfall.operators.relational import word_count
 from footfall.streaming import ledger
-from footfall.streaming.base import run_available
+from footfall.streaming.base import Run, run_available
 
 WORDS = T.StructType([T.StructField("word", T.StringType()), T.StructField("n", T.LongType())])
 
 
-def word_totals(lines: DataFrame, out: str, checkpoint: str) -> DataFrame:
+def word_totals(lines: DataFrame, out: str, checkpoint: str, run: Run = run_available) -> DataFrame:
     """Counts over all lines so far; every batch stores the complete result."""
     spark = lines.sparkSession
     counted = word_count(lines, "value")
@@ -20,6 +20,6 @@ def word_totals(lines: DataFrame, out: str, checkpoint: str) -> DataFrame:
     def step(batch: DataFrame, batch_id: int) -> None:
         ledger.store(batch, out, batch_id)
 
-    run_available(counted.writeStream.outputMode("complete").foreachBatch(step), checkpoint)
+    run(counted.writeStream.outputMode("complete").foreachBatch(step), checkpoint)
     newest = ledger.last_batch(spark, out)
     return spark.read.schema(WORDS).parquet(f"{out}/batches/batch_id={newest}")

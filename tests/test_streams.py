@@ -7,7 +7,7 @@ from footfall.operators import ads as batch
 from footfall.operators.relational import word_count
 from footfall.sources import tables as src
 from footfall.streaming import ads, ledger, words
-from footfall.streaming.base import file_lines, kafka_lines
+from footfall.streaming.base import file_lines, kafka_lines, run_continuously
 
 
 def rows_of(df):
@@ -116,6 +116,23 @@ def test_late_clicks_are_dropped_with_their_state(spark, tmp_path):
     assert {r["date"]: r["click_count"] for r in got.collect()} == {"2024-01-15": 1, "2024-01-18": 1}
 
 
+def test_continuous_run(spark, clicks, tmp_path):
+    path, parsed = clicks
+    started = []
+
+    def run(writer, checkpoint):
+        started.append(run_continuously(writer, checkpoint, "0 seconds"))
+        return started[0]
+
+    ads.user_ad_totals(file_lines(spark, path, 2), f"{tmp_path}/out", f"{tmp_path}/cp", every=2, run=run)
+    try:
+        started[0].processAllAvailable()
+    finally:
+        started[0].stop()
+    got = ledger.content(spark, f"{tmp_path}/out", ads.USER_AD, ads._summed, 2)
+    assert rows_of(got) == rows_of(batch.user_ad_counts(parsed))
+
+
 def test_word_totals(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
