@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from footfall.functions.web import INBOUND_INTERNAL, INBOUND_OTHER, ip_number, with_external_host
-from footfall.operators.skew import checked_broadcast, is_small, plan_bytes
+from footfall.operators.skew import checked_broadcast, is_small, plan_bytes, spread_nulls
 
 
 def session_with_user(sessions: DataFrame, users: DataFrame) -> DataFrame:
@@ -88,8 +88,8 @@ def ip_region(rows: DataFrame, ranges: DataFrame, ip: str = "ip", columns: Seque
         # at most 65536 buckets beyond the rows themselves
         dim = F.broadcast(dim)
         return lookup(rows)
-    known = lookup(rows.select(ip).distinct())
-    return rows.join(known, ip, "left")
+    known = lookup(rows.select(ip).where(F.col(ip).isNotNull()).distinct()).withColumnRenamed(ip, "_key")
+    return spread_nulls(rows, ip, "_key").join(known, "_key", "left").drop("_key")
 
 
 PATTERN_CHUNK_BYTES = 1 << 20
@@ -124,16 +124,11 @@ def inbound_of(rows: DataFrame, patterns: DataFrame, own_hosts: Sequence[str], u
         .groupBy("_host")
         .agg(F.min(hit).alias("_id"))
     )
-    return (
-        hosted.join(found, "_host", "left")
-        .withColumn(
-            "inbound",
-            F.when(h.isNull(), F.lit(INBOUND_INTERNAL)).otherwise(
-                F.coalesce(F.col("_id"), F.lit(INBOUND_OTHER))
-            ),
-        )
-        .drop("_id")
-        .withColumnRenamed("_host", "host")
+    # internal and missing referrers have no host; they may well be the most rows
+    keyed = spread_nulls(hosted, "_host", "_key")
+    inbound = F.when(h.isNull(), INBOUND_INTERNAL).otherwise(F.coalesce("_id", F.lit(INBOUND_OTHER)))
+    return keyed.join(found.withColumnRenamed("_host", "_key"), "_key", "left").select(
+        *rows.columns, h.alias("host"), inbound.alias("inbound")
     )
 
 

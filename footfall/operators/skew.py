@@ -208,16 +208,33 @@ def skew_split_join(
 ) -> DataFrame:
     """Equi-join that salts the hottest keys of ``left`` and joins the rest plainly.
 
-    ``right`` rows of a hot key are repeated once per salt, so every pair is met
-    exactly once.  The salt is a hash of the ``spread`` columns (all columns
-    unless given), which must tell the rows of a key apart; a retried task puts
-    a row in the same place, which a random salt would not.
+    A hot row of ``left`` takes one of ``salts`` numbers, and the ``right`` rows
+    of a hot key are repeated once per number; all other rows have number 0 on
+    both sides.  Every pair is met exactly once, in one join: ``left`` is read
+    for the key counts and for the join, ``right`` once.  The salt is a hash of
+    the ``spread`` columns (all columns unless given), which must tell the rows
+    of a key apart; a retried task puts a row in the same place, which a random
+    salt would not.
     """
-    hot = F.broadcast(hot_keys(left, key, top).select(key))
-    hot_left, cold_left = left.join(hot, key, "left_semi"), left.join(hot, key, "left_anti")
-    hot_right, cold_right = right.join(hot, key, "left_semi"), right.join(hot, key, "left_anti")
-    joined = salted_join(hot_left, hot_right, key, salts, how, spread)
-    return joined.unionByName(cold_left.join(cold_right, key, how))
+    _keeps_left(how)
+    hot = F.broadcast(hot_keys(left, key, top).select(key, F.lit(True).alias("_hot")))
+    zero = F.lit(0)
+    salt = F.when(F.col("_hot"), _salt(spread or left.columns, salts)).otherwise(zero)
+    numbers = F.when(F.col("_hot"), F.sequence(zero, F.lit(salts - 1))).otherwise(F.array(zero))
+    return (
+        left.join(hot, key, "left").withColumn("_salt", salt).drop("_hot")
+        .join(right.join(hot, key, "left").withColumn("_salt", F.explode(numbers)).drop("_hot"), [key, "_salt"], how)
+        .drop("_salt")
+    )
+
+
+def _salt(spread: Sequence[str], salts: int) -> Column:
+    return F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
+
+
+def _keeps_left(how: str) -> None:
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError("only joins that keep or filter the left side can be salted")
 
 
 def salted_join(
@@ -229,12 +246,10 @@ def salted_join(
     spread: Sequence[str] = (),
 ) -> DataFrame:
     """Equi-join with ``left`` salted 0..n-1 and every ``right`` row repeated n times."""
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError("only joins that keep or filter the left side can be salted")
-    salt = F.pmod(F.xxhash64(*(spread or left.columns)), F.lit(salts)).cast("int")
+    _keeps_left(how)
     copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     return (
-        left.withColumn("_salt", salt)
+        left.withColumn("_salt", _salt(spread or left.columns, salts))
         .join(right.withColumn("_salt", copies), [key, "_salt"], how)
         .drop("_salt")
     )
@@ -259,9 +274,8 @@ def chunked_lists(
 def two_phase_count(df: DataFrame, keys: Sequence[str], salts: int = 10) -> DataFrame:
     """Count per key in two steps: per (key, salt), then per key."""
     keys = list(keys)
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")
     return (
-        df.withColumn("_salt", salt)
+        df.withColumn("_salt", _salt(df.columns, salts))
         .groupBy(*keys, "_salt")
         .agg(F.count(F.lit(1)).alias("_n"))
         .groupBy(*keys)
@@ -269,6 +283,14 @@ def two_phase_count(df: DataFrame, keys: Sequence[str], salts: int = 10) -> Data
     )
 
 
+def spread_nulls(df: DataFrame, key: str, name: str, parts: int = 1024) -> DataFrame:
+    """Adds ``name``: the text ``key``, or for a null one of ``parts`` texts that
+    match no key.  An outer join on it spreads the null rows instead of sending
+    them all to one task."""
+    number = F.pmod(F.xxhash64(*df.columns), F.lit(parts)).cast("string")
+    return df.withColumn(name, F.coalesce(key, F.concat(F.lit("\x01"), number)))
+
+
 def top_per_group(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, name: str = "rank"
 ) -> DataFrame:

@@ -119,7 +119,7 @@ SELECT dt, en, u_ud, s_time, pl, browser, browser_v FROM el WHERE dt = '{params.
 )
 def event_log_scan(spark, sf):
     logs = src.event_logs(spark, sf)
-    path = sink.overwrite(logs.hint("rebalance", "dt"), workspace(spark, "event-logs"), ["dt"])
+    path = sink.overwrite(logs, workspace(spark, "event-logs"), ["dt"])
     return files.event_log(
         spark, path, params.RUN_DATE, EVENT_LOG_SCHEMA_COLUMNS, event="e_l", schema=logs.schema
     )

@@ -23,13 +23,19 @@ def write_json(df: DataFrame, path: str) -> str:
     return path
 
 
+def _laid_out(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows gathered by table partition, so that not every task writes a file
+    into every folder; adaptive execution splits a partition that is too big."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    _laid_out(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return path
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+    _laid_out(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
     return path
 
 
@@ -59,7 +65,7 @@ def insert_many(df: DataFrame, targets: Sequence[tuple[DataFrame, str]]) -> None
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> str:
     """Overwrite only the partitions that occur in ``df``; a re-run repeats itself."""
     (
-        df.write.mode("overwrite")
+        _laid_out(df, partition_by).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)

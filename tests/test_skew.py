@@ -76,6 +76,30 @@ def test_null_keys_in_split_join(spark):
     assert rows_of(got.fillna(-1).fillna("")) == rows_of(left.join(right, "k", "left").fillna(-1).fillna(""))
 
 
+def test_ip_region_with_a_large_range_table(spark, monkeypatch):
+    from footfall import schemas
+    from footfall.operators import joins
+    from footfall.sources.files import literal_relation
+
+    ranges = literal_relation(spark, [("1.0.0.0", "1.1.255.255", "a"), ("1.2.0.0", "1.2.0.9", "b")], schemas.IP_RANGE)
+    rows = spark.createDataFrame(
+        [(1, "1.1.0.7"), (2, "1.2.0.9"), (3, "1.2.0.10"), (4, None), (5, "x"), (6, "1.1.0.7")], "i int, ip string")
+    want = {1: "a", 2: "b", 3: None, 4: None, 5: None, 6: "a"}
+    assert {r["i"]: r["region"] for r in joins.ip_region(rows, ranges).collect()} == want
+    monkeypatch.setattr(joins, "is_small", lambda *a: False)
+    assert {r["i"]: r["region"] for r in joins.ip_region(rows, ranges).collect()} == want
+
+
+def test_pattern_chunks(spark, monkeypatch):
+    from footfall.operators import joins
+
+    monkeypatch.setattr(joins, "PATTERN_CHUNK_BYTES", 16)
+    rows = spark.createDataFrame([(i, f"http://h{i}.example/") for i in range(40)], "i int, p_ref string")
+    patterns = spark.createDataFrame([(100 + i, f"h{i}.example") for i in range(0, 40, 2)], "id int, url string")
+    got = {r["i"]: r["inbound"] for r in joins.inbound_of(rows, patterns, []).collect()}
+    assert got == {i: 2 if i % 2 else 100 + i for i in range(40)}
+
+
 def test_two_phase_count(spark):
     df = spark.range(1000).select((F.col("id") % 7).alias("k"), "id")
     assert rows_of(skew.two_phase_count(df, ["k"])) == rows_of(df.groupBy("k").agg(F.count(F.lit(1)).alias("n")))
