@@ -12,18 +12,23 @@ from footfall.functions.times import epoch_ms
 from footfall.operators.skew import HOT_ROWS, sliced_neighbour, time_sliced
 
 
+def _steps(actions: DataFrame, hot_rows: int) -> DataFrame:
+    """Every page view of a session with the page before it (null for the first)."""
+    views = actions.select("session_id", "page_id", "action_time", "event_id")
+    sliced = time_sliced(views, ["session_id"], epoch_ms("action_time"), hot_rows=hot_rows)
+    return sliced_neighbour(
+        sliced, ["session_id"], "_slice", ["action_time", "event_id"], {"page_id": "prev_page"}
+    ).drop("_slice")
+
+
 def transitions(actions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Consecutive pages of a session as (session_id, prev_page, page_id).
 
-    Sessions are cut into time slices, so one endless session does not end up
-    in one task; the step across a border comes from the neighbouring slice.
+    Sessions are cut into time slices where needed, so one endless session does
+    not end up in one task; the step across a border comes from the
+    neighbouring slice.
     """
-    steps = actions.select("session_id", "page_id", "action_time", "event_id")
-    sliced = time_sliced(steps, ["session_id"], epoch_ms("action_time"), hot_rows=hot_rows)
-    lagged = sliced_neighbour(
-        sliced, ["session_id"], "_slice", ["action_time", "event_id"], {"page_id": "prev_page"}
-    )
-    return lagged.where(F.col("prev_page").isNotNull()).drop("_slice")
+    return _steps(actions, hot_rows).where(F.col("prev_page").isNotNull())
 
 
 def flow_pairs(flow: Sequence[int]) -> list[tuple[int, int]]:
@@ -47,27 +52,18 @@ def start_page_views(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
     return actions.where(F.col("page_id") == flow[0]).agg(F.count(F.lit(1)).alias("start_pv"))
 
 
-def conversion_rates(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
+def conversion_rates(actions: DataFrame, flow: Sequence[int], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Rate of each step: its views over those of the step before.
 
     The first step is measured against the views of the first page.  A step
     that never happened counts 0; a rate over 0 is null.
     """
     pairs = flow_pairs(flow)
-    start = actions.where(F.col("page_id") == flow[0]).select(
-        F.lit("start").alias("page_split"), F.lit(1).cast("bigint").alias("pv")
-    )
-    counted = start.groupBy("page_split").agg(F.sum("pv").alias("pv")).unionByName(
-        page_splits(actions, flow)
-    )
-    # one row with a column per step: the flow is a short parameter
     names = ["start"] + [f"{a}_{b}" for a, b in pairs]
-    row = counted.agg(*[
-        F.coalesce(F.sum(F.when(F.col("page_split") == n, F.col("pv"))), F.lit(0).cast("bigint")).alias(
-            f"s{i}"
-        )
-        for i, n in enumerate(names)
-    ])
+    page, before = F.col("page_id"), F.col("prev_page")
+    hits = [page == flow[0]] + [(before == a) & (page == b) for a, b in pairs]
+    # one pass and one row with a column per step: the flow is a short parameter
+    row = _steps(actions, hot_rows).agg(*[F.count_if(hit).alias(f"s{i}") for i, hit in enumerate(hits)])
     steps = F.array(*[
         F.struct(
             F.lit(i).cast("bigint").alias("step"),

@@ -98,3 +98,26 @@ def test_literal_relation_has_a_known_size(spark):
     frame = files.literal_relation(spark, [(1, "a")], schemas.KEY_VALUE)
     assert skew.plan_bytes(frame) < 1000
     assert files.literal_relation(spark, [], schemas.KEY_VALUE).count() == 0
+
+
+def test_skewed_join_is_split_below_an_aggregation(spark, skewed):
+    """``session.SETTINGS`` let adaptive execution split a hot key although the
+    rows are grouped on the same key afterwards."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+    }
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        lines = src.table(spark, skewed, "lineitem").repartition(16, "l_orderkey", "l_linenumber").select(
+            F.col("l_partkey").alias("p_partkey"), "l_orderkey"
+        )
+        parts = src.table(spark, skewed, "part").select("p_partkey", "p_name")
+        joined = lines.join(parts, "p_partkey").groupBy("p_partkey", "p_name").agg(F.max("l_orderkey"))
+        assert "skew=true" in final_plan(joined)
+    finally:
+        for key in conf:
+            spark.conf.unset(key)

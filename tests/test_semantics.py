@@ -184,9 +184,9 @@ def test_funnel(spark):
     for hot_rows in (1, 1_000_000):
         steps = funnel.transitions(frame, hot_rows).orderBy("event_id").collect()
         assert [(r["prev_page"], r["page_id"]) for r in steps] == [(1, 2), (2, 1), (1, 2), (2, 3), (3, 2), (2, 3)]
-    rates = funnel.conversion_rates(frame, [1, 2, 3, 9, 1])
-    got = [(r["page_split"], r["pv"], r["rate"]) for r in rates.orderBy("step").collect()]
-    assert got == [("1_2", 2, 1.0), ("2_3", 2, 1.0), ("3_9", 0, 0.0), ("9_1", 0, None)]
+        rates = funnel.conversion_rates(frame, [1, 2, 3, 9, 1], hot_rows)
+        got = [(r["page_split"], r["pv"], r["rate"]) for r in rates.orderBy("step").collect()]
+        assert got == [("1_2", 2, 1.0), ("2_3", 2, 1.0), ("3_9", 0, 0.0), ("9_1", 0, None)]
     assert funnel.rates_text(rates.limit(3)).first()["convert_rate"].startswith("1_2=1.0|2_3=1.0")
 
 
