@@ -136,7 +136,13 @@ def calendar_days(first_last: DataFrame) -> DataFrame:
     day = F.col("d")
     y, m = F.year(day).cast("string"), F.month(day)
     prev_half = F.when(m <= 6, F.concat(F.year(day) - 1, F.lit("-12"))).otherwise(F.concat(y, F.lit("-06")))
+    next_half = F.when(m <= 6, F.concat(y, F.lit("-12"))).otherwise(F.concat(F.year(day) + 1, F.lit("-06")))
     quarter_end = F.add_months(F.trunc(day, "quarter"), 2)
+    half_start = F.add_months(F.trunc(day, "year"), F.when(m <= 6, 0).otherwise(6))
+
+    def months_from(first: Column, n: int) -> Column:
+        return F.concat_ws(",", *[F.date_format(F.add_months(first, i), "yyyy-MM") for i in range(n)])
+
     days = first_last.select(
         F.explode(F.sequence(F.date_add("first", 1), F.col("last"))).alias("d")
     )
@@ -159,6 +165,11 @@ def calendar_days(first_last: DataFrame) -> DataFrame:
         (F.year(day) - 1).cast("string").alias("last_year"),
         F.date_format(F.add_months(quarter_end, -3), "yyyy-MM").alias("last_season"),
         prev_half.alias("last_half_year"),
+        (F.year(day) + 1).cast("string").alias("next_year"),
+        F.date_format(F.add_months(quarter_end, 3), "yyyy-MM").alias("next_season"),
+        next_half.alias("next_half_year"),
+        months_from(F.trunc(day, "quarter"), 3).alias("season_months"),
+        months_from(half_start, 6).alias("half_year_months"),
     )
 
 

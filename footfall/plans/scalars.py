@@ -54,6 +54,7 @@ def fn_kv_string(spark, sf):
   strftime(ts, '%Y%m%d') AS date_key, strftime(ts, '%Y%m%d%H%M') AS minute_key, strftime(ts, '%Y-%m-%d_%H') AS date_hour,
   strftime(ts - INTERVAL 1 DAY, '%Y-%m-%d') AS yesterday,
   epoch_us(date_trunc('second', ts) - TIMESTAMP '2024-01-01 00:00:30')//1000000 AS seconds,
+  CAST(trunc((epoch_us(date_trunc('second', ts)) - epoch_us(TIMESTAMP '2024-01-01 00:00:30'))//1000000 / 3600) AS BIGINT) AS hours,
   ts < TIMESTAMP '2024-01-15' AS is_before FROM events""",
 )
 def fn_date(spark, sf):
@@ -68,6 +69,7 @@ def fn_date(spark, sf):
         times.date_hour(ts).alias("date_hour"),
         F.date_sub(ts.cast("date"), 1).cast("string").alias("yesterday"),
         times.seconds_between(ts, base).alias("seconds"),
+        numbers.int_div(times.seconds_between(ts, base), F.lit(3600)).alias("hours"),
         (ts < F.expr("TIMESTAMP_NTZ'2024-01-15 00:00:00'")).alias("is_before"),
     )
 
@@ -194,7 +196,13 @@ SELECT CAST(d AS VARCHAR) AS day, strftime(d, '%Y-%m') AS month, CAST(CAST(date_
   strftime(date_trunc('month', d) + INTERVAL 1 MONTH, '%Y-%m') AS next_month,
   CAST(year(d) - 1 AS VARCHAR) AS last_year,
   strftime(date_trunc('quarter', d) - INTERVAL 1 MONTH, '%Y-%m') AS last_season,
-  CASE WHEN month(d) <= 6 THEN concat(year(d) - 1, '-12') ELSE concat(year(d), '-06') END AS last_half_year
+  CASE WHEN month(d) <= 6 THEN concat(year(d) - 1, '-12') ELSE concat(year(d), '-06') END AS last_half_year,
+  CAST(year(d) + 1 AS VARCHAR) AS next_year,
+  strftime(date_trunc('quarter', d) + INTERVAL 5 MONTH, '%Y-%m') AS next_season,
+  CASE WHEN month(d) <= 6 THEN concat(year(d), '-12') ELSE concat(year(d) + 1, '-06') END AS next_half_year,
+  array_to_string([concat(year(d), '-', lpad(CAST(quarter(d) * 3 - i AS VARCHAR), 2, '0')) FOR i IN [2, 1, 0]], ',') AS season_months,
+  CASE WHEN month(d) <= 6 THEN array_to_string([concat(year(d), '-0', i) FOR i IN [1, 2, 3, 4, 5, 6]], ',')
+    ELSE array_to_string([concat(year(d), '-', lpad(CAST(i AS VARCHAR), 2, '0')) FOR i IN [7, 8, 9, 10, 11, 12]], ',') END AS half_year_months
 FROM days""",
 )
 def calendar_series(spark, sf):

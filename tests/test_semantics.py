@@ -334,6 +334,8 @@ def test_calendar(spark):
     assert rows["2024-02-29"]["month_last_day"] == "2024-02-29" and rows["2024-02-29"]["last_month"] == "2024-01"
     assert rows["2024-03-01"]["last_season"] == "2023-12" and rows["2024-03-01"]["last_half_year"] == "2023-12"
     assert rows["2024-02-03"]["is_weekend"] and rows["2024-02-03"]["week_monday"] == "2024-01-29"
+    assert rows["2024-03-01"]["next_season"] == "2024-06" and rows["2024-03-01"]["next_half_year"] == "2024-12"
+    assert rows["2024-02-03"]["season_months"] == "2024-01,2024-02,2024-03"
     months = [r["month"] for r in dims.calendar_months(span).orderBy("month").collect()]
     assert months == ["2024-02", "2024-03"]
 
