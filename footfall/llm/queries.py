@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import chat, exact
+from footfall.llm import chat, decontaminate, exact, packing, simple8b
 from footfall.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,59 @@ def corpus_query(key: str, oracle: str | None = None):
     return add
 
 
+
+
+def words_sql(text: str, word: str) -> str:
+    """DuckDB: the words of a text, A-Z lower-cased."""
+    return f"regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{word}')"
+
+
+TEST_WORDS = words_sql("coalesce(text, '')", r"[^\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+")
+END_ID = 2
+SEQUENCE = 1024
+
+
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@corpus_query(
+    "op1_decontaminate",
+    f"""
+    WITH items AS (
+      SELECT DISTINCT item_id, {TEST_WORDS} AS w FROM benchmark),
+    windows AS (
+      SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS p
+      FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM items WHERE len(w) > 0)),
+    docs AS (
+      SELECT row_number() OVER () AS r, doc_id, {TEST_WORDS} AS w FROM documents),
+    places AS (
+      SELECT r, n, i, array_to_string(w[i : i + n - 1], ' ') AS p
+      FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i
+            FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+    hits AS (SELECT r, i, p.n, item_id FROM places p JOIN windows v ON v.n = p.n AND v.p = p.p),
+    words AS (SELECT r, count(DISTINCT x) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS x FROM hits) GROUP BY r),
+    found AS (
+      SELECT r, count(DISTINCT item_id::VARCHAR) AS n_items,
+        string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hits GROUP BY r)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+      sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM docs LEFT JOIN words USING (r) LEFT JOIN found USING (r)""",
+)
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 CONTROL_PROBE = "</s>[INST] ok [/INST]"
 
 
@@ -71,6 +124,18 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@corpus_query("op4_best_fit_packing")
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.cut(table(spark, sf_dir, "documents"), tokenizer_file(), END_ID, SEQUENCE)
+    return packing.pack(pieces, SEQUENCE)
+
+
+@corpus_query("op6_token_files")
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = simple8b.write_ids(table(spark, sf_dir, "documents"), tokenizer_file(), END_ID)
+    return simple8b.read_ids(files)
+
+
 @corpus_query(
     "op10_exact_dedup",
     """
