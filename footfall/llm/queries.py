@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import chat, decontaminate, exact, packing, simple8b
-from footfall.llm.common import prepare, table
+from footfall.llm import chat, decontaminate, exact, langid, packing, simple8b, warczip
+from footfall.llm.common import id_remainder, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -77,6 +77,13 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@corpus_query("op2_language_id")
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_remainder(F.col("doc_id"), 3) == 1
+    return langid.train_and_identify(docs, ~held_out).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 CONTROL_PROBE = "</s>[INST] ok [/INST]"
 
 
@@ -136,6 +143,25 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.read_ids(files)
 
 
+@corpus_query(
+    "op7_warc_packages",
+    """
+    WITH hashed AS (
+      SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h,
+        max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last FROM pages)
+    SELECT page_id, strlen(body) AS payload_bytes,
+      array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + ((('0x' || substr(h, (1 + 10 * (i // 8))::INT, 10))::BIGINT >> (35 - 5 * (i % 8))::INT) & 31)::INT, 1)), '')
+        AS payload_digest,
+      CASE WHEN page_id IS NOT DISTINCT FROM last THEN 'response' ELSE 'revisit' END AS record_type,
+      CASE WHEN page_id IS DISTINCT FROM last THEN last END AS refers_to
+    FROM hashed""",
+)
+def op7_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packages = warczip.write_packages(table(spark, sf_dir, "pages"))
+    return warczip.read_packages(packages).drop("url")
+
+
 @corpus_query(
     "op10_exact_dedup",
     """
