@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import chat, decontaminate, exact, langid, packing, simple8b, warczip
+from footfall.llm import chat, decontaminate, exact, langid, neardup, packing, simple8b, warczip
 from footfall.llm.common import id_remainder, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,6 +137,31 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces, SEQUENCE)
 
 
+PLAIN_WORDS = words_sql("coalesce(text, '')", r"[^\x20\x09-\x0D]+")
+
+
+@corpus_query(
+    "op5_minhash_near_dedup",
+    f"""
+    WITH RECURSIVE docs AS (SELECT row_number() OVER () AS r, doc_id, {PLAIN_WORDS} AS w FROM documents),
+    shingles AS (
+      SELECT DISTINCT r, CASE WHEN len(w) < 5 THEN w ELSE w[i : i + 4] END AS s
+      FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM docs WHERE len(w) > 0)),
+    sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+    common AS (
+      SELECT a.r AS x, b.r AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.r < b.r GROUP BY 1, 2),
+    links AS (
+      SELECT x, y FROM common JOIN sizes a ON a.r = x JOIN sizes b ON b.r = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+    ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+    reach(r, q) AS (SELECT r, r FROM docs UNION SELECT reach.r, ways.y FROM reach JOIN ways ON ways.x = reach.q),
+    low AS (SELECT reach.r, min(doc_id) AS component_id FROM reach JOIN docs ON docs.r = reach.q GROUP BY 1)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
+    FROM docs JOIN low USING (r) LEFT JOIN sizes USING (r)""",
+)
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
+
+
 @corpus_query("op6_token_files")
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = simple8b.write_ids(table(spark, sf_dir, "documents"), tokenizer_file(), END_ID)
