@@ -31,14 +31,13 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm.common import column, fresh, gathered, quoted
 from footfall.llm.components import components
 from footfall.llm.exact import hash128
-from footfall.llm.tokens import PieceTable, _bytes_of
+from footfall.llm.words import U, Words, mixed
 from footfall.session import materialize
 
 SHINGLE = 5
@@ -47,7 +46,6 @@ PLACES = CHUNKS * PARTS
 REACH = 2 * CHUNKS - 1
 RUN = 256
 TEXT_BYTES = 8 << 20
-U = np.uint64
 
 _rng = np.random.default_rng(20240229)
 FACTORS = _rng.integers(1 << 62, 1 << 63, PLACES, dtype=np.uint64) * U(2) + U(1)
@@ -55,38 +53,6 @@ OFFSETS = _rng.integers(1 << 62, 1 << 63, SHINGLE, dtype=np.uint64) * U(2) + U(1
 KEY_FACTORS = _rng.integers(1 << 62, 1 << 63, PARTS, dtype=np.uint64) * U(2) + U(1)
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit numbers that spreads every bit (splitmix)."""
-    x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
-    return x ^ (x >> U(31))
-
-
-class Words:
-    """The words of some texts: A-Z lower-cased, cut at ASCII white space."""
-
-    def __init__(self, texts: pa.Array):
-        split = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("").cast(pa.large_string())))
-        at = np.asarray(split.offsets).astype(np.int64)
-        coded = split.values.slice(at[0], at[-1] - at[0]).dictionary_encode()
-        at -= at[0]
-        self.words = coded.dictionary
-        code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        real = pc.binary_length(self.words).to_numpy(zero_copy_only=False) > 0
-        kept = real[code] if len(code) else np.zeros(0, bool)
-        self.at = np.concatenate([[0], np.cumsum(kept)])[at]
-        self.code = code[kept]
-        self.real = real
-
-    def hashes(self) -> np.ndarray:
-        """64 bits for each word of each text."""
-        out = np.zeros(len(self.words), np.uint64)
-        spots = np.flatnonzero(self.real)
-        if len(spots):
-            out[spots] = mixed(PieceTable.hashes(*_bytes_of(self.words.take(pa.array(spots)).cast(pa.large_string()))))
-        return out[self.code]
-
-
 def sequence_hash(word: np.ndarray, at: np.ndarray, salt: int) -> np.ndarray:
     """64 bits of each text's whole sequence of words; 0 for none."""
     n = np.diff(at)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import chat, decontaminate, exact, langid, neardup, packing, simple8b, warczip
+from footfall.llm import chat, decontaminate, exact, langid, neardup, packing, quality, simple8b, warczip
 from footfall.llm.common import id_remainder, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -187,6 +187,22 @@ def op7_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warczip.read_packages(packages).drop("url")
 
 
+def quality_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> quality.Model:
+    return quality.train(docs, table(spark, sf_dir, "labels"), id_remainder(F.col("doc_id"), 5) != 0)
+
+
+@corpus_query("op8_quality_classifier")
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality_model(spark, sf_dir, docs))
+    return scored.select(
+        "doc_id",
+        (id_remainder(F.col("doc_id"), 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @corpus_query(
     "op10_exact_dedup",
     """

@@ -96,7 +96,7 @@ class PieceTable:
         self.ids = np.concatenate([self.ids, np.frombuffer(b"".join([ids[i] for i in one]), "<u4")])
 
 
-def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a large_string array without nulls, and their offsets."""
     at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = texts.buffers()[2]
@@ -184,7 +184,7 @@ class Encoder:
         more: list[bytes] = []
         if len(spots):
             asked = words.take(pa.array(spots))
-            raw, word_at = _bytes_of(asked)
+            raw, word_at = bytes_of(asked)
             h = PieceTable.hashes(raw, word_at)
             entry = self.known.find(raw, word_at, h)
             lost = np.flatnonzero(entry < 0)
