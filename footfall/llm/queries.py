@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import chat, decontaminate, exact, langid, neardup, packing, quality, simple8b, warczip
+from footfall.llm import chat, decontaminate, exact, langid, lm, neardup, packing, quality, simple8b, warczip
 from footfall.llm.common import id_remainder, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -203,6 +203,15 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@corpus_query("op9_lm_scores")
+def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = id_remainder(F.col("doc_id"), 7) == 2
+    scored = lm.score_texts(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 @corpus_query(
     "op10_exact_dedup",
     """
