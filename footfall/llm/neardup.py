@@ -1,13 +1,15 @@
 """Near-duplicate documents by a multi-index Hamming join of MinHash signatures.
 
 A document's set is its distinct shingles of ``SHINGLE`` words.  Its signature
-is ``CHUNKS * PARTS`` MinHash values of 16 bits; the distance of two signatures
-is the number of places where they differ.  Cut into ``CHUNKS`` chunks, two
-signatures at a distance of at most ``REACH`` = 2 * CHUNKS - 1 have, by the
-pigeonhole principle, a chunk with at most one error.  So a document is filed
-under every chunk with every one of its places left out, and every pair within
-``REACH`` meets under some key.  At a similarity of 0.85 a pair lies beyond it
-with a probability of about two in a million, less the more alike they are.
+is ``chunks * parts`` MinHash values of 16 bits; the distance of two signatures
+is the number of places where they differ.  Two signatures at a distance of at
+most ``reach`` = 2 * chunks - 1 have, by the pigeonhole principle, a chunk with
+at most one error.  So a document is filed under every chunk with every one of
+its places left out, and every pair within reach meets under some key.  With 12
+chunks of 5 places a pair of similarity 0.85 lies beyond reach with a
+probability of about two in a million, less the more alike the two are.
+
+At 0.8 the default filing has 16 chunks of 4 places and a like probability.
 
 1. Documents of equal word sequence are one node.
 2. All keys are sorted; a run of equal keys is streamed, so a key of any size
@@ -28,6 +30,7 @@ repeated rows get the same result.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -41,16 +44,30 @@ from footfall.llm.words import U, Words, mixed
 from footfall.session import materialize
 
 SHINGLE = 5
-CHUNKS, PARTS = 12, 5
-PLACES = CHUNKS * PARTS
-REACH = 2 * CHUNKS - 1
 RUN = 256
 TEXT_BYTES = 8 << 20
 
-_rng = np.random.default_rng(20240229)
-FACTORS = _rng.integers(1 << 62, 1 << 63, PLACES, dtype=np.uint64) * U(2) + U(1)
-OFFSETS = _rng.integers(1 << 62, 1 << 63, SHINGLE, dtype=np.uint64) * U(2) + U(1)
-KEY_FACTORS = _rng.integers(1 << 62, 1 << 63, PARTS, dtype=np.uint64) * U(2) + U(1)
+def _odd(seed: int, n: int) -> np.ndarray:
+    return np.random.default_rng(seed).integers(1 << 62, 1 << 63, n, dtype=np.uint64) * U(2) + U(1)
+
+
+FACTORS, OFFSETS, KEY_FACTORS = _odd(1, 256), _odd(2, SHINGLE), _odd(3, 16)
+
+
+@dataclass(frozen=True)
+class Filing:
+    """How a signature is cut."""
+
+    chunks: int = 12
+    parts: int = 5
+
+    @property
+    def places(self) -> int:
+        return self.chunks * self.parts
+
+    @property
+    def reach(self) -> int:
+        return 2 * self.chunks - 1
 
 
 def sequence_hash(word: np.ndarray, at: np.ndarray, salt: int) -> np.ndarray:
@@ -85,33 +102,33 @@ def shingle_hashes(word: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.concatenate([np.zeros(0, np.uint64), *parts]), np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
 
 
-def signatures(shingles: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """PLACES values of 16 bits per text; the texts must have shingles."""
+def signatures(shingles: np.ndarray, at: np.ndarray, places: int) -> np.ndarray:
+    """Values of 16 bits, ``places`` per text; the texts must have shingles."""
     n = len(at) - 1
-    out = np.empty((n, PLACES), np.uint16)
+    out = np.empty((n, places), np.uint16)
     a = 0
     while a < n:  # about 64k shingles at a time stay in the cache
         b = max(int(np.searchsorted(at, at[a] + 65536, "right")) - 1, a + 1)
         x, starts = shingles[at[a] : at[b]], at[a:b] - at[a]
-        for k in range(PLACES):
+        for k in range(places):
             out[a:b, k] = mixed(np.minimum.reduceat(x * FACTORS[k], starts)) >> U(48)
         a = b
     return out
 
 
-def keys_of(signature: np.ndarray) -> np.ndarray:
-    """(texts, PLACES): a key per chunk and place left out; the low byte says which."""
-    wide = signature.astype(np.uint64).reshape(-1, CHUNKS, PARTS)
-    out = np.empty((len(signature), CHUNKS, PARTS), np.uint64)
-    for gone in range(PARTS):
-        kept = [p for p in range(PARTS) if p != gone]
+def keys_of(signature: np.ndarray, filing: Filing) -> np.ndarray:
+    """(texts, places): a key per chunk and place left out; the low byte says which."""
+    wide = signature.astype(np.uint64).reshape(-1, filing.chunks, filing.parts)
+    out = np.empty(wide.shape, np.uint64)
+    for gone in range(filing.parts):
+        kept = [p for p in range(filing.parts) if p != gone]
         out[:, :, gone] = sum((wide[:, :, p] + U(1)) * KEY_FACTORS[p] for p in kept)
-    out = out.reshape(-1, PLACES)
-    slot = np.arange(PLACES, dtype=np.uint64)
+    out = out.reshape(-1, filing.places)
+    slot = np.arange(filing.places, dtype=np.uint64)
     return (mixed(out + slot * U(0x9E3779B97F4A7C15)) & ~U(0xFF)) | slot
 
 
-def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def sketch(docs: DataFrame, id_col: str, text_col: str, filing: Filing) -> DataFrame:
     """Per row: doc_id, text_key, node_key (of the word sequence), n_shingles, signature."""
     kind = "doc_id long, text_key binary, node_key binary, n_shingles long, signature binary"
 
@@ -122,9 +139,9 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             shingles, at = shingle_hashes(word, words.at)
             n = np.diff(at)
             some = np.flatnonzero(n)
-            sig = np.zeros((len(n), PLACES), np.uint16)
+            sig = np.zeros((len(n), filing.places), np.uint16)
             if len(some):
-                sig[some] = signatures(shingles, np.concatenate([at[:-1][some], at[-1:]]))
+                sig[some] = signatures(shingles, np.concatenate([at[:-1][some], at[-1:]]), filing.places)
             node = np.stack([sequence_hash(word, words.at, s) for s in (0, 1)], axis=1)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -142,19 +159,19 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.mapInArrow(run, kind)
 
 
-def _file_keys(nodes: DataFrame) -> DataFrame:
+def _file_keys(nodes: DataFrame, filing: Filing) -> DataFrame:
     """key, node, n_shingles: one row per node and key."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sig = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint16).reshape(-1, PLACES)
+            sig = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint16).reshape(-1, filing.places)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(keys_of(sig).reshape(-1).view(np.int64)),
-                    pa.array(np.repeat(batch.column(0).to_numpy(), PLACES)),
-                    pa.array(np.repeat(batch.column(1).to_numpy(), PLACES)),
+                    pa.array(keys_of(sig, filing).reshape(-1).view(np.int64)),
+                    pa.array(np.repeat(batch.column(0).to_numpy(), filing.places)),
+                    pa.array(np.repeat(batch.column(1).to_numpy(), filing.places)),
                 ],
                 ["key", "node", "n"],
             )
@@ -222,7 +239,7 @@ def _tried(filed: DataFrame, percent: int) -> DataFrame:
     return filed.mapInArrow(run, kind)
 
 
-def _distance_within(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _distance_within(pairs: DataFrame, nodes: DataFrame, filing: Filing) -> DataFrame:
     """The pairs (a, b) whose signatures are within reach."""
     side = nodes.select("node", "signature")
     both = pairs.join(side.toDF("a", "sa"), "a").join(side.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
@@ -231,9 +248,10 @@ def _distance_within(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 x, y = (
-                    np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, PLACES) for c in (2, 3)
+                    np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, filing.places)
+                    for c in (2, 3)
                 )
-                near = pa.array((x != y).sum(axis=1) <= REACH)
+                near = pa.array((x != y).sum(axis=1) <= filing.reach)
                 yield pa.RecordBatch.from_arrays([batch.column(0).filter(near), batch.column(1).filter(near)], ["a", "b"])
 
     return both.mapInArrow(run, "a long, b long")
@@ -271,7 +289,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def _unlinked(shared: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+def _unlinked(shared: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int, filing: Filing) -> DataFrame:
     """Pairs within reach whose nodes share a key but no component."""
     label = F.coalesce("label", "node").alias("label")
     rows = shared.join(labels, "node", "left").select("key", "node", "n", label)
@@ -313,7 +331,7 @@ def _unlinked(shared: DataFrame, labels: DataFrame, nodes: DataFrame, percent: i
         key, i, j, block, node, n, label = (
             t.column(c).to_numpy() for c in ("key", "i", "j", "block", "node", "n", "label")
         )
-        sig = np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint16).reshape(-1, PLACES)
+        sig = np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint16).reshape(-1, filing.places)
         low, high = [], []
         for a, b in zip(first[:-1], first[1:]):
             slot = int(key[a]) & 0xFF
@@ -327,9 +345,10 @@ def _unlinked(shared: DataFrame, labels: DataFrame, nodes: DataFrame, percent: i
                 if not len(y):
                     continue
                 same = s[y] == s[x]
-                y, same = y[same.sum(axis=1) >= PLACES - REACH], same[same.sum(axis=1) >= PLACES - REACH]
+                near = same.sum(axis=1) >= filing.places - filing.reach
+                y, same = y[near], same[near]
                 if len(y):
-                    y = y[first_slot(same) == slot]  # under other keys the pair is left out
+                    y = y[first_slot(same, filing) == slot]  # under other keys the pair is left out
                     low.append(np.minimum(node[a + y], node[a + x]))
                     high.append(np.maximum(node[a + y], node[a + x]))
         if low:
@@ -338,18 +357,19 @@ def _unlinked(shared: DataFrame, labels: DataFrame, nodes: DataFrame, percent: i
     return meeting.mapInArrow(run, "a long, b long").distinct()
 
 
-def first_slot(same: np.ndarray) -> np.ndarray:
+def first_slot(same: np.ndarray, filing: Filing) -> np.ndarray:
     """The first key that pairs share, from where their signatures agree."""
-    wide = same.reshape(-1, CHUNKS, PARTS)
+    wide = same.reshape(-1, filing.chunks, filing.parts)
     others = wide.sum(axis=2, keepdims=True) - wide
-    return (others.reshape(-1, PLACES) == PARTS - 1).argmax(axis=1)
+    return (others.reshape(-1, filing.places) == filing.parts - 1).argmax(axis=1)
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, text_key, n_shingles, component_id, kept."""
     if percent < 80:
         raise ValueError("signatures are made for a similarity of 0.8 or more")
-    rows = materialize(sketch(docs, id_col, text_col), "sketches")
+    filing = Filing() if percent >= 85 else Filing(16, 4)
+    rows = materialize(sketch(docs, id_col, text_col, filing), "sketches")
     nodes = rows.filter("n_shingles > 0").groupBy("node_key").agg(
         F.min("doc_id").alias("low_id"),
         F.min(F.struct("doc_id", "text_key")).alias("shown"),  # a row whose text stands for all
@@ -358,16 +378,16 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     )
     nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
-    filed = _file_keys(nodes).repartitionByRange("key", "node").sortWithinPartitions("key", "node")
+    filed = _file_keys(nodes, filing).repartitionByRange("key", "node").sortWithinPartitions("key", "node")
     found = materialize(_tried(filed, percent), "keys")
     shared = found.filter("b IS NULL").select("key", "node", "n")
     tried = found.filter("b IS NOT NULL").select(F.col("node").alias("a"), "b").distinct()
     texts = _texts(docs, nodes, shared, id_col, text_col)
-    tried = materialize(_distance_within(tried, nodes), "pairs")
+    tried = materialize(_distance_within(tried, nodes, filing), "pairs")
     # A hot key may lie in several tasks, each with a first node of its own:
     # whole keys are compared below, so nothing depends on it.
     labels = components(materialize(_confirmed(tried, texts, percent), "links"))
-    rest = _unlinked(shared, labels, nodes, percent).join(tried, ["a", "b"], "left_anti")
+    rest = _unlinked(shared, labels, nodes, percent, filing).join(tried, ["a", "b"], "left_anti")
     labels = components(materialize(_confirmed(rest, texts, percent), "links"), labels)
 
     named = nodes.join(labels, "node", "left").select(
