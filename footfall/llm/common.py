@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -85,6 +85,19 @@ def gathered(batches: Iterable[pa.RecordBatch], max_bytes: int) -> Iterator[pa.T
         yield pa.Table.from_batches(held)
 
 
+def keep_where(docs: DataFrame, text_col: str, max_bytes: int, keep: Callable[[pa.Array], list[bool]]) -> DataFrame:
+    """The rows for whose texts ``keep`` says so, with all columns as they are."""
+    names = [f"c{i}" for i in range(len(docs.columns))]  # any name may stand in ``docs``
+    text = names[docs.columns.index(text_col)]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in gathered(batches, max_bytes):
+            yield from t.filter(pa.array(keep(column(t, text)), pa.bool_())).to_batches()
+
+    plain = docs.toDF(*names)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
+
+
 def column(t: pa.Table, name: str) -> pa.Array:
     got = t.column(name).combine_chunks()
     return pa.concat_arrays(got.chunks) if isinstance(got, pa.ChunkedArray) else got

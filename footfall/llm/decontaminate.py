@@ -27,7 +27,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import column, gathered, quoted
+from footfall.llm.common import column, gathered, keep_where, quoted
 from footfall.llm.files import file_system
 from footfall.session import workspace
 
@@ -186,13 +186,8 @@ def find_contamination(
                 schema=found,
             )
 
-    def clean(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in gathered(batches, TEXT_BYTES):
-            _, masks, _ = scan(column(t, text_col).to_pylist())
-            yield from t.filter(pa.array([m is None for m in masks], pa.bool_())).to_batches()
-
     if keep_columns:
-        return docs.mapInArrow(clean, docs.schema)
+        return keep_where(docs, text_col, TEXT_BYTES, lambda texts: [m is None for m in scan(texts.to_pylist())[1]])
     rows = docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).alias("text"))
     return rows.mapInArrow(
         report,

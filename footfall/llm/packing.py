@@ -5,7 +5,7 @@ remainder, all others are full and need no partner.  Short pieces are spread
 over partitions of about ``GROUP`` pieces.  Each partition packs its pieces by
 best fit in decreasing order and computes a lower bound of its number of
 sequences with dual feasible functions.  Partitions whose count meets the
-bound are certified; they hand on only a last sequence that is half empty.
+bound are certified; they hand on only a last sequence that is not nearly full.
 Partitions with a gap hand on their emptiest sequences, as many as hold the
 room of the gap.  What was handed on is dealt out again in the next round,
 until one partition holds all of it.
@@ -21,7 +21,6 @@ import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -85,7 +84,7 @@ def handed_on(sequence: np.ndarray, lengths: np.ndarray, bound: int, capacity: i
     order = np.argsort(-room, kind="stable")
     gap = len(used) - bound
     if gap <= 0:
-        given = order[:1] if room[order[0]] * 2 > capacity else order[:0]
+        given = order[:1] if room[order[0]] * 16 > capacity else order[:0]
     else:
         enough = np.searchsorted(np.cumsum(room[order]), (gap + 1) * capacity) + 1
         given = order[:enough]
@@ -163,7 +162,7 @@ def pack(pieces: DataFrame, capacity: int, group: int = GROUP) -> DataFrame:
 def _round(left: DataFrame, groups: int, turn: int, capacity: int) -> DataFrame:
     last = groups == 1
 
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key, rows):
         # The same order in a repeated task, so the same packing.
         rows = rows.sort_values(["length", "doc_id", "piece", "ids_crc32"], ignore_index=True)
         lengths = rows["length"].to_numpy()

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import column, gathered, quoted
+from footfall.llm.common import column, gathered, keep_where, quoted
 from footfall.llm.tokens import bytes_of
 from footfall.llm.words import U, Words, mixed
 
@@ -268,10 +268,4 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
     """The rows that score ``threshold`` or more, with the columns of ``docs``."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in gathered(batches, TEXT_BYTES):
-            good = model.score(features(column(t, text_col))) >= threshold
-            yield from t.filter(pa.array(good)).to_batches()
-
-    return docs.mapInArrow(run, docs.schema)
+    return keep_where(docs, text_col, TEXT_BYTES, lambda texts: model.score(features(texts)) >= threshold)
