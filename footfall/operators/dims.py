@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -77,7 +79,10 @@ def with_new_ids(dimension: DataFrame, values: DataFrame, keys: Sequence[str], i
     runs over the same data agree.  Numbering is distributed (``numbered``).
     """
     keys = list(keys)
-    new = values.select(*keys).distinct().join(dimension.select(*keys), keys, "left_anti")
+    known = dimension.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
+    # null is a value like others: it gets one id, and a second run finds it
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys])
+    new = values.select(*keys).distinct().join(known, same, "left_anti")
     top = dimension.agg(F.coalesce(F.max(id_col), F.lit(0))).scalar()
     added = numbered(new, keys, "_rn").select(
         (F.col("_rn") + top).cast("bigint").alias(id_col), *keys
@@ -86,9 +91,10 @@ def with_new_ids(dimension: DataFrame, values: DataFrame, keys: Sequence[str], i
 
 
 def with_dimension_id(facts: DataFrame, dimension: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """Replace the value columns ``keys`` of the facts by the dimension id."""
-    ids = dimension.select(F.col("id").alias(name), *keys)
-    return facts.join(ids, list(keys), "left").drop(*keys)
+    """Replace the value columns ``keys`` of the facts by the dimension id; null finds null."""
+    ids = dimension.select(F.col("id").alias(name), *[F.col(k).alias(f"_dim_{k}") for k in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_dim_{k}")) for k in keys])
+    return facts.join(ids, same, "left").drop(*keys, *[f"_dim_{k}" for k in keys])
 
 
 def date_dimension(first_last: DataFrame) -> DataFrame:

@@ -83,16 +83,24 @@ def with_location(events: DataFrame, ranges: DataFrame) -> DataFrame:
 
 
 def row_key(uuid: str = "u_ud", member: str = "u_mid", event: str = "en", time: str = "s_time") -> Column:
-    """``time_checksum``: the key under which equal records overwrite each other."""
+    """``time_checksum``: a short key of a record for storage.  Different records may share it."""
     part = lambda c: F.when(is_blank(F.col(c)), "").otherwise(F.col(c))
     checksum = F.crc32(F.concat(part(uuid), part(member), F.col(event)).cast("binary"))
     return F.concat_ws("_", F.col(time).cast("string"), (checksum % 100000000).cast("string"))
 
 
+RECORD = ["s_time", "u_ud", "u_mid", "en"]
+
+
 def dedupe(events: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """One record per row key, the first in ``order``."""
-    keyed = events.withColumn("row_key", row_key())
-    return top_per_group(keyed, ["row_key"], order, 1, "_rn").drop("_rn")
+    """One row per record, the first in ``order``, with its row key.
+
+    Records are the same if time, user, member and event are, blank like null.
+    The checksum in the row key is too short to tell them apart.
+    """
+    parts = {f"_same_{c}": F.when(is_blank(F.col(c).cast("string")), "").otherwise(F.col(c).cast("string")) for c in RECORD}
+    kept = top_per_group(events.withColumns(parts), list(parts), order, 1, "_rn").drop("_rn", *parts)
+    return kept.withColumn("row_key", row_key())
 
 
 def counters(parsed: DataFrame) -> DataFrame:

@@ -13,8 +13,14 @@ from footfall.operators.skew import HOT_ROWS, sliced_neighbour, time_sliced
 
 
 def _steps(actions: DataFrame, hot_rows: int) -> DataFrame:
-    """Every page view of a session with the page before it (null for the first)."""
-    views = actions.select("session_id", "page_id", "action_time", "event_id")
+    """Every page view with the page before it in its session (null for the first).
+
+    A view without a session is a session of its own: it counts as a view and
+    takes part in no step.
+    """
+    own = F.concat(F.lit("\x01"), F.coalesce(F.col("event_id").cast("string"), F.lit("")))
+    session = F.coalesce("session_id", own).alias("session_id")
+    views = actions.select(session, "page_id", "action_time", "event_id")
     sliced = time_sliced(views, ["session_id"], epoch_ms("action_time"), hot_rows=hot_rows)
     return sliced_neighbour(
         sliced, ["session_id"], "_slice", ["action_time", "event_id"], {"page_id": "prev_page"}

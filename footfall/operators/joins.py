@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from footfall.functions.web import INBOUND_INTERNAL, INBOUND_OTHER, ip_number, with_external_host
-from footfall.operators.skew import checked_broadcast, is_small, plan_bytes, spread_nulls
+from footfall.operators.skew import checked_broadcast, spread_nulls
 
 
 def session_with_user(sessions: DataFrame, users: DataFrame) -> DataFrame:
@@ -51,78 +51,145 @@ def detail_of(actions: DataFrame, sessions: DataFrame) -> DataFrame:
     return actions.join(sessions.select("session_id"), "session_id", "left_semi")
 
 
-RANGE_BUCKET = 65536  # one /16 network per bucket
+def _covers(ranges: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Address ranges as three tables: whole /8 networks, whole /16 networks, disjoint rest.
+
+    Where ranges overlap the narrowest wins, then the lower start, then the
+    columns.  A range covers at most 256 networks of size /8, twice 255 of size
+    /16 beside them, and a part of two more.
+    """
+    info = F.struct(
+        (F.col("_hi") - F.col("_lo")).alias("width"), F.col("_lo").alias("lo"), F.struct(*columns).alias("of")
+    ).alias("info")
+    r = (
+        ranges.withColumn("_lo", ip_number(F.col("begin_ip")))
+        .withColumn("_hi", ip_number(F.col("end_ip")))
+        .where(F.col("_lo") <= F.col("_hi"))
+        .select(F.col("_lo").alias("lo"), (F.col("_hi") + 1).alias("end"), info)
+    )
+
+    def whole(bits: int) -> tuple[Column, Column]:
+        """First network of this size inside the range, and the one after the last."""
+        size = 1 << bits
+        first = F.floor((F.col("lo") + size - 1) / size).cast("int")
+        return first, F.greatest(first, F.floor(F.col("end") / size).cast("int"))
+
+    def numbers(a: Column, b: Column) -> Column:
+        return F.when(a < b, F.sequence(a, b - 1)).otherwise(F.array().cast("array<int>"))
+
+    a8, b8 = whole(24)
+    a16, b16 = whole(16)
+    # /16 networks outside the whole /8 ones
+    outer = F.when(a8 < b8, F.concat(numbers(a16, a8 * 256), numbers(b8 * 256, b16))).otherwise(numbers(a16, b16))
+    net8 = r.select(F.explode(numbers(a8, b8)).alias("net"), "info").groupBy("net").agg(F.min("info").alias("i8"))
+    net16 = r.select(F.explode(outer).alias("net"), "info").groupBy("net").agg(F.min("info").alias("i16"))
+    # what is left lies in the first and the last /16 network
+    edges = F.filter(
+        F.array(
+            F.struct(F.col("lo"), F.least(F.col("end"), F.when(a16 < b16, a16.cast("bigint") * 65536).otherwise(F.col("end"))).alias("end")),
+            F.struct(F.greatest(F.col("lo"), b16.cast("bigint") * 65536).alias("lo"), F.col("end")),
+        ),
+        lambda e: e["lo"] < e["end"],
+    )
+    # a range without a whole /16 may cross one border
+    parts = r.select(F.explode(F.array_distinct(edges)).alias("e"), "info").select("e.lo", "e.end", "info")
+    border = (F.floor(F.col("lo") / 65536) + 1).cast("bigint") * 65536
+    split = F.when(
+        F.col("end") > border,
+        F.array(F.struct("lo", border.alias("end")), F.struct(border.alias("lo"), F.col("end"))),
+    ).otherwise(F.array(F.struct("lo", "end")))
+    parts = parts.select(F.explode(split).alias("e"), "info").select(
+        F.shiftright("e.lo", 16).cast("int").alias("net"), "e.lo", "e.end", "info"
+    )
+    # between two neighbouring borders of a network the same ranges apply
+    inside = parts.groupBy("net").agg(
+        F.collect_set(F.struct("lo", "end", "info")).alias("all"),
+        F.array_sort(F.array_union(F.collect_set("lo"), F.collect_set("end"))).alias("cuts"),
+    )
+    piece = F.transform(
+        F.slice("cuts", 1, F.size("cuts") - 1),
+        lambda c, i: F.struct(
+            c.alias("lo"),
+            F.get("cuts", i + 1).alias("end"),
+            F.array_min(
+                F.transform(F.filter("all", lambda p: (p["lo"] <= c) & (c < p["end"])), lambda p: p["info"])
+            ).alias("i"),
+        ),
+    )
+    rest = inside.select("net", F.explode(piece).alias("p")).where("p.i IS NOT NULL").select(
+        "net", "p.lo", "p.end", F.col("p.i").alias("i")
+    )
+    return net8, net16, rest
 
 
 def ip_region(rows: DataFrame, ranges: DataFrame, ip: str = "ip", columns: Sequence[str] = ("region",)) -> DataFrame:
-    """Adds ``columns`` of the address range that holds ``ip`` (null if none).
+    """Adds ``columns`` of the narrowest address range that holds ``ip`` (null if none).
 
-    Ranges are cut at /16 borders, which turns the interval test into an
-    equi-join with a residual condition.  A small range table is broadcast; a
-    larger one meets each distinct address once.
+    One row out for each row in, however ranges overlap.  The tables of whole
+    networks have at most 256 and 65,536 rows, so they are broadcast; the rest
+    is joined by /16 network, and its ranges are disjoint there.
     """
-    dim = (
-        ranges.withColumn("_lo", ip_number(F.col("begin_ip")))
-        .withColumn("_hi", ip_number(F.col("end_ip")))
-        .withColumn(
-            "_b",
-            F.explode(
-                F.sequence(
-                    F.shiftright("_lo", 16).cast("int"), F.shiftright("_hi", 16).cast("int")
-                )
-            ),
+    net8, net16, rest = _covers(ranges, list(columns))
+    n = F.col("_n")
+    best = F.col("_best.of")
+    return (
+        rows.withColumn("_n", ip_number(F.col(ip)))
+        .withColumns({"_n8": F.shiftright("_n", 24).cast("int"), "_n16": F.shiftright("_n", 16).cast("int")})
+        .join(F.broadcast(net8.withColumnRenamed("net", "_k8")), F.col("_n8") == F.col("_k8"), "left")
+        .join(F.broadcast(net16.withColumnRenamed("net", "_k16")), F.col("_n16") == F.col("_k16"), "left")
+        .join(
+            checked_broadcast(rest.toDF("_kr", "_lo", "_end", "_ir")),
+            (F.col("_n16") == F.col("_kr")) & (n >= F.col("_lo")) & (n < F.col("_end")),
+            "left",
         )
-        .select("_b", "_lo", "_hi", *columns)
+        .withColumn("_best", F.least("i8", "i16", "_ir"))
+        .select(*rows.columns, *[best[c].alias(c) for c in columns])
     )
 
-    def lookup(frame: DataFrame) -> DataFrame:
-        n = F.col("_n")
-        return (
-            frame.withColumn("_n", ip_number(F.col(ip)))
-            .withColumn("_nb", F.shiftright("_n", 16).cast("int"))
-            .join(dim, (F.col("_nb") == F.col("_b")) & n.between(F.col("_lo"), F.col("_hi")), "left")
-            .drop("_n", "_nb", "_b", "_lo", "_hi")
-        )
 
-    if is_small(ranges, 1 << 20):
-        # at most 65536 buckets beyond the rows themselves
-        dim = F.broadcast(dim)
-        return lookup(rows)
-    known = lookup(rows.select(ip).where(F.col(ip).isNotNull()).distinct()).withColumnRenamed(ip, "_key")
-    return spread_nulls(rows, ip, "_key").join(known, "_key", "left").drop("_key")
+META = r"[.*+?^$|(){}\[\]\\]"
 
 
-PATTERN_CHUNK_BYTES = 1 << 20
-MAX_PATTERN_CHUNKS = 64
+def _literal_start(pattern: Column) -> Column:
+    """The text every match of a regular expression begins with, as far as it is plain."""
+    plain = F.regexp_extract(pattern, rf"^[^{META[1:]}*", 0)
+    after = F.substr(pattern, F.length(plain) + 1, F.lit(1))
+    loose = after.isin("*", "?", "{")  # the last character need not be there
+    cut = F.when(loose, F.left(plain, F.length(plain) - 1)).otherwise(plain)
+    return F.when(F.contains(pattern, F.lit("|")), F.lit("")).otherwise(cut)
+
+
+LOOSE_SALTS = 64
 
 
 def inbound_of(rows: DataFrame, patterns: DataFrame, own_hosts: Sequence[str], url: str = "p_ref") -> DataFrame:
     """Adds ``inbound`` by matching the referrer host with a pattern table.
 
-    A pattern may be a host, a prefix or a regular expression, so no key joins
-    the two.  Instead of a nested-loop join, the patterns travel as arrays: one
-    array for a small table, several for a large one, each met by every
-    distinct host through an equi-join on the array number.  The smallest
-    matching id wins.  0 = internal or unparsable, 2 = none of the patterns.
+    A pattern may be a host, a prefix or a regular expression.  Whatever it
+    matches begins with its plain first characters, so distinct hosts and
+    patterns meet in an equi-join on the host's beginnings, and only there the
+    expression is tried.  Expressions without a plain beginning meet every
+    host, dealt out by ``LOOSE_SALTS`` numbers.  The smallest matching id wins.
+    0 = internal or unparsable, 2 = none of the patterns.
     """
     hosted = with_external_host(rows, url, "_host", own_hosts)
     hosts = hosted.where(F.col("_host").isNotNull()).select("_host").distinct()
-    h = F.col("_host")
-    chunks = min(MAX_PATTERN_CHUNKS, 1 + plan_bytes(patterns) // PATTERN_CHUNK_BYTES)
-    arrays = patterns.groupBy(F.pmod(F.xxhash64("url"), F.lit(chunks)).cast("int").alias("_chunk")).agg(
-        F.collect_list(F.struct("id", "url")).alias("_patterns")
+    h, u = F.col("_host"), F.col("url")
+    number = lambda c: F.concat(F.lit("\x01"), c.cast("string"))
+    starts = F.transform(F.sequence(F.lit(1), F.greatest(F.length(h), F.lit(1))), lambda i: F.left(h, i))
+    salt = number(F.pmod(F.xxhash64(h), F.lit(LOOSE_SALTS)))
+    plain = _literal_start(u)
+    loose = F.transform(F.sequence(F.lit(0), F.lit(LOOSE_SALTS - 1)), number)
+    known = patterns.where(u.isNotNull()).select(
+        F.col("id").alias("_id"), "url", F.explode(F.when(plain == "", loose).otherwise(F.array(plain))).alias("_start")
     )
-
-    def matches(p):
-        u = p["url"]
-        return (h == u) | F.startswith(h, u) | F.rlike(h, F.concat(F.lit("^(?:"), u, F.lit(")$")))
-
-    hit = F.array_min(F.transform(F.filter("_patterns", matches), lambda p: p["id"]))
+    matches = F.startswith(h, u) | (u.rlike(META) & F.rlike(h, F.concat(F.lit("^(?:"), u, F.lit(")$"))))
     found = (
-        hosts.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-        .join(arrays, "_chunk")
+        hosts.select("_host", F.explode(F.array_append(starts, salt)).alias("_start"))
+        .join(known, "_start")
+        .where(matches)
         .groupBy("_host")
-        .agg(F.min(hit).alias("_id"))
+        .agg(F.min("_id").alias("_id"))
     )
     # internal and missing referrers have no host; they may well be the most rows
     keyed = spread_nulls(hosted, "_host", "_key")
@@ -135,10 +202,11 @@ def inbound_of(rows: DataFrame, patterns: DataFrame, own_hosts: Sequence[str], u
 def with_order_info(rows: DataFrame, order_info: DataFrame, order_id: str = "oid") -> DataFrame:
     """Platform, currency, payment type and amount of an order.
 
-    Missing or blank text becomes ``unknown``, a missing amount 0.
+    Missing or blank text becomes ``unknown``, a missing amount 0.  Rows without
+    an order id are spread over the tasks.  ``order_info`` has one row per order.
     """
     info = order_info.select(
-        F.col("order_id").alias(order_id),
+        F.col("order_id").alias("_key"),
         F.col("platform").alias("_pl"),
         F.col("currency_type").alias("_cut"),
         F.col("payment_type").alias("_pt"),
@@ -149,7 +217,7 @@ def with_order_info(rows: DataFrame, order_info: DataFrame, order_id: str = "oid
         return F.when(F.trim(F.col(c)) != "", F.col(c)).otherwise("unknown")
 
     keep = [c for c in rows.columns if c not in ("pl", "cut", "pt", "amount")]
-    return rows.select(*keep).join(info, order_id, "left").select(
+    return spread_nulls(rows.select(*keep), order_id, "_key").join(info, "_key", "left").select(
         *keep,
         filled("_pl").alias("pl"),
         filled("_cut").alias("cut"),

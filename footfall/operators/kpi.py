@@ -403,7 +403,13 @@ def _facts(logs: DataFrame, member_info: DataFrame, by: str | None, with_views:
     ]
     if with_views:
         measures.append(F.sum(F.when(is_kind["view"], F.col("n")).otherwise(0)).alias("pv"))
-    return reported(leveled_ids(fresh, sets, rolled).groupBy(*dims).agg(*measures))
+    daily = reported(leveled_ids(fresh, sets, rolled).groupBy(*dims).agg(*measures))
+    # one row per day and dimension values: a few thousand days at most in a window
+    to_date = W.partitionBy(*finest).orderBy("date").rowsBetween(W.unboundedPreceding, 0)
+    return daily.withColumns({
+        "total_install_users": F.sum("new_install_users").over(to_date),
+        "total_members": F.sum("new_members").over(to_date),
+    })
 
 
 def user_facts(logs: DataFrame, member_info: DataFrame) -> DataFrame:

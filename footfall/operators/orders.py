@@ -48,14 +48,22 @@ def _orders(events: DataFrame, event: str, order_info: DataFrame | None) -> Data
 
 
 def order_info_rows(events: DataFrame) -> DataFrame:
-    """Order table rows from the creation records."""
-    return events.where((F.col("en") == CREATED) & F.col("pl").isNotNull()).select(
+    """Order table rows from the creation records: the latest record of each order."""
+    created = events.where((F.col("en") == CREATED) & F.col("pl").isNotNull() & F.col("oid").isNotNull())
+    info = created.select(
         F.col("oid").alias("order_id"),
-        F.col("pl").alias("platform"),
-        "s_time",
-        F.col("cut").alias("currency_type"),
-        F.col("pt").alias("payment_type"),
-        F.col("cua").alias("amount"),
+        F.struct(
+            "s_time",
+            F.col("pl").alias("platform"),
+            F.col("cut").alias("currency_type"),
+            F.col("pt").alias("payment_type"),
+            F.col("cua").alias("amount"),
+        ).alias("_last"),
+    )
+    # the largest struct: the latest record, ties by its other columns
+    last = info.groupBy("order_id").agg(F.max("_last").alias("_last"))
+    return last.select(
+        "order_id", "_last.platform", "_last.s_time", "_last.currency_type", "_last.payment_type", "_last.amount"
     )
 
 

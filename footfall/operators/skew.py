@@ -42,7 +42,8 @@ def checked_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 HOT_ROWS = 1_000_000
-HOT_GROUPS = 1000
+SECOND_MS = 1000
+WIDTHS_MS = (DAY_MS, 60 * SECOND_MS, SECOND_MS, 1)
 
 
 def time_sliced(
@@ -50,38 +51,35 @@ def time_sliced(
     keys: Sequence[str],
     ms: Column,
     name: str = "_slice",
-    wide_ms: int = DAY_MS,
-    narrow_ms: int = 1000,
+    widths_ms: Sequence[int] = WIDTHS_MS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Adds the time slice of each row for the sliced operators below.
 
-    A slice is a day, or a second where one key has ``hot_rows`` or more rows
-    on the day.  Only the thousand fullest (key, day) groups are looked at: any
-    other holds less than a thousandth of the rows.  Slices only steer the
-    distribution of the work; results do not depend on them.
-
-    Counting costs a pass over keys and times.  It is left out when the planner's
-    size for ``df``, at eight bytes a row, cannot hold ``hot_rows`` rows at all.
+    A slice is a day; a (key, day) with ``hot_rows`` or more rows is cut into
+    minutes, a minute that still holds as many into seconds, such a second into
+    milliseconds.  Rows are counted at every size, whatever the planner guesses.
+    The slices to cut are at most one per ``hot_rows`` rows; they are a written
+    table, so the join knows its true size.  Slices only steer the distribution
+    of the work; results do not depend on them.
     """
-    start = F.floor(ms / F.lit(wide_ms)).cast("bigint") * wide_ms
-    if is_small(df, 8 * hot_rows):
-        return df.withColumn(name, start)
-    staged = df.withColumn("_wide", start)
-    full = (
-        staged.groupBy(*keys, "_wide")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") >= hot_rows)
-        .orderBy(F.desc("_n"), *keys, "_wide")
-        .limit(HOT_GROUPS)
-        .select(*keys, "_wide", F.lit(True).alias("_hot"))
-    )
-    narrow = F.floor(ms / F.lit(narrow_ms)).cast("bigint") * narrow_ms
-    return (
-        staged.join(F.broadcast(full), [*keys, "_wide"], "left")
-        .withColumn(name, F.when(F.col("_hot"), narrow).otherwise(F.col("_wide")))
-        .select(*df.columns, name)
-    )
+    keys = list(keys)
+    starts = [F.floor(ms / F.lit(w)).cast("bigint") * w for w in widths_ms]
+    staged = df.select(*keys, *[c.alias(f"_w{i}") for i, c in enumerate(starts)])
+    slice_start, out = starts[0], df
+    for level in range(len(widths_ms) - 1):
+        here = [*keys, f"_w{level}"]
+        full = staged.groupBy(*here).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= hot_rows)
+        full = materialize(full.select(*here), "hot-slices")
+        if full.isEmpty():
+            break
+        mark = f"_hot{level}"
+        out = out.withColumn(f"_w{level}", starts[level]).join(
+            full.withColumn(mark, F.lit(True)), here, "left"
+        ).drop(f"_w{level}")
+        slice_start = F.when(F.col(mark), starts[level + 1]).otherwise(slice_start)
+        staged = staged.join(full, here, "left_semi")
+    return out.withColumn(name, slice_start).select(*df.columns, name)
 
 
 def _with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -161,74 +159,74 @@ def numbered(
     """``row_number`` over whole groups (or the whole frame) without one task
     holding a group.
 
-    Rows are range partitioned by (keys, order), so a big group spreads over
-    many partitions; each numbers its own rows and adds the counts before it.
-    The ranged rows are written once, because both steps must see the same
-    partition numbers.
+    Rows are range partitioned by (keys, order) and sorted, once; what the rows
+    of a partition have as numbers of their own is made group numbers by adding
+    the counts of the partitions before.  A row's place in the input breaks
+    ties, so equal rows spread over partitions as well.  The sorted rows are
+    written, because both steps must see the same partitions.
     """
     spark = df.sparkSession
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # one struct for all keys: never null itself, so rows with a null key join too
     group = F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)
+    by = [F.col("_group"), *order, F.col("_tie")]
     ranged = materialize(
-        df.withColumn("_group", group)
-        .repartitionByRange(parts, F.col("_group"), *order)
-        .withColumn("_pid", F.spark_partition_id()),
+        df.withColumns({"_group": group, "_tie": F.monotonically_increasing_id()})
+        .repartitionByRange(parts, *by)
+        .sortWithinPartitions(*by)
+        .drop("_tie")
+        .withColumn("_at", F.monotonically_increasing_id()),  # partition and place in it
         "numbered",
-    )
+    ).withColumn("_pid", F.shiftright("_at", 33))
     part = ["_group", "_pid"]
     before = W.partitionBy("_group").orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)
     # at most one row per partition and group that touches it
     offsets = (
         ranged.groupBy(*part)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*part, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+        .select(*part, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
     )
-    local = ranged.withColumn("_local", F.row_number().over(W.partitionBy(*part).orderBy(*order)))
-    number = (F.col("_local") + F.col("_before")).cast("bigint")
-    return local.join(offsets, part).select(*df.columns, number.alias(name))
+    number = (F.col("_at") + F.col("_shift")).cast("bigint")
+    return ranged.join(offsets, part).select(*df.columns, number.alias(name))
 
 
-def hot_keys(df: DataFrame, key: str, top: int) -> DataFrame:
-    """The ``top`` most frequent keys.  What is not among them holds less than
-    1/top of the rows each, so it needs no special care."""
-    return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-        .orderBy(F.desc("n_rows"), key)
-        .limit(top)
-    )
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Every key with ``hot_rows`` rows or more and its count: at most one per ``hot_rows`` rows."""
+    counted = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+    return counted.where(F.col("n_rows") >= hot_rows)
 
 
 def skew_split_join(
     left: DataFrame,
     right: DataFrame,
     key: str,
-    top: int = 16,
-    salts: int = 16,
+    hot_rows: int = HOT_ROWS,
     how: str = "inner",
     spread: Sequence[str] = (),
 ) -> DataFrame:
-    """Equi-join that salts the hottest keys of ``left`` and joins the rest plainly.
-
-    A hot row of ``left`` takes one of ``salts`` numbers, and the ``right`` rows
-    of a hot key are repeated once per number; all other rows have number 0 on
-    both sides.  Every pair is met exactly once, in one join: ``left`` is read
-    for the key counts and for the join, ``right`` once.  The salt is a hash of
-    the ``spread`` columns (all columns unless given), which must tell the rows
-    of a key apart; a retried task puts a row in the same place, which a random
-    salt would not.
+    """Equi-join that salts the hot keys of ``left`` and joins the rest plainly.
+
+    A key of ``hot_rows`` rows or more gets a salt for every half of that many.
+    A hot row of ``left`` takes one of its key's salts, and the ``right`` rows
+    of the key are repeated once per salt; all other rows have number 0 on both
+    sides.  Every pair is met exactly once, in one join.  The hot keys are a
+    written table, so the planner knows their size.  The salt is a hash of the
+    ``spread`` columns (all columns unless given), which must tell the rows of a
+    key apart; a retried task puts a row in the same place, which a random salt
+    would not.
     """
     _keeps_left(how)
-    hot = F.broadcast(hot_keys(left, key, top).select(key, F.lit(True).alias("_hot")))
+    salts = F.ceil(F.col("n_rows") * 2 / hot_rows).cast("int")
+    hot = materialize(hot_keys(left, key, hot_rows).select(key, salts.alias("_salts")), "hot-keys")
     zero = F.lit(0)
-    salt = F.when(F.col("_hot"), _salt(spread or left.columns, salts)).otherwise(zero)
-    numbers = F.when(F.col("_hot"), F.sequence(zero, F.lit(salts - 1))).otherwise(F.array(zero))
+    salt = F.when(F.col("_salts").isNull(), zero).otherwise(
+        F.pmod(F.xxhash64(*(spread or left.columns)), F.col("_salts")).cast("int")
+    )
+    numbers = F.sequence(zero, F.coalesce("_salts", F.lit(1)) - 1)
     return (
-        left.join(hot, key, "left").withColumn("_salt", salt).drop("_hot")
-        .join(right.join(hot, key, "left").withColumn("_salt", F.explode(numbers)).drop("_hot"), [key, "_salt"], how)
+        left.join(hot, key, "left").withColumn("_salt", salt).drop("_salts")
+        .join(right.join(hot, key, "left").withColumn("_salt", F.explode(numbers)).drop("_salts"), [key, "_salt"], how)
         .drop("_salt")
     )
 
@@ -261,12 +259,12 @@ def salted_join(
 
 
 def chunked_lists(
-    df: DataFrame, key: str, value: str, order: Sequence[str | Column], chunk_rows: int = HOT_ROWS
+    df: DataFrame, key: str, value: str, order: Sequence[str | Column], chunk_rows: int
 ) -> DataFrame:
-    """Values of each key as arrays in ``order``: (key, chunk, values).
+    """Values of each key as arrays of ``chunk_rows`` in ``order``: (key, chunk, values).
 
-    A key with up to ``chunk_rows`` rows gives one array; a bigger one gives
-    several, so that no task and no row holds an unbounded group.
+    The last array of a key may be shorter.  The shape is the same for keys of
+    any size, and no task and no row holds an unbounded group.
     """
     rows = numbered(df.select(key, value), order, "_n", keys=[key])
     chunk = F.call_function("div", F.col("_n") - 1, F.lit(chunk_rows))
@@ -297,11 +295,21 @@ def spread_nulls(df: DataFrame, key: str, name: str, parts: int = 1024) -> DataF
 
 
 def top_per_group(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, name: str = "rank"
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, name: str = "rank", parts: int = 64
 ) -> DataFrame:
-    """First ``k`` rows of each group.  The literal limit lets Spark cut every
-    map task's share to k rows per group before the shuffle."""
+    """First ``k`` rows of each group.
+
+    The literal limit lets Spark cut every map task's share to k rows per group
+    before the shuffle.  Spark does so up to a threshold only; for a larger
+    ``k`` each group is ranked in ``parts`` parts first, so that no task gets
+    more of a group than its part and ``parts`` times k rows.
+    """
     w = W.partitionBy(*keys).orderBy(*order)
+    if k > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        part = F.pmod(F.xxhash64(*df.columns), F.lit(parts))
+        own = W.partitionBy(*keys, "_part").orderBy(*order)
+        df = df.withColumn("_part", part).withColumn("_rn", F.row_number().over(own)).where(F.col("_rn") <= k)
+        df = df.drop("_part", "_rn")
     return df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= k)
 
 

@@ -132,13 +132,15 @@ def basic_aggregates(spark, sf):
 @query(
     "collect_set_list",
     with_views("emp", """
-SELECT depId AS dep_id, CAST(0 AS BIGINT) AS chunk, array_to_string(list_sort(list(DISTINCT age)), ',') AS ages,
-  array_to_string(list_sort(list(name)), ',') AS names FROM emp GROUP BY ALL"""),
+, n AS (SELECT *, (row_number() OVER (PARTITION BY depId ORDER BY name) - 1) // 50 AS chunk FROM emp),
+a AS (SELECT depId, array_to_string(list_sort(list(DISTINCT age)), ',') AS ages FROM emp GROUP BY ALL)
+SELECT depId AS dep_id, chunk, ages, array_to_string(list_sort(list(name)), ',') AS names
+FROM n JOIN a USING (depId) GROUP BY ALL"""),
 )
 def collect_set_list(spark, sf):
     employees = src.employee(spark, sf)
     ages = employees.groupBy("depId").agg(distinct_list(F.col("age")).alias("ages"))
-    names = skew.chunked_lists(employees, "depId", "name", ["name"])
+    names = skew.chunked_lists(employees, "depId", "name", ["name"], 50)
     return names.join(ages, "depId").select(
         F.col("depId").alias("dep_id"), "chunk", "ages", F.array_join("values", ",").alias("names")
     )

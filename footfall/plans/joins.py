@@ -172,12 +172,15 @@ def semi_session_detail(spark, sf):
 , num AS (SELECT event_id, ip, CAST(split_part(ip,'.',1) AS BIGINT)*16777216 + CAST(split_part(ip,'.',2) AS BIGINT)*65536
   + CAST(split_part(ip,'.',3) AS BIGINT)*256 + CAST(split_part(ip,'.',4) AS BIGINT) AS n FROM el),
 r(lo, hi, region) AS (VALUES (10*16777216, 10*16777216+128*65536-1, 'net-a'),
-  (10*16777216+128*65536, 12*16777216-1, 'net-b'), (12*16777216, 14*16777216-1, 'net-c'))
-SELECT event_id, ip, coalesce(region, 'unknown') AS region FROM num LEFT JOIN r ON n BETWEEN lo AND hi"""),
+  (10*16777216+128*65536, 12*16777216-1, 'net-b'), (12*16777216, 14*16777216-1, 'net-c'),
+  (8*16777216, 16*16777216-1, 'wide'), (11*16777216+5*65536+100, 11*16777216+9*65536+70000, 'inner'))
+SELECT event_id, ip, coalesce(arg_min(region, hi - lo), 'unknown') AS region
+FROM num LEFT JOIN r ON n BETWEEN lo AND hi GROUP BY event_id, ip"""),
 )
 def range_join_ip_region(spark, sf):
     logs = src.event_logs(spark, sf).select("event_id", "ip")
-    return J.ip_region(logs, ip_ranges(spark)).fillna("unknown", ["region"])
+    overlapping = [("8.0.0.0", "15.255.255.255", "wide"), ("11.5.0.100", "11.10.17.112", "inner")]
+    return J.ip_region(logs, ip_ranges(spark, [*params.IP_RANGES, *overlapping])).fillna("unknown", ["region"])
 
 
 @query(

@@ -7,6 +7,7 @@ from footfall.operators.joins import with_previous_day
 from footfall.plans import params
 from footfall.plans.oracle_views import with_views
 from footfall.plans.registry import query
+from footfall.session import workspace
 from footfall.sinks import tables as sink
 from footfall.sources import tables as src
 
@@ -108,7 +109,10 @@ UNION ALL SELECT member_id, '{params.RUN_DATE}', '{params.RUN_DATE}' FROM fresh"
 def member_info_upsert(spark, sf):
     known = history(spark, sf)
     fresh = kpi.member_info_rows(src.event_logs(spark, sf), known, params.RUN_DATE)
-    return sink.upsert_set(known, fresh, ["member_id"])
+    root = workspace(spark, "member-info")
+    sink.publish(known, root)
+    sink.publish(sink.upsert_set(sink.current(spark, root, known.schema), fresh, ["member_id"]), root)
+    return sink.current(spark, root, known.schema)
 
 
 _HOURS = [f"hour_{h:02d}" for h in range(24)]
@@ -280,6 +284,32 @@ def kpi_total_members(spark, sf):
     )
 
 
+@query(
+    "kpi_browser_total_install_users",
+    with_views("el", kpi_ctes() + _dense_sql(
+        """SELECT date, platform, browser, browser_version, count(DISTINCT u_ud) AS new_install_users FROM both_br
+            WHERE en='e_l' GROUP BY ALL""",
+        "platform, browser, browser_version", "new_install_users", "total_install_users")),
+)
+def kpi_browser_total_install_users(spark, sf):
+    daily = kpi.new_install_users(src.event_logs(spark, sf), "browser")
+    return kpi.dense_running_total(
+        daily, ["platform", "browser", "browser_version"], "new_install_users", "total_install_users"
+    )
+
+
+@query(
+    "kpi_platform_total_members",
+    with_views("el", kpi_ctes() + _HIST + _dense_sql(
+        f"""SELECT date, platform, count(DISTINCT u_mid) AS new_members FROM both_pl
+            WHERE u_mid IS NOT NULL AND {_NOT_SEEN} GROUP BY ALL""",
+        "platform", "new_members", "total_members")),
+)
+def kpi_platform_total_members(spark, sf):
+    daily = kpi.new_members(src.event_logs(spark, sf), history(spark, sf))
+    return kpi.dense_running_total(daily, ["platform"], "new_members", "total_members")
+
+
 @query(
     "running_total",
     with_views("el", kpi_ctes() + _dense_sql(
@@ -317,7 +347,10 @@ sp AS (SELECT date, platform, browser, browser_version, u_sd, max(s_time)-min(s_
 se AS (SELECT date, platform, browser, browser_version, count(*) AS sessions,
   CAST((sum(CASE WHEN span BETWEEN 0 AND 86400000 THEN span ELSE 0 END) + 999)//1000 AS BIGINT) AS sessions_length
   FROM sp GROUP BY ALL)
-SELECT * FROM m JOIN se USING (date, platform, browser, browser_version)"""),
+SELECT *, CAST(sum(new_install_users) OVER w AS BIGINT) AS total_install_users,
+  CAST(sum(new_members) OVER w AS BIGINT) AS total_members
+FROM m JOIN se USING (date, platform, browser, browser_version)
+WINDOW w AS (PARTITION BY platform, browser, browser_version ORDER BY date)"""),
 )
 def browser_fact_export(spark, sf):
     return kpi.browser_facts(src.event_logs(spark, sf), history(spark, sf))

@@ -53,16 +53,16 @@ SELECT event_id, epoch_us(ts)//1000 AS s_time, CAST(CAST(ts AS DATE) AS VARCHAR)
   {_K} AS k
 FROM events""",
     "oe": """
-SELECT CAST(o_orderkey AS VARCHAR) AS oid, e.en,
-  epoch_us(o_orderdate)//1000 + CASE e.en WHEN 'e_crt' THEN 0 WHEN 'e_cs' THEN 3600000 ELSE 7200000 END AS s_time,
-  strftime(o_orderdate + CASE e.en WHEN 'e_crt' THEN INTERVAL 0 HOUR WHEN 'e_cs' THEN INTERVAL 1 HOUR
-    ELSE INTERVAL 2 HOUR END, '%Y-%m-%d') AS date,
+SELECT CAST(o_orderkey AS VARCHAR) AS oid, e.en, epoch_us(o_orderdate)//1000 + e.after AS s_time,
+  strftime(o_orderdate + e.after * INTERVAL 1 MILLISECOND, '%Y-%m-%d') AS date,
   CASE WHEN o_custkey % 3 = 0 THEN 'java_server' ELSE 'website' END AS pl,
   CASE WHEN o_orderkey % 4 = 0 THEN 'USD' ELSE 'RMB' END AS cut,
-  CASE o_orderkey % 3 WHEN 0 THEN 'alipay' WHEN 1 THEN 'weixin' ELSE 'card' END AS pt,
-  CAST(floor(o_totalprice) AS BIGINT) AS cua
-FROM orders CROSS JOIN (SELECT 'e_crt' AS en UNION ALL SELECT 'e_cs' UNION ALL SELECT 'e_cr') e
-WHERE e.en='e_crt' OR (e.en='e_cs' AND o_orderstatus IN ('F','P')) OR (e.en='e_cr' AND o_orderstatus='P')""",
+  CASE WHEN e.again THEN 'card' ELSE CASE o_orderkey % 3 WHEN 0 THEN 'alipay' WHEN 1 THEN 'weixin' ELSE 'card' END END AS pt,
+  CAST(floor(o_totalprice) AS BIGINT) + CAST(e.again AS BIGINT) AS cua
+FROM orders CROSS JOIN (VALUES ('e_crt', 0, false), ('e_crt', 60000, true), ('e_cs', 3600000, false),
+  ('e_cr', 7200000, false)) e(en, after, again)
+WHERE (e.en='e_crt' AND (NOT e.again OR o_orderkey % 7 = 0)) OR (e.en='e_cs' AND o_orderstatus IN ('F','P'))
+  OR (e.en='e_cr' AND o_orderstatus='P')""",
     "emp": """
 SELECT c_name AS name, 18 + c_custkey % 50 AS age, CAST(c_nationkey AS BIGINT) AS depId,
   CASE WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS gender, c_acctbal AS salary FROM customer""",

@@ -14,7 +14,8 @@ from footfall.sources import tables as src
 
 # The order table and the records of one kind with its dimensions.
 _INFO = """
-, info AS (SELECT oid AS order_id, pl, cut, pt, cua AS amount FROM oe WHERE en='e_crt'),
+, info AS (SELECT oid AS order_id, pl, cut, pt, cua AS amount FROM oe WHERE en='e_crt'
+  QUALIFY row_number() OVER (PARTITION BY oid ORDER BY s_time DESC) = 1),
 paid AS (SELECT e.en, e.date, e.oid, coalesce(i.pl,'unknown') AS pl, coalesce(i.cut,'unknown') AS cut,
   coalesce(i.pt,'unknown') AS pt, coalesce(i.amount,0) AS cua
   FROM oe e LEFT JOIN info i ON e.oid = i.order_id)"""
@@ -59,7 +60,7 @@ def _events_and_info(spark, sf):
     "order_info_extract",
     with_views("oe", """
 SELECT oid AS order_id, pl AS platform, s_time, cut AS currency_type, pt AS payment_type, cua AS amount
-FROM oe WHERE en='e_crt'"""),
+FROM oe WHERE en='e_crt' QUALIFY row_number() OVER (PARTITION BY oid ORDER BY s_time DESC) = 1"""),
 )
 def order_info_extract(spark, sf):
     return orders.order_info_rows(src.order_events(spark, sf))

@@ -119,9 +119,8 @@ WHERE s_time >= epoch_us(TIMESTAMP '{params.RUN_DATE}')//1000
   AND s_time < epoch_us(TIMESTAMP '{params.RUN_DATE}' + INTERVAL 1 DAY)//1000"""),
 )
 def pred_epoch_day(spark, sf):
-    return src.event_logs(spark, sf).where(P.epoch_day(F.col("s_time"), params.RUN_DATE)).select(
-        "event_id", "s_time"
-    )
+    day = src.event_logs(spark, sf, (params.RUN_DATE, params.RUN_DATE))
+    return day.where(P.epoch_day(F.col("s_time"), params.RUN_DATE)).select("event_id", "s_time")
 
 
 RAW_EVENT = "CASE event_type WHEN 'signup' THEN 'e_l' WHEN 'view' THEN 'e_pv' WHEN 'purchase' THEN 'e_crt' WHEN 'click' THEN 'e_click' ELSE 'e_e' END"

@@ -103,10 +103,12 @@ def hive_table_load(spark, sf):
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (key INT, value STRING) USING parquet LOCATION '{path}'")
     loaded = src.table(spark, sf, "part").selectExpr("CAST(p_partkey AS INT) AS key", "p_name AS value")
     loaded.write.insertInto(name)
-    return spark.sql(f"""
+    # the table is external: its files stay when the catalog forgets it
+    spark.sql(f"DROP TABLE {name}")
+    return spark.sql("""
         SELECT key, value, n_per_value
-        FROM {name} JOIN (SELECT value, count(*) AS n_per_value FROM {name} GROUP BY value) USING (value)
-        WHERE n_per_value > 1 ORDER BY key""")
+        FROM {rows} JOIN (SELECT value, count(*) AS n_per_value FROM {rows} GROUP BY value) USING (value)
+        WHERE n_per_value > 1 ORDER BY key""", rows=spark.read.schema("key INT, value STRING").parquet(path))
 
 
 EVENT_LOG_SCHEMA_COLUMNS = ["dt", "en", "u_ud", "s_time", "pl", "browser", "browser_v"]
@@ -118,7 +120,7 @@ EVENT_LOG_SCHEMA_COLUMNS = ["dt", "en", "u_ud", "s_time", "pl", "browser", "brow
 SELECT dt, en, u_ud, s_time, pl, browser, browser_v FROM el WHERE dt = '{params.RUN_DATE}' AND en = 'e_l'"""),
 )
 def event_log_scan(spark, sf):
-    logs = src.event_logs(spark, sf)
+    logs = src.event_logs(spark, sf, params.SCAN_DAYS)  # the wanted day and its neighbours
     path = sink.overwrite(logs, workspace(spark, "event-logs"), ["dt"])
     return files.event_log(
         spark, path, params.RUN_DATE, EVENT_LOG_SCHEMA_COLUMNS, event="e_l", schema=logs.schema
@@ -132,7 +134,7 @@ SELECT split_part(p_url, '/', 5) AS page, count(*) AS n FROM el WHERE dt = '{par
 )
 def raw_log_scan(spark, sf):
     root = workspace(spark, "logs")
-    lines = loglines.good_lines(src.event_logs(spark, sf))
+    lines = loglines.good_lines(src.event_logs(spark, sf, (params.RUN_DATE, params.RUN_DATE)))
     lines.where(F.col("dt") == params.RUN_DATE).select("value").write.text(
         files.raw_log_path(root, params.RUN_DATE)
     )

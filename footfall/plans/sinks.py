@@ -71,8 +71,8 @@ def batch_insert(spark, sf):
     counts = products.area_product_clicks(src.user_visit_action(spark, sf), src.city_info(spark, sf))
     target = workspace(spark, "area-products")
     rows = counts.select("area", "product_id", "click_count")
-    for task_id in (1, 2):
-        sink.insert(rows.select(F.lit(task_id).alias("task_id"), *rows.columns), target)
+    for task_id in (1, 2, 1):  # the first task is run again
+        sink.insert(rows.select(F.lit(task_id).alias("task_id"), *rows.columns), target, ["task_id"])
     return spark.read.parquet(target)
 
 
@@ -104,9 +104,12 @@ def upsert_set(spark, sf):
 def upsert_add(spark, sf):
     clicks = parse_clicks(src.ad_click_lines(spark, sf))
     first_half = F.col("province").isin("P0", "P1")
-    stored = user_ad_counts(clicks.where(first_half))
-    delta = user_ad_counts(clicks.where(~first_half))
-    return sink.upsert_add(stored, delta, ["date", "user_id", "ad_id"], "click_count")
+    keys, root = ["date", "user_id", "ad_id"], workspace(spark, "ad-user-clicks")
+    for part in (first_half, ~first_half):
+        delta = user_ad_counts(clicks.where(part))
+        stored = sink.current(spark, root, delta.schema)
+        sink.publish(sink.upsert_add(stored, delta, keys, "click_count"), root)
+    return sink.current(spark, root, delta.schema)
 
 
 @query(
@@ -126,27 +129,32 @@ def replace_group(spark, sf):
         clicks.where((F.col("date") >= params.RUN_DATE) & F.col("province").isin("P1", "P2"))
         .groupBy(*keys).agg(F.count_distinct("user_id").alias("click_count"))
     )
-    return sink.replace_group(old, new, ["date", "province"])
+    root = workspace(spark, "ad-province-clicks")
+    sink.publish(old, root)
+    sink.publish(sink.replace_group(sink.current(spark, root, old.schema), new, ["date", "province"]), root)
+    return sink.current(spark, root, old.schema)
 
 
 @query(
     "rerun_idempotent_delete",
     with_views("el", """
-SELECT u_mid AS member_id, min(dt) AS created FROM el WHERE u_mid IS NOT NULL GROUP BY u_mid"""),
+, m AS (SELECT u_mid AS member_id, min(dt) AS created FROM el WHERE u_mid IS NOT NULL GROUP BY u_mid)
+SELECT member_id, created, CASE WHEN created = (SELECT min(created) FROM m) THEN 2 ELSE 1 END AS run FROM m"""),
 )
 def rerun_idempotent_delete(spark, sf):
     first_seen = (
         src.event_logs(spark, sf).where(F.col("u_mid").isNotNull())
         .groupBy(F.col("u_mid").alias("member_id"))
         .agg(F.min(F.col("dt").cast("date")).cast("string").alias("created"))
+        .withColumn("run", F.lit(1))
     )
     path = sink.overwrite(first_seen, workspace(spark, "member-info"), ["created"])
-    # the run of one date is repeated: its partition is rewritten, the others stay
-    again = first_seen.where(F.col("created") == params.RUN_DATE)
-    sink.replace_partitions(again, path, ["created"])
     stored = spark.read.schema(first_seen.schema).parquet(path)
-    kept = sink.without_run(stored, params.RUN_DATE)
-    return kept.unionByName(again).select("member_id", "created")
+    # the run of the first date is repeated: its partition is rewritten, the others stay
+    run_date = stored.agg(F.min("created")).first()[0]
+    again = first_seen.where(F.col("created") == run_date).withColumn("run", F.lit(2))
+    sink.replace_partitions(again, path, ["created"])
+    return spark.read.schema(first_seen.schema).parquet(path).select("member_id", "created", "run")
 
 
 @query(
@@ -161,11 +169,15 @@ nm AS (SELECT date, platform, count(DISTINCT u_mid) AS new_members FROM both_pl
 sp AS (SELECT date, platform, u_sd, max(s_time)-min(s_time) AS span FROM both_pl GROUP BY ALL),
 se AS (SELECT date, platform, count(*) AS sessions,
   CAST((sum(CASE WHEN span <= 86400000 THEN span ELSE 0 END) + 999)//1000 AS BIGINT) AS sessions_length FROM sp GROUP BY ALL)
+, facts AS (
 SELECT date, platform, coalesce(active_users,0) AS active_users, coalesce(new_install_users,0) AS new_install_users,
   coalesce(active_members,0) AS active_members, coalesce(new_members,0) AS new_members,
   coalesce(sessions,0) AS sessions, coalesce(sessions_length,0) AS sessions_length
 FROM dims LEFT JOIN au USING (date, platform) LEFT JOIN nu USING (date, platform)
-  LEFT JOIN am USING (date, platform) LEFT JOIN nm USING (date, platform) LEFT JOIN se USING (date, platform)"""),
+  LEFT JOIN am USING (date, platform) LEFT JOIN nm USING (date, platform) LEFT JOIN se USING (date, platform))
+SELECT *, CAST(sum(new_install_users) OVER w AS BIGINT) AS total_install_users,
+  CAST(sum(new_members) OVER w AS BIGINT) AS total_members
+FROM facts WINDOW w AS (PARTITION BY platform ORDER BY date)"""),
 )
 def kpi_fact_export(spark, sf):
     return kpi.user_facts(src.event_logs(spark, sf), history(spark, sf))

@@ -12,19 +12,28 @@ from footfall.streaming import ads, words
 from footfall.streaming.base import file_lines
 
 
-def _folders(spark, sf, name, part=None):
-    """Click lines in a fresh folder, plus result and checkpoint folders."""
+BATCHES = 3
+
+
+def _folders(spark, sf, name):
+    """Click lines in a fresh folder, plus result and checkpoint folders.
+
+    The lines come as files without an order in time, read in ``BATCHES``
+    batches, so every batch holds clicks older than those of the one before.
+    """
     root = workspace(spark, name)
     lines = src.ad_click_lines(spark, sf)
-    if part is not None:
-        lines = lines.where(part)
-    lines.select("value").write.text(f"{root}/in")
+    lines.repartition(_files(spark), "event_id").select("value").write.text(f"{root}/in")
     return f"{root}/in", f"{root}/out", f"{root}/checkpoint"
 
 
+def _files(spark):
+    return max(BATCHES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _click_job(spark, sf, name, job, *args, **kwargs):
     source, out, checkpoint = _folders(spark, sf, name)
-    return job(file_lines(spark, source), *args, out, checkpoint, **kwargs)
+    return job(file_lines(spark, source, -(-_files(spark) // BATCHES)), *args, out, checkpoint, **kwargs)
 
 
 @query(
@@ -102,7 +111,7 @@ SELECT strftime(make_timestamp(start_ms*1000), '%Y-%m-%d %H:%M:%S') AS window_st
 FROM w GROUP BY ALL"""),
 )
 def stream_sliding_window(spark, sf):
-    return _click_job(spark, sf, "stream-sliding", ads.sliding_counts)
+    return _click_job(spark, sf, "stream-sliding", ads.sliding_counts, slide_ms=600_000)
 
 
 @query(

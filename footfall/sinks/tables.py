@@ -39,13 +39,20 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
     return path
 
 
-def insert(df: DataFrame, target: str, fmt: str = "parquet", batch_rows: int = BATCH_ROWS, **options) -> None:
-    """Append result rows.  With ``jdbc`` each task sends batches of ``batch_rows``."""
-    writer = df.write.mode("append").format(fmt).options(**options)
+def insert(
+    df: DataFrame, target: str, run_by: Sequence[str], fmt: str = "parquet", batch_rows: int = BATCH_ROWS, **options
+) -> None:
+    """Add the rows of a run; the columns ``run_by`` name it.
+
+    Files are laid out by run and a repeated run replaces its own rows.  With
+    ``jdbc`` each task sends batches of ``batch_rows``; the database has to
+    refuse or merge what a repeated run sends again.
+    """
     if fmt == "jdbc":
+        writer = df.write.mode("append").format(fmt).options(**options)
         writer.option("dbtable", target).option("batchsize", batch_rows).save()
     else:
-        writer.save(target)
+        replace_partitions(df, target, run_by)
 
 
 def insert_many(df: DataFrame, targets: Sequence[tuple[DataFrame, str]]) -> None:
@@ -110,14 +117,18 @@ def upsert_set(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame
 
 
 def upsert_add(old: DataFrame, delta: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
-    """Add the delta to the stored measure, inserting unknown keys."""
+    """Add the delta to the stored measure, inserting unknown keys.
+
+    Other stored columns stay as they are; new keys bring theirs, or null.
+    """
     keys = list(keys)
-    return (
-        old.select(*keys, measure)
-        .unionByName(delta.select(*keys, measure))
-        .groupBy(*keys)
-        .agg(F.sum(measure).alias(measure))
+    others = [c for c in old.columns if c not in [*keys, measure]]
+    brought = [c for c in delta.columns if c in [*keys, measure, *others]]
+    both = old.withColumn("_stored", F.lit(1)).unionByName(
+        delta.select(*brought).withColumn("_stored", F.lit(0)), allowMissingColumns=True
     )
+    kept = [F.max_by(c, "_stored").alias(c) for c in others]
+    return both.groupBy(*keys).agg(F.sum(measure).alias(measure), *kept).select(*old.columns)
 
 
 def replace_group(old: DataFrame, new: DataFrame, group: Sequence[str]) -> DataFrame:

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.functions.times import epoch_ms
-from footfall.functions.web import computed_once
 from footfall.sources.files import time_range
 
 OWN_HOST = "shop.example.com"
@@ -28,8 +27,8 @@ def _events(spark: SparkSession, sf_dir: str, days: Days | None = None) -> DataF
     events = table(spark, sf_dir, "events")
     if days is not None:
         events = time_range(events, *days, "ts")
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    return computed_once(events, "k", k)
+    # a plain column: queries that do not use it do not read ``props``
+    return events.withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
 
 
 def user_visit_action(spark: SparkSession, sf_dir: str, days: Days | None = None) -> DataFrame:
@@ -92,8 +91,9 @@ def ad_click_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events(spark, sf_dir).withColumn("s_time", epoch_ms("ts")).selectExpr(
+def event_logs(spark: SparkSession, sf_dir: str, days: Days | None = None) -> DataFrame:
+    """Log records, optionally of the days ``first..last``; that range reaches the scan."""
+    return _events(spark, sf_dir, days).withColumn("s_time", epoch_ms("ts")).selectExpr(
         "event_id",
         "s_time",
         "CAST(CAST(ts AS DATE) AS STRING) AS dt",
@@ -121,23 +121,32 @@ def event_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Creation, payment and refund records, made from one scan of ``orders``."""
+    """Creation, payment and refund records, made from one scan of ``orders``.
+
+    Every seventh order has a second creation record, a minute later and with
+    another amount and payment type.
+    """
+    record = "named_struct('en', '{}', 'after', {}L, 'again', {})"
+    create, again = record.format("e_crt", 0, "false"), record.format("e_crt", 60000, "true")
+    pay, refund = record.format("e_cs", 3600000, "false"), record.format("e_cr", 7200000, "false")
     kinds = F.expr(
-        "CASE WHEN o_orderstatus = 'P' THEN array('e_crt', 'e_cs', 'e_cr') "
-        "WHEN o_orderstatus = 'F' THEN array('e_crt', 'e_cs') ELSE array('e_crt') END"
+        f"concat(array({create}), IF(o_orderkey % 7 = 0, array({again}), array()), "
+        f"CASE WHEN o_orderstatus = 'P' THEN array({pay}, {refund}) "
+        f"WHEN o_orderstatus = 'F' THEN array({pay}) ELSE array() END)"
     )
     return (
         table(spark, sf_dir, "orders")
         .withColumn("oms", epoch_ms("o_orderdate"))
-        .withColumn("en", F.explode(kinds))
+        .withColumn("r", F.explode(kinds))
         .selectExpr(
             "CAST(o_orderkey AS STRING) AS oid",
-            "en",
-            "oms + CASE en WHEN 'e_crt' THEN 0 WHEN 'e_cs' THEN 3600000 ELSE 7200000 END AS s_time",
+            "r.en AS en",
+            "oms + r.after AS s_time",
             "CASE WHEN o_custkey % 3 = 0 THEN 'java_server' ELSE 'website' END AS pl",
             "CASE WHEN o_orderkey % 4 = 0 THEN 'USD' ELSE 'RMB' END AS cut",
-            "CASE o_orderkey % 3 WHEN 0 THEN 'alipay' WHEN 1 THEN 'weixin' ELSE 'card' END AS pt",
-            "CAST(floor(o_totalprice) AS BIGINT) AS cua",
+            "CASE WHEN r.again THEN 'card' ELSE CASE o_orderkey % 3 WHEN 0 THEN 'alipay' WHEN 1 THEN 'weixin' "
+            "ELSE 'card' END END AS pt",
+            "CAST(floor(o_totalprice) AS BIGINT) + IF(r.again, 1, 0) AS cua",
         )
     )
 

@@ -3,6 +3,9 @@
 Input is a stream of click lines.  Every job takes the stream, a folder for its
 results and a checkpoint folder, processes what is there and can be started
 again later.
+
+Counts are kept as the sum of what each batch adds, not as state behind a
+watermark: a click counts however late it comes.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from pyspark.sql import types as T
 
 from footfall.operators import ads
 from footfall.operators.joins import without_users
-from footfall.sinks.tables import latest, latest_groups
+from footfall.sinks.tables import latest_groups
 from footfall.streaming import ledger
 from footfall.streaming.base import Run, run_available
 
@@ -37,7 +40,7 @@ TOP = _schema(("date", _STR), ("province", _STR), ("ad_id", _LONG), ("click_coun
 TREND = _schema(
     ("date", _STR), ("hour", _STR), ("minute", _STR), ("ad_id", _LONG), ("click_count", _LONG)
 )
-WINDOWED = _schema(("window_start", _STR), ("window_end", _STR), ("ad_id", _LONG), ("click_count", _LONG))
+SLOTS = _schema(("slot_ms", _LONG), ("ad_id", _LONG), ("click_count", _LONG))
 USERS = _schema(("user_id", _LONG))
 
 
@@ -61,15 +64,18 @@ def allowed_clicks(
         ledger.store(without_users(batch, load_blacklist(batch.sparkSession)), out, batch_id)
 
     run(ads.parse_clicks(lines).writeStream.foreachBatch(step), checkpoint)
-    return lines.sparkSession.read.schema(CLICKS).parquet(f"{out}/batches").drop("batch_id")
+    return ledger.appended(lines.sparkSession, out, CLICKS)
 
 
 USER_AD_KEYS = ["date", "user_id", "ad_id"]
 STAT_KEYS = ["date", "province", "city", "ad_id"]
 
 
-def _summed(rows: DataFrame) -> DataFrame:
-    return rows.groupBy(*USER_AD_KEYS).agg(F.sum("click_count").alias("click_count"))
+def _sum_by(keys: list[str]) -> ledger.Fold:
+    return lambda rows: rows.groupBy(*keys).agg(F.sum("click_count").alias("click_count"))
+
+
+_summed = _sum_by(USER_AD_KEYS)
 
 
 def _users(rows: DataFrame) -> DataFrame:
@@ -114,6 +120,7 @@ def dynamic_blacklist(
         delta = ledger.store(ads.user_ad_counts(without_users(batch, banned)), counts_path, batch_id)
         # only keys this batch touched can newly reach the threshold
         earlier = ledger.before(spark, counts_path, USER_AD, batch_id, every).drop("batch_id")
+        earlier = earlier.where(F.col("date").isin(ledger.days_of(delta)))
         touched = earlier.join(delta.select(*USER_AD_KEYS), USER_AD_KEYS, "left_semi")
         totals = _summed(touched.unionByName(delta))
         ledger.store(without_users(ads.over_threshold(totals, threshold), banned), banned_path, batch_id)
@@ -122,124 +129,100 @@ def dynamic_blacklist(
     return ledger.content(lines.sparkSession, banned_path, USERS, _users, every)
 
 
-def _timed(lines: DataFrame, delay: str) -> DataFrame:
-    clicks = ads.parse_clicks(lines)
-    return clicks.withColumn("ts", F.timestamp_millis("click_ms")).withWatermark("ts", delay)
-
-
-def _daily_state(lines: DataFrame, delay: str) -> DataFrame:
-    """Running counts whose state of a day is dropped once the watermark passes it."""
-    return (
-        _timed(lines, delay)
-        .groupBy(F.window("ts", "1 day"), "date", "province", "city", "ad_id")
-        .agg(F.count(F.lit(1)).alias("click_count"))
-        .drop("window")
-    )
-
-
-def _newest(keys: list[str]) -> ledger.Fold:
-    return lambda rows: latest(rows, keys)
-
-
-def _updates(
-    counted: DataFrame, out: str, checkpoint: str, schema, keys: list[str], every: int, run: Run
+def _counted(
+    lines: DataFrame,
+    count: Callable[[DataFrame], DataFrame],
+    out: str,
+    checkpoint: str,
+    schema: T.StructType,
+    every: int,
+    run: Run,
 ) -> DataFrame:
-    """Keep the updates of a running aggregation; the newest value of a key counts."""
+    """Counts that batches add to: ``count`` makes those of one batch."""
+    fold = _sum_by([n for n in schema.names if n != "click_count"])
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        ledger.fold_if_due(batch.sparkSession, out, schema, batch_id, _newest(keys), every)
-        ledger.store(batch, out, batch_id)
+        ledger.fold_if_due(batch.sparkSession, out, schema, batch_id, fold, every)
+        ledger.store(count(batch).select(*schema.names), out, batch_id)
+
+    run(ads.parse_clicks(lines).writeStream.foreachBatch(step), checkpoint)
+    return ledger.content(lines.sparkSession, out, schema, fold, every)
+
 
-    run(counted.writeStream.outputMode("update").foreachBatch(step), checkpoint)
-    return ledger.content(counted.sparkSession, out, schema, _newest(keys), every)
+def _per(*keys: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda clicks: clicks.groupBy(*keys).agg(F.count(F.lit(1)).alias("click_count"))
 
 
 def ad_totals(
-    lines: DataFrame,
-    out: str,
-    checkpoint: str,
-    delay: str = "1 day",
-    every: int = ledger.EVERY,
-    run: Run = run_available,
+    lines: DataFrame, out: str, checkpoint: str, every: int = ledger.EVERY, run: Run = run_available
 ) -> DataFrame:
     """Running counts per (day, province, city, ad)."""
-    return _updates(_daily_state(lines, delay), out, checkpoint, STAT, STAT_KEYS, every, run)
+    return _counted(lines, _per(*STAT_KEYS), out, checkpoint, STAT, every, run)
 
 
 def province_top3(
-    lines: DataFrame,
-    out: str,
-    checkpoint: str,
-    delay: str = "1 day",
-    every: int = ledger.EVERY,
-    run: Run = run_available,
+    lines: DataFrame, out: str, checkpoint: str, every: int = ledger.EVERY, run: Run = run_available
 ) -> DataFrame:
     """Best three ads per (day, province), renewed for the groups a batch touched."""
     stat_path, top_path = f"{out}/stat", f"{out}/top"
     group = ["date", "province"]
+    fold = _sum_by(STAT_KEYS)
 
     def newest_groups(rows: DataFrame) -> DataFrame:
         return latest_groups(rows, group)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        ledger.fold_if_due(spark, stat_path, STAT, batch_id, _newest(STAT_KEYS), every)
+        ledger.fold_if_due(spark, stat_path, STAT, batch_id, fold, every)
         ledger.fold_if_due(spark, top_path, TOP, batch_id, newest_groups, every)
-        delta = ledger.store(batch, stat_path, batch_id)
-        earlier = ledger.before(spark, stat_path, STAT, batch_id, every)
+        delta = ledger.store(_per(*STAT_KEYS)(batch), stat_path, batch_id)
+        earlier = ledger.before(spark, stat_path, STAT, batch_id, every).drop("batch_id")
+        earlier = earlier.where(F.col("date").isin(ledger.days_of(delta)))
         touched = earlier.join(delta.select(*group).distinct(), group, "left_semi")
-        known = touched.unionByName(delta.withColumn("batch_id", F.lit(batch_id).cast("bigint")))
-        ledger.store(ads.province_top_ads(latest(known, STAT_KEYS)), top_path, batch_id)
+        ledger.store(ads.province_top_ads(fold(touched.unionByName(delta))), top_path, batch_id)
 
-    run(_daily_state(lines, delay).writeStream.outputMode("update").foreachBatch(step), checkpoint)
+    run(ads.parse_clicks(lines).writeStream.foreachBatch(step), checkpoint)
     return ledger.content(lines.sparkSession, top_path, TOP, newest_groups, every)
 
 
 def click_trend(
-    lines: DataFrame,
-    out: str,
-    checkpoint: str,
-    delay: str = "1 hour",
-    every: int = ledger.EVERY,
-    run: Run = run_available,
+    lines: DataFrame, out: str, checkpoint: str, every: int = ledger.EVERY, run: Run = run_available
 ) -> DataFrame:
-    """Clicks per (minute, ad); a minute stays open for ``delay``."""
-    minute = F.col("window.start")
-    counted = (
-        _timed(lines, delay)
-        .groupBy(F.window("ts", "1 minute"), "ad_id")
-        .agg(F.count(F.lit(1)).alias("click_count"))
-        .select(
-            F.date_format(minute, "yyyy-MM-dd").alias("date"),
-            F.date_format(minute, "HH").alias("hour"),
-            F.date_format(minute, "mm").alias("minute"),
-            "ad_id",
-            "click_count",
-        )
-    )
-    return _updates(counted, out, checkpoint, TREND, ["date", "hour", "minute", "ad_id"], every, run)
+    """Clicks per (minute, ad)."""
+    at = F.timestamp_millis("click_ms")
+
+    def count(clicks: DataFrame) -> DataFrame:
+        minutes = clicks.withColumns({"hour": F.date_format(at, "HH"), "minute": F.date_format(at, "mm")})
+        return _per("date", "hour", "minute", "ad_id")(minutes)
+
+    return _counted(lines, count, out, checkpoint, TREND, every, run)
+
+
+SLIDE_MS = 10_000
 
 
 def sliding_counts(
     lines: DataFrame,
     out: str,
     checkpoint: str,
-    size: str = "60 minutes",
-    slide: str = "10 minutes",
-    delay: str = "1 hour",
+    size_ms: int = 3_600_000,
+    slide_ms: int = SLIDE_MS,
     every: int = ledger.EVERY,
     run: Run = run_available,
 ) -> DataFrame:
-    """Clicks per ad in overlapping windows."""
-    counted = (
-        _timed(lines, delay)
-        .groupBy(F.window("ts", size, slide), "ad_id")
-        .agg(F.count(F.lit(1)).alias("click_count"))
-        .select(
-            F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
-            F.date_format("window.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"),
-            "ad_id",
-            "click_count",
-        )
+    """Clicks per ad in overlapping windows.
+
+    Batches store counts per slide; only reading expands a slide's count to the
+    windows that hold it.
+    """
+    slot = (F.floor(F.col("click_ms") / F.lit(slide_ms)) * slide_ms).cast("bigint")
+    stored = _counted(
+        lines, lambda clicks: _per("slot_ms", "ad_id")(clicks.withColumn("slot_ms", slot)), out, checkpoint, SLOTS, every, run
+    )
+    starts = F.sequence(F.col("slot_ms") - (size_ms - slide_ms), F.col("slot_ms"), F.lit(slide_ms).cast("bigint"))
+    text = lambda ms: F.date_format(F.timestamp_millis(ms), "yyyy-MM-dd HH:mm:ss")
+    windows = stored.select(F.explode(starts).alias("start"), "ad_id", "click_count")
+    summed = windows.groupBy("start", "ad_id").agg(F.sum("click_count").alias("click_count"))
+    return summed.select(
+        text(F.col("start")).alias("window_start"), text(F.col("start") + size_ms).alias("window_end"), "ad_id", "click_count"
     )
-    return _updates(counted, out, checkpoint, WINDOWED, ["window_start", "window_end", "ad_id"], every, run)

@@ -4,7 +4,11 @@
 writes a folder named by its id, which a repetition overwrites.  Every
 ``EVERY`` batches the content so far is folded into a snapshot, so a reader
 opens at most one snapshot and ``EVERY`` batch folders, however long the stream
-has been running.  A table and the checkpoint of its query belong together.
+has been running; what two snapshots have made obsolete is deleted.  A table and the
+checkpoint of its query belong together.
+
+Tables with a ``date`` column are laid out by it, so a batch that asks for its
+own days reads no others.
 """
 
 from __future__ import annotations
@@ -62,20 +66,52 @@ def fold_if_due(
     """Write the snapshot due before ``batch_id``; call this first in a batch."""
     if batch_id and batch_id % every == 0:
         rows = _range(spark, path, schema, batch_id - every, batch_id)
-        fold(rows).select(*schema.names).write.mode("overwrite").parquet(_snapshot(path, batch_id))
+        _write(fold(rows).select(*schema.names), _snapshot(path, batch_id))
+        _forget(spark, path, batch_id - every, every)
+
+
+def _write(df: DataFrame, folder: str) -> None:
+    by = ["date"] if "date" in df.columns else []
+    df.write.mode("overwrite").partitionBy(*by).parquet(folder)
+
+
+def _forget(spark: SparkSession, path: str, before_id: int, every: int) -> None:
+    """Delete what no reader needs: it is in a snapshot, and a later one exists."""
+    if before_id <= 0:
+        return
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    files = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for i in range(before_id - every, before_id):
+        files.delete(hadoop(_batch(path, i)), True)
+    if before_id > every:
+        files.delete(hadoop(_snapshot(path, before_id - every)), True)
 
 
 def store(df: DataFrame, path: str, batch_id: int) -> DataFrame:
     """Keep the rows of a batch; returns them as stored."""
-    df.write.mode("overwrite").parquet(_batch(path, batch_id))
+    _write(df, _batch(path, batch_id))
     return df.sparkSession.read.schema(df.schema).parquet(_batch(path, batch_id))
 
 
+def days_of(delta: DataFrame) -> list[str]:
+    """The days a batch touches; a batch is a few seconds of clicks and some late ones."""
+    return [r["date"] for r in delta.select("date").distinct().collect()]
+
+
 def last_batch(spark: SparkSession, path: str) -> int:
     """Id of the newest completely written batch, -1 if there is none."""
     return newest_folder(spark, f"{path}/batches", "batch_id")
 
 
+def appended(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All rows of a table that only grows, of completely written batches."""
+    end = last_batch(spark, path)
+    if end < 0:
+        return literal_relation(spark, [], schema)
+    rows = spark.read.schema(_with_batch(schema)).parquet(f"{path}/batches")
+    return rows.where(F.col("batch_id") <= end).select(*schema.names)
+
+
 def content(
     spark: SparkSession, path: str, schema: T.StructType, fold: Fold, every: int = EVERY
 ) -> DataFrame:

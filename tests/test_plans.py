@@ -7,10 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from footfall.operators import skew
+from footfall.plans import CATALOG
 from footfall.sources import files
 from footfall.sources import tables as src
 
-QUERIES = entry.queries()
+QUERIES = {k: q for k, q in entry.queries().items() if k in CATALOG}
 
 
 def plan_of(df):
@@ -79,6 +80,23 @@ def test_one_day_of_the_event_log(spark, small):
     assert "p_ref" not in re.search(r"ReadSchema: struct<(.*?)>", plan).group(1)
 
 
+def read_schema(plan):
+    return re.search(r"ReadSchema: struct<(.*?)>", plan).group(1)
+
+
+@pytest.mark.parametrize("key", ["kpi_sessions", "area_top3_products", "pred_epoch_day", "distinct_rows"])
+def test_json_is_read_only_where_it_is_used(spark, small, key):
+    plan = plan_of(QUERIES[key](spark, small))
+    assert "props" not in plan and "get_json_object" not in plan
+
+
+def test_one_day_reaches_the_scan_of_the_logs(spark, small):
+    plan = plan_of(QUERIES["pred_epoch_day"](spark, small))
+    pushed = re.search(r"PushedFilters: \[(.*?)\]", plan).group(1)
+    assert "GreaterThanOrEqual(ts" in pushed and "LessThan(ts" in pushed
+    assert read_schema(plan) == "event_id:bigint,ts:timestamp_ntz"
+
+
 def test_two_columns_are_read_for_two(spark, small):
     plan = plan_of(QUERIES["repartition_layout"](spark, small))
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan

@@ -66,38 +66,81 @@ def test_salted_joins(spark, how):
     right = spark.createDataFrame([(i, f"r{i}") for i in range(0, 300, 2)] + [(1, "a"), (1, "b")], "k int, y string")
     want = rows_of(left.join(right, "k", how).fillna(""))
     assert rows_of(skew.salted_join(left, right, "k", 7, how).fillna("")) == want
-    assert rows_of(skew.skew_split_join(left, right, "k", top=2, salts=5, how=how).fillna("")) == want
+    assert rows_of(skew.skew_split_join(left, right, "k", hot_rows=30, how=how).fillna("")) == want
 
 
 def test_null_keys_in_split_join(spark):
     left = spark.createDataFrame([(None, 1), (1, 2), (2, 3)], "k int, x int")
     right = spark.createDataFrame([(1, "a")], "k int, y string")
-    got = skew.skew_split_join(left, right, "k", top=1, salts=3, how="left")
+    got = skew.skew_split_join(left, right, "k", hot_rows=1, how="left")
     assert rows_of(got.fillna(-1).fillna("")) == rows_of(left.join(right, "k", "left").fillna(-1).fillna(""))
 
 
-def test_ip_region_with_a_large_range_table(spark, monkeypatch):
+def test_three_million_rows_of_one_session_are_cut(spark, tmp_path):
+    """Columns compress a hot key best, so no size tells how many rows there are."""
+    path = str(tmp_path / "hot")
+    spark.range(3_000_000).selectExpr("'s' AS u_sd", "1704103200000 + id div 50 AS s_time").write.option(
+        "compression", "zstd"
+    ).parquet(path)
+    rows = spark.read.parquet(path)
+    sliced = skew.time_sliced(rows, ["u_sd"], F.col("s_time"), hot_rows=100_000)
+    per = sliced.groupBy("_slice").count().agg(F.max("count"), F.sum("count")).first()
+    assert per[0] < 100_000 and per[1] == 3_000_000
+
+
+def test_equal_rows_are_numbered_by_many_tasks(spark):
+    rows = spark.range(60_000).select(F.lit(1).alias("g"), F.lit("same").alias("v"))
+    out = skew.numbered(rows, ["v"], "n", ["g"])
+    assert out.agg(F.count_distinct("n"), F.min("n"), F.max("n")).first()[:] == (60_000, 1, 60_000)
+    spread = rows.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(8, "g", "v", "_tie")
+    assert spread.select(F.spark_partition_id().alias("p")).distinct().count() > 4
+
+
+def test_top_beyond_the_limit_of_the_optimizer(spark):
+    rows = spark.range(20_000).select((F.col("id") % 3).alias("k"), "id")
+    got = skew.top_per_group(rows, ["k"], [F.desc("id")], 1500)
+    assert got.count() == 4500 and got.agg(F.min("id")).first()[0] == 20_000 - 4500
+
+
+def test_ip_region_as_by_trying_all_ranges(spark):
+    import random
+
     from footfall import schemas
     from footfall.operators import joins
     from footfall.sources.files import literal_relation
 
-    ranges = literal_relation(spark, [("1.0.0.0", "1.1.255.255", "a"), ("1.2.0.0", "1.2.0.9", "b")], schemas.IP_RANGE)
-    rows = spark.createDataFrame(
-        [(1, "1.1.0.7"), (2, "1.2.0.9"), (3, "1.2.0.10"), (4, None), (5, "x"), (6, "1.1.0.7")], "i int, ip string")
-    want = {1: "a", 2: "b", 3: None, 4: None, 5: None, 6: "a"}
-    assert {r["i"]: r["region"] for r in joins.ip_region(rows, ranges).collect()} == want
-    monkeypatch.setattr(joins, "is_small", lambda *a: False)
-    assert {r["i"]: r["region"] for r in joins.ip_region(rows, ranges).collect()} == want
-
+    rng = random.Random(3)
+    dotted = lambda n: ".".join(str(n >> s & 255) for s in (24, 16, 8, 0))
+    ranges = [(0, 2**32 - 1), (5 << 24, (7 << 24) - 1), (5 << 24, 5 << 24), ((5 << 24) + 65535, (5 << 24) + 65536)]
+    for size in (3, 300, 70_000, 200_000, 1 << 24, 40 << 20):
+        for _ in range(12):
+            lo = rng.randrange(4 << 24, 9 << 24)
+            ranges.append((lo, lo + rng.randrange(size)))
+    ranges += [(a // 65536 * 65536, b // 65536 * 65536 + 65535) for a, b in ranges[-20:]]
+    probes = [x + d for a, b in ranges for x in (a, b) for d in (-1, 0, 1) if 0 <= x + d < 2**32]
+    probes += [rng.randrange(3 << 24, 10 << 24) for _ in range(500)]
+    named = literal_relation(spark, [(dotted(a), dotted(b), f"{a}-{b}") for a, b in ranges], schemas.IP_RANGE)
+    rows = [(i, dotted(n)) for i, n in enumerate(probes)] + [(-1, None), (-2, "x")]
+    got = joins.ip_region(spark.createDataFrame(rows, "i int, ip string"), named).collect()
+    want = {-1: None, -2: None}
+    for i, n in enumerate(probes):
+        a, b = min((r for r in ranges if r[0] <= n <= r[1]), key=lambda r: (r[1] - r[0], r[0]))
+        want[i] = f"{a}-{b}"
+    assert len(got) == len(rows) and {r["i"]: r["region"] for r in got} == want
+
+
+def test_patterns_of_all_kinds(spark):
+    import re
 
-def test_pattern_chunks(spark, monkeypatch):
     from footfall.operators import joins
 
-    monkeypatch.setattr(joins, "PATTERN_CHUNK_BYTES", 16)
-    rows = spark.createDataFrame([(i, f"http://h{i}.example/") for i in range(40)], "i int, p_ref string")
-    patterns = spark.createDataFrame([(100 + i, f"h{i}.example") for i in range(0, 40, 2)], "id int, url string")
-    got = {r["i"]: r["inbound"] for r in joins.inbound_of(rows, patterns, []).collect()}
-    assert got == {i: 2 if i % 2 else 100 + i for i in range(40)}
+    hosts = [f"h{i}.example" for i in range(30)] + ["x.h3.example", "hh", "other", "a.b", "aXb", "ab", "a", "q1", "z|z"]
+    patterns = [(100 + i, f"h{i}.example") for i in range(0, 30, 2)] + [
+        (50, "h1"), (200, "h[35].example"), (201, "a.b"), (202, "ab?"), (203, ".*her"), (204, "q1|hh"), (205, "(x).+"), (206, "a{1}b")]
+    rows = spark.createDataFrame([(i, f"http://{h}/") for i, h in enumerate(hosts)] + [(99, None)], "i int, p_ref string")
+    got = joins.inbound_of(rows, spark.createDataFrame(patterns, "id int, url string"), [])
+    hit = lambda h: min((i for i, p in patterns if h.startswith(p) or re.fullmatch(p, h)), default=2)
+    assert {r["i"]: r["inbound"] for r in got.collect()} == {i: hit(h) for i, h in enumerate(hosts)} | {99: 0}
 
 
 def test_two_phase_count(spark):

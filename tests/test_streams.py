@@ -25,8 +25,8 @@ def clicks(spark, small, tmp_path_factory):
 
 JOBS = {
     "user_ad": (ads.user_ad_totals, batch.user_ad_counts, {}),
-    "totals": (ads.ad_totals, batch.ad_stat, {"delay": "60 days"}),
-    "top3": (ads.province_top3, lambda c: batch.province_top_ads(batch.ad_stat(c)), {"delay": "60 days"}),
+    "totals": (ads.ad_totals, batch.ad_stat, {}),
+    "top3": (ads.province_top3, lambda c: batch.province_top_ads(batch.ad_stat(c)), {}),
 }
 
 
@@ -100,20 +100,53 @@ def test_restart_goes_on(spark, small, tmp_path):
     assert ledger.last_batch(spark, f"{tmp_path}/out") == 1
 
 
-def test_late_clicks_are_dropped_with_their_state(spark, tmp_path):
+def test_late_clicks_count(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
     day = 1_705_276_800_000
-    out, cp = f"{tmp_path}/out", f"{tmp_path}/cp"
 
     def arrive(name, ms):
         (source / name).write_text(f"{ms} P C 1 1\n")
-        return ads.ad_totals(file_lines(spark, str(source)), out, cp, delay="1 hour")
+        lines = file_lines(spark, str(source))
+        totals = ads.ad_totals(lines, f"{tmp_path}/out", f"{tmp_path}/cp", every=2)
+        top = ads.province_top3(lines, f"{tmp_path}/top", f"{tmp_path}/cp2", every=2)
+        trend = ads.click_trend(lines, f"{tmp_path}/trend", f"{tmp_path}/cp3", every=2)
+        slides = ads.sliding_counts(lines, f"{tmp_path}/slides", f"{tmp_path}/cp4", 60_000, 10_000, every=2)
+        return totals, top, trend, slides
 
     arrive("1.txt", day)
     arrive("2.txt", day + 3 * 86_400_000)
-    got = arrive("3.txt", day + 1)  # three days late
-    assert {r["date"]: r["click_count"] for r in got.collect()} == {"2024-01-15": 1, "2024-01-18": 1}
+    arrive("3.txt", day + 4 * 86_400_000)
+    totals, top, trend, slides = arrive("4.txt", day + 1)  # four days late
+    want = {"2024-01-15": 2, "2024-01-18": 1, "2024-01-19": 1}
+    for frame in (totals, top, trend):
+        assert {r["date"]: r["click_count"] for r in frame.collect()} == want
+    rows = slides.where("window_start < '2024-01-16'").orderBy("window_start").collect()
+    assert [r["click_count"] for r in rows] == [2] * 6
+    assert (rows[0]["window_start"], rows[5]["window_end"]) == ("2024-01-14 23:59:10", "2024-01-15 00:01:00")
+
+
+def test_old_batches_are_deleted(spark, tmp_path):
+    import os
+
+    path, schema = f"{tmp_path}/t", ads.USER_AD
+    for batch_id in range(9):
+        ledger.fold_if_due(spark, path, schema, batch_id, ads._summed, 2)
+        ledger.store(spark.createDataFrame([("2024-01-15", 1, 1, 1)], schema), path, batch_id)
+        assert ledger.content(spark, path, schema, ads._summed, 2).first()["click_count"] == batch_id + 1
+    assert sorted(os.listdir(f"{path}/snapshots")) == ["before=6", "before=8"]
+    assert len([f for f in os.listdir(f"{path}/batches") if f.startswith("batch_id")]) == 3
+
+
+def test_unfinished_batches_are_not_read(spark, tmp_path):
+    import os
+
+    path, schema = f"{tmp_path}/t", ads.USER_AD
+    assert ledger.appended(spark, path, schema).count() == 0
+    for batch_id in range(2):
+        ledger.store(spark.createDataFrame([("2024-01-15", 1, 1, 1)], schema), path, batch_id)
+    os.remove(f"{path}/batches/batch_id=1/_SUCCESS")
+    assert ledger.appended(spark, path, schema).count() == 1
 
 
 def test_continuous_run(spark, clicks, tmp_path):
