@@ -89,23 +89,13 @@ def query_pairs(target: Column) -> Column:
     return F.filter(pairs, lambda p: ~is_blank(p["key"]) & ~is_blank(p["value"]))
 
 
-def _last_wins(pairs: Column) -> Column:
-    """The pairs without those a later pair of the same key replaces."""
-    keys = F.transform(pairs, lambda p: p["key"])
-    last = F.filter(
-        pairs,
-        lambda p, i: ~F.exists(
-            F.slice(pairs, i + 2, F.greatest(F.size(pairs), F.lit(1))), lambda q: q["key"] == p["key"]
-        ),
-    )
-    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), pairs).otherwise(last)
-
-
 def with_query_map(df: DataFrame, target: str, name: str) -> DataFrame:
-    """Adds the parameters of a request target as a map; the last value of a
-    repeated parameter wins.  Each line is taken apart once."""
-    staged = computed_once(df, "_pairs", query_pairs(F.col(target)))
-    return computed_once(staged, name, F.map_from_entries(_last_wins(F.col("_pairs")))).drop("_pairs")
+    """Adds the parameters of a request target as a map.  Each line is taken apart once.
+
+    The last value of a repeated parameter wins (``mapKeyDedupPolicy`` in
+    ``session.SETTINGS``).
+    """
+    return computed_once(df, name, F.map_from_entries(query_pairs(F.col(target))))
 
 
 def ip_number(ip: Column) -> Column:
@@ -122,6 +112,12 @@ def ip_number(ip: Column) -> Column:
 # Browser and system rules, first match wins: (name, pattern whose first group
 # is the version).
 BROWSER_RULES = [
+    ("Bot", r"(?i)(?:bot|spider|crawler)[/ -]?([0-9]+(?:\.[0-9]+)?)?"),
+    ("Samsung Internet", r"SamsungBrowser/([0-9]+(?:\.[0-9]+)?)"),
+    ("Opera Mini", r"Opera Mini/([0-9]+(?:\.[0-9]+)?)"),
+    ("Chrome Mobile", r"CriOS/([0-9]+(?:\.[0-9]+)?)"),
+    ("Firefox Mobile", r"FxiOS/([0-9]+(?:\.[0-9]+)?)"),
+    ("Edge", r"Edg(?:A|iOS)/([0-9]+(?:\.[0-9]+)?)"),
     ("Edge", r"Edge?/([0-9]+(?:\.[0-9]+)?)"),
     ("Opera", r"(?:OPR|Opera)/([0-9]+(?:\.[0-9]+)?)"),
     ("Chrome", r"Chrome/([0-9]+(?:\.[0-9]+)?)"),
@@ -133,6 +129,7 @@ BROWSER_RULES = [
 SYSTEM_RULES = [
     ("Android", r"Android ([0-9]+(?:\.[0-9]+)?)"),
     ("iOS", r"(?:iPhone|CPU) OS ([0-9]+(?:_[0-9]+)?)"),
+    ("Chrome OS", r"CrOS [a-z0-9_]+ ([0-9]+(?:\.[0-9]+)?)"),
     ("Windows", r"Windows NT ([0-9]+\.[0-9]+)"),
     ("macOS", r"Mac OS X ([0-9]+(?:[._][0-9]+)?)"),
     ("Linux", r"(Linux)"),

@@ -272,3 +272,21 @@ def join_with_pairs(spark, sf):
         F.col("_1.name").alias("employee"), F.col("_1.age").alias("age"),
         F.col("_2.id").alias("department_id"), F.col("_2.name").alias("department"),
     )
+
+
+@query(
+    "event_dimension_lookup",
+    with_views("el", """
+, dim AS (SELECT ca, ac, row_number() OVER (ORDER BY ca NULLS FIRST, ac NULLS FIRST) AS event_id
+  FROM (SELECT DISTINCT ca, ac FROM el))
+SELECT dt AS date, dim.event_id, count(*) AS times FROM el JOIN dim
+  ON el.ca IS NOT DISTINCT FROM dim.ca AND el.ac IS NOT DISTINCT FROM dim.ac GROUP BY ALL"""),
+)
+def event_dimension_lookup(spark, sf):
+    """Events by the id of their category and action; rows without either have an id too."""
+    logs = src.event_logs(spark, sf).select(F.col("dt").alias("date"), "ca", "ac")
+    counted = logs.groupBy("date", "ca", "ac").agg(F.count(F.lit(1)).alias("times"))
+    empty = spark.createDataFrame([], "id bigint, ca string, ac string")
+    dimension = D.with_new_ids(empty, counted, ["ca", "ac"])
+    again = D.with_new_ids(dimension, counted, ["ca", "ac"])  # a second run adds no id
+    return D.with_dimension_id(counted, again, ["ca", "ac"], "event_id")

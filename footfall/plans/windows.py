@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from footfall.operators.joins import detail_of
 from footfall.operators import ads, funnel, products, skew
 from footfall.operators import sessions as S
 from footfall.plans import params
@@ -108,6 +109,42 @@ def stratified_session_extract(spark, sf):
     )
 
 
+_DETAIL = "SELECT event_id, session_id, page_id, click_category_id FROM uva WHERE session_id IN (SELECT session_id FROM {})"
+
+
+@query(
+    "top10_session_detail",
+    with_views("uva", _TOP10 + """
+, best AS (SELECT session_id FROM (SELECT session_id, row_number() OVER (PARTITION BY click_category_id
+    ORDER BY count(*) DESC, session_id) AS rank FROM uva WHERE click_category_id IN (SELECT category_id FROM top)
+  GROUP BY click_category_id, session_id) WHERE rank <= 10)
+""" + _DETAIL.format("best")),
+)
+def top10_session_detail(spark, sf):
+    actions = src.user_visit_action(spark, sf)
+    best = S.top_sessions_per_category(actions, S.top_categories(S.category_counts(actions)))
+    return detail_of(actions, best.select("session_id").distinct()).select(
+        "event_id", "session_id", "page_id", "click_category_id"
+    )
+
+
+@query(
+    "stratified_session_detail",
+    with_views("uva", SESSION_AGG + """
+, k AS (SELECT *, strftime(start_time, '%Y-%m-%d') AS date, hour(start_time) AS hour FROM sa),
+h AS (SELECT date, hour, count(*) AS hn FROM k GROUP BY ALL),
+q AS (SELECT date, hour, least(hn, (hn * (100 // (SELECT count(DISTINCT date) FROM h))) //
+  CAST(sum(hn) OVER (PARTITION BY date) AS BIGINT)) AS quota FROM h),
+p AS (SELECT *, row_number() OVER (PARTITION BY date, hour ORDER BY (user_id * 7919) % 10007, session_id) AS pick FROM k),
+picked AS (SELECT session_id FROM p JOIN q ON p.date = q.date AND p.hour = q.hour WHERE pick <= quota)
+""" + _DETAIL.format("picked")),
+)
+def stratified_session_detail(spark, sf):
+    actions = src.user_visit_action(spark, sf)
+    picked = S.extract_sessions(S.session_aggregate(actions), F.col("user_id") * 7919 % 10007)
+    return detail_of(actions, picked).select("event_id", "session_id", "page_id", "click_category_id")
+
+
 @query(
     "first_seen_running_blacklist",
     with_views("ads", f"""

@@ -17,6 +17,8 @@ SETTINGS = {
     # key afterwards: the extra exchange carries pre-aggregated rows.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # The last value of a repeated request parameter wins.
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
 }
 
 
