@@ -251,14 +251,20 @@ def inbound(logs: DataFrame, patterns: Sequence[tuple[int, str]], own_hosts: Seq
     referred = _referred(logs, "u_ud", "u_sd", event=PAGE_VIEW, keep=["u_ud", "u_sd"])
     external = with_external_host(referred, "p_ref", "_host", own_hosts).where(F.col("_host").isNotNull())
     rows = external.withColumn("inbound", inbound_id(F.col("_host"), patterns)).drop("_host", "p_ref")
-    base = rows.distinct()
+    # visitors and sessions as rows of one column: each is reduced by itself
+    # before the levels repeat it, and no count needs a distinct of its own
+    copies = F.array(
+        F.struct(F.lit(0).alias("kind"), F.col("u_ud").alias("id")),
+        F.struct(F.lit(1).alias("kind"), F.col("u_sd").alias("id")),
+    )
+    ids = rows.select("date", "platform", F.col("inbound").cast("string").alias("inbound"), F.explode(copies).alias("_t"))
+    ids = ids.select("date", "platform", "inbound", "_t.kind", "_t.id").distinct()
     sets = D.level_sets(D.PLATFORM, [["inbound"], []], always=["date"])
-    counted = D.rolled_up(
-        base.withColumn("inbound", F.col("inbound").cast("string")),
-        sets,
-        ["platform", "inbound"],
-        F.count_distinct("u_ud").alias("visitors"),
-        F.count_distinct("u_sd").alias("sessions"),
+    leveled = D.rolled_up(
+        ids, [[*s, "kind", "id"] for s in sets], ["platform", "inbound"], F.count(F.lit(1)).alias("_n")
+    )
+    counted = leveled.groupBy("date", "platform", "inbound").agg(
+        F.count_if(F.col("kind") == 0).alias("visitors"), F.count_if(F.col("kind") == 1).alias("sessions")
     )
     number = F.when(F.col("inbound") == D.ALL, INBOUND_ALL).otherwise(F.col("inbound")).cast("bigint")
     return reported(counted.withColumn("inbound", number))
@@ -338,15 +344,19 @@ def landing_segments(
     )
 
 
-def dense_running_total(daily: DataFrame, keys: Sequence[str], value: str, name: str, day: str = "date") -> DataFrame:
+def dense_running_total(
+    daily: DataFrame, keys: Sequence[str], value: str, name: str, day: str = "date", last: Column | None = None
+) -> DataFrame:
     """Running total per key and day; days without a row carry the total on.
 
     ``daily`` holds one row per key and day.  Each row is repeated for the days
     up to the next one of its key (the last one up to the last day of the whole
-    frame), so no day grid has to be built and joined.
+    frame), so no day grid has to be built and joined.  A caller that can name
+    the ``last`` day more cheaply than from ``daily`` passes it.
     """
     d = daily.withColumn("_d", F.col(day).cast("date"))
-    last = d.agg(F.max(F.when(F.col(value).isNotNull(), F.col("_d")))).scalar()
+    if last is None:
+        last = d.agg(F.max(F.when(F.col(value).isNotNull(), F.col("_d")))).scalar()
     w = W.partitionBy(*keys).orderBy("_d")
     until = w.rowsBetween(W.unboundedPreceding, 0)
     summed = d.withColumns({

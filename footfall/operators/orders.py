@@ -96,7 +96,8 @@ def order_amounts(events: DataFrame, event: str = CREATED, order_info: DataFrame
 
 def amount_to_date(events: DataFrame, event: str, order_info: DataFrame, name: str) -> DataFrame:
     """Running total of the paid or refunded amount, 'all' rows included."""
-    return dense_running_total(order_amounts(events, event, order_info), KEYS, "amount", name)
+    last = _dated(events, event).agg(F.max("date")).scalar()  # no order leaves the cube
+    return dense_running_total(order_amounts(events, event, order_info), KEYS, "amount", name, last=last)
 
 
 def event_counts(logs: DataFrame) -> DataFrame:
