@@ -11,39 +11,54 @@ from footfall.session import materialize
 def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """node, label: the smallest node reachable, for all nodes that ``edges`` (a, b) or ``labels`` hold.
 
-    Every turn takes the smallest label among a node and its neighbours, then
-    the label's own label, so chains halve; it ends when no label changes.
-    ``labels`` continues an earlier result.  Self-links, repeated links and
-    links with a null end do no harm.  Each turn is a written table.
+    Every node points to the smallest of its neighbours and itself, pointers
+    are followed to their ends by doubling, and the links between the ends go
+    on to the next turn.  Ends are at most half of the nodes, so turns are few
+    and links soon gone.  ``labels`` continues an earlier result.  Self-links,
+    repeated links and links with a null end do no harm.  Each step is a
+    written table.
     """
-    links = edges.filter("a IS NOT NULL AND b IS NOT NULL AND a <> b")
-    if labels is not None:  # links between what is joined already add nothing
-        start = labels.select("node", "label")
-        links = (
-            links.join(start.toDF("a", "la"), "a", "left")
-            .join(start.toDF("b", "lb"), "b", "left")
-            .select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
-            .filter("a <> b")
-        )
-    both = materialize(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    now = materialize(both.select(F.col("a").alias("node")).distinct().withColumn("label", F.col("node")), "labels")
-    while True:
-        near = both.join(now.toDF("b", "near"), "b").groupBy("a").agg(F.min("near").alias("near"))
-        low = now.join(near.withColumnRenamed("a", "node"), "node").select(
-            "node", F.least("label", "near").alias("label"), F.col("label").alias("was")
-        )
-        low = materialize(low, "labels")
-        step = low.alias("x").join(
-            low.select(F.col("node").alias("over"), F.col("label").alias("root")).alias("y"), F.col("x.label") == F.col("y.over")
-        )
-        after = materialize(step.select("x.node", F.col("y.root").alias("label"), (F.col("y.root") != F.col("x.was")).alias("moved")), "labels")
-        now = after.select("node", "label")
-        if after.filter("moved").isEmpty():
-            break
-    if labels is None:
-        return now
-    # earlier labels follow what became of them
-    moved = now.toDF("label", "root")
-    kept = start.join(moved, "label", "left").select("node", F.coalesce("root", "label").alias("label"))
-    new = now.join(start.select("node"), "node", "left_anti")
-    return materialize(kept.unionByName(new.select("node", "label")).distinct(), "labels")
+    links = edges.filter("a IS NOT NULL AND b IS NOT NULL").select("a", "b")
+    total = None
+    if labels is not None:
+        total = labels.select("node", "label")
+        links = _mapped(links, total)
+    links = _both_ways(links)
+    while not links.isEmpty():
+        ends = materialize(links.groupBy("a").agg(F.least("a", F.min("b")).alias("label")), "pointers")
+        ends = ends.withColumnRenamed("a", "node")
+        while True:
+            over = ends.select(F.col("node").alias("over"), F.col("label").alias("next"))
+            step = ends.join(over, F.col("label") == F.col("over"))
+            step = step.select("node", F.col("next").alias("label"), (F.col("next") != F.col("label")).alias("moved"))
+            step = materialize(step, "pointers")
+            ends = step.select("node", "label")
+            if step.filter("moved").isEmpty():
+                break
+        total = ends if total is None else _composed(total, ends)
+        links = _both_ways(_mapped(links.filter("a < b"), ends))
+    return total if total is not None else links.toDF("node", "label")
+
+
+def _mapped(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """Links between the labels of their ends; an end without a label stays."""
+    return (
+        links.join(labels.toDF("a", "la"), "a", "left")
+        .join(labels.toDF("b", "lb"), "b", "left")
+        .select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
+    )
+
+
+def _both_ways(links: DataFrame) -> DataFrame:
+    once = links.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pair = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+    return materialize(once.select(pair.alias("l")).select("l.a", "l.b"), "links")
+
+
+def _composed(labels: DataFrame, ends: DataFrame) -> DataFrame:
+    """Earlier labels followed to where these end, and the nodes that are new."""
+    kept = labels.join(ends.toDF("label", "end"), "label", "left").select(
+        "node", F.coalesce("end", "label").alias("label")
+    )
+    new = ends.join(labels.select("node"), "node", "left_anti")
+    return materialize(kept.unionByName(new.select("node", "label")), "labels")

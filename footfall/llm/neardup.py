@@ -14,13 +14,17 @@ At 0.8 the default filing has 16 chunks of 4 places and a like probability.
 1. Documents of equal word sequence are one node.
 2. All keys are sorted; a run of equal keys is streamed, so a key of any size
    is spread over tasks.  In each run a node is tried with the run's first
-   node and with the one before it.
-3. Tried pairs whose signatures are within reach and whose sizes allow the
-   similarity are confirmed on their full shingle sets; links make components.
+   node, if their sizes allow the similarity and the low bits of their
+   signatures, which travel along, do not rule it out.
+3. Tried pairs whose signatures are within reach are confirmed on their full
+   shingle sets; links make components.
 4. Keys that still hold several components are compared wholly, in blocks of
-   ``RUN`` nodes: what lies within reach, in different components and was not
-   tried is confirmed too.  After that no link within reach is missing between
-   components, and copies never were expanded into all pairs.
+   ``RUN`` nodes, by signature.  What lies within reach forms groups; a task
+   hands on the links of a spanning forest, not the pairs.
+5. Inside a group all nodes are compared block by block, and pairs within reach
+   of different components are confirmed on their full sets, unless the task
+   has linked their components already.  After that no link within reach is
+   missing between components, and no copies were expanded into pairs.
 
 Null or empty texts and those without words have no shingles and link with
 nothing.  Rows with one id but different texts are documents of their own;
@@ -34,7 +38,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm.common import column, fresh, gathered, quoted
@@ -45,6 +49,7 @@ from footfall.session import materialize
 
 SHINGLE = 5
 RUN = 256
+BLOCK_CHARS = 8 << 20  # and so much text, whatever comes first
 TEXT_BYTES = 8 << 20
 
 def _odd(seed: int, n: int) -> np.ndarray:
@@ -128,6 +133,18 @@ def keys_of(signature: np.ndarray, filing: Filing) -> np.ndarray:
     return (mixed(out + slot * U(0x9E3779B97F4A7C15)) & ~U(0xFF)) | slot
 
 
+def low_bits(signature: np.ndarray) -> np.ndarray:
+    """(texts, 2): the two lowest bits of up to 64 places; they differ in no more places than the signatures."""
+    two = (signature & 3).astype(np.uint64)
+    two = np.pad(two, ((0, 0), (0, 64 - two.shape[1]))).reshape(len(two), 2, 32)
+    return (two << (U(2) * np.arange(32, dtype=np.uint64))).sum(axis=2, dtype=np.uint64)
+
+
+def low_distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x = a ^ b
+    return np.bitwise_count((x | (x >> U(1))) & U(0x5555555555555555)).sum(axis=1, dtype=np.int64)
+
+
 def sketch(docs: DataFrame, id_col: str, text_col: str, filing: Filing) -> DataFrame:
     """Per row: doc_id, text_key, node_key (of the word sequence), n_shingles, signature."""
     kind = "doc_id long, text_key binary, node_key binary, n_shingles long, signature binary"
@@ -160,23 +177,26 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, filing: Filing) -> DataF
 
 
 def _file_keys(nodes: DataFrame, filing: Filing) -> DataFrame:
-    """key, node, n_shingles: one row per node and key."""
+    """key, node, n (shingles), s, t (low bits): one row per node and key."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             sig = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint16).reshape(-1, filing.places)
+            low = low_bits(sig).view(np.int64)
+            each = [batch.column(0).to_numpy(), batch.column(1).to_numpy(), low[:, 0], low[:, 1]]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(keys_of(sig, filing).reshape(-1).view(np.int64)),
-                    pa.array(np.repeat(batch.column(0).to_numpy(), filing.places)),
-                    pa.array(np.repeat(batch.column(1).to_numpy(), filing.places)),
+                    *(pa.array(np.repeat(x, filing.places)) for x in each),
                 ],
-                ["key", "node", "n"],
+                ["key", "node", "n", "s", "t"],
             )
 
-    return nodes.select("node", "n_shingles", "signature").mapInArrow(run, "key long, node long, n long")
+    return nodes.select("node", "n_shingles", "signature").mapInArrow(
+        run, "key long, node long, n long, s long, t long"
+    )
 
 
 def _fits(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
@@ -184,7 +204,7 @@ def _fits(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     return 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
 
 
-def _tried(filed: DataFrame, percent: int) -> DataFrame:
+def _tried(filed: DataFrame, percent: int, reach: int) -> DataFrame:
     """From keys sorted within tasks: rows of keys that more nodes share (b null), and the pairs to try.
 
     A key that ends or begins a task's rows is kept in any case, since a
@@ -194,10 +214,13 @@ def _tried(filed: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = np.zeros(0, np.int64)
-        tail = (none, none, none)  # the last run's first row and last row so far
+        tail = (none,) * 5  # the first row of the run that may go on
         opening = True
         for t in gathered(batches, 4 << 20):
-            key, node, n = (np.concatenate([h, t.column(c).to_numpy()]) for h, c in zip(tail, ("key", "node", "n")))
+            key, node, n, *low = (
+                np.concatenate([h, t.column(c).to_numpy()]) for h, c in zip(tail, ("key", "node", "n", "s", "t"))
+            )
+            bits = np.stack(low, axis=1).view(np.uint64)
             carried = len(tail[0])
             new = np.concatenate([[True], key[1:] != key[:-1]])
             first = np.flatnonzero(new)
@@ -214,14 +237,14 @@ def _tried(filed: DataFrame, percent: int) -> DataFrame:
             rows = shared & fresh_row
             # rows carried over were sent already, or wait for this batch
             out_key, out_node, out_n, out_b = [key[rows]], [node[rows]], [n[rows]], [np.full(int(rows.sum()), -1)]
-            for other in (head, np.maximum(place - 1, 0)):
-                use = fresh_row & (head < place) & (node != node[other]) & _fits(n, n[other], percent)
-                low, high = np.minimum(node, node[other])[use], np.maximum(node, node[other])[use]
-                pairs = np.unique(np.stack([low, high], axis=1), axis=0)
-                out_key.append(np.zeros(len(pairs), np.int64))
-                out_node.append(pairs[:, 0])
-                out_n.append(np.zeros(len(pairs), np.int64))
-                out_b.append(pairs[:, 1])
+            use = np.flatnonzero(fresh_row & (head < place) & (node != node[head]) & _fits(n, n[head], percent))
+            use = use[low_distance(bits[use], bits[head[use]]) <= reach]
+            pair = np.stack([node[use], node[head[use]]], axis=1)
+            pairs = np.unique(np.sort(pair, axis=1), axis=0)
+            out_key.append(np.zeros(len(pairs), np.int64))
+            out_node.append(pairs[:, 0])
+            out_n.append(np.zeros(len(pairs), np.int64))
+            out_b.append(pairs[:, 1])
             b = np.concatenate(out_b)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -232,9 +255,7 @@ def _tried(filed: DataFrame, percent: int) -> DataFrame:
                 ],
                 ["key", "node", "n", "b"],
             )
-            last = first[-1]
-            keep = [last] if last == len(key) - 1 else [last, len(key) - 1]
-            tail = (key[keep], node[keep], n[keep])
+            tail = tuple(x[first[-1] : first[-1] + 1] for x in (key, node, n, *low))
 
     return filed.mapInArrow(run, kind)
 
@@ -289,8 +310,77 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def _unlinked(shared: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int, filing: Filing) -> DataFrame:
-    """Pairs within reach whose nodes share a key but no component."""
+class Forest:
+    """Sets of numbers that grow together."""
+
+    def __init__(self):
+        self.root: dict[int, int] = {}
+
+    def find(self, i: int) -> int:
+        while (up := self.root.get(i, i)) != i:
+            self.root[i] = self.root.get(up, up)
+            i = up
+        return i
+
+    def join(self, i: int, j: int) -> bool:
+        """Whether the two were apart."""
+        i, j = self.find(i), self.find(j)
+        self.root[max(i, j)] = min(i, j)
+        return i != j
+
+
+def _meetings(rows: DataFrame, by: str, blocks: Column) -> DataFrame:
+    """Rows of each ``by`` dealt to ``blocks`` blocks and sorted so that every two blocks stand together.
+
+    The columns ``i``, ``j`` name the two blocks and ``block`` the row's own.
+    """
+    block = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    others = F.explode(F.sequence(F.lit(0), blocks - 1))
+    rows = rows.withColumn("block", block).withColumn("other", others)
+    rows = rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+    return rows.drop("other", "blocks").repartition(by, "i", "j").sortWithinPartitions(by, "i", "j")
+
+
+def _runs(batches: Iterable[pa.RecordBatch], by: str) -> Iterator[pa.Table]:
+    """The rows of one meeting after the other."""
+    held: list[pa.Table] = []
+    name = None
+    for t in gathered(batches, 4 << 20):
+        parts = [t.column(c).to_numpy() for c in (by, "i", "j")]
+        new = np.zeros(t.num_rows, bool)
+        for p in parts:
+            new[1:] |= p[1:] != p[:-1]
+        edges = [0, *np.flatnonzero(new).tolist(), t.num_rows]
+        for x, y in zip(edges[:-1], edges[1:]):
+            here = tuple(int(p[x]) for p in parts)
+            if held and here != name:
+                yield pa.concat_tables(held)
+                held = []
+            name = here
+            held.append(t.slice(x, y - x))
+    if held:
+        yield pa.concat_tables(held)
+
+
+def _near_rows(t: pa.Table, filing: Filing, percent: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Row by row, the later rows of other components within reach, and where the signatures agree."""
+    n, label, block = (t.column(c).to_numpy() for c in ("n", "label", "block"))
+    crossing = t.column("i")[0].as_py() != t.column("j")[0].as_py()
+    sig = np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint16).reshape(-1, filing.places)
+    for x in range(t.num_rows - 1):
+        ok = (label[x + 1 :] != label[x]) & _fits(n[x + 1 :], n[x], percent)
+        if crossing:  # two blocks meet; each meets itself elsewhere
+            ok &= block[x + 1 :] != block[x]
+        y = np.flatnonzero(ok) + x + 1
+        if len(y):
+            same = sig[y] == sig[x]
+            near = same.sum(axis=1) >= filing.places - filing.reach
+            if near.any():
+                yield x, y[near], same[near]
+
+
+def _grouped(shared: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int, filing: Filing) -> DataFrame:
+    """Links (a, b) that hold together the nodes within reach of each other that share a key but no component."""
     label = F.coalesce("label", "node").alias("label")
     rows = shared.join(labels, "node", "left").select("key", "node", "n", label)
     open_keys = (
@@ -299,62 +389,62 @@ def _unlinked(shared: DataFrame, labels: DataFrame, nodes: DataFrame, percent: i
         .filter("low <> high")
         .select("key", F.ceil(F.col("size") / RUN).cast("int").alias("blocks"))
     )
-    # A key of more than one block meets itself block by block.
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    placed = rows.join(open_keys, "key").withColumn("block", block)
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    placed = placed.select("key", "node", "n", "label", "block", other.alias("other"))
-    placed = placed.select(
-        "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "n", "label"
+    rows = rows.join(open_keys, "key").join(nodes.select("node", "signature"), "node")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _runs(batches, "key"):
+            node, slot, forest, found = t.column("node").to_numpy(), t.column("key")[0].as_py() & 0xFF, Forest(), []
+            for x, ys, same in _near_rows(t, filing, percent):
+                # a pair counts under the first key it shares
+                for y in ys[first_slot(same, filing) == slot].tolist():
+                    if forest.join(x, y):
+                        found.append((x, y))
+            if found:
+                ends = node[np.array(found)]
+                yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
+
+    return _meetings(rows, "key", F.col("blocks")).mapInArrow(run, "a long, b long").distinct()
+
+
+def _linked(
+    groups: DataFrame, labels: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int, filing: Filing
+) -> DataFrame:
+    """Links (a, b) between components: all nodes of a group (node, label) are compared."""
+    rows = (
+        groups.withColumnRenamed("label", "g")
+        .join(labels, "node", "left")
+        .join(nodes.select("node", F.col("n_shingles").alias("n"), "signature"), "node")
+        .join(texts, "node")
+        .select("g", "node", "n", F.coalesce("label", "node").alias("label"), "signature", "text")
     )
-    placed = placed.join(nodes.select("node", "signature"), "node")
-    meeting = placed.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    sizes = rows.groupBy("g").agg(F.count(F.lit(1)).alias("size"), F.sum(F.length("text")).alias("chars"))
+    blocks = F.ceil(F.greatest(F.col("size") / RUN, F.col("chars") / BLOCK_CHARS)).cast("int").alias("blocks")
+    rows = rows.join(sizes.select("g", blocks), "g")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tail = None
-        for t in gathered(batches, 4 << 20):
-            t = t if tail is None else pa.concat_tables([tail, t])
-            parts = [t.column(c).to_numpy() for c in ("key", "i", "j")]
-            new = np.zeros(t.num_rows, bool)
-            new[0] = True
-            for p in parts:
-                new[1:] |= p[1:] != p[:-1]
-            first = np.flatnonzero(new).tolist()
-            yield from compare(t.slice(0, first[-1]), first)
-            tail = t.slice(first[-1])
-        if tail is not None:
-            yield from compare(tail, [0, tail.num_rows])
-
-    def compare(t: pa.Table, first: list[int]) -> Iterator[pa.RecordBatch]:
-        if not t.num_rows:
-            return
-        key, i, j, block, node, n, label = (
-            t.column(c).to_numpy() for c in ("key", "i", "j", "block", "node", "n", "label")
-        )
-        sig = np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint16).reshape(-1, filing.places)
-        low, high = [], []
-        for a, b in zip(first[:-1], first[1:]):
-            slot = int(key[a]) & 0xFF
-            s = sig[a:b]
-            for x in range(b - a - 1):
-                y = np.arange(x + 1, b - a)
-                ok = (label[a + y] != label[a + x]) & _fits(n[a + y], n[a + x], percent)
-                if i[a] != j[a]:  # two blocks meet; each meets itself elsewhere
-                    ok &= block[a + y] != block[a + x]
-                y = y[ok]
-                if not len(y):
-                    continue
-                same = s[y] == s[x]
-                near = same.sum(axis=1) >= filing.places - filing.reach
-                y, same = y[near], same[near]
-                if len(y):
-                    y = y[first_slot(same, filing) == slot]  # under other keys the pair is left out
-                    low.append(np.minimum(node[a + y], node[a + x]))
-                    high.append(np.maximum(node[a + y], node[a + x]))
-        if low:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(low)), pa.array(np.concatenate(high))], ["a", "b"])
-
-    return meeting.mapInArrow(run, "a long, b long").distinct()
+        for t in _runs(batches, "g"):
+            node, label, text = t.column("node").to_numpy(), t.column("label").to_pylist(), t.column("text")
+            sets: dict[int, set] = {}
+            known, found = Forest(), []
+
+            def words(row: int) -> set:
+                if row not in sets:
+                    sets[row] = shingle_set(text[row].as_py())
+                return sets[row]
+
+            for x, ys, _ in _near_rows(t, filing, percent):
+                for y in ys.tolist():
+                    if known.find(label[x]) == known.find(label[y]):
+                        continue
+                    both = len(words(x) & words(y))
+                    if 100 * both >= percent * (len(words(x)) + len(words(y)) - both):
+                        known.join(label[x], label[y])
+                        found.append((x, y))
+            if found:
+                ends = node[np.array(found)]
+                yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
+
+    return _meetings(rows, "g", F.col("blocks")).mapInArrow(run, "a long, b long")
 
 
 def first_slot(same: np.ndarray, filing: Filing) -> np.ndarray:
@@ -379,7 +469,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     filed = _file_keys(nodes, filing).repartitionByRange("key", "node").sortWithinPartitions("key", "node")
-    found = materialize(_tried(filed, percent), "keys")
+    found = materialize(_tried(filed, percent, filing.reach), "keys")
     shared = found.filter("b IS NULL").select("key", "node", "n")
     tried = found.filter("b IS NOT NULL").select(F.col("node").alias("a"), "b").distinct()
     texts = _texts(docs, nodes, shared, id_col, text_col)
@@ -387,8 +477,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     # A hot key may lie in several tasks, each with a first node of its own:
     # whole keys are compared below, so nothing depends on it.
     labels = components(materialize(_confirmed(tried, texts, percent), "links"))
-    rest = _unlinked(shared, labels, nodes, percent, filing).join(tried, ["a", "b"], "left_anti")
-    labels = components(materialize(_confirmed(rest, texts, percent), "links"), labels)
+    groups = components(materialize(_grouped(shared, labels, nodes, percent, filing), "groups"))
+    labels = components(materialize(_linked(groups, labels, nodes, texts, percent, filing), "links"), labels)
 
     named = nodes.join(labels, "node", "left").select(
         "node_key", "low_id", F.coalesce("label", "node").alias("label")
