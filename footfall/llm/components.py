@@ -50,9 +50,10 @@ def _mapped(links: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _both_ways(links: DataFrame) -> DataFrame:
+    """Links without repetition, written in one direction and read in both."""
     once = links.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pair = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
-    return materialize(once.select(pair.alias("l")).select("l.a", "l.b"), "links")
+    once = materialize(once, "links")
+    return once.unionByName(once.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
 def _composed(labels: DataFrame, ends: DataFrame) -> DataFrame:

@@ -289,27 +289,6 @@ def shingle_set(text: str) -> set:
 ASCII_LOWER = {c: c + 32 for c in range(65, 91)} | {c: " " for c in range(9, 14)}
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that are links, by their full sets."""
-    side_b = pairs.join(texts.toDF("b", "tb"), "b")
-    both = side_b.join(texts.toDF("a", "ta"), "a").select("a", "b", "ta", "tb")
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, held_set = None, set()  # rows come sorted by a
-        for batch in batches:
-            keep = []
-            for a, ta, tb in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3)):
-                if a != held:
-                    held, held_set = a, shingle_set(ta.as_py())
-                other = shingle_set(tb.as_py())
-                both = len(held_set & other)
-                keep.append(100 * both >= percent * (len(held_set) + len(other) - both))
-            mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
-
-    return both.mapInArrow(run, "a long, b long")
-
-
 class Forest:
     """Sets of numbers that grow together."""
 
@@ -329,6 +308,32 @@ class Forest:
         return i != j
 
 
+def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links among the pairs (a, b), by their full sets; pairs that a task has connected already are left out."""
+    side_b = pairs.join(texts.toDF("b", "tb"), "b")
+    both = side_b.join(texts.toDF("a", "ta"), "a").select("a", "b", "ta", "tb")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, held_set, forest = None, set(), Forest()  # rows come sorted by a
+        for batch in batches:
+            keep = []
+            for a, b, ta, tb in zip(*(batch.column(c).to_pylist() for c in (0, 1)), batch.column(2), batch.column(3)):
+                if forest.find(a) == forest.find(b):
+                    keep.append(False)
+                    continue
+                if a != held:
+                    held, held_set = a, shingle_set(ta.as_py())
+                other = shingle_set(tb.as_py())
+                both = len(held_set & other)
+                keep.append(100 * both >= percent * (len(held_set) + len(other) - both))
+                if keep[-1]:
+                    forest.join(a, b)
+            mask = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
+
+    return both.mapInArrow(run, "a long, b long")
+
+
 def _meetings(rows: DataFrame, by: str, blocks: Column) -> DataFrame:
     """Rows of each ``by`` dealt to ``blocks`` blocks and sorted so that every two blocks stand together.
 
@@ -392,16 +397,16 @@ def _grouped(shared: DataFrame, labels: DataFrame, nodes: DataFrame, percent: in
     rows = rows.join(open_keys, "key").join(nodes.select("node", "signature"), "node")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = Forest()  # of all that the task sees
         for t in _runs(batches, "key"):
-            node, slot, forest, found = t.column("node").to_numpy(), t.column("key")[0].as_py() & 0xFF, Forest(), []
+            node, slot, found = t.column("node").to_pylist(), t.column("key")[0].as_py() & 0xFF, []
             for x, ys, same in _near_rows(t, filing, percent):
                 # a pair counts under the first key it shares
                 for y in ys[first_slot(same, filing) == slot].tolist():
-                    if forest.join(x, y):
-                        found.append((x, y))
+                    if forest.join(node[x], node[y]):
+                        found.append((node[x], node[y]))
             if found:
-                ends = node[np.array(found)]
-                yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found)], ["a", "b"])
 
     return _meetings(rows, "key", F.col("blocks")).mapInArrow(run, "a long, b long").distinct()
 
