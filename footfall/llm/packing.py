@@ -8,7 +8,10 @@ sequences with dual feasible functions.  Partitions whose count meets the
 bound are certified; they hand on only a last sequence that is not nearly full.
 Partitions with a gap hand on their emptiest sequences, as many as hold the
 room of the gap.  What was handed on is dealt out again in the next round,
-until one partition holds all of it.
+until one partition holds all of it.  A piece brings along its share of the
+sequence it was in: a partition that saves no sequence against the sum of its
+shares is settled like a certified one, so every round hands on fewer
+sequences than the one before.
 
 Every row of the result carries its partition's figures: ``group_sequences``
 against ``group_bound``.  Pieces of no token do not exist; repeated documents
@@ -77,13 +80,15 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return sequence, offset
 
 
-def handed_on(sequence: np.ndarray, lengths: np.ndarray, bound: int, capacity: int) -> np.ndarray:
-    """Of each piece, whether it goes to the next round."""
+def handed_on(sequence: np.ndarray, lengths: np.ndarray, bound: int, capacity: int, before: float) -> np.ndarray:
+    """Of each piece, whether it goes to the next round; always of fewer sequences than ``before``, the shares' sum."""
     used = np.bincount(sequence, weights=lengths).astype(np.int64)
     room = capacity - used
     order = np.argsort(-room, kind="stable")
     gap = len(used) - bound
-    if gap <= 0:
+    if before < 1.5:
+        given = order[:0]
+    elif gap <= 0 or len(used) > before - 0.5:
         given = order[:1] if room[order[0]] * 16 > capacity else order[:0]
     else:
         enough = np.searchsorted(np.cumsum(room[order]), (gap + 1) * capacity) + 1
@@ -140,26 +145,28 @@ def pack(pieces: DataFrame, capacity: int, group: int = GROUP) -> DataFrame:
         })
     )
     done = [full]
-    left = pieces.filter(F.col("length") < capacity)
-    turn = 0
+    left = pieces.filter(F.col("length") < capacity).withColumn("share", F.lit(1.0))  # a sequence each
+    turn = first = 0
     while True:
         n = left.count()
         if n == 0:
             break
         groups = -(-n // group)
         turn += 1
-        placed = materialize(_round(left, groups, turn, capacity), "pack-round")
-        done.append(placed.filter("NOT again").drop("again"))
+        placed = materialize(_round(left, groups, turn, first, capacity), "pack-round")
+        first += groups
+        done.append(placed.filter("NOT again").drop("again", "share"))
         if groups == 1:
             break
-        left = placed.filter("again").select("doc_id", "piece", "start", "length", "ids_crc32")
+        left = placed.filter("again").select("doc_id", "piece", "start", "length", "ids_crc32", "share")
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)
     return out
 
 
-def _round(left: DataFrame, groups: int, turn: int, capacity: int) -> DataFrame:
+def _round(left: DataFrame, groups: int, turn: int, first: int, capacity: int) -> DataFrame:
+    """``first``: how many groups earlier rounds had; sequences are numbered inside their group."""
     last = groups == 1
 
     def run(key, rows):
@@ -168,15 +175,18 @@ def _round(left: DataFrame, groups: int, turn: int, capacity: int) -> DataFrame:
         lengths = rows["length"].to_numpy()
         sequence, offset = best_fit_decreasing(lengths, capacity)
         bound = lower_bound(lengths, capacity)
-        again = np.zeros(len(rows), bool) if last else handed_on(sequence, lengths, bound, capacity)
+        before = float(rows["share"].sum())
+        again = np.zeros(len(rows), bool) if last else handed_on(sequence, lengths, bound, capacity, before)
+        used = np.bincount(sequence, weights=lengths)
         return rows.drop(columns="deal").assign(
-            sequence_id=(turn << 56) + (int(key[0]) << 24) + sequence,
+            sequence_id=((first + int(key[0])) << 24) + sequence,
             offset=offset,
             round=turn,
             group_sequences=int(sequence.max()) + 1,
             group_bound=bound,
+            share=lengths / used[sequence],
             again=again,
         )
 
     key = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(turn)), F.lit(groups))
-    return left.withColumn("deal", key).groupBy("deal").applyInPandas(run, f"{PLACED}, again boolean")
+    return left.withColumn("deal", key).groupBy("deal").applyInPandas(run, f"{PLACED}, share double, again boolean")

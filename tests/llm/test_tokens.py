@@ -145,3 +145,31 @@ def test_pack_places_every_piece_once(make, encoder):
     assert (out["group_bound"] <= out["group_sequences"]).all() and out["round"].max() > 1
     long = out[out.groupby(["doc_id"])["piece"].transform("max") > 0]
     assert (long[long["piece"] > 0]["length"] == 256).all()
+
+
+def test_lengths_that_pack_no_better_are_settled(make, ready, monkeypatch):
+    """Few lengths whose area bound cannot be met: exchanges that save nothing come to an end."""
+    rounds, run = [], packing._round
+
+    def counted(*args):
+        rounds.append(1)
+        assert len(rounds) < 12
+        return run(*args)
+
+    monkeypatch.setattr(packing, "_round", counted)
+    lengths = [(357, 328)[i % 2] for i in range(1200)]
+    rows = [(i, 0, 0, n, i) for i, n in enumerate(lengths)]
+    out = packing.pack(ready.createDataFrame(rows, packing.PIECES), 1024, group=300).toPandas()
+    assert len(out) == 1200 and out["doc_id"].is_unique and out["length"].sum() == sum(lengths)
+    assert out.groupby("sequence_id")["length"].sum().max() <= 1024
+    whole = packing.best_fit_decreasing(np.array(lengths), 1024)[0].max() + 1
+    assert out["sequence_id"].nunique() <= whole * 1.02 + 2
+
+
+def test_each_round_hands_on_fewer_sequences():
+    x = np.array([575] * 400 + [269] * 400 + [187] * 200)
+    sequence = packing.best_fit_decreasing(x, 1024)[0]
+    n, bound = sequence.max() + 1, packing.lower_bound(x, 1024)
+    for before in (0.4, 1.0, 2.0, n - 1.0, float(n), n + 0.4, n + 1.0, 1000.0):
+        given = packing.handed_on(sequence, x, bound, 1024, before)
+        assert len(np.unique(sequence[given])) < before
