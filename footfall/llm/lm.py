@@ -7,8 +7,14 @@ the class of a token from those of the two before it,
 
     score(class | a, b) = (C1 r_b + C2 r_a) . q_class + bias_class,
 
-and a word inside its class by its add-one count, so a token's probability is
-normalised over all words, with a place for unseen ones in every tail class.
+and a word inside its class from its own vector.  Every word of ``OWN`` training
+tokens or more has one as a target and one as a context, so their number grows
+with the training counts.  Words of a class stand in buckets of ``WIDTH`` by
+falling count; a softmax over the buckets of the class and one over the words
+of the bucket, both log-bilinear in the vectors of the two tokens before, give
+the word.  Rarer words share a place beside the buckets by their add-one
+counts, with room for unseen ones, so a token's probability is normalised over
+all words.
 
 1. Tasks cut texts into chunks, number the words of a chunk and write the
    numbers to a file.  Only the distinct words of a chunk travel: a window over
@@ -18,11 +24,16 @@ normalised over all words, with a place for unseen ones in every tail class.
 3. Training goes over all training texts: tasks run minibatches over the
    context counts of their chunks, and the parameters of all tasks are averaged
    by Spark, ``EPOCHS`` times.  Only parameters reach the driver.
-4. Scoring computes, for the distinct contexts of a chunk, a block of
-   normalised log-probabilities by one matrix product.
+4. Vectors of words are a table in the shared folder, one file per class.  A
+   task reads the contexts' vectors that its chunk needs, then goes through the
+   file of one class after the other and hands on what it changed of it, which
+   one task per class adds up.
+5. Scoring computes, for the distinct contexts of a chunk, a block of
+   normalised log-probabilities of classes by one matrix product, and goes
+   through the files of the classes for the words inside.
 
 Null and empty texts consist of the end.  Without training texts counts are
-zero and the model is uniform over classes.  Repeated rows count once each.
+zero, no word has a vector and the model is uniform over classes.  Repeated rows count once each.
 """
 
 from __future__ import annotations
@@ -54,12 +65,18 @@ STEP = 0.05
 TRAIN_TASKS = 128
 TEXT_BYTES = 32 << 20
 CONTEXTS = 8192
+OWN = 10
+WIDTH = 64
+OWN_BATCH = 1024
+DAMPING = 4.0
 
 CODES = pa.schema([("doc_id", pa.int64()), ("train", pa.bool_()), ("codes", pa.list_(pa.int32()))])
 TOKENS = pa.schema([
     ("doc_id", pa.int64()), ("train", pa.bool_()), ("n_known", pa.int64()), ("base", pa.float64()),
-    ("inside", pa.float64()), ("classes", pa.list_(pa.uint16())),
+    ("inside", pa.float64()), ("classes", pa.list_(pa.uint16())), ("ranks", pa.list_(pa.int32())),
 ])
+# Of one class: a row of SIZE + 1 for each bucket, for all rarer words and for each word; a row of SIZE for each word.
+OWNED = pa.schema([("out", pa.list_(pa.float32())), ("ctx", pa.list_(pa.float32()))])
 
 
 def _save(uri: str, schema: pa.Schema, columns: list[pa.Array]) -> None:
@@ -198,6 +215,165 @@ def _contexts(classes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return two, before
 
 
+def _save_own(uri: str, out: np.ndarray, ctx: np.ndarray) -> None:
+    _save(uri, OWNED, [_ragged(x.astype(np.float32).ravel(), np.array([0, x.size]), pa.float32()) for x in (out, ctx)])
+
+
+def _load_own(uri: str) -> tuple[np.ndarray, np.ndarray]:
+    t = _load(uri)
+    out, ctx = (t.column(name).values.to_numpy() for name in ("out", "ctx"))
+    return out.reshape(-1, SIZE + 1).copy(), ctx.reshape(-1, SIZE).copy()
+
+
+def own_start(counts: np.ndarray, rest: float) -> np.ndarray:
+    """Rows of a class whose words have these falling counts: shares by count whatever the context."""
+    buckets = np.add.reduceat(counts, np.arange(0, len(counts), WIDTH))
+    out = np.zeros((len(buckets) + 1 + len(counts), SIZE + 1))
+    out[:, SIZE] = np.log(np.concatenate([buckets, [rest], counts]))
+    return out
+
+
+def _softmax(h: np.ndarray, target: np.ndarray, w: np.ndarray, seen: np.ndarray | None) -> tuple[np.ndarray, np.ndarray | None]:
+    """log P(target | h) under the rows ``w``; with ``seen``, the rows learn and the gradients of ``h`` come along."""
+    logs, back = np.empty(len(h)), None if seen is None else np.empty((len(h), SIZE), np.float32)
+    step = CONTEXTS if seen is None else OWN_BATCH
+    for a in range(0, len(h), step):
+        x, z = h[a : a + step], target[a : a + step]
+        score = x @ w.T
+        score -= score.max(axis=1, keepdims=True)
+        local = np.arange(len(z))
+        own = score[local, z]
+        np.exp(score, out=score)
+        total = score.sum(axis=1)
+        logs[a : a + step] = own - np.log(total)
+        if seen is not None:
+            score /= total[:, None]
+            seen += (score * (1 - score)).T @ (x * x)
+            np.negative(score, out=score)
+            score[local, z] += 1
+            w += score.T @ x / (1 + DAMPING * seen)
+            back[a : a + step] = score @ w[:, :SIZE]
+    return logs, back
+
+
+def in_class(h: np.ndarray, rank: np.ndarray, out: np.ndarray, words: int, seen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
+    """log P(word | its class, h) for ascending ``rank`` (-1: rarer words), as ``_softmax`` does."""
+    buckets = -(-words // WIDTH)
+    target = np.where(rank < 0, buckets, rank // WIDTH)
+    order = np.random.default_rng(len(rank)).permutation(len(rank)) if seen is not None else np.arange(len(rank))
+    logs, back = np.empty(len(rank)), None if seen is None else np.empty((len(rank), SIZE), np.float32)
+    got, slope = _softmax(h[order], target[order], out[: buckets + 1], None if seen is None else seen[: buckets + 1])
+    logs[order] = got
+    if seen is not None:
+        back[order] = slope
+    ends = np.searchsorted(rank, np.arange(0, words + WIDTH, WIDTH)[: buckets + 1])
+    for k in np.flatnonzero(np.diff(ends)).tolist():
+        rows = np.arange(ends[k], ends[k + 1])
+        if seen is not None:
+            rows = np.random.default_rng(k).permutation(rows)
+        own = slice(buckets + 1 + k * WIDTH, buckets + 1 + min(words, (k + 1) * WIDTH))
+        got, slope = _softmax(h[rows], rank[rows] - k * WIDTH, out[own], None if seen is None else seen[own])
+        logs[rows] += got
+        if seen is not None:
+            back[rows] += slope
+    return logs, back
+
+
+def _grouped(index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct numbers, the sums of their rows and of the squares."""
+    order = np.argsort(index, kind="stable")
+    index, rows = index[order], rows[order]
+    at = np.flatnonzero(np.diff(index, prepend=-1))
+    return index[at], np.add.reduceat(rows, at, axis=0), np.add.reduceat(rows * rows, at, axis=0)
+
+
+def _own_pass(folder: str, version: int, model: Model, owned: np.ndarray, t: pa.RecordBatch, learn: bool):
+    """Log-probabilities of all tokens of a chunk inside their classes; learning, what changed of each class."""
+    lists, ranks = t.column("classes"), t.column("ranks")
+    at = np.asarray(lists.offsets).astype(np.int64)
+    key = lists.values.to_numpy()[at[0] : at[-1]].astype(np.int64) << 32
+    at_ranks = np.asarray(ranks.offsets)
+    key += ranks.values.to_numpy()[at_ranks[0] : at_ranks[-1]] + 1
+    # Distinct words by class and rank, rank 0 for the rarer ones; contexts as their places, 0 before the first token.
+    distinct, place = np.unique(key, return_inverse=True)
+    del key
+    of, rank = distinct >> 32, (distinct & 0xFFFFFFFF) - 1
+    two, one = (np.maximum(x - START, 0).astype(np.int32) for x in _contexts(place + START + 1, at - at[0]))
+    vectors = np.concatenate([model.r[START:], model.r[of]])
+    edges = np.searchsorted(of, np.arange(CLASSES + 1))
+    kinds = [c for c in range(TOP, CLASSES) if owned[c] and edges[c] < edges[c + 1]]
+    for c in kinds:
+        own = np.arange(edges[c], edges[c + 1])
+        own = own[rank[own] >= 0]
+        if len(own):
+            vectors[own + 1] = _load_own(f"{folder}/own-{version}-{c}")[1][rank[own]]
+    order = np.argsort(place, kind="stable")
+    bounds = np.searchsorted(place[order], edges)
+    logs, changed = np.zeros(len(place)), {}
+    slope, square = (np.zeros(vectors.shape if learn else (0, SIZE), np.float32) for _ in range(2))
+    for c in kinds:
+        rows = order[bounds[c] : bounds[c + 1]]
+        a, b = two[rows], one[rows]
+        h = np.ones((len(rows), SIZE + 1), np.float32)
+        h[:, :SIZE] = vectors[b] @ model.c1 + vectors[a] @ model.c2
+        out = _load_own(f"{folder}/own-{version}-{c}")[0]
+        seen = np.zeros_like(out) if learn else None
+        old = out.copy() if learn else out
+        logs[rows], back = in_class(h, rank[place[rows]], out, int(owned[c]), seen)
+        if learn:
+            for spots, turned in ((b, back @ model.c1.T), (a, back @ model.c2.T)):
+                spot, total, squares = _grouped(spots, turned)
+                slope[spot] += total
+                square[spot] += squares
+            spot = np.flatnonzero(seen.any(axis=1))
+            changed[c] = [(0, spot, (out - old)[spot] * seen[spot], seen[spot])]
+    for c in kinds if learn else []:
+        own = np.arange(edges[c], edges[c + 1])
+        own = own[rank[own] >= 0]
+        changed[c].append((1, rank[own], slope[own + 1], square[own + 1]))
+    return logs / np.log(10.0), changed
+
+
+def _own_fitted(folder: str, chunks: DataFrame, model: Model, owned: np.ndarray, tasks: int) -> int:
+    """Train the words' vectors from version 0 of the table; the version to use."""
+    if not owned.any():
+        return 0
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in batch.column(0).to_pylist():
+                t = _load(f"{folder}/tokens-{chunk}")
+                t = t.filter(t.column("train"))
+                if t.num_rows:
+                    for c, parts in _own_pass(folder, 0, model, owned, t, True)[1].items():
+                        for which, spot, *sums in parts:
+                            raw = [spot.astype("<i4").tobytes(), *(x.astype("<f4").tobytes() for x in sums)]
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array([c]), pa.array([which]), *(pa.array([x], pa.binary()) for x in raw)],
+                                ["class", "which", "spot", "slope", "weight"],
+                            )
+
+    def merge(key, t):
+        c = key[0].as_py()
+        tables = _load_own(f"{folder}/own-0-{c}")
+        sums = [[np.zeros(x.shape) for x in tables] for _ in range(2)]
+        for r in t.to_batches():
+            for which, spot, *two in zip(*(r.column(n) for n in ("which", "spot", "slope", "weight"))):
+                spot = np.frombuffer(spot.as_buffer(), "<i4")
+                for total, part in zip(sums, two):
+                    total[which.as_py()][spot] += np.frombuffer(part.as_buffer(), "<f4").reshape(len(spot), -1)
+        out = tables[0] + sums[0][0] / np.maximum(sums[1][0], 1e-12)
+        ctx = tables[1] + sums[0][1] / (1 + DAMPING * sums[1][1])
+        _save_own(f"{folder}/own-1-{c}", out, ctx)
+        return pa.table({"class": [c]})
+
+    parts = chunks.repartition(tasks).mapInArrow(run, "class long, which long, spot binary, slope binary, weight binary")
+    merged = {r["class"] for r in parts.groupBy("class").applyInArrow(merge, "class long").collect()}
+    for c in set(np.flatnonzero(owned).tolist()) - merged:
+        raise ValueError(f"class {c} was not trained")
+    return 1
+
+
 def _fitted(spark, folder: str, chunks: DataFrame, counts: np.ndarray, tasks: int, epochs: int) -> Model:
     """Train on the chunk files that ``chunks`` names."""
     model = Model(counts)
@@ -262,9 +438,10 @@ def score_texts(
     ranks = spark.createDataFrame([(w, i) for i, (w, _) in enumerate(tops)], kind)
     classed = words.join(F.broadcast(ranks), "word", "left").withColumn("class", F.coalesce("top", tail_class(F.col("word"))))
     tails = classed.filter("first AND top IS NULL").groupBy("class").agg(
-        F.sum(F.when(F.col("c") > 0, F.col("c") + 1)).alias("mass"), F.sum("c").alias("c")
+        F.sum(F.when((F.col("c") > 0) & (F.col("c") < OWN), F.col("c") + 1)).alias("mass"), F.sum("c").alias("c"),
+        F.count(F.when(F.col("c") >= OWN, 1)).alias("own"),
     ).collect()
-    # Mass of each class in slots; each tail class has one for unseen words.
+    # Mass of each class's rarer words in slots; each tail class has one for unseen words.
     mass = np.zeros(CLASSES)
     mass[TOP:] = 1.0
     counts = np.zeros(CLASSES)
@@ -273,6 +450,13 @@ def score_texts(
     for r in tails:
         mass[r["class"]] += r["mass"] or 0
         counts[r["class"]] = r["c"]
+    owned = np.zeros(CLASSES, np.int64)  # words with vectors
+    for r in tails:
+        owned[r["class"]] = r["own"]
+    by_count = W.partitionBy("class").orderBy(F.desc("c"), "word")
+    own = classed.filter(f"first AND top IS NULL AND c >= {OWN}").select("word", "class", "c")
+    own = materialize(own.withColumn("rank", F.row_number().over(by_count) - 1), "own-words")
+    classed = classed.join(own.select("word", "rank"), "word", "left").withColumn("rank", F.coalesce("rank", F.lit(-1)))
 
     def annotate(key, t):
         chunk = key[0].as_py()
@@ -282,11 +466,12 @@ def score_texts(
         code = lists.values.to_numpy()[at[0] : at[-1]]
         at -= at[0]
         idx = column(t, "idx").to_numpy()
-        count, kinds = np.zeros(int(code.max()) + 1), np.zeros(int(code.max()) + 1, np.int64)
-        count[idx], kinds[idx] = column(t, "c").to_numpy(), column(t, "class").to_numpy()
+        count, kinds, rank = np.zeros(int(code.max()) + 1), *(np.zeros(int(code.max()) + 1, np.int64) for _ in range(2))
+        count[idx], kinds[idx], rank[idx] = (column(t, name).to_numpy() for name in ("c", "class", "rank"))
         base = np.log10((count + 1.0) / slots)
-        # A word's share of its tail class; classes of one word are all of theirs.
-        inside = np.where(kinds < TOP, 0.0, np.log10((count + 1.0) / np.where(kinds < TOP, 1.0, mass[kinds])))
+        # A rarer word's share of those of its class; others are what the model says.
+        rare = (kinds >= TOP) & (rank < 0)
+        inside = np.where(rare, np.log10((count + 1.0) / np.where(rare, mass[kinds], 1.0)), 0.0)
         begin = at[:-1]
         _save(
             f"{folder}/tokens-{chunk}",
@@ -298,15 +483,27 @@ def score_texts(
                 pa.array(np.add.reduceat(base[code], begin)),
                 pa.array(np.add.reduceat(inside[code], begin)),
                 _ragged(kinds[code].astype(np.uint16), at, pa.uint16()),
+                _ragged(rank[code].astype(np.int32), at, pa.int32()),
             ],
         )
         return pa.table({"chunk": [chunk]})
 
-    chunks = classed.select("chunk", "idx", "c", "class").groupBy("chunk").applyInArrow(annotate, "chunk long")
+    chunks = classed.select("chunk", "idx", "c", "class", "rank").groupBy("chunk").applyInArrow(annotate, "chunk long")
     chunks = materialize(chunks, "chunks")
     files = chunks.count()
     model = _fitted(spark, folder, chunks, counts, max(1, min(files, TRAIN_TASKS)), epochs)
 
+    def begin(key, t):
+        c = key[0].as_py()
+        count = column(t, "c").to_numpy()[np.argsort(column(t, "rank").to_numpy())].astype(np.float64)
+        # Words of a class must differ from the first, or they would all learn the same.
+        context = model.r[c] + np.random.default_rng([7, c]).normal(0, 0.3, (len(count), SIZE))
+        _save_own(f"{folder}/own-0-{c}", own_start(count, mass[c]), context)
+        return pa.table({"class": [c]})
+
+    own.groupBy("class").applyInArrow(begin, "class long").count()
+    version = _own_fitted(folder, chunks, model, owned, max(1, files))
+
     out = "doc_id long, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,7 +515,9 @@ def score_texts(
                 classes = lists.values.to_numpy()[at[0] : at[-1]].astype(np.int64)
                 at -= at[0]
                 two, one = _contexts(classes, at)
-                total = np.add.reduceat(model.log10(two, one, classes), at[:-1])
+                each = model.log10(two, one, classes)
+                each += _own_pass(folder, version, model, owned, t, False)[0]
+                total = np.add.reduceat(each, at[:-1])
                 yield pa.RecordBatch.from_arrays(
                     [
                         t.column("doc_id"), t.column("train"), pa.array(np.diff(at)), t.column("n_known"),

@@ -132,3 +132,27 @@ def test_real_texts(ready, small):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     check_base(rows, out, lambda i: zlib.crc32(str(i).encode()) % 7 != 2)
     assert sum(r["score"] for r in out if not r["train"]) > sum(r["base_score"] for r in out if not r["train"])
+
+
+def test_words_of_a_class_sum_to_one():
+    rng = np.random.default_rng(3)
+    counts = np.sort(rng.integers(lm.OWN, 500, 150))[::-1].astype(float)
+    out = (lm.own_start(counts, 7.0) + rng.normal(0, 1, (3 + 1 + 150, lm.SIZE + 1))).astype(np.float32)
+    rank = np.arange(-1, 150)
+    h = np.repeat(rng.normal(0, 1, (1, lm.SIZE + 1)).astype(np.float32), len(rank), axis=0)
+    assert abs(np.exp(lm.in_class(h, rank, out, 150)[0]).sum() - 1) < 1e-4
+
+
+def test_words_of_one_class_are_told_apart(make, monkeypatch):
+    """Beyond the most frequent words, and of one ending: only vectors of their own can tell what follows."""
+    monkeypatch.setattr(lm, "TEXT_BYTES", 20_000)
+    rng = random.Random(6)
+    filler = [f"top{i}" for i in range(lm.TOP)]
+    pairs = [(f"{a}in", f"{a}zz") for a in "bcdfghjk"]
+    text = lambda: " ".join(w for _ in range(10) for w in rng.choice(pairs))
+    rows = [(i, " ".join(filler * 40)) for i in range(0, 140, 7)] + [(i, text()) for i in range(1, 140) if i % 7]
+    def held_out(own):
+        monkeypatch.setattr(lm, "OWN", own)
+        return lm.score_texts(make(rows), F.col("doc_id") % 7 != 2, epochs=2).filter("not train").agg(F.sum("score")).first()[0]
+
+    assert held_out(10) > held_out(10**9) + 20  # 20 texts
