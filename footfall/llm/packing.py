@@ -134,10 +134,12 @@ def cut(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id_col="doc
 def pack(pieces: DataFrame, capacity: int, group: int = GROUP) -> DataFrame:
     """Place every piece: the columns of ``PLACED``, one row per piece."""
     spark = pieces.sparkSession
-    pieces = materialize(pieces, "pack-pieces")
+    # Numbered before they are written: equal rows are dealt apart.
+    pieces = materialize(pieces.withColumn("number", F.monotonically_increasing_id()), "pack-pieces")
     # A sequence of its own; negative numbers are left to these.
     full = (
         pieces.filter(F.col("length") == capacity)
+        .drop("number")
         .withColumn("sequence_id", -1 - F.monotonically_increasing_id())
         .withColumns({
             "offset": F.lit(0).cast("long"), "round": F.lit(0),
@@ -155,10 +157,10 @@ def pack(pieces: DataFrame, capacity: int, group: int = GROUP) -> DataFrame:
         turn += 1
         placed = materialize(_round(left, groups, turn, first, capacity), "pack-round")
         first += groups
-        done.append(placed.filter("NOT again").drop("again", "share"))
+        done.append(placed.filter("NOT again").drop("again", "share", "number"))
         if groups == 1:
             break
-        left = placed.filter("again").select("doc_id", "piece", "start", "length", "ids_crc32", "share")
+        left = placed.filter("again").select("doc_id", "piece", "start", "length", "ids_crc32", "share", "number")
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)
@@ -171,7 +173,7 @@ def _round(left: DataFrame, groups: int, turn: int, first: int, capacity: int) -
 
     def run(key, rows):
         # The same order in a repeated task, so the same packing.
-        rows = rows.sort_values(["length", "doc_id", "piece", "ids_crc32"], ignore_index=True)
+        rows = rows.sort_values(["length", "doc_id", "piece", "ids_crc32", "number"], ignore_index=True)
         lengths = rows["length"].to_numpy()
         sequence, offset = best_fit_decreasing(lengths, capacity)
         bound = lower_bound(lengths, capacity)
@@ -188,5 +190,5 @@ def _round(left: DataFrame, groups: int, turn: int, first: int, capacity: int) -
             again=again,
         )
 
-    key = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(turn)), F.lit(groups))
-    return left.withColumn("deal", key).groupBy("deal").applyInPandas(run, f"{PLACED}, share double, again boolean")
+    key = F.pmod(F.xxhash64("number", F.lit(turn)), F.lit(groups))
+    return left.withColumn("deal", key).groupBy("deal").applyInPandas(run, f"{PLACED}, share double, number long, again boolean")

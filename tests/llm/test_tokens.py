@@ -173,3 +173,8 @@ def test_each_round_hands_on_fewer_sequences():
     for before in (0.4, 1.0, 2.0, n - 1.0, float(n), n + 0.4, n + 1.0, 1000.0):
         given = packing.handed_on(sequence, x, bound, 1024, before)
         assert len(np.unique(sequence[given])) < before
+
+
+def test_equal_rows_are_dealt_apart(ready):
+    out = packing.pack(ready.createDataFrame([(7, 0, 0, 600, 1)] * 1200, packing.PIECES), 1024, group=300).toPandas()
+    assert len(out) == 1200 and out["sequence_id"].is_unique and out["group_sequences"].max() < 600
