@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import chat, decontaminate, exact, langid, lm, neardup, packing, quality, simple8b, warczip
+from footfall.llm import chat, decontaminate, exact, langid, linerules, lm, neardup, packing, quality, simple8b, warczip
 from footfall.llm.common import id_remainder, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -221,3 +221,46 @@ def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.duplicate_groups(table(spark, sf_dir, "documents"))
+
+
+CASED_WORDS = r"[^\x{20}\x{09}-\x{0D}]+"
+
+
+@corpus_query(
+    "op12_line_rules",
+    f"""
+    WITH docs AS (
+      SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t,
+        regexp_extract_all(coalesce(text, ''), '{CASED_WORDS}') AS w FROM documents),
+    windows AS (
+      SELECT r, i, array_to_string(w[i : i + 7], ' ') AS p
+      FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM docs WHERE len(w) >= 8)),
+    twice AS (SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, p) > 1),
+    repeats AS (SELECT r, count(DISTINCT x) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS x FROM twice) GROUP BY r),
+    lines AS (
+      SELECT r, source, md5(t) AS body, line, len(regexp_extract_all(line, '{CASED_WORDS}')) AS words,
+        trim(regexp_replace(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[0-9]+', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS norm
+      FROM (SELECT r, source, t, unnest(string_split(t, chr(10))) AS line FROM docs) WHERE regexp_matches(line, '{CASED_WORDS}')),
+    dups AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY r),
+    hosts AS (SELECT source, count(DISTINCT t) AS docs FROM docs GROUP BY source),
+    held AS (SELECT source, norm, count(DISTINCT body) AS n FROM lines GROUP BY 1, 2),
+    often AS (
+      SELECT held.source, norm FROM held JOIN hosts ON held.source IS NOT DISTINCT FROM hosts.source
+      WHERE n > 10 AND n * 100 > docs * 5),
+    lost AS (
+      SELECT r, sum(words) AS n FROM lines JOIN often
+      ON lines.norm = often.norm AND lines.source IS NOT DISTINCT FROM often.source GROUP BY r),
+    numbers AS (
+      SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+        length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(dups.n, 0)::BIGINT AS n_dup_lines,
+        coalesce(repeats.n, 0)::BIGINT AS n_repeat_words, len(w) - coalesce(lost.n, 0)::BIGINT AS left_words
+      FROM docs LEFT JOIN dups USING (r) LEFT JOIN repeats USING (r) LEFT JOIN lost USING (r))
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+      n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+      NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND left_words >= 5 AND 100 * left_words >= 30 * n_words
+        AS kept
+    FROM numbers""",
+)
+def op12_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linerules.line_verdicts(table(spark, sf_dir, "documents")).drop("removed", "left_words")
