@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import chat, decontaminate, exact, langid, linerules, lm, neardup, packing, quality, simple8b, warczip
+from footfall.llm import (
+    chat, decontaminate, exact, langid, linerules, lm, neardup, negatives, packing, quality, simple8b, warczip,
+)
 from footfall.llm.common import id_remainder, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -264,3 +266,34 @@ CASED_WORDS = r"[^\x{20}\x{09}-\x{0D}]+"
 )
 def op12_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linerules.line_verdicts(table(spark, sf_dir, "documents")).drop("removed", "left_words")
+
+
+@corpus_query(
+    "op13_hard_negatives",
+    """
+    WITH rows AS (
+      SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    pairs AS (
+      SELECT a.r, a.vec_id AS anchor_id, b.r AS other, b.vec_id, a.label = b.label AS same,
+        list_dot_product(a.v, b.v)::BIGINT AS s
+      FROM rows a JOIN rows b ON a.r <> b.r WHERE a.vec_id % 100 = 0),
+    positives AS (
+      SELECT * FROM pairs WHERE same QUALIFY row_number() OVER (PARTITION BY r ORDER BY s DESC, vec_id) <= 5)
+    SELECT p.anchor_id, p.vec_id AS positive_id,
+      (row_number() OVER (PARTITION BY p.r, p.other ORDER BY n.s DESC, n.vec_id))::INT AS rank,
+      n.vec_id AS negative_id, p.s AS positive_score, n.s AS negative_score
+    FROM positives p JOIN pairs n ON n.r = p.r AND NOT n.same AND 30 * p.s <= 100 * n.s AND 100 * n.s <= 90 * p.s
+    QUALIFY rank <= 10""",
+)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").where(
+        F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    )
+    flipped = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")))
+    rows = rows.select("vec_id", flipped.alias("label"), whole.alias("vector"))
+    return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
