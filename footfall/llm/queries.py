@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.llm import (
-    chat, decontaminate, exact, langid, linerules, lm, neardup, negatives, packing, quality, simple8b, warczip,
+    chat, decontaminate, exact, langid, linerules, lm, neardup, negatives, packing, phrases, quality, simple8b,
+    warczip,
 )
 from footfall.llm.common import id_remainder, prepare, table
 
@@ -225,6 +226,41 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+@corpus_query(
+    "op11_phrases",
+    r"""
+    WITH pieces AS (
+      SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+    words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+    grams AS (
+      SELECT lang, g, count(*) AS n
+      FROM (SELECT lang, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i : i + k - 1])) AS g
+            FROM words, (VALUES (1), (2), (3)) sizes(k) WHERE len(w) >= k)
+      GROUP BY 1, 2),
+    totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+    candidates AS (SELECT lang, g, n AS a FROM grams WHERE len(g) > 1 AND n >= 10),
+    cuts AS (
+      SELECT c.lang, c.g, a, k, x.n AS l, y.n AS r,
+        ((1000000::HUGEINT * a * a) // (x.n::HUGEINT * y.n))::BIGINT AS score
+      FROM (SELECT *, unnest(range(1, len(g))) AS k FROM candidates) c
+      JOIN grams x ON x.lang = c.lang AND x.g = c.g[1 : k]
+      JOIN grams y ON y.lang = c.lang AND y.g = c.g[k + 1 : len(c.g)]),
+    lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+    longer AS (
+      SELECT lang, g[i : i + 1] AS g, max(a) AS longest
+      FROM (SELECT *, unnest([1, 2]) AS i FROM candidates WHERE len(g) = 3) GROUP BY 1, 2),
+    ranked AS (
+      SELECT c.lang, row_number() OVER (PARTITION BY c.lang ORDER BY score DESC, a DESC, array_to_string(c.g, ' ')) AS rank,
+        array_to_string(c.g, ' ') AS phrase, a, l, r, t.n, score
+      FROM lowest c JOIN totals t ON t.lang = c.lang LEFT JOIN longer o ON o.lang = c.lang AND o.g = c.g
+      WHERE longest IS NULL OR longest * 100 < a * 50)
+    SELECT * FROM ranked WHERE rank <= 2000""",
+)
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine_phrases(table(spark, sf_dir, "documents"))
+
+
 CASED_WORDS = r"[^\x{20}\x{09}-\x{0D}]+"
 
 
