@@ -4,7 +4,8 @@ A byte-level tokenizer never joins what stands before a lone space to what
 follows it, so texts are cut there, each distinct piece is encoded once per
 worker and the ids are gathered by numpy.  Texts where white space meets a
 space are cut by rule instead, and tokenizers of another kind encode whole
-texts.  Control strings in a text are ordinary text.
+texts.  A text that holds the string of one of the file's added tokens goes
+through the library whole, which makes that token of it as the file says.
 """
 
 from __future__ import annotations
@@ -110,7 +111,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        self.added = "|".join(re.escape(t) for t in sorted(added) if t)
         self.by_piece = (
             self.tokenizer.normalizer is None
             and str(self.tokenizer.pre_tokenizer).startswith("ByteLevel(add_prefix_space=False")
@@ -148,6 +150,9 @@ class Encoder:
         first, *rest = LONE_SPACE.split(text)
         return b"".join(self.pieces([first, *(" " + p for p in rest)]))
 
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids (uint32) and where each text's begin, one more than texts; null is empty."""
         n = len(texts)
@@ -172,6 +177,10 @@ class Encoder:
         odd_word = pc.match_substring_regex(words, r"^$|^[\s\x0B\x1C-\x1F\x85]|[\s\x0B\x1C-\x1F\x85]$|^\pZ|\pZ$")
         odd_word = odd_word.to_numpy(zero_copy_only=False)
         odd = np.logical_or.reduceat(odd_word[codes], first) & (np.diff(at) > 1)
+        added = np.zeros(n, bool)
+        if self.added:
+            added = pc.match_substring_regex(texts, self.added).to_numpy(zero_copy_only=False)
+            odd |= added
         inner = np.ones(len(codes), bool)
         inner[first] = False
         if odd.any():
@@ -204,7 +213,7 @@ class Encoder:
         if odd.any():
             whole_at = np.flatnonzero(odd)
             codes[first[whole_at]] = len(words) + len(heads) + np.arange(len(whole_at))
-            more += [self._by_rule(texts[int(i)].as_py()) for i in whole_at]
+            more += [(self._whole if added[i] else self._by_rule)(texts[int(i)].as_py()) for i in whole_at]
         more_len = np.fromiter(map(len, more), np.int64, len(more)) // 4
         more_at = len(flat) + np.cumsum(more_len) - more_len
         flat = np.concatenate([flat, np.frombuffer(b"".join(more), "<u4")])

@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from footfall.llm import packing, simple8b, tokens
 from footfall.llm.files import opened
@@ -23,7 +24,9 @@ def encoder():
 
 
 def library(encoder, texts):
-    return [e.ids for e in encoder.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    """By a tokenizer of its own, with no setting changed."""
+    fresh = Tokenizer.from_file(tokenizer_file())
+    return [e.ids for e in fresh.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
 def split(ids, at):
@@ -39,6 +42,20 @@ def test_same_ids_as_the_library(encoder):
     assert encoder.encode(pa.array([], pa.string()))[0].size == 0
 
 
+ADDED = "<|endoftext|>"
+
+
+@pytest.mark.parametrize("text", [
+    ADDED, f"{ADDED} then this", f"a {ADDED} b", f"a{ADDED}b", f"at the end {ADDED}", f"{ADDED}{ADDED}", f"x {ADDED}  y {ADDED}\n z",
+    f"<|endoftext {ADDED[1:]} {ADDED.upper()}", f"  {ADDED} ", f"many words and {ADDED} " * 300,
+])
+def test_added_tokens(encoder, text):
+    texts = ["plain words", text, None, "more plain words", text]
+    ids = split(*encoder.encode(pa.array(texts)))
+    assert ids == library(encoder, texts)
+    assert ids[1].count(50256) == text.count(ADDED)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(max_size=40), min_size=1, max_size=4))
 def test_any_text(texts):
