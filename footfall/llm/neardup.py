@@ -11,18 +11,19 @@ probability of about two in a million, less the more alike the two are.
 
 At 0.8 the default filing has 16 chunks of 4 places and a like probability.
 
-1. Documents of equal word sequence are one node.
+1. Documents of equal word sequence are one node: texts with words lower-cased and
+   one space between them, told apart by a cryptographic digest of 256 bits.
 2. All keys are sorted; a run of equal keys is streamed, so a key of any size
    is spread over tasks.  In each run a node is tried with the run's first
    node, if their sizes allow the similarity and the low bits of their
    signatures, which travel along, do not rule it out.
 3. Tried pairs whose signatures are within reach are confirmed on their full
    shingle sets; links make components.
-4. Keys that still hold several components are compared wholly, in blocks of
-   ``RUN`` nodes, by signature.  What lies within reach forms groups; a task
+4. Keys that still hold several components are compared, in blocks of ``RUN``
+   nodes, by signature; the nodes of a key's largest component meet only others.  What lies within reach forms groups; a task
    hands on the links of a spanning forest, not the pairs.
-5. Inside a group all nodes are compared block by block, and pairs within reach
-   of different components are confirmed on their full sets, unless the task
+5. Inside a group nodes are compared likewise, and pairs within reach of
+   different components are confirmed on their full sets, unless the task
    has linked their components already.  After that no link within reach is
    missing between components, and no copies were expanded into pairs.
 
@@ -33,6 +34,7 @@ repeated rows get the same result.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -44,6 +46,7 @@ from pyspark.sql import functions as F
 from footfall.llm.common import column, fresh, gathered, quoted
 from footfall.llm.components import components
 from footfall.llm.exact import hash128
+from footfall.llm.tokens import bytes_of
 from footfall.llm.words import U, Words, mixed
 from footfall.session import materialize
 
@@ -75,17 +78,11 @@ class Filing:
         return 2 * self.chunks - 1
 
 
-def sequence_hash(word: np.ndarray, at: np.ndarray, salt: int) -> np.ndarray:
-    """64 bits of each text's whole sequence of words; 0 for none."""
-    n = np.diff(at)
-    out = np.zeros(len(n), np.uint64)
-    some = np.flatnonzero(n)
-    if len(some):
-        place = np.arange(len(word)) - np.repeat(at[:-1], n)
-        power = np.cumprod(np.full(int(n.max()) + 1, OFFSETS[salt], np.uint64))
-        summed = np.add.reduceat(mixed(word + U(salt)) * power[place], at[:-1][some])
-        out[some] = mixed(summed + n[some].astype(np.uint64))
-    return out
+def sequence_digests(texts: pa.Array) -> list[bytes]:
+    """256 bits of each text's sequence of words: A-Z lower-cased, cut at ASCII white space."""
+    raw, at = bytes_of(texts.fill_null("").cast(pa.large_string()))
+    data, ends = raw.tobytes(), at.tolist()
+    return [hashlib.blake2b(b" ".join(data[a:b].lower().split()), digest_size=32).digest() for a, b in zip(ends, ends[1:])]
 
 
 def shingle_hashes(word: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -159,12 +156,11 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, filing: Filing) -> DataF
             sig = np.zeros((len(n), filing.places), np.uint16)
             if len(some):
                 sig[some] = signatures(shingles, np.concatenate([at[:-1][some], at[-1:]]), filing.places)
-            node = np.stack([sequence_hash(word, words.at, s) for s in (0, 1)], axis=1)
             yield pa.RecordBatch.from_arrays(
                 [
                     column(t, "doc_id"),
                     column(t, "text_key").cast(pa.binary()),
-                    pa.array([r.tobytes() for r in node], pa.binary()),
+                    pa.array(sequence_digests(column(t, "text")), pa.binary()),
                     pa.array(n),
                     pa.array([r.tobytes() for r in sig], pa.binary()),
                 ],
@@ -334,16 +330,45 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def _meetings(rows: DataFrame, by: str, blocks: Column) -> DataFrame:
-    """Rows of each ``by`` dealt to ``blocks`` blocks and sorted so that every two blocks stand together.
+def _sides(rows: DataFrame, by: str, weight: Column) -> DataFrame:
+    """For every ``by`` with several labels: ``main``, its heaviest one, and how many
+    blocks its rows (``main_blocks``) and those of all others (``rest_blocks``) fill.
+
+    ``weight`` is a row's share of a block.
+    """
+    each = rows.groupBy(by, "label").agg(F.sum(weight).alias("weight"))
+    whole = each.groupBy(by).agg(
+        F.max(F.struct("weight", "label")).alias("most"), F.sum("weight").alias("all"), F.count(F.lit(1)).alias("labels")
+    )
+    blocks = lambda w: F.ceil(F.greatest(w, F.lit(0.01))).cast("int")
+    return whole.where("labels > 1").select(
+        by,
+        F.col("most.label").alias("main"),
+        blocks(F.col("most.weight")).alias("main_blocks"),
+        blocks(F.col("all") - F.col("most.weight")).alias("rest_blocks"),
+    )
+
+
+def _meetings(rows: DataFrame, by: str) -> DataFrame:
+    """Rows with their ``_sides``, dealt to blocks and sorted so that blocks that must meet stand together.
 
-    The columns ``i``, ``j`` name the two blocks and ``block`` the row's own.
+    Rows of the main label have blocks of their own, which meet all other
+    blocks but not each other: what is one component needs no comparing, so a
+    group of n rows, all but a few of one component, makes some n rows here and
+    not n * n.  The columns ``i``, ``j`` name the two blocks and ``block`` the
+    row's own.
     """
-    block = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    others = F.explode(F.sequence(F.lit(0), blocks - 1))
-    rows = rows.withColumn("block", block).withColumn("other", others)
+    first = F.col("main_blocks")  # blocks of other labels have the numbers from here
+    own = F.col("label") == F.col("main")
+    spot = F.xxhash64("node")
+    block = F.when(own, F.pmod(spot, first)).otherwise(first + F.pmod(spot, F.col("rest_blocks"))).cast("int")
+    others = F.sequence(F.when(own, first).otherwise(F.lit(0)), first + F.col("rest_blocks") - 1)
+    rows = rows.withColumn("block", block).withColumn("other", F.explode(others))
     rows = rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-    return rows.drop("other", "blocks").repartition(by, "i", "j").sortWithinPartitions(by, "i", "j")
+    rows = rows.drop("other", "main", "main_blocks", "rest_blocks")
+    # a number of its own: work goes by rows compared, not by bytes, which adaptive execution would go by
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks, by, "i", "j").sortWithinPartitions(by, "i", "j")
 
 
 def _runs(batches: Iterable[pa.RecordBatch], by: str) -> Iterator[pa.Table]:
@@ -388,12 +413,7 @@ def _grouped(shared: DataFrame, labels: DataFrame, nodes: DataFrame, percent: in
     """Links (a, b) that hold together the nodes within reach of each other that share a key but no component."""
     label = F.coalesce("label", "node").alias("label")
     rows = shared.join(labels, "node", "left").select("key", "node", "n", label)
-    open_keys = (
-        rows.groupBy("key")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size"))
-        .filter("low <> high")
-        .select("key", F.ceil(F.col("size") / RUN).cast("int").alias("blocks"))
-    )
+    open_keys = _sides(rows, "key", F.lit(1 / RUN))
     rows = rows.join(open_keys, "key").join(nodes.select("node", "signature"), "node")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -408,7 +428,7 @@ def _grouped(shared: DataFrame, labels: DataFrame, nodes: DataFrame, percent: in
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found)], ["a", "b"])
 
-    return _meetings(rows, "key", F.col("blocks")).mapInArrow(run, "a long, b long").distinct()
+    return _meetings(rows, "key").mapInArrow(run, "a long, b long").distinct()
 
 
 def _linked(
@@ -422,9 +442,8 @@ def _linked(
         .join(texts, "node")
         .select("g", "node", "n", F.coalesce("label", "node").alias("label"), "signature", "text")
     )
-    sizes = rows.groupBy("g").agg(F.count(F.lit(1)).alias("size"), F.sum(F.length("text")).alias("chars"))
-    blocks = F.ceil(F.greatest(F.col("size") / RUN, F.col("chars") / BLOCK_CHARS)).cast("int").alias("blocks")
-    rows = rows.join(sizes.select("g", blocks), "g")
+    weight = F.greatest(F.lit(1 / RUN), F.length("text") / BLOCK_CHARS)
+    rows = rows.join(_sides(rows, "g", weight), "g")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _runs(batches, "g"):
@@ -449,7 +468,7 @@ def _linked(
                 ends = node[np.array(found)]
                 yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
 
-    return _meetings(rows, "g", F.col("blocks")).mapInArrow(run, "a long, b long")
+    return _meetings(rows, "g").mapInArrow(run, "a long, b long")
 
 
 def first_slot(same: np.ndarray, filing: Filing) -> np.ndarray:

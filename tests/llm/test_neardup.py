@@ -102,6 +102,34 @@ def test_the_words_are_cut_as_stated():
     assert [[words[c] for c in w.code[a:b]] for a, b in zip(w.at[:-1], w.at[1:])] == [["a", "b", "É"], [], [], ["x", "y\x1cz"]]
 
 
+def thue_morse(a, b, doublings):
+    """Sequences that sums of powers modulo 2^64 do not tell apart."""
+    x, y = [a], [b]
+    for _ in range(doublings):
+        x, y = x + y, y + x
+    return x, y
+
+
+def test_texts_built_to_collide_stay_apart(make):
+    letters = ["".join(t) for t in thue_morse("a", "b", 11)]
+    words = [" ".join(t) for t in thue_morse("aa", "b", 11)]
+    rows = [(1, letters[0]), (2, letters[1]), (3, words[0] + " x"), (4, words[1] + " y z z z z"), (5, words[0]), (6, words[1])]
+    got = neardup.near_duplicates(make(rows)).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    assert sorted(map(tuple, got)) == brute(rows, 85)
+    assert len(set(neardup.sequence_digests(pa.array(letters + words)))) == 4
+    assert len(set(Words(pa.array(letters)).hashes().tolist())) == 2
+
+
+def test_one_large_component_is_not_compared_with_itself(ready, monkeypatch):
+    """Rows dealt to blocks grow with the rows, not with their square."""
+    monkeypatch.setattr(neardup, "RUN", 16)
+    rows = ready.range(4000).selectExpr("7 AS key", "id AS node", "IF(id < 3980, 0, id) AS label")
+    met = neardup._meetings(rows.join(neardup._sides(rows, "key", neardup.F.lit(1 / 16)), "key"), "key")
+    assert met.count() < 4000 * 4 + 20 * 400
+    pairs = {(a, b) for r in met.groupBy("i", "j").agg(neardup.F.collect_list("node").alias("n")).collect() for a in r.n for b in r.n}
+    assert {(a, b) for a in range(0, 4000, 97) for b in range(3980, 4000)} <= pairs
+
+
 def test_one_of_each_keeps_all_columns(make):
     rows = corpus(3)
     docs = make(rows)
