@@ -19,7 +19,10 @@ lowest cut counts.  A candidate that lies inside a longer one with at least
 3. Each task counts the phrases of its chunks in a HAT-trie, which hands out
    whole subtrees as sorted runs when it is full.  Runs are dealt by prefix - the
    first word and a share of the second ones, so that no common word gathers in
-   one task - and added up there.
+   one task - and added up there.  Pairs come first, then longer phrases, of
+   which only those are counted whose two shorter phrases stand in a bitmap of
+   the frequent ones.  The bitmap has a fixed size: phrases that share a bit are
+   counted in vain, none is lost.
 4. Scores, containment and ranks are joins of candidates and counts; products are
    decimals of 38 digits.
 
@@ -50,6 +53,7 @@ TEXT_BYTES = 16 << 20
 GRAMS = 2_000_000  # in memory of a task
 ROWS = 500_000  # windows counted at a time
 SHARES = 64  # of the second words of a prefix
+FILTER_BITS = 1 << 26  # 8 MB at any size of input
 NO_LANG = "und"
 
 KIND = np.zeros(256, np.uint8)
@@ -109,48 +113,74 @@ def _chunks(docs: DataFrame, folder: str) -> DataFrame:
     return docs.mapInArrow(run, "chunk long, idx int, lang string, word string, n long")
 
 
-def windows(sequence: np.ndarray, max_words: int) -> Iterator[np.ndarray]:
-    """Rows of 2 to ``max_words`` words in a row, filled up with -1, some at a time."""
-    for start in range(0, len(sequence), ROWS):
-        part = sequence[start : start + ROWS + max_words - 1]
-        own = min(ROWS, len(part))
-        rows = []
-        whole = part[:own] >= 0
-        for n in range(2, max_words + 1):
-            whole = whole[: max(0, len(part) - n + 1)] & (part[n - 1 : n - 1 + own] >= 0)
-            spots = np.flatnonzero(whole)
-            out = np.full((len(spots), max_words), -1, np.int32)
-            for c in range(n):
-                out[:, c] = part[spots + c]
-            rows.append(out)
-        yield np.concatenate(rows)
+def slots(words: list[np.ndarray]) -> np.ndarray:
+    """The place of each phrase in the bitmap."""
+    h = np.zeros(len(words[0]), np.uint64)
+    for w in words:
+        h = (h ^ w.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return (h >> np.uint64(32)).astype(np.int64) % FILTER_BITS
 
 
-def _counted(chunks: DataFrame, folder: str, max_words: int) -> DataFrame:
-    """w0, w1, ..., n: runs of all tasks."""
-    names = [f"w{c}" for c in range(max_words)]
+def windows(sequence: np.ndarray, n: int, bitmap: np.ndarray | None) -> Iterator[np.ndarray]:
+    """Rows of ``n`` words in a row, whose first and last n - 1 the bitmap knows, some at a time."""
+    for start in range(0, len(sequence) - n + 1, ROWS):
+        part = sequence[start : start + ROWS + n - 1]
+        count = len(part) - n + 1
+        columns = [part[c : c + count] for c in range(n)]
+        whole = np.logical_and.reduce([c >= 0 for c in columns])
+        if bitmap is not None:
+            slot = slots([part[c : c + count + 1] for c in range(n - 1)])
+            known = (bitmap[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
+            whole &= known[:-1] & known[1:]
+        spots = np.flatnonzero(whole)
+        yield np.stack([c[spots] for c in columns], axis=1)
+
+
+def _counted(chunks: DataFrame, folder: str, n: int, bitmap: np.ndarray | None) -> DataFrame:
+    """w0, w1, ..., n: runs of all tasks, for phrases of ``n`` words."""
+    names = [f"w{c}" for c in range(n)]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = HatTrie(max_words, GRAMS)
+        trie = HatTrie(n, GRAMS)
 
         def shown(runs):
-            for rows, n in runs:
-                for a in range(0, len(n), 65_536):
+            for rows, counts in runs:
+                for a in range(0, len(counts), 65_536):
                     b = slice(a, a + 65_536)
-                    columns = [pa.array(np.ascontiguousarray(rows[b, c])) for c in range(max_words)]
-                    yield pa.RecordBatch.from_arrays([*columns, pa.array(n[b])], [*names, "n"])
+                    columns = [pa.array(np.ascontiguousarray(rows[b, c])) for c in range(n)]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(counts[b])], [*names, "n"])
 
         for batch in batches:
             for chunk in batch.column(0).to_pylist():
                 with opened(f"{folder}/ids-{chunk}") as source:
                     sequence = np.frombuffer(source.read(), np.int32)
-                for rows in windows(sequence, max_words):
+                for rows in windows(sequence, n, bitmap):
                     yield from shown(trie.add(rows))
         yield from shown(trie.rest())
 
     return chunks.mapInArrow(run, ", ".join(f"{w} int" for w in names) + ", n long")
 
 
+def _bitmap(grams: DataFrame, n: int) -> np.ndarray:
+    """The places of these phrases, ``FILTER_BITS`` bits however many they are."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = slots([batch.column(c).to_numpy() for c in range(n)])
+            yield pa.RecordBatch.from_arrays([pa.array(place)], ["place"])
+
+    places = grams.select(*[f"w{c}" for c in range(n)]).mapInArrow(run, "place long")
+    # the functions count buckets and places of 32,768 bits from 1
+    bucket, bit = F.expr("bitmap_bucket_number(place + 1) - 1"), F.expr("bitmap_bit_position(place + 1)")
+    placed = places.select(bucket.alias("bucket"), bit.alias("bit"))
+    parts = placed.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    for r in parts.collect():  # 4 KB each
+        out[r["bucket"] * 4096 : (r["bucket"] + 1) * 4096] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
 def phrase_counts(
     docs: DataFrame, max_words: int = 3, min_count: int = 10, text_col: str = "text", lang_col: str = "lang"
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -183,17 +213,21 @@ def phrase_counts(
     # a group holds the distinct words of one chunk
     chunks = materialize(known.select("chunk", "idx", "id").groupBy("chunk").applyInArrow(annotate, "chunk long"), "chunks")
     files = chunks.count()
-    tasks = max(1, min(files, max(2 * spark.sparkContext.defaultParallelism, files // 8)))
-    names = [f"w{c}" for c in range(max_words)]
-    runs = _counted(chunks.repartition(tasks), folder, max_words)
-    prefix = F.pmod(F.hash("w1"), F.lit(SHARES))
-    merged = (
-        runs.withColumn("share", prefix).repartition("w0", "share")  # the sum needs no other exchange
-        .groupBy("w0", "share", *names[1:]).agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
-    )
-    grams = merged.select(F.filter(F.array(*names), lambda w: w >= 0).alias("gram"), "n")
-    singles = words.select(F.array("id").alias("gram"), "n")
-    return totals, words, materialize(grams.unionByName(singles), "phrase-counts")
+    tasks = max(1, min(files, max(4 * spark.sparkContext.defaultParallelism, files // 4)))
+    counts, bitmap = words.select(F.array("id").alias("gram"), "n"), None
+    for size in range(2, max_words + 1):
+        names = [f"w{c}" for c in range(size)]
+        runs = _counted(chunks.repartition(tasks), folder, size, bitmap)
+        prefix = F.pmod(F.hash("w1"), F.lit(SHARES))
+        merged = (
+            runs.withColumn("share", prefix).repartition("w0", "share")  # the sum needs no other exchange
+            .groupBy("w0", "share", *names[1:]).agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+        )
+        merged = materialize(merged.drop("share"), f"phrases-of-{size}")
+        counts = counts.unionByName(merged.select(F.array(*names).alias("gram"), "n"))
+        if size < max_words:
+            bitmap = _bitmap(merged, size)
+    return totals, words, counts
 
 
 def _wide(c: Column) -> Column:
