@@ -251,19 +251,13 @@ def inbound(logs: DataFrame, patterns: Sequence[tuple[int, str]], own_hosts: Seq
     referred = _referred(logs, "u_ud", "u_sd", event=PAGE_VIEW, keep=["u_ud", "u_sd"])
     external = with_external_host(referred, "p_ref", "_host", own_hosts).where(F.col("_host").isNotNull())
     rows = external.withColumn("inbound", inbound_id(F.col("_host"), patterns)).drop("_host", "p_ref")
-    # visitors and sessions as rows of one column: each is reduced by itself
-    # before the levels repeat it, and no count needs a distinct of its own
-    copies = F.array(
-        F.struct(F.lit(0).alias("kind"), F.col("u_ud").alias("id")),
-        F.struct(F.lit(1).alias("kind"), F.col("u_sd").alias("id")),
+    base = rows.groupBy("date", "platform", F.col("inbound").cast("string").alias("inbound"), "u_ud", "u_sd").agg(
+        F.lit(0).alias("lo"), F.lit(0).alias("hi")
     )
-    ids = rows.select("date", "platform", F.col("inbound").cast("string").alias("inbound"), F.explode(copies).alias("_t"))
-    ids = ids.select("date", "platform", "inbound", "_t.kind", "_t.id").distinct()
+    one = F.lit(1)
+    ids = tagged_ids(base, ["date", "platform", "inbound"], {"visitor": (F.col("u_ud"), one), "session": (F.col("u_sd"), one)})
     sets = D.level_sets(D.PLATFORM, [["inbound"], []], always=["date"])
-    leveled = D.rolled_up(
-        ids, [[*s, "kind", "id"] for s in sets], ["platform", "inbound"], F.count(F.lit(1)).alias("_n")
-    )
-    counted = leveled.groupBy("date", "platform", "inbound").agg(
+    counted = leveled_ids(ids, sets, ["platform", "inbound"]).groupBy("date", "platform", "inbound").agg(
         F.count_if(F.col("kind") == 0).alias("visitors"), F.count_if(F.col("kind") == 1).alias("sessions")
     )
     number = F.when(F.col("inbound") == D.ALL, INBOUND_ALL).otherwise(F.col("inbound")).cast("bigint")
@@ -271,13 +265,13 @@ def inbound(logs: DataFrame, patterns: Sequence[tuple[int, str]], own_hosts: Seq
 
 
 # the session id first: it tells rows apart soonest when they are sorted
-SESSION = ["u_sd", "date", "platform"]
+SESSION = ["u_sd", "date"]
 
 
 def _visits(logs: DataFrame, patterns, own_hosts, hot_rows: int) -> DataFrame:
     """Session steps with their time slice and inbound id."""
     rows = _referred(logs, "u_sd", keep=["u_sd", "s_time", "event_id"])
-    sliced = time_sliced(rows, ["u_sd", "date"], F.col("s_time"), hot_rows=hot_rows)
+    sliced = time_sliced(rows, SESSION, F.col("s_time"), hot_rows=hot_rows)
     hosted = with_external_host(sliced, "p_ref", "_host", own_hosts).drop("p_ref")
     return hosted.withColumn("inbound", inbound_id(F.col("_host"), patterns)).drop("_host")
 
@@ -295,27 +289,37 @@ def inbound_bounce(
     step is internal.  The row of all inbounds (1) counts sessions with at
     least one bounced landing.
     """
-    visits = _visits(logs, patterns, own_hosts, hot_rows).withColumn(
-        "platform", F.explode(F.array(F.col("platform"), F.lit(D.ALL)))
+    visits = _visits(logs, patterns, own_hosts, hot_rows)
+    order = ["s_time", "event_id"]
+    # the next step of the session, and the next one on the same platform: the
+    # rows are exchanged once and sorted twice
+    steps = sliced_neighbour(visits, SESSION, "_slice", order, {"inbound": "next_any"}, forward=True)
+    steps = sliced_neighbour(steps, [*SESSION, "platform"], "_slice", order, {"inbound": "next_own"}, forward=True)
+    landing = F.col("inbound") != INBOUND_INTERNAL
+    bounced = lambda after: landing & F.coalesce(F.col(after) != INBOUND_INTERNAL, F.lit(True))
+    each = steps.groupBy(*SESSION, "platform", "inbound").agg(
+        F.count_if(bounced("next_own")).alias("own"), F.count_if(bounced("next_any")).alias("any")
     )
-    steps = sliced_neighbour(
-        visits, SESSION, "_slice", ["s_time", "event_id"], {"inbound": "next_inbound"}, forward=True
+    # whether the session bounced at all stands on the first of its rows
+    session, here = W.partitionBy(*SESSION), W.partitionBy(*SESSION, "platform")
+    first = lambda w, *by: F.row_number().over(w.orderBy(*by)) == 1
+    some = lambda w, n: (F.sum(n).over(w) > 0).cast("bigint")
+    each = each.withColumns({
+        "first_any": first(session, "platform", "inbound"), "some_any": some(session, "any"),
+        "first_own": first(here, "inbound"), "some_own": some(here, "own"),
+    })
+    entry = lambda when, platform, inbound, n: F.when(
+        when, F.struct(platform.alias("platform"), inbound.cast("bigint").alias("inbound"), n.alias("n"))
     )
-    landing = F.col("inbound") != INBOUND_INTERNAL
-    bounced = landing & F.coalesce(F.col("next_inbound") != INBOUND_INTERNAL, F.lit(True))
-    # per session and inbound, and per session over all its inbounds
-    per_session = D.rolled_up(
-        steps.withColumn("inbound", F.col("inbound").cast("string")),
-        [[*SESSION, "inbound"], SESSION],
-        ["inbound"],
-        F.count_if(bounced).alias("n"),
-    ).where(F.col("inbound") != str(INBOUND_INTERNAL))
-    overall = F.col("inbound") == D.ALL
-    number = F.when(overall, INBOUND_ALL).otherwise(F.col("inbound").try_cast("int")).cast("bigint")
-    n = F.when(overall, (F.col("n") > 0).cast("bigint")).otherwise(F.col("n"))
-    return reported(
-        per_session.groupBy("date", "platform", number.alias("inbound")).agg(F.sum(n).alias("bounces"))
+    platform, every, inbound_all = F.col("platform"), F.lit(D.ALL), F.lit(INBOUND_ALL)
+    entries = F.array(
+        entry(landing, platform, F.col("inbound"), F.col("own")),
+        entry(landing, every, F.col("inbound"), F.col("any")),
+        entry(F.col("first_own"), platform, inbound_all, F.col("some_own")),
+        entry(F.col("first_any"), every, inbound_all, F.col("some_any")),
     )
+    rows = each.select("date", F.explode(entries).alias("e")).where("e IS NOT NULL").select("date", "e.*")
+    return reported(rows.groupBy("date", "platform", "inbound").agg(F.sum("n").alias("bounces")))
 
 
 def landing_segments(
@@ -331,7 +335,7 @@ def landing_segments(
     landing = F.when(F.col("inbound") != INBOUND_INTERNAL, 1).otherwise(0).cast("bigint")
     steps = sliced_running_sum(
         _visits(logs, patterns, own_hosts, hot_rows).drop("platform"),
-        ["u_sd", "date"],
+        SESSION,
         "_slice",
         ["s_time", "event_id"],
         landing,

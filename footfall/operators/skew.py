@@ -42,10 +42,49 @@ def checked_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 HOT_ROWS = 1_000_000
+SKETCH_ITEMS = 65_536
+SKETCH_PARTS = 64
 SECOND_MS = 1000
 WIDTHS_MS = (DAY_MS, 60 * SECOND_MS, SECOND_MS, 1)
 
 
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, items: int = SKETCH_ITEMS
+) -> DataFrame | None:
+    """Keys with ``hot_rows`` rows or more and their counts ``n_rows``; None if there are none.
+
+    Every task sketches the frequent items of its rows as it scans them
+    (Misra-Gries, ``items`` counters), sketches merge in ``SKETCH_PARTS`` parts
+    and then in one, and only what may be frequent is counted exactly.  No key
+    is shuffled unless it is a candidate.  A sketch of ``items`` counters errs
+    by 3.5 / items of all rows at most, so it surely shows every key above
+    twice that; where this is more than ``hot_rows`` - beyond 9 * 10^9 rows -
+    it is the limit instead.  Rows with a null key have no key.
+    """
+    keyed = _with_keys(df, keys).withColumn("_key", F.xxhash64(*keys))
+    sketch = F.count(F.lit(1)).alias("_n"), F.expr(f"approx_top_k_accumulate(_key, {items})").alias("_sketch")
+    parts = keyed.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_PARTS)).alias("_part")).agg(*sketch).drop("_part")
+    parts = parts.unionByName(keyed.limit(0).agg(*sketch))  # an empty sketch, in case there is no row
+    whole = parts.agg(F.sum("_n").alias("n"), F.expr(f"approx_top_k_combine(_sketch, {items})").alias("_sketch"))
+    shown = F.filter(F.expr(f"approx_top_k_estimate(_sketch, {items})"), lambda x: x["count"] >= hot_rows)
+    found = whole.select("n", F.when(F.col("n") >= hot_rows, shown).alias("shown")).first()
+    if not found["shown"]:
+        return None
+    limit = max(hot_rows, 7 * found["n"] // items + 1)
+    suspects = [(x["item"],) for x in found["shown"] if x["count"] >= limit]  # at most ``items``
+    if not suspects:
+        return None
+    candidates = df.sparkSession.createDataFrame(suspects, "_key long")
+    counted = (
+        keyed.join(F.broadcast(candidates), "_key", "left_semi")
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .where(F.col("n_rows") >= limit)
+    )
+    counted = materialize(counted, "hot-keys")
+    return None if counted.isEmpty() else counted
+
+
 def time_sliced(
     df: DataFrame,
     keys: Sequence[str],
@@ -54,31 +93,33 @@ def time_sliced(
     widths_ms: Sequence[int] = WIDTHS_MS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Adds the time slice of each row for the sliced operators below.
-
-    A slice is a day; a (key, day) with ``hot_rows`` or more rows is cut into
-    minutes, a minute that still holds as many into seconds, such a second into
-    milliseconds.  Rows are counted at every size, whatever the planner guesses.
-    The slices to cut are at most one per ``hot_rows`` rows; they are a written
-    table, so the join knows its true size.  Slices only steer the distribution
-    of the work; results do not depend on them.
+    """Adds the time slice of each row for the sliced operators below; without a hot key, ``df`` as it is.
+
+    A key of ``hot_rows`` rows or more is cut into days, a day of it that holds
+    as many into minutes, such a minute into seconds, such a second into
+    milliseconds; any other key is one slice (0).  ``hot_keys`` looks at every
+    row at any size of input.  Hot slices are a written table, so the join knows
+    its true size.  Slices only steer the distribution of the work; results do
+    not depend on them.
     """
     keys = list(keys)
+    hot = hot_keys(df, keys, hot_rows)
+    if hot is None:
+        return df
     starts = [F.floor(ms / F.lit(w)).cast("bigint") * w for w in widths_ms]
-    staged = df.select(*keys, *[c.alias(f"_w{i}") for i, c in enumerate(starts)])
-    slice_start, out = starts[0], df
+    flagged = lambda t, mark: t.drop("n_rows").withColumn(mark, F.lit(True))
+    out = df.join(flagged(hot, "_hot"), keys, "left")
+    slice_start = F.when(F.col("_hot"), starts[0]).otherwise(F.lit(0).cast("bigint"))
+    staged = df.select(*keys, *[c.alias(f"_w{i}") for i, c in enumerate(starts)]).join(hot.select(*keys), keys, "left_semi")
     for level in range(len(widths_ms) - 1):
         here = [*keys, f"_w{level}"]
-        full = staged.groupBy(*here).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= hot_rows)
-        full = materialize(full.select(*here), "hot-slices")
-        if full.isEmpty():
+        full = hot_keys(staged, here, hot_rows)
+        if full is None:
             break
         mark = f"_hot{level}"
-        out = out.withColumn(f"_w{level}", starts[level]).join(
-            full.withColumn(mark, F.lit(True)), here, "left"
-        ).drop(f"_w{level}")
+        out = out.withColumn(f"_w{level}", starts[level]).join(flagged(full, mark), here, "left").drop(f"_w{level}")
         slice_start = F.when(F.col(mark), starts[level + 1]).otherwise(slice_start)
-        staged = staged.join(full, here, "left_semi")
+        staged = staged.join(full.select(*here), here, "left_semi")
     return out.withColumn(name, slice_start).select(*df.columns, name)
 
 
@@ -103,12 +144,16 @@ def sliced_neighbour(
     no sequence and are left out.  Taking them out up front also makes both
     readers of the rows ask for the same exchange, as long as ``df`` has no
     other columns than these: the input is read and shuffled once, and the join
-    with the carried values keeps its partitioning.
+    with the carried values keeps its partitioning.  Without the column nothing
+    is sliced, and one window does it all.
     """
+    step, back = (F.lead, F.lag) if forward else (F.lag, F.lead)
+    if slice_col not in df.columns:
+        plain = W.partitionBy(*keys).orderBy(*order)
+        return _with_keys(df, keys).withColumns({name: step(source).over(plain) for source, name in values.items()})
     part = [*keys, slice_col]
     df = _with_keys(df, part)
     inside = W.partitionBy(*part).orderBy(*order)
-    step, back = (F.lead, F.lag) if forward else (F.lag, F.lead)
 
     marked = df.withColumns({
         **{name: step(source).over(inside) for source, name in values.items()},
@@ -140,6 +185,9 @@ def sliced_running_sum(
     Conditions as for ``sliced_neighbour``.  What came before a slice is a sum,
     so it is pre-aggregated on the map side and shuffles one row per slice.
     """
+    if slice_col not in df.columns:
+        plain = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+        return _with_keys(df, keys).withColumn(name, F.sum(value).over(plain))
     part = [*keys, slice_col]
     df = _with_keys(df, part).withColumn("_v", value)
     before = W.partitionBy(*keys).orderBy(slice_col).rowsBetween(W.unboundedPreceding, -1)
@@ -191,12 +239,6 @@ def numbered(
     return ranged.join(offsets, part).select(*df.columns, number.alias(name))
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Every key with ``hot_rows`` rows or more and its count: at most one per ``hot_rows`` rows."""
-    counted = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
-    return counted.where(F.col("n_rows") >= hot_rows)
-
-
 def skew_split_join(
     left: DataFrame,
     right: DataFrame,
@@ -211,14 +253,17 @@ def skew_split_join(
     A hot row of ``left`` takes one of its key's salts, and the ``right`` rows
     of the key are repeated once per salt; all other rows have number 0 on both
     sides.  Every pair is met exactly once, in one join.  The hot keys are a
-    written table, so the planner knows their size.  The salt is a hash of the
+    written table, so the planner knows their size; without one it is a plain join.  The salt is a hash of the
     ``spread`` columns (all columns unless given), which must tell the rows of a
     key apart; a retried task puts a row in the same place, which a random salt
     would not.
     """
     _keeps_left(how)
     salts = F.ceil(F.col("n_rows") * 2 / hot_rows).cast("int")
-    hot = materialize(hot_keys(left, key, hot_rows).select(key, salts.alias("_salts")), "hot-keys")
+    hot = hot_keys(left, [key], hot_rows)
+    if hot is None:
+        return left.join(right, key, how)
+    hot = hot.select(key, salts.alias("_salts"))
     zero = F.lit(0)
     salt = F.when(F.col("_salts").isNull(), zero).otherwise(
         F.pmod(F.xxhash64(*(spread or left.columns)), F.col("_salts")).cast("int")

@@ -49,6 +49,35 @@ def test_hot_group_is_sliced(steps):
     assert hot > total / 4 and fullest < total / 20
 
 
+@pytest.mark.parametrize("rows, distinct, hot_rows, items", [
+    (200_000, 150_000, 900, 1024), (200_000, 150_000, 2000, 65_536), (5_000, 10, 400, 256), (5_000, 10, 10**6, 256),
+])
+def test_hot_keys_are_all_found(spark, rows, distinct, hot_rows, items):
+    """Every key over the bound, with its exact count, and no other."""
+    of = F.when(F.col("id") % 5 == 0, F.col("id") % 35).when(F.col("id") % 11 == 0, None).otherwise(F.hash("id") % distinct)
+    df = spark.range(rows).repartition(7).select(of.alias("a"), (F.col("id") % 2).alias("b"), F.lit(1).alias("x"))
+    for keys in (["a"], ["a", "b"]):
+        limit = max(hot_rows, 7 * df.dropna(subset=keys).count() // items + 1)
+        want = rows_of(df.dropna(subset=keys).groupBy(*keys).count().where(F.col("count") >= limit))
+        got = skew.hot_keys(df, keys, hot_rows, items)
+        assert (rows_of(got) if got is not None else []) == want
+
+
+def test_no_rows_have_no_hot_key(spark):
+    empty = spark.createDataFrame([], "k int, s_time long")
+    assert skew.hot_keys(empty, ["k"], 1) is None
+    assert skew.hot_keys(spark.createDataFrame([(None,)] * 9, "k int"), ["k"], 1) is None
+    assert skew.time_sliced(empty, ["k"], F.col("s_time")).columns == ["k", "s_time"]
+
+
+def test_looking_for_hot_keys_shuffles_no_key(spark):
+    """The exchange of the sketch carries a row per task."""
+    rows = spark.range(100_000).select((F.col("id") % 50_000).alias("k"))
+    plain = rows.groupBy(F.spark_partition_id()).agg(F.expr("approx_top_k_accumulate(k, 1024)")).count()
+    assert plain == rows.rdd.getNumPartitions()
+    assert skew.hot_keys(rows, ["k"], 1000) is None
+
+
 def test_numbered(spark):
     rows = [(None if i % 3 == 0 else i % 2, i * 7919 % 1000, i) for i in range(500)]
     df = spark.createDataFrame(rows, "g int, v int, id int")
