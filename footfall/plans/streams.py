@@ -78,7 +78,19 @@ _STAT = "SELECT date, province, city, ad_id, count(*) AS click_count FROM ads GR
 
 @query("stream_ad_state_count", with_views("ads", _STAT))
 def stream_ad_state_count(spark, sf):
-    return _click_job(spark, sf, "stream-state", ads.ad_totals)
+    return _click_job(spark, sf, "stream-sums", ads.ad_totals)
+
+
+@query("stream_ad_keyed_state", with_views("ads", _STAT))
+def stream_ad_keyed_state(spark, sf):
+    """Counts as keyed state; three batches out of order, the query restarted between them."""
+    root = workspace(spark, "stream-state")
+    lines = src.ad_click_lines(spark, sf)
+    part, result = F.pmod(F.xxhash64("event_id"), F.lit(BATCHES)), None
+    for i in range(BATCHES):
+        lines.where(part == i).select("value").write.mode("append").text(f"{root}/in")
+        result = ads.ad_state_totals(file_lines(spark, f"{root}/in"), f"{root}/out", f"{root}/checkpoint")
+    return result
 
 
 @query(
@@ -114,6 +126,23 @@ def stream_sliding_window(spark, sf):
     return _click_job(spark, sf, "stream-sliding", ads.sliding_counts, slide_ms=600_000)
 
 
+@query(
+    "stream_sliding_changes",
+    with_views("ads", """
+, w AS (SELECT ad_id, (click_ms//10000 - i) * 10000 AS start_ms FROM ads, range(0, 360) t(i)),
+n AS (SELECT ad_id, start_ms, count(*) AS click_count FROM w GROUP BY ALL),
+edges AS (SELECT *, lag(start_ms) OVER o IS DISTINCT FROM start_ms - 10000 OR lag(click_count) OVER o <> click_count AS new
+  FROM n WINDOW o AS (PARTITION BY ad_id ORDER BY start_ms)),
+runs AS (SELECT *, sum(new::INT) OVER (PARTITION BY ad_id ORDER BY start_ms) AS run FROM edges)
+SELECT strftime(make_timestamp(min(start_ms)*1000), '%Y-%m-%d %H:%M:%S') AS first_start,
+  strftime(make_timestamp(max(start_ms)*1000), '%Y-%m-%d %H:%M:%S') AS last_start, ad_id, any_value(click_count) AS click_count
+FROM runs GROUP BY ad_id, run"""),
+)
+def stream_sliding_changes(spark, sf):
+    """The window of one hour that slides by 10 s."""
+    return _click_job(spark, sf, "stream-changes", ads.sliding_changes, slide_ms=10_000)
+
+
 @query(
     "stream_word_count",
     """SELECT word, count(*) AS n FROM (SELECT unnest(string_split(word_line, ' ')) AS word

@@ -10,17 +10,21 @@ watermark: a click counts however late it comes.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from footfall.functions.times import DAY_MS
 from footfall.operators import ads
 from footfall.operators.joins import without_users
-from footfall.sinks.tables import latest_groups
+from footfall.operators.skew import sliced_neighbour, sliced_running_sum
+from footfall.sinks.tables import latest, latest_groups
 from footfall.streaming import ledger
-from footfall.streaming.base import Run, run_available
+from footfall.streaming.base import Run, run_available, use_keyed_state
 
 _STR, _LONG = T.StringType(), T.LongType()
 
@@ -40,7 +44,10 @@ TOP = _schema(("date", _STR), ("province", _STR), ("ad_id", _LONG), ("click_coun
 TREND = _schema(
     ("date", _STR), ("hour", _STR), ("minute", _STR), ("ad_id", _LONG), ("click_count", _LONG)
 )
-SLOTS = _schema(("slot_ms", _LONG), ("ad_id", _LONG), ("click_count", _LONG))
+SLOTS = _schema(("date", _STR), ("slot_ms", _LONG), ("ad_id", _LONG), ("click_count", _LONG))
+LIVES = _schema(
+    ("date", _STR), ("province", _STR), ("city", _STR), ("ad_id", _LONG), ("life", _LONG), ("click_count", _LONG)
+)
 USERS = _schema(("user_id", _LONG))
 
 
@@ -201,6 +208,19 @@ def click_trend(
 SLIDE_MS = 10_000
 
 
+def _slots(lines: DataFrame, out: str, checkpoint: str, slide_ms: int, every: int, run: Run) -> DataFrame:
+    """Clicks per ad and slide; batches store these, whatever windows a reader wants."""
+    slot = (F.floor(F.col("click_ms") / F.lit(slide_ms)) * slide_ms).cast("bigint")
+    return _counted(
+        lines, lambda clicks: _per("date", "slot_ms", "ad_id")(clicks.withColumn("slot_ms", slot)),
+        out, checkpoint, SLOTS, every, run,
+    )
+
+
+def _time_text(ms: Column) -> Column:
+    return F.date_format(F.timestamp_millis(ms), "yyyy-MM-dd HH:mm:ss")
+
+
 def sliding_counts(
     lines: DataFrame,
     out: str,
@@ -210,19 +230,109 @@ def sliding_counts(
     every: int = ledger.EVERY,
     run: Run = run_available,
 ) -> DataFrame:
-    """Clicks per ad in overlapping windows.
+    """Clicks per ad in overlapping windows, one row per window.
 
-    Batches store counts per slide; only reading expands a slide's count to the
-    windows that hold it.
+    Reading expands a slide's count to the windows that hold it, so this is for
+    few windows per click; ``sliding_changes`` is for many.
     """
-    slot = (F.floor(F.col("click_ms") / F.lit(slide_ms)) * slide_ms).cast("bigint")
-    stored = _counted(
-        lines, lambda clicks: _per("slot_ms", "ad_id")(clicks.withColumn("slot_ms", slot)), out, checkpoint, SLOTS, every, run
-    )
+    stored = _slots(lines, out, checkpoint, slide_ms, every, run)
     starts = F.sequence(F.col("slot_ms") - (size_ms - slide_ms), F.col("slot_ms"), F.lit(slide_ms).cast("bigint"))
-    text = lambda ms: F.date_format(F.timestamp_millis(ms), "yyyy-MM-dd HH:mm:ss")
     windows = stored.select(F.explode(starts).alias("start"), "ad_id", "click_count")
     summed = windows.groupBy("start", "ad_id").agg(F.sum("click_count").alias("click_count"))
     return summed.select(
-        text(F.col("start")).alias("window_start"), text(F.col("start") + size_ms).alias("window_end"), "ad_id", "click_count"
+        _time_text(F.col("start")).alias("window_start"), _time_text(F.col("start") + size_ms).alias("window_end"),
+        "ad_id", "click_count",
+    )
+
+
+def sliding_changes(
+    lines: DataFrame,
+    out: str,
+    checkpoint: str,
+    size_ms: int = 3_600_000,
+    slide_ms: int = SLIDE_MS,
+    every: int = ledger.EVERY,
+    run: Run = run_available,
+) -> DataFrame:
+    """Clicks per ad in overlapping windows, one row per run of windows with the same count.
+
+    The windows that start from ``first_start`` to ``last_start`` hold
+    ``click_count`` clicks each; windows without clicks are left out.  A slide's
+    count enters with the first window that holds it and leaves with the first
+    that does not, so two rows stand for a slide, however many windows hold it:
+    a running sum over these differences is the count of every window.  Sums go
+    by day and carry over, so no task holds an ad's whole history.
+    """
+    stored = _slots(lines, out, checkpoint, slide_ms, every, run)
+    enters, leaves = F.col("slot_ms") - (size_ms - slide_ms), F.col("slot_ms") + slide_ms
+    change = F.array(
+        F.struct(enters.alias("start"), F.col("click_count").alias("n")),
+        F.struct(leaves.alias("start"), (-F.col("click_count")).alias("n")),
+    )
+    changes = stored.select("ad_id", F.explode(change).alias("c")).select("ad_id", "c.*")
+    changes = changes.groupBy("ad_id", "start").agg(F.sum("n").alias("n")).where("n <> 0")
+    changes = changes.withColumn("_slice", F.floor(F.col("start") / F.lit(DAY_MS)).cast("bigint"))
+    counted = sliced_running_sum(changes, ["ad_id"], "_slice", ["start"], F.col("n"), "click_count")
+    until = sliced_neighbour(
+        counted.select("ad_id", "_slice", "start", "click_count"), ["ad_id"], "_slice", ["start"], {"start": "until"}, forward=True
+    )
+    return until.where("click_count > 0").select(
+        _time_text(F.col("start")).alias("first_start"), _time_text(F.col("until") - slide_ms).alias("last_start"),
+        "ad_id", "click_count",
+    )
+
+
+# A key's clicks of one stay in the state store; a key that comes back later has another.
+LIFE_KEYS = [*STAT_KEYS, "life"]
+
+
+def _newest_lives(rows: DataFrame) -> DataFrame:
+    return latest(rows, LIFE_KEYS)
+
+
+def ad_state_totals(
+    lines: DataFrame,
+    out: str,
+    checkpoint: str,
+    idle: str = "2 days",
+    every: int = ledger.EVERY,
+    run: Run = run_available,
+) -> DataFrame:
+    """Running counts per (day, province, city, ad), kept as keyed state of the stream.
+
+    The engine holds the count of every key that had a click within ``idle`` in
+    its state store (RocksDB, checkpointed as changes), and a batch stores the
+    new counts of its keys only.  A key without a click for ``idle`` - its day is
+    over - leaves the state; its count stays in the result table.  A click that
+    comes later still starts another life of the key, named by the time of its
+    batch, which a repeated batch keeps; lives add up.  So every click counts,
+    and the state holds the keys of a few days.
+    """
+    idle_ms = int(pd.Timedelta(idle).total_seconds() * 1000)
+
+    def step(key, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = pd.concat(parts)
+        now = int(rows["seen"].max().timestamp() * 1000)
+        life, n = state.get if state.exists else (now, 0)
+        n += len(rows)
+        state.update((life, n))
+        state.setTimeoutTimestamp(max(now, state.getCurrentWatermarkMs()) + idle_ms)
+        yield pd.DataFrame([(*key, life, n)], columns=LIVES.names)
+
+    # The clock is that of the batches, which a repeated batch keeps; no click is late by it.
+    clicks = ads.parse_clicks(lines).select(*STAT_KEYS, F.current_timestamp().alias("seen")).withWatermark("seen", "0 seconds")
+    counted = clicks.groupBy(*STAT_KEYS).applyInPandasWithState(
+        step, LIVES, _schema(("life", _LONG), ("n", _LONG)), "update", GroupStateTimeout.EventTimeTimeout
     )
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        ledger.fold_if_due(batch.sparkSession, out, LIVES, batch_id, _newest_lives, every)
+        ledger.store(batch, out, batch_id)
+
+    use_keyed_state(lines.sparkSession)
+    run(counted.writeStream.outputMode("update").foreachBatch(keep), checkpoint)
+    lives = ledger.content(lines.sparkSession, out, LIVES, _newest_lives, every)
+    return lives.groupBy(*STAT_KEYS).agg(F.sum("click_count").alias("click_count"))

@@ -39,6 +39,13 @@ def socket_lines(spark: SparkSession, host: str, port: int) -> DataFrame:
     return spark.readStream.format("socket").option("host", host).option("port", port).load()
 
 
+def use_keyed_state(spark: SparkSession) -> None:
+    """Keep state on the executors' disks, and checkpoint what a batch changed of it."""
+    store = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", store)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
 # How a job runs: (writer, checkpoint folder) -> query.
 Run = Callable[[DataStreamWriter, str], StreamingQuery]
 
