@@ -1,33 +1,40 @@
 """Log-bilinear language model, trained by noise-contrastive estimation.
 
 Tokens are the words of a text (A-Z lower-cased, cut at ASCII white space) and
-an end.  The ``TOP`` most frequent tokens are classes of their own; all other
-words share ``TAILS`` classes by their last two characters.  The model predicts
-the class of a token from those of the two before it,
+an end.  The ``TOP`` most frequent tokens are classes
+of their own; all other words share ``TAILS`` groups by their last two characters.
+A group is one class for every ``SLAB`` of its words that have vectors, by falling
+count, so the number of classes follows the corpus and the size of a class is
+bounded.  The model predicts the class of a token from those of the two before it,
 
     score(class | a, b) = (C1 r_b + C2 r_a) . q_class + bias_class,
 
 and a word inside its class from its own vector.  Every word of ``OWN`` training
 tokens or more has one as a target and one as a context, so their number grows
 with the training counts.  Words of a class stand in buckets of ``WIDTH`` by
-falling count; a softmax over the buckets of the class and one over the words
-of the bucket, both log-bilinear in the vectors of the two tokens before, give
-the word.  Rarer words share a place beside the buckets by their add-one
-counts, with room for unseen ones, so a token's probability is normalised over
-all words.
+falling count; the bucket among those of the class and the word among those of
+the bucket are log-bilinear in the vectors of the two tokens before.  All of it
+is trained by noise-contrastive estimation, with noise that a minibatch shares:
+noise classes by their counts, noise buckets and words by theirs.  Scores come
+from matrix products and are normalised over classes, buckets and words.  The
+class itself is told from the classes before, not from the words' vectors.
+Rarer words have no vector; they share a place beside the buckets of their
+group's last class by their add-one counts, with room for unseen ones, so a
+token's probability is normalised over all words.
 
 1. Tasks cut texts into chunks, number the words of a chunk and write the
    numbers to a file.  Only the distinct words of a chunk travel: a window over
    each word adds up its training counts and brings the sum back.  A word has
    one row per chunk, so its rows are as many as chunks, however common it is.
 2. Chunks get classes and counts and are written anew, as 16-bit classes.
-3. Training goes over all training texts: tasks run minibatches over the
+3. Training of classes goes over all training texts: tasks run minibatches over the
    context counts of their chunks, and the parameters of all tasks are averaged
    by Spark, ``EPOCHS`` times.  Only parameters reach the driver.
-4. Vectors of words are a table in the shared folder, one file per class.  A
-   task reads the contexts' vectors that its chunk needs, then goes through the
-   file of one class after the other and hands on what it changed of it, which
-   one task per class adds up.
+4. Vectors of words are a table in the shared folder, one file per class, of
+   bounded size.  A task reads the contexts' vectors that its chunk needs, then
+   goes through the file of one class after the other and hands on what it
+   changed of it.  Changes are added up in two steps, by class and share of the
+   chunks and then by class, so no task gets those of all chunks.
 5. Scoring computes, for the distinct contexts of a chunk, a block of
    normalised log-probabilities of classes by one matrix product, and goes
    through the files of the classes for the words inside.
@@ -51,11 +58,10 @@ from pyspark.sql import Window as W
 from footfall.llm.common import column, gathered, quoted
 from footfall.llm.files import new_file, opened
 from footfall.llm.words import Words
+from footfall.operators.skew import numbered
 from footfall.session import materialize, workspace
 
 TOP, TAILS = 256, 128
-CLASSES = TOP + TAILS
-START = CLASSES  # before the first token; never predicted
 END = ""  # no word is empty
 SIZE = 24
 NOISE = 64
@@ -67,8 +73,10 @@ TEXT_BYTES = 32 << 20
 CONTEXTS = 8192
 OWN = 10
 WIDTH = 64
+SLAB = 4096  # words with vectors in a class
+OWN_NOISE = 16
 OWN_BATCH = 1024
-DAMPING = 4.0
+DAMPING = 8.0
 
 CODES = pa.schema([("doc_id", pa.int64()), ("train", pa.bool_()), ("codes", pa.list_(pa.int32()))])
 TOKENS = pa.schema([
@@ -127,20 +135,21 @@ def _cut(docs: DataFrame, train: Column, folder: str, id_col: str, text_col: str
     return rows.mapInArrow(run, kind)
 
 
-def tail_class(word: Column) -> Column:
-    return (F.crc32(F.substring(word, -2, 2).cast("binary")) % TAILS + TOP).cast("int")
+def tail_of(word: Column) -> Column:
+    return (F.crc32(F.substring(word, -2, 2).cast("binary")) % TAILS).cast("int")
 
 
 class Model:
-    """The parameters; small, of a size that does not depend on the data."""
+    """The parameters of the classes; class ``start`` stands before the first token and is never predicted."""
 
     NAMES = ("r", "q", "bias", "c1", "c2")
 
     def __init__(self, counts: np.ndarray):
         rng = np.random.default_rng(7)
+        n = self.start = len(counts)
         self.noise = (counts + 1.0) / (counts + 1.0).sum()
-        self.r = rng.normal(0, 0.1, (CLASSES + 1, SIZE)).astype(np.float32)
-        self.q = rng.normal(0, 0.1, (CLASSES, SIZE)).astype(np.float32)
+        self.r = rng.normal(0, 0.1, (n + 1, SIZE)).astype(np.float32)
+        self.q = rng.normal(0, 0.1, (n, SIZE)).astype(np.float32)
         self.bias = np.log(self.noise).astype(np.float32)
         self.c1 = np.eye(SIZE, dtype=np.float32)
         self.c2 = 0.5 * np.eye(SIZE, dtype=np.float32)
@@ -160,13 +169,13 @@ class Model:
 
     def log10(self, a: np.ndarray, b: np.ndarray, target: np.ndarray) -> np.ndarray:
         """log10 P(class of the token | the two before it), normalised over all classes."""
-        context, of = np.unique(a.astype(np.int64) * (CLASSES + 1) + b, return_inverse=True)
+        context, of = np.unique(a.astype(np.int64) * (self.start + 1) + b, return_inverse=True)
         order = np.argsort(of, kind="stable")
         ends = np.searchsorted(of[order], np.arange(0, len(context) + CONTEXTS, CONTEXTS))
         out = np.empty(len(target))
         for k, (x, y) in enumerate(zip(ends[:-1], ends[1:])):
             own = context[k * CONTEXTS : (k + 1) * CONTEXTS]
-            score = self.context(own // (CLASSES + 1), own % (CLASSES + 1)) @ self.q.T + self.bias
+            score = self.context(own // (self.start + 1), own % (self.start + 1)) @ self.q.T + self.bias
             top = score.max(axis=1, keepdims=True)
             norm = np.log(np.exp(score - top).sum(axis=1, dtype=np.float64)) + top[:, 0]
             rows = order[x:y]
@@ -182,7 +191,7 @@ class Model:
             rows = order[start : start + BATCH]
             x, y, z = a[rows], b[rows], target[rows]
             w = (weight[rows] / weight[rows].sum()).astype(np.float32)
-            noise = rng.choice(CLASSES, NOISE, p=self.noise)
+            noise = rng.choice(self.start, NOISE, p=self.noise)
             rx, ry = self.r[x], self.r[y]
             h = ry @ self.c1 + rx @ self.c2
             true = (h * self.q[z]).sum(axis=1) + self.bias[z] - log_noise[z]
@@ -190,9 +199,9 @@ class Model:
             gt = w / (1.0 + np.exp(np.clip(true, -30, 30)))
             gf = -w[:, None] / (1.0 + np.exp(np.clip(-false, -30, 30)))
             dh = gt[:, None] * self.q[z] + gf @ self.q[noise]
-            dq = _summed(z, gt[:, None] * h, CLASSES) + _summed(noise, gf.T @ h, CLASSES)
-            db = np.bincount(z, gt, CLASSES) + np.bincount(noise, gf.sum(axis=0), CLASSES)
-            dr = _summed(y, dh @ self.c1.T, CLASSES + 1) + _summed(x, dh @ self.c2.T, CLASSES + 1)
+            dq = _summed(z, gt[:, None] * h, self.start) + _summed(noise, gf.T @ h, self.start)
+            db = np.bincount(z, gt, self.start) + np.bincount(noise, gf.sum(axis=0), self.start)
+            dr = _summed(y, dh @ self.c1.T, self.start + 1) + _summed(x, dh @ self.c2.T, self.start + 1)
             for name, grad in (("r", dr), ("q", dq), ("bias", db), ("c1", ry.T @ dh), ("c2", rx.T @ dh)):
                 seen = state.setdefault(name, np.full(grad.shape, 1e-8))
                 seen += grad * grad
@@ -203,15 +212,15 @@ def _summed(index: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     return np.stack([np.bincount(index, rows[:, j], n) for j in range(rows.shape[1])], axis=1)
 
 
-def _contexts(classes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _contexts(classes: np.ndarray, at: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
     """The classes two places and one place before every token."""
-    before = np.concatenate([[START], classes[:-1]]).astype(np.int64)
-    two = np.concatenate([[START, START], classes[:-2]])[: len(classes)].astype(np.int64)
+    before = np.concatenate([[start], classes[:-1]]).astype(np.int64)
+    two = np.concatenate([[start, start], classes[:-2]])[: len(classes)].astype(np.int64)
     first = at[:-1]
-    before[first] = START
-    two[first] = START
+    before[first] = start
+    two[first] = start
     second = first + 1
-    two[second[second < at[1:]]] = START
+    two[second[second < at[1:]]] = start
     return two, before
 
 
@@ -227,68 +236,97 @@ def _load_own(uri: str) -> tuple[np.ndarray, np.ndarray]:
 
 def own_start(counts: np.ndarray, rest: float) -> np.ndarray:
     """Rows of a class whose words have these falling counts: shares by count whatever the context."""
-    buckets = np.add.reduceat(counts, np.arange(0, len(counts), WIDTH))
-    out = np.zeros((len(buckets) + 1 + len(counts), SIZE + 1))
-    out[:, SIZE] = np.log(np.concatenate([buckets, [rest], counts]))
+    first = np.arange(0, len(counts), WIDTH)
+    buckets = np.append(np.add.reduceat(counts, first), rest)
+    out = np.zeros((len(buckets) + len(counts), SIZE + 1))
+    out[:, SIZE] = np.log(np.concatenate([buckets / buckets.sum(), counts / buckets[np.arange(len(counts)) // WIDTH]]))
     return out
 
 
-def _softmax(h: np.ndarray, target: np.ndarray, w: np.ndarray, seen: np.ndarray | None) -> tuple[np.ndarray, np.ndarray | None]:
-    """log P(target | h) under the rows ``w``; with ``seen``, the rows learn and the gradients of ``h`` come along."""
-    logs, back = np.empty(len(h)), None if seen is None else np.empty((len(h), SIZE), np.float32)
-    step = CONTEXTS if seen is None else OWN_BATCH
-    for a in range(0, len(h), step):
-        x, z = h[a : a + step], target[a : a + step]
-        score = x @ w.T
+def _softmax(h: np.ndarray, target: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """log P(target | h) under the rows ``w``."""
+    logs = np.zeros(len(h))
+    for a in range(0, len(h) if len(w) > 1 else 0, CONTEXTS):
+        z = target[a : a + CONTEXTS]
+        score = h[a : a + CONTEXTS] @ w.T
         score -= score.max(axis=1, keepdims=True)
-        local = np.arange(len(z))
-        own = score[local, z]
+        own = score[np.arange(len(z)), z]
         np.exp(score, out=score)
-        total = score.sum(axis=1)
-        logs[a : a + step] = own - np.log(total)
-        if seen is not None:
-            score /= total[:, None]
-            seen += (score * (1 - score)).T @ (x * x)
-            np.negative(score, out=score)
-            score[local, z] += 1
-            w += score.T @ x / (1 + DAMPING * seen)
-            back[a : a + step] = score @ w[:, :SIZE]
-    return logs, back
-
-
-def in_class(h: np.ndarray, rank: np.ndarray, out: np.ndarray, words: int, seen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-    """log P(word | its class, h) for ascending ``rank`` (-1: rarer words), as ``_softmax`` does."""
+        logs[a : a + CONTEXTS] = own - np.log(score.sum(axis=1))
+    return logs
+
+
+def _contrasted(h: np.ndarray, target: np.ndarray, w: np.ndarray, share: np.ndarray, seen: np.ndarray, seed: int) -> np.ndarray:
+    """Train the rows ``w`` against shared noise drawn by ``share``; the gradients of ``h``.
+
+    ``seen`` adds up how hard the rows were pulled either way; steps shrink with it.
+    """
+    back = np.zeros((len(h), SIZE), np.float32)
+    if len(w) == 1:
+        return back
+    rng = np.random.default_rng([len(h), seed])
+    log_noise = np.log(OWN_NOISE * share).astype(np.float32)
+    order, drawn = rng.permutation(len(h)), np.cumsum(share)
+    for a in range(0, len(h), OWN_BATCH):
+        rows = order[a : a + OWN_BATCH]
+        x, z = h[rows], target[rows]
+        noise = np.minimum(np.searchsorted(drawn, rng.random(OWN_NOISE)), len(w) - 1)
+        wz, wn = w[z], w[noise]
+        true = np.einsum("ij,ij->i", x, wz) - log_noise[z]
+        false = x @ wn.T - log_noise[noise]
+        up = 1 / (1 + np.exp(np.clip(true, -30, 30)))
+        down = 1 / (1 + np.exp(np.clip(-false, -30, 30)))
+        back[rows] = up[:, None] * wz[:, :SIZE] - down @ wn[:, :SIZE]
+        square = x * x
+        spots, total, curved = _grouped(z, up[:, None] * x, up[:, None] * square)
+        np.add.at(seen, noise, down.T @ square)
+        seen[spots] += curved
+        step = np.zeros_like(w)
+        np.add.at(step, noise, -(down.T @ x))
+        step[spots] += total
+        w += step / (1 + DAMPING * seen)
+    return back
+
+
+def in_class(
+    h: np.ndarray, rank: np.ndarray, out: np.ndarray, words: int, seen: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray | None]:
+    """log P(word | its class, h) for ascending ``rank`` (-1: rarer words).
+
+    With ``seen``, the rows ``out`` learn instead, and the gradients of ``h`` come along.
+    """
     buckets = -(-words // WIDTH)
     target = np.where(rank < 0, buckets, rank // WIDTH)
-    order = np.random.default_rng(len(rank)).permutation(len(rank)) if seen is not None else np.arange(len(rank))
-    logs, back = np.empty(len(rank)), None if seen is None else np.empty((len(rank), SIZE), np.float32)
-    got, slope = _softmax(h[order], target[order], out[: buckets + 1], None if seen is None else seen[: buckets + 1])
-    logs[order] = got
-    if seen is not None:
-        back[order] = slope
+    learn = seen is not None
+    shares = np.exp(out[:, SIZE].astype(np.float64)) if learn else None  # of the start, where biases are log shares
+    top = slice(0, buckets + 1)
+
+    def at(rows, target, own, seed):
+        if learn:
+            share = shares[own] / shares[own].sum()
+            return _contrasted(h[rows], target, out[own], share, seen[own], seed)
+        return _softmax(h[rows], target, out[own])
+
+    every = slice(0, len(rank))
+    total = at(every, target, top, 0)
     ends = np.searchsorted(rank, np.arange(0, words + WIDTH, WIDTH)[: buckets + 1])
     for k in np.flatnonzero(np.diff(ends)).tolist():
-        rows = np.arange(ends[k], ends[k + 1])
-        if seen is not None:
-            rows = np.random.default_rng(k).permutation(rows)
+        rows = slice(int(ends[k]), int(ends[k + 1]))
         own = slice(buckets + 1 + k * WIDTH, buckets + 1 + min(words, (k + 1) * WIDTH))
-        got, slope = _softmax(h[rows], rank[rows] - k * WIDTH, out[own], None if seen is None else seen[own])
-        logs[rows] += got
-        if seen is not None:
-            back[rows] += slope
-    return logs, back
+        total[rows] += at(rows, rank[rows] - k * WIDTH, own, k + 1)
+    return (np.zeros(len(rank)), total) if learn else (total, None)
 
 
-def _grouped(index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct numbers, the sums of their rows and of the squares."""
+def _grouped(index: np.ndarray, *rows: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The distinct numbers, and the sums of their rows."""
     order = np.argsort(index, kind="stable")
-    index, rows = index[order], rows[order]
+    index = index[order]
     at = np.flatnonzero(np.diff(index, prepend=-1))
-    return index[at], np.add.reduceat(rows, at, axis=0), np.add.reduceat(rows * rows, at, axis=0)
+    return index[at], *(np.add.reduceat(r[order], at, axis=0) for r in rows)
 
 
 def _own_pass(folder: str, version: int, model: Model, owned: np.ndarray, t: pa.RecordBatch, learn: bool):
-    """Log-probabilities of all tokens of a chunk inside their classes; learning, what changed of each class."""
+    """Log-probabilities of all tokens of a chunk inside their classes; or, learning, what changed of each class."""
     lists, ranks = t.column("classes"), t.column("ranks")
     at = np.asarray(lists.offsets).astype(np.int64)
     key = lists.values.to_numpy()[at[0] : at[-1]].astype(np.int64) << 32
@@ -298,10 +336,10 @@ def _own_pass(folder: str, version: int, model: Model, owned: np.ndarray, t: pa.
     distinct, place = np.unique(key, return_inverse=True)
     del key
     of, rank = distinct >> 32, (distinct & 0xFFFFFFFF) - 1
-    two, one = (np.maximum(x - START, 0).astype(np.int32) for x in _contexts(place + START + 1, at - at[0]))
-    vectors = np.concatenate([model.r[START:], model.r[of]])
-    edges = np.searchsorted(of, np.arange(CLASSES + 1))
-    kinds = [c for c in range(TOP, CLASSES) if owned[c] and edges[c] < edges[c + 1]]
+    two, one = (x.astype(np.int32) for x in _contexts(place + 1, at - at[0], 0))
+    vectors = np.concatenate([model.r[model.start :], model.r[of]])
+    edges = np.searchsorted(of, np.arange(model.start + 1))
+    kinds = [c for c in range(TOP, model.start) if owned[c] and edges[c] < edges[c + 1]]
     for c in kinds:
         own = np.arange(edges[c], edges[c + 1])
         own = own[rank[own] >= 0]
@@ -322,22 +360,45 @@ def _own_pass(folder: str, version: int, model: Model, owned: np.ndarray, t: pa.
         logs[rows], back = in_class(h, rank[place[rows]], out, int(owned[c]), seen)
         if learn:
             for spots, turned in ((b, back @ model.c1.T), (a, back @ model.c2.T)):
-                spot, total, squares = _grouped(spots, turned)
+                spot, total, squares = _grouped(spots, turned, turned * turned)
                 slope[spot] += total
                 square[spot] += squares
             spot = np.flatnonzero(seen.any(axis=1))
             changed[c] = [(0, spot, (out - old)[spot] * seen[spot], seen[spot])]
     for c in kinds if learn else []:
         own = np.arange(edges[c], edges[c + 1])
-        own = own[rank[own] >= 0]
+        own = own[rank[own] >= 0]  # none, if the chunk holds only rarer words of the class
         changed[c].append((1, rank[own], slope[own + 1], square[own + 1]))
     return logs / np.log(10.0), changed
 
 
+PARTS = "class long, part long, which long, spot binary, slope binary, weight binary"
+
+
+def _packed(c: int, part: int, which: int, spot: np.ndarray, slope: np.ndarray, weight: np.ndarray) -> pa.RecordBatch:
+    raw = [spot.astype("<i4").tobytes(), *(x.astype("<f4").tobytes() for x in (slope, weight))]
+    numbers = [pa.array([c]), pa.array([part]), pa.array([which])]
+    names = ["class", "part", "which", "spot", "slope", "weight"]
+    return pa.RecordBatch.from_arrays([*numbers, *(pa.array([x], pa.binary()) for x in raw)], names)
+
+
+def _added_up(words: int, batches: Iterable[pa.RecordBatch]) -> list[list[np.ndarray]]:
+    """Of targets and contexts of a class: the summed slopes and weights of some parts."""
+    rows = -(-words // WIDTH) + 1 + words, words
+    sums = [[np.zeros((rows[k], SIZE + 1 - k)) for _ in range(2)] for k in range(2)]
+    for r in batches:
+        for which, spot, *two in zip(*(r.column(n) for n in ("which", "spot", "slope", "weight"))):
+            spot = np.frombuffer(spot.as_buffer(), "<i4")
+            for total, part in zip(sums[which.as_py()], two):
+                total[spot] += np.frombuffer(part.as_buffer(), "<f4").reshape(len(spot), total.shape[1])
+    return sums
+
+
 def _own_fitted(folder: str, chunks: DataFrame, model: Model, owned: np.ndarray, tasks: int) -> int:
     """Train the words' vectors from version 0 of the table; the version to use."""
     if not owned.any():
         return 0
+    shares = max(1, int(tasks**0.5))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -346,28 +407,28 @@ def _own_fitted(folder: str, chunks: DataFrame, model: Model, owned: np.ndarray,
                 t = t.filter(t.column("train"))
                 if t.num_rows:
                     for c, parts in _own_pass(folder, 0, model, owned, t, True)[1].items():
-                        for which, spot, *sums in parts:
-                            raw = [spot.astype("<i4").tobytes(), *(x.astype("<f4").tobytes() for x in sums)]
-                            yield pa.RecordBatch.from_arrays(
-                                [pa.array([c]), pa.array([which]), *(pa.array([x], pa.binary()) for x in raw)],
-                                ["class", "which", "spot", "slope", "weight"],
-                            )
+                        for which, spot, slope, weight in parts:
+                            if len(spot):
+                                yield _packed(c, chunk % shares, which, spot, slope, weight)
+
+    def some(key, t):
+        c, part = (k.as_py() for k in key)
+        sums = enumerate(_added_up(int(owned[c]), t.to_batches()))
+        spots = [(which, np.flatnonzero(weight.any(axis=1)), slope, weight) for which, (slope, weight) in sums]
+        return pa.Table.from_batches([
+            _packed(c, part, which, spot, slope[spot], weight[spot]) for which, spot, slope, weight in spots
+        ])
 
     def merge(key, t):
         c = key[0].as_py()
-        tables = _load_own(f"{folder}/own-0-{c}")
-        sums = [[np.zeros(x.shape) for x in tables] for _ in range(2)]
-        for r in t.to_batches():
-            for which, spot, *two in zip(*(r.column(n) for n in ("which", "spot", "slope", "weight"))):
-                spot = np.frombuffer(spot.as_buffer(), "<i4")
-                for total, part in zip(sums, two):
-                    total[which.as_py()][spot] += np.frombuffer(part.as_buffer(), "<f4").reshape(len(spot), -1)
-        out = tables[0] + sums[0][0] / np.maximum(sums[1][0], 1e-12)
-        ctx = tables[1] + sums[0][1] / (1 + DAMPING * sums[1][1])
-        _save_own(f"{folder}/own-1-{c}", out, ctx)
+        out, ctx = _load_own(f"{folder}/own-0-{c}")
+        (slope, weight), (turn, square) = _added_up(int(owned[c]), t.to_batches())
+        _save_own(f"{folder}/own-1-{c}", out + slope / np.maximum(weight, 1e-12), ctx + turn / (1 + DAMPING * square))
         return pa.table({"class": [c]})
 
-    parts = chunks.repartition(tasks).mapInArrow(run, "class long, which long, spot binary, slope binary, weight binary")
+    parts = chunks.repartition(tasks).mapInArrow(run, PARTS)
+    if shares > 1:
+        parts = parts.groupBy("class", "part").applyInArrow(some, PARTS)
     merged = {r["class"] for r in parts.groupBy("class").applyInArrow(merge, "class long").collect()}
     for c in set(np.flatnonzero(owned).tolist()) - merged:
         raise ValueError(f"class {c} was not trained")
@@ -395,11 +456,11 @@ def _fitted(spark, folder: str, chunks: DataFrame, counts: np.ndarray, tasks: in
                 lists = t.column("classes")
                 at = np.asarray(lists.offsets).astype(np.int64)
                 classes = lists.values.to_numpy()[at[0] : at[-1]].astype(np.int64)
-                two, one = _contexts(classes, at - at[0])
-                key = (two * (CLASSES + 1) + one) * CLASSES + classes
+                two, one = _contexts(classes, at - at[0], model.start)
+                key = (two * (model.start + 1) + one) * model.start + classes
                 key, weight = np.unique(key, return_counts=True)
-                context = key // CLASSES
-                own.train(context // (CLASSES + 1), context % (CLASSES + 1), key % CLASSES, weight, rng, state)
+                context = key // model.start
+                own.train(context // (model.start + 1), context % (model.start + 1), key % model.start, weight, rng, state)
                 trained += int(weight.sum())
             if trained:
                 flat = own.flat()
@@ -436,27 +497,36 @@ def score_texts(
     tops = [(END, ends["c"] if ends else 0), *common]  # ``TOP`` words at most
     kind = T.StructType([T.StructField("word", T.StringType()), T.StructField("top", T.IntegerType())])
     ranks = spark.createDataFrame([(w, i) for i, (w, _) in enumerate(tops)], kind)
-    classed = words.join(F.broadcast(ranks), "word", "left").withColumn("class", F.coalesce("top", tail_class(F.col("word"))))
+    named = words.join(F.broadcast(ranks), "word", "left").withColumn("tail", tail_of(F.col("word")))
+    # words with vectors, numbered inside their group; then slabs of a group become classes
+    own = named.filter(f"first AND top IS NULL AND c >= {OWN}").select("word", "tail", "c")
+    own = materialize(numbered(own, [F.desc("c"), "word"], "place", ["tail"]), "own-words")
+    own = own.select("word", "tail", (F.col("place") - 1).alias("place"), "c")
+    slabs = np.ones(TAILS, np.int64)
+    for r in own.groupBy("tail").agg(F.count(F.lit(1)).alias("n")).collect():
+        slabs[r["tail"]] = -(-r["n"] // SLAB)
+    bases = TOP + np.cumsum(slabs) - slabs
+    classes = TOP + int(slabs.sum())
+    base, last = (F.array(*[F.lit(int(x)) for x in v])[F.col("tail")] for v in (bases, bases + slabs - 1))
+    classed = named.join(own.select("word", "place"), "word", "left").withColumns({
+        "class": F.coalesce("top", base + F.floor(F.col("place") / SLAB).cast("int"), last),
+        "rank": F.coalesce((F.col("place") % SLAB).cast("int"), F.lit(-1)),
+    })
     tails = classed.filter("first AND top IS NULL").groupBy("class").agg(
         F.sum(F.when((F.col("c") > 0) & (F.col("c") < OWN), F.col("c") + 1)).alias("mass"), F.sum("c").alias("c"),
         F.count(F.when(F.col("c") >= OWN, 1)).alias("own"),
     ).collect()
-    # Mass of each class's rarer words in slots; each tail class has one for unseen words.
-    mass = np.zeros(CLASSES)
-    mass[TOP:] = 1.0
-    counts = np.zeros(CLASSES)
+    # Mass of each class's rarer words in slots; the last class of a group has one for unseen words.
+    mass = np.zeros(classes)
+    mass[bases + slabs - 1] = 1.0
+    counts = np.zeros(classes)
     for i, (_, c) in enumerate(tops):
         counts[i] = c
+    owned = np.zeros(classes, np.int64)  # words with vectors
     for r in tails:
         mass[r["class"]] += r["mass"] or 0
-        counts[r["class"]] = r["c"]
-    owned = np.zeros(CLASSES, np.int64)  # words with vectors
-    for r in tails:
-        owned[r["class"]] = r["own"]
-    by_count = W.partitionBy("class").orderBy(F.desc("c"), "word")
-    own = classed.filter(f"first AND top IS NULL AND c >= {OWN}").select("word", "class", "c")
-    own = materialize(own.withColumn("rank", F.row_number().over(by_count) - 1), "own-words")
-    classed = classed.join(own.select("word", "rank"), "word", "left").withColumn("rank", F.coalesce("rank", F.lit(-1)))
+        counts[r["class"]], owned[r["class"]] = r["c"], r["own"]
+    own = own.withColumns({"class": base + F.floor(F.col("place") / SLAB).cast("int"), "rank": F.col("place") % SLAB})
 
     def annotate(key, t):
         chunk = key[0].as_py()
@@ -498,7 +568,7 @@ def score_texts(
         count = column(t, "c").to_numpy()[np.argsort(column(t, "rank").to_numpy())].astype(np.float64)
         # Words of a class must differ from the first, or they would all learn the same.
         context = model.r[c] + np.random.default_rng([7, c]).normal(0, 0.3, (len(count), SIZE))
-        _save_own(f"{folder}/own-0-{c}", own_start(count, mass[c]), context)
+        _save_own(f"{folder}/own-0-{c}", own_start(count, max(mass[c], 1e-3)), context)
         return pa.table({"class": [c]})
 
     own.groupBy("class").applyInArrow(begin, "class long").count()
@@ -514,7 +584,7 @@ def score_texts(
                 at = np.asarray(lists.offsets).astype(np.int64)
                 classes = lists.values.to_numpy()[at[0] : at[-1]].astype(np.int64)
                 at -= at[0]
-                two, one = _contexts(classes, at)
+                two, one = _contexts(classes, at, model.start)
                 each = model.log10(two, one, classes)
                 each += _own_pass(folder, version, model, owned, t, False)[0]
                 total = np.add.reduceat(each, at[:-1])

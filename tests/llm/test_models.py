@@ -96,17 +96,17 @@ def test_counts_and_base_score(make, monkeypatch):
 
 def test_probabilities_sum_to_one():
     rng = np.random.default_rng(1)
-    model = lm.Model(rng.integers(0, 50, lm.CLASSES))
+    n = lm.TOP + 150
+    model = lm.Model(rng.integers(0, 50, n))
     model.q *= 5
-    for a, b in ((3, 9), (lm.START, lm.START), (lm.START, 0)):
-        n = lm.CLASSES
+    for a, b in ((3, 9), (model.start, model.start), (model.start, 0)):
         p = model.log10(np.full(n, a), np.full(n, b), np.arange(n))
         assert abs((10.0**p).sum() - 1) < 1e-6
 
 
 def test_contexts_stop_at_text_borders():
-    two, one = lm._contexts(np.array([5, 6, 7, 8, 9, 4]), np.array([0, 3, 4, 6]))
-    s = lm.START
+    s = 99
+    two, one = lm._contexts(np.array([5, 6, 7, 8, 9, 4]), np.array([0, 3, 4, 6]), s)
     assert one.tolist() == [s, 5, 6, s, s, 9] and two.tolist() == [s, s, 5, s, s, s]
 
 
@@ -156,3 +156,25 @@ def test_words_of_one_class_are_told_apart(make, monkeypatch):
         return lm.score_texts(make(rows), F.col("doc_id") % 7 != 2, epochs=2).filter("not train").agg(F.sum("score")).first()[0]
 
     assert held_out(10) > held_out(10**9) + 20  # 20 texts
+
+
+def test_a_chunk_that_holds_only_rarer_words_of_a_class(ready):
+    """One partition has the words with vectors, another one only a rarer word of their class."""
+    common = " ".join(f"w{i}xx" for i in range(300))
+    rows = [(0, " ".join([common] * 12), 0), (1, "onceqxx plain", 1), (3, "plain w5xx onceqxx", 1)]
+    docs = ready.createDataFrame(rows, "doc_id long, text string, p int").repartitionByRange(2, "p")
+    out = lm.score_texts(docs, F.lit(True), epochs=1).collect()
+    check_base([r[:2] for r in rows], out, lambda i: True)
+
+
+def test_groups_of_many_words_become_several_classes(make, monkeypatch):
+    """The size of a class is bounded; tokens of all classes stay normalised and better than counts."""
+    for name, value in (("SLAB", 20), ("WIDTH", 8), ("TEXT_BYTES", 20_000), ("TOP", 4)):
+        monkeypatch.setattr(lm, name, value)
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(words[(s + k) % 400] for k in range(200))) for i in range(210) for s in [rng.randrange(400)]]
+    out = lm.score_texts(make(rows), F.col("doc_id") % 7 != 2, epochs=2)
+    check_base(rows, out.collect(), lambda i: i % 7 != 2)
+    held = out.filter("not train").agg(F.sum("score"), F.sum("base_score")).first()
+    assert held[0] > held[1]
