@@ -101,25 +101,36 @@ def _covers(ranges: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataF
     parts = parts.select(F.explode(split).alias("e"), "info").select(
         F.shiftright("e.lo", 16).cast("int").alias("net"), "e.lo", "e.end", "info"
     )
-    # between two neighbouring borders of a network the same ranges apply
-    inside = parts.groupBy("net").agg(
-        F.collect_set(F.struct("lo", "end", "info")).alias("all"),
-        F.array_sort(F.array_union(F.collect_set("lo"), F.collect_set("end"))).alias("cuts"),
-    )
-    piece = F.transform(
-        F.slice("cuts", 1, F.size("cuts") - 1),
-        lambda c, i: F.struct(
-            c.alias("lo"),
-            F.get("cuts", i + 1).alias("end"),
-            F.array_min(
-                F.transform(F.filter("all", lambda p: (p["lo"] <= c) & (c < p["end"])), lambda p: p["info"])
-            ).alias("i"),
-        ),
-    )
-    rest = inside.select("net", F.explode(piece).alias("p")).where("p.i IS NOT NULL").select(
-        "net", "p.lo", "p.end", F.col("p.i").alias("i")
-    )
-    return net8, net16, rest
+    return net8, net16, _disjoint(parts)
+
+
+def _block_list() -> Column:
+    """Blocks of 2^level addresses, aligned, that make up [lo, end): two of each size at most."""
+    first = lambda k: f"shiftright(lo + shiftleft(1L, {k}) - 1, {k})"  # noqa: E731  whole ones from lo on
+    after = lambda k: f"shiftright(end, {k})"  # noqa: E731  and up to this one
+    inside = f"x.block >= {first('k')} AND x.block < {after('k')}"
+    larger = f"x.block >= 2 * {first('k + 1')} AND x.block < 2 * {after('k + 1')}"  # a block of twice the size has it
+    ends = f"array(struct(k AS level, {first('k')} AS block), struct(k AS level, {after('k')} - 1 AS block))"
+    blocks = f"transform(sequence(0, 16), k -> filter({ends}, x -> {inside} AND (k = 16 OR NOT ({larger}))))"
+    return F.expr(f"array_distinct(flatten({blocks}))")
+
+
+def _disjoint(parts: DataFrame) -> DataFrame:
+    """net, lo, end, i: disjoint ranges inside /16 networks, with the best ``info`` that covers each.
+
+    Between two neighbouring borders of a network the same ranges apply, so
+    the first address of a piece stands for it.  Ranges are cut into aligned
+    blocks, two of each size at most; an address lies in one block of each of
+    17 sizes, so a piece finds its ranges by equi-joins.  Rows grow with the
+    ranges, not with ranges times borders.
+    """
+    best = parts.select(F.explode(_block_list()).alias("b"), "info").groupBy("b.level", "b.block").agg(F.min("info").alias("info"))
+    borders = parts.select("net", F.explode(F.array("lo", "end")).alias("lo")).distinct()
+    after = F.lead("lo").over(W.partitionBy("net").orderBy("lo"))  # 65,537 borders at most
+    pieces = borders.withColumn("end", after).where("end IS NOT NULL")
+    level = F.explode(F.sequence(F.lit(0), F.lit(16)))
+    asked = pieces.withColumn("level", level).withColumn("block", F.expr("shiftright(lo, level)"))
+    return asked.join(best, ["level", "block"]).groupBy("net", "lo", "end").agg(F.min("info").alias("i"))
 
 
 def ip_region(rows: DataFrame, ranges: DataFrame, ip: str = "ip", columns: Sequence[str] = ("region",)) -> DataFrame:

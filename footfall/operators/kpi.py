@@ -9,10 +9,13 @@ dimension value that holds a third of all rows is folded on the map side.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from footfall.functions import predicates as P
 from footfall.functions.numbers import ceil_div
@@ -21,6 +24,7 @@ from footfall.functions.times import DAY_MS, HOUR_MS, ms_date, ms_hour
 from footfall.functions.web import INBOUND_ALL, INBOUND_INTERNAL, inbound_id, with_external_host
 from footfall.operators import dims as D
 from footfall.operators.skew import HOT_ROWS, sliced_neighbour, sliced_running_sum, time_sliced
+from footfall.sinks.tables import replace_partitions
 
 LAUNCH, PAGE_VIEW = "e_l", "e_pv"
 HOURS = range(24)
@@ -372,6 +376,53 @@ def dense_running_total(
     return dense.select(F.col("_day").cast("string").alias(day), *keys, own.alias(value), name)
 
 
+def add_day(today: DataFrame, root: str, day: str, keys: Sequence[str], value: str, name: str) -> T.StructType:
+    """Store the totals of ``day``: those of the newest day before it plus the values of ``today``.
+
+    ``today`` has one row per key.  A run reads today's rows and one stored day,
+    however long the history is; a key without a row today carries its total
+    on.  A repeated run writes its day again.  Days are run in order, and a
+    day that is run anew is followed by those after it.  Returns the schema of
+    the stored table.
+    """
+    spark = today.sparkSession
+    keys = list(keys)
+    own = today.select(*keys, F.col(value).cast("bigint").alias(value))
+    stored = T.StructType([
+        *own.schema.fields, T.StructField(name, T.LongType()), T.StructField("date", T.StringType())
+    ])
+    earlier = [d for d in stored_days(spark, root) if d < day]
+    if earlier:
+        last = spark.read.schema(stored).parquet(root).where(F.col("date") == max(earlier))
+        before = last.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col(name).alias("_before"))
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+        both = own.join(before, same, "full_outer").select(
+            *[F.coalesce(k, f"_{k}").alias(k) for k in keys], value, "_before"
+        )
+    else:
+        both = own.withColumn("_before", F.lit(0).cast("bigint"))
+    zero = F.lit(0).cast("bigint")
+    total = F.coalesce("_before", zero) + F.coalesce(value, zero)
+    rows = both.select(*keys, F.coalesce(value, zero).alias(value), total.alias(name), F.lit(day).alias("date"))
+    replace_partitions(rows, root, ["date"])
+    return stored
+
+
+def stored_days(spark: SparkSession, root: str) -> list[str]:
+    """Days that have totals: names of folders, no data is read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    names = [f.getPath().getName() for f in files.listStatus(path)]
+    return sorted(n.removeprefix("date=") for n in names if n.startswith("date="))
+
+
+def day_totals(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """The totals of all days that were run."""
+    return spark.read.schema(schema).parquet(root)
+
+
 def _facts(logs: DataFrame, member_info: DataFrame, by: str | None, with_views: bool) -> DataFrame:
     """All KPIs of one dimension as columns of one row, from one scan of the logs."""
     sets, rolled, finest = _sets(by)

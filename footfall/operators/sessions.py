@@ -11,6 +11,7 @@ from footfall.functions.numbers import int_div, ratio2
 from footfall.functions.text import distinct_list
 from footfall.functions.times import seconds_between
 from footfall.operators.skew import checked_broadcast, top_per_group
+from footfall.session import materialize
 
 # Inclusive bounds of the histogram buckets.
 VISIT_SECONDS = {
@@ -156,33 +157,48 @@ def sessions_per_hour(sessions: DataFrame) -> DataFrame:
     )
 
 
-def extract_sessions(sessions: DataFrame, order_key: Column | None = None, total: int = 100) -> DataFrame:
+def _quotas(hours: DataFrame, per_day: Column, remainders: bool) -> DataFrame:
+    """date, hour, quota: the day's quota in proportion to the sessions of its hours.
+
+    Shares are rounded down; with ``remainders`` what is left of a day goes to
+    the hours with the largest fractions, one each, and the quota is used up.
+    """
+    day = W.partitionBy("date")
+    shares = hours.withColumn("_day_n", F.sum("_hour_n").over(day)).withColumn(
+        "quota", int_div(F.col("_hour_n") * per_day, F.col("_day_n"))
+    )
+    if remainders:
+        fraction = F.col("_hour_n") * per_day - F.col("quota") * F.col("_day_n")
+        place = F.row_number().over(day.orderBy(F.desc("_fraction"), "hour"))
+        left = per_day - F.sum("quota").over(day)
+        shares = shares.withColumn("_fraction", fraction).withColumns({"_place": place, "_left": left})
+        shares = shares.withColumn("quota", F.col("quota") + F.when(F.col("_place") <= F.col("_left"), 1).otherwise(0))
+    return shares.select("date", "hour", F.least("quota", "_hour_n").cast("bigint").alias("quota"))
+
+
+def extract_sessions(
+    sessions: DataFrame, order_key: Column | None = None, total: int = 100, remainders: bool = False
+) -> DataFrame:
     """Sample of sessions in proportion to the traffic of each hour.
 
     ``total`` is divided by the number of days; an hour gets its share of the
-    day's quota, rounded down.  Inside an hour the pick follows ``order_key``
-    (a hash of the session id unless given), which makes a re-run repeat it.
-    No hour needs more than ``total`` rows, and that literal bound keeps the
-    shuffle to ``total`` rows per hour and map task.
+    day's quota (``_quotas``).  Inside an hour the sessions with the smallest
+    ``order_key`` are picked (a hash of the session id unless given), which
+    makes a re-run repeat it.  The largest quota of an hour bounds what a task
+    keeps of each: every map task cuts its rows to that many before the
+    shuffle, and no hour is ranked as a whole.
     """
     key = F.xxhash64("session_id") if order_key is None else order_key
     keyed = sessions.withColumn("date", F.to_date("start_time").cast("string")).withColumn(
         "hour", F.hour("start_time").cast("bigint")
     )
     hours = keyed.groupBy("date", "hour").agg(F.count(F.lit(1)).alias("_hour_n"))
-    # every hour has rows; naming the count keeps this plan equal to the one
-    # below, so both read one exchange
-    days = hours.agg(F.count_distinct(F.when(F.col("_hour_n") > 0, F.col("date")))).scalar()
-    quotas = hours.withColumn("_day_n", F.sum("_hour_n").over(W.partitionBy("date"))).select(
-        "date",
-        "hour",
-        F.least(
-            int_div(F.col("_hour_n") * int_div(F.lit(total).cast("bigint"), days), F.col("_day_n")),
-            F.col("_hour_n"),
-        ).alias("quota"),
-    )
+    hours = materialize(hours, "session-hours")  # a row per hour
+    days = hours.agg(F.count_distinct("date")).first()[0]
+    quotas = _quotas(hours, F.lit(total // max(days, 1)).cast("bigint"), remainders)
+    largest = quotas.agg(F.max("quota")).first()[0] or 0
     ranked = top_per_group(
-        keyed.withColumn("_key", key), ["date", "hour"], [F.col("_key"), F.col("session_id")], total, "pick"
+        keyed.withColumn("_key", key), ["date", "hour"], [F.col("_key"), F.col("session_id")], max(largest, 1), "pick"
     )
     return (
         ranked.join(quotas, ["date", "hour"])

@@ -1,5 +1,7 @@
 """Web KPIs."""
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from footfall.operators import kpi
@@ -8,6 +10,7 @@ from footfall.plans import params
 from footfall.plans.oracle_views import with_views
 from footfall.plans.registry import query
 from footfall.session import workspace
+from footfall.sinks import buckets
 from footfall.sinks import tables as sink
 from footfall.sources import tables as src
 
@@ -109,10 +112,10 @@ UNION ALL SELECT member_id, '{params.RUN_DATE}', '{params.RUN_DATE}' FROM fresh"
 def member_info_upsert(spark, sf):
     known = history(spark, sf)
     fresh = kpi.member_info_rows(src.event_logs(spark, sf), known, params.RUN_DATE)
-    root = workspace(spark, "member-info")
-    sink.publish(known, root)
-    sink.publish(sink.upsert_set(sink.current(spark, root, known.schema), fresh, ["member_id"]), root)
-    return sink.current(spark, root, known.schema)
+    root, keys = workspace(spark, "member-info"), ["member_id"]
+    for rows in (known, fresh):
+        buckets.merge(rows, root, keys, lambda stored, r: sink.upsert_set(stored, r, keys), known.schema)
+    return buckets.content(spark, root, known.schema)
 
 
 _HOURS = [f"hour_{h:02d}" for h in range(24)]
@@ -310,6 +313,48 @@ def kpi_platform_total_members(spark, sf):
     return kpi.dense_running_total(daily, ["platform"], "new_members", "total_members")
 
 
+def _by_day(spark, sf, name, daily, keys, value, total):
+    """The totals of the scan days, one run after the other over logs laid out by day; the last run is repeated."""
+    logs = src.event_logs(spark, sf, params.SCAN_DAYS)
+    stored = sink.overwrite(logs, workspace(spark, "event-logs"), ["dt"])
+    root = workspace(spark, name)
+    first, last = (datetime.date.fromisoformat(d) for d in params.SCAN_DAYS)
+    days = [str(first + datetime.timedelta(i)) for i in range((last - first).days + 1)]
+    for day in [*days, days[-1]]:
+        today = daily(spark.read.schema(logs.schema).parquet(stored).where(F.col("dt") == day))
+        schema = kpi.add_day(today.drop("date"), root, day, keys, value, total)
+    return kpi.day_totals(spark, root, schema).select("date", *keys, value, total)
+
+
+_DAYS = f"date BETWEEN '{params.SCAN_DAYS[0]}' AND '{params.SCAN_DAYS[1]}'"
+
+
+@query(
+    "kpi_total_install_users_by_day",
+    with_views("el", kpi_ctes() + _dense_sql(
+        f"""SELECT date, platform, count(DISTINCT u_ud) AS new_install_users FROM both_pl
+            WHERE en='e_l' AND {_DAYS} GROUP BY ALL""",
+        "platform", "new_install_users", "total_install_users")),
+)
+def kpi_total_install_users_by_day(spark, sf):
+    return _by_day(
+        spark, sf, "install-totals", kpi.new_install_users, ["platform"], "new_install_users", "total_install_users"
+    )
+
+
+@query(
+    "kpi_browser_total_members_by_day",
+    with_views("el", kpi_ctes() + _HIST + _dense_sql(
+        f"""SELECT date, platform, browser, browser_version, count(DISTINCT u_mid) AS new_members FROM both_br
+            WHERE u_mid IS NOT NULL AND {_NOT_SEEN} AND {_DAYS} GROUP BY ALL""",
+        "platform, browser, browser_version", "new_members", "total_members")),
+)
+def kpi_browser_total_members_by_day(spark, sf):
+    daily = lambda logs: kpi.new_members(logs, history(spark, sf), "browser")
+    keys = ["platform", "browser", "browser_version"]
+    return _by_day(spark, sf, "member-totals", daily, keys, "new_members", "total_members")
+
+
 @query(
     "running_total",
     with_views("el", kpi_ctes() + _dense_sql(

@@ -3,6 +3,7 @@
 START_DATE, END_DATE = "2024-01-10", "2024-01-20"
 RUN_DATE = "2024-01-15"
 SCAN_DAYS = ("2024-01-14", "2024-01-16")
+SAMPLE_TOTAL = 3000  # sessions, of all days
 PAGE_FLOW = [1, 2, 3, 4]
 BLACKLIST_THRESHOLD = 2
 OWN_HOSTS = ["shop.example.com"]

@@ -10,6 +10,7 @@ from footfall.plans.oracle_views import with_views
 from footfall.plans.orders import count_cube
 from footfall.plans.registry import query
 from footfall.session import workspace
+from footfall.sinks import buckets
 from footfall.sinks import tables as sink
 from footfall.sources import tables as src
 
@@ -91,10 +92,10 @@ def upsert_set(spark, sf):
         .agg(F.min("s_time").alias("s_time"), F.lit("created").alias("state"))
     )
     new = events.where("en = 'e_cs'").select("oid").distinct().withColumn("state", F.lit("paid"))
-    root = workspace(spark, "order-state")
-    sink.publish(sink.upsert_set(sink.current(spark, root, old.schema), old, ["oid"]), root)
-    sink.publish(sink.upsert_set(sink.current(spark, root, old.schema), new, ["oid"]), root)
-    return sink.current(spark, root, old.schema).fillna(0, ["s_time"])
+    root, keys = workspace(spark, "order-state"), ["oid"]
+    for rows in (old, new):
+        buckets.merge(rows, root, keys, lambda stored, r: sink.upsert_set(stored, r, keys), old.schema)
+    return buckets.content(spark, root, old.schema).fillna(0, ["s_time"])
 
 
 @query(
@@ -107,9 +108,9 @@ def upsert_add(spark, sf):
     keys, root = ["date", "user_id", "ad_id"], workspace(spark, "ad-user-clicks")
     for part in (first_half, ~first_half):
         delta = user_ad_counts(clicks.where(part))
-        stored = sink.current(spark, root, delta.schema)
-        sink.publish(sink.upsert_add(stored, delta, keys, "click_count"), root)
-    return sink.current(spark, root, delta.schema)
+        rule = lambda stored, d: sink.upsert_add(stored, d, keys, "click_count")
+        buckets.merge(delta, root, keys, rule, delta.schema)
+    return buckets.content(spark, root, delta.schema)
 
 
 @query(
@@ -129,10 +130,10 @@ def replace_group(spark, sf):
         clicks.where((F.col("date") >= params.RUN_DATE) & F.col("province").isin("P1", "P2"))
         .groupBy(*keys).agg(F.count_distinct("user_id").alias("click_count"))
     )
-    root = workspace(spark, "ad-province-clicks")
-    sink.publish(old, root)
-    sink.publish(sink.replace_group(sink.current(spark, root, old.schema), new, ["date", "province"]), root)
-    return sink.current(spark, root, old.schema)
+    root, group = workspace(spark, "ad-province-clicks"), ["date", "province"]
+    for rows in (old, new):
+        buckets.merge(rows, root, group, lambda stored, r: sink.replace_group(stored, r, group), old.schema)
+    return buckets.content(spark, root, old.schema)
 
 
 @query(

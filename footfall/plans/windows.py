@@ -91,10 +91,10 @@ def top10_sessions_per_category(spark, sf):
 
 @query(
     "stratified_session_extract",
-    with_views("uva", SESSION_AGG + """
+    with_views("uva", SESSION_AGG + f"""
 , k AS (SELECT *, strftime(start_time, '%Y-%m-%d') AS date, hour(start_time) AS hour FROM sa),
 h AS (SELECT date, hour, count(*) AS hn FROM k GROUP BY ALL),
-q AS (SELECT date, hour, least(hn, (hn * (100 // (SELECT count(DISTINCT date) FROM h))) //
+q AS (SELECT date, hour, least(hn, (hn * ({params.SAMPLE_TOTAL} // (SELECT count(DISTINCT date) FROM h))) //
   CAST(sum(hn) OVER (PARTITION BY date) AS BIGINT)) AS quota FROM h),
 p AS (SELECT *, row_number() OVER (PARTITION BY date, hour ORDER BY (user_id * 7919) % 10007, session_id) AS pick FROM k)
 SELECT session_id, user_id, p.date, p.hour, pick, search_keywords, click_category_ids
@@ -103,7 +103,7 @@ FROM p JOIN q ON p.date = q.date AND p.hour = q.hour WHERE pick <= quota"""),
 def stratified_session_extract(spark, sf):
     sessions = S.session_aggregate(src.user_visit_action(spark, sf))
     order_key = F.col("user_id") * 7919 % 10007
-    return S.extract_sessions(sessions, order_key).select(
+    return S.extract_sessions(sessions, order_key, params.SAMPLE_TOTAL).select(
         "session_id", "user_id", "date", "hour", F.col("pick").cast("bigint").alias("pick"),
         "search_keywords", "click_category_ids",
     )
@@ -130,10 +130,10 @@ def top10_session_detail(spark, sf):
 
 @query(
     "stratified_session_detail",
-    with_views("uva", SESSION_AGG + """
+    with_views("uva", SESSION_AGG + f"""
 , k AS (SELECT *, strftime(start_time, '%Y-%m-%d') AS date, hour(start_time) AS hour FROM sa),
 h AS (SELECT date, hour, count(*) AS hn FROM k GROUP BY ALL),
-q AS (SELECT date, hour, least(hn, (hn * (100 // (SELECT count(DISTINCT date) FROM h))) //
+q AS (SELECT date, hour, least(hn, (hn * ({params.SAMPLE_TOTAL} // (SELECT count(DISTINCT date) FROM h))) //
   CAST(sum(hn) OVER (PARTITION BY date) AS BIGINT)) AS quota FROM h),
 p AS (SELECT *, row_number() OVER (PARTITION BY date, hour ORDER BY (user_id * 7919) % 10007, session_id) AS pick FROM k),
 picked AS (SELECT session_id FROM p JOIN q ON p.date = q.date AND p.hour = q.hour WHERE pick <= quota)
@@ -141,7 +141,7 @@ picked AS (SELECT session_id FROM p JOIN q ON p.date = q.date AND p.hour = q.hou
 )
 def stratified_session_detail(spark, sf):
     actions = src.user_visit_action(spark, sf)
-    picked = S.extract_sessions(S.session_aggregate(actions), F.col("user_id") * 7919 % 10007)
+    picked = S.extract_sessions(S.session_aggregate(actions), F.col("user_id") * 7919 % 10007, params.SAMPLE_TOTAL)
     return detail_of(actions, picked).select("event_id", "session_id", "page_id", "click_category_id")
 
 

@@ -1,5 +1,7 @@
 """Readers, writers and merge rules."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,3 +119,89 @@ def test_known_events(spark):
 def test_numbered_relation(spark):
     frame = files.numbered_relation(spark, 100, F.col("id"), F.concat(F.lit("val_"), F.col("id")).alias("v"))
     assert frame.count() == 100 and frame.where("id = 100").first()["v"] == "val_100"
+
+
+def _merge_counts(spark, root, rows, **options):
+    from footfall.sinks import buckets
+    from footfall.sinks import tables as sink
+
+    new = spark.createDataFrame(rows, "k int, n long")
+    return buckets.merge(new, root, ["k"], lambda old, d: sink.upsert_add(old, d, ["k"], "n"), new.schema, **options)
+
+
+def _contents(spark, root, version=None):
+    from footfall.sinks import buckets
+
+    schema = spark.createDataFrame([], "k int, n long").schema
+    return sorted(tuple(r) for r in buckets.content(spark, root, schema, version).collect())
+
+
+def test_a_merge_writes_the_buckets_it_touches(spark, tmp_path):
+    from footfall.sinks import buckets
+
+    root = str(tmp_path / "t")
+    assert _contents(spark, root) == []
+    assert _merge_counts(spark, root, [(k, 1) for k in range(300)], buckets=16) == 0
+    assert _merge_counts(spark, root, [(7, 5)], buckets=16) == 1
+    assert len([f for f in os.listdir(f"{root}/data/version=1") if f.startswith("bucket=")]) == 1
+    assert _contents(spark, root) == [(k, 6 if k == 7 else 1) for k in range(300)]
+    assert _contents(spark, root, 0) == [(k, 1) for k in range(300)]  # a reader of the version before
+    before = buckets.held_buckets(spark, root, 1)
+    assert sorted(before.values()) == [0] * 15 + [1]
+    _merge_counts(spark, root, [(7, 1), (None, 2)], buckets=16)
+    _merge_counts(spark, root, [(7, 1)], buckets=16)
+    assert dict(_contents_nulls(spark, root)) == {k: 8 if k == 7 else 1 for k in range(300)} | {None: 2}
+    old = {b for b, v in before.items() if v == 1}
+    assert not any(os.path.exists(f"{root}/data/version=1/bucket={b}") for b in old)  # no reader needs it
+    assert not os.path.exists(f"{root}/lists/version=1")
+
+
+def _contents_nulls(spark, root):
+    from footfall.sinks import buckets
+
+    return [tuple(r) for r in buckets.content(spark, root, spark.createDataFrame([], "k int, n long").schema).collect()]
+
+
+def test_a_broken_merge_leaves_the_table_as_it_was(spark, tmp_path):
+    from footfall.sinks import buckets
+
+    root = str(tmp_path / "t")
+    _merge_counts(spark, root, [(k, 1) for k in range(40)])
+    new = spark.createDataFrame([(3, 1), (4, 1)], "k int, n long")
+
+    def rule(old, delta):
+        return old.selectExpr("k", "IF(k = 3, raise_error('broken'), n) AS n").unionByName(delta)
+
+    with pytest.raises(Exception, match="broken"):
+        buckets.merge(new, root, ["k"], rule, new.schema)
+    assert _contents(spark, root) == [(k, 1) for k in range(40)] and buckets.newest(spark, root) == 0
+    _merge_counts(spark, root, [(3, 1)])
+    assert (3, 2) in _contents(spark, root)
+
+
+def test_a_rule_may_empty_a_bucket(spark, tmp_path):
+    from footfall.sinks import buckets
+
+    root = str(tmp_path / "t")
+    _merge_counts(spark, root, [(k, 1) for k in range(20)])
+    gone = spark.createDataFrame([(k, 0) for k in range(20)], "k int, n long")
+    buckets.merge(gone, root, ["k"], lambda old, d: old.where("false"), gone.schema)
+    assert _contents(spark, root) == []
+
+
+def test_totals_day_by_day(spark, tmp_path):
+    from footfall.operators import kpi
+
+    root, days = str(tmp_path / "totals"), {
+        "2024-01-01": [("web", 3), (None, 1)], "2024-01-02": [("web", 2), ("app", 4)], "2024-01-03": [], "2024-01-04": [("app", 1)],
+    }
+    for day in ["2024-01-01", "2024-01-02", "2024-01-02", "2024-01-03", "2024-01-04", "2024-01-04"]:
+        today = spark.createDataFrame(days[day], "platform string, new long")
+        schema = kpi.add_day(today, root, day, ["platform"], "new", "total")
+    got = {(r.date, r.platform): (r.new, r.total) for r in kpi.day_totals(spark, root, schema).collect()}
+    assert got == {
+        ("2024-01-01", "web"): (3, 3), ("2024-01-01", None): (1, 1),
+        ("2024-01-02", "web"): (2, 5), ("2024-01-02", None): (0, 1), ("2024-01-02", "app"): (4, 4),
+        ("2024-01-03", "web"): (0, 5), ("2024-01-03", None): (0, 1), ("2024-01-03", "app"): (0, 4),
+        ("2024-01-04", "web"): (0, 5), ("2024-01-04", None): (0, 1), ("2024-01-04", "app"): (1, 5),
+    }

@@ -200,3 +200,30 @@ def test_queries_on_skewed_tables(spark, skewed, key):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{skewed}/{t}.parquet/*.parquet'")
     con.execute("SET TimeZone = 'UTC'")
     assert compare(con, entry.oracle_sql()[key], entry.queries()[key](spark, skewed)) is None
+
+
+def test_very_many_ranges_in_one_network(spark):
+    """65,536 nested and touching ranges of one /16 network: rows grow with the ranges."""
+    from footfall.operators import joins
+
+    dotted = "concat_ws('.', '10', '1', CAST({0} div 256 AS STRING), CAST({0} % 256 AS STRING))"
+    lo, hi = "(id % 65536)", "least(65535, id % 65536 + CAST(id div 65536 AS INT) * 500)"
+    ranges = spark.range(131_072).selectExpr(f"{dotted.format(lo)} AS begin_ip", f"{dotted.format(hi)} AS end_ip", "CAST(id AS STRING) AS region")
+    probes = spark.range(0, 65_536, 13).selectExpr(f"{dotted.format('id')} AS ip", "id")
+    out = joins.ip_region(probes, ranges)
+    assert out.where("region <> CAST(id AS STRING)").count() == 0 and out.count() == probes.count()
+
+
+@pytest.mark.parametrize("remainders", [False, True])
+def test_sample_follows_the_hours(spark, remainders):
+    from footfall.operators import sessions as S
+
+    hours = {0: 50, 1: 30, 2: 17, 5: 3}
+    rows = [(f"s{h}-{i}", f"2024-01-0{d} {h:02d}:10:00") for d in (1, 2) for h, n in hours.items() for i in range(n)]
+    frame = spark.createDataFrame(rows, "session_id string, start string").selectExpr(
+        "session_id", "CAST(start AS TIMESTAMP_NTZ) AS start_time"
+    )
+    got = S.extract_sessions(frame, total=22, remainders=remainders).groupBy("date", "hour").count().collect()
+    counts = {(r["date"], r["hour"]): r["count"] for r in got}
+    want = {0: 6, 1: 3, 2: 2} if remainders else {0: 5, 1: 3, 2: 1}  # of 11 a day: 5.5, 3.3, 1.87, 0.33
+    assert counts == {(f"2024-01-0{d}", h): n for d in (1, 2) for h, n in want.items()}
