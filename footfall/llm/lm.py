@@ -10,8 +10,8 @@ bounded.  The model predicts the class of a token from those of the two before i
     score(class | a, b) = (C1 r_b + C2 r_a) . q_class + bias_class,
 
 and a word inside its class from its own vector.  Every word of ``OWN`` training
-tokens or more has one as a target and one as a context, so their number grows
-with the training counts.  Words of a class stand in buckets of ``WIDTH`` by
+tokens or more (of a hundredth of the root of all, in large corpora) has one as a
+target and one as a context, so their number grows with the training counts.  Words of a class stand in buckets of ``WIDTH`` by
 falling count; the bucket among those of the class and the word among those of
 the bucket are log-bilinear in the vectors of the two tokens before.  All of it
 is trained by noise-contrastive estimation, with noise that a minibatch shares:
@@ -66,12 +66,13 @@ END = ""  # no word is empty
 SIZE = 24
 NOISE = 64
 BATCH = 4096
-EPOCHS = 2
+EPOCHS = 1
 STEP = 0.05
 TRAIN_TASKS = 128
 TEXT_BYTES = 32 << 20
 CONTEXTS = 8192
-OWN = 10
+OWN = 10  # training tokens of a word with a vector, at least
+OWN_ROOT = 100  # and the root of all training tokens, divided by this
 WIDTH = 64
 SLAB = 4096  # words with vectors in a class
 OWN_NOISE = 16
@@ -363,12 +364,14 @@ def _own_pass(folder: str, version: int, model: Model, owned: np.ndarray, t: pa.
                 spot, total, squares = _grouped(spots, turned, turned * turned)
                 slope[spot] += total
                 square[spot] += squares
-            spot = np.flatnonzero(seen.any(axis=1))
-            changed[c] = [(0, spot, (out - old)[spot] * seen[spot], seen[spot])]
+            weight = seen.sum(axis=1)
+            spot = np.flatnonzero(weight)
+            changed[c] = [(0, spot, (out - old)[spot], weight[spot])]
     for c in kinds if learn else []:
         own = np.arange(edges[c], edges[c + 1])
         own = own[rank[own] >= 0]  # none, if the chunk holds only rarer words of the class
-        changed[c].append((1, rank[own], slope[own + 1], square[own + 1]))
+        weight = 1 + square[own + 1].mean(axis=1)
+        changed[c].append((1, rank[own], slope[own + 1] / weight[:, None], weight))
     return logs / np.log(10.0), changed
 
 
@@ -376,21 +379,22 @@ PARTS = "class long, part long, which long, spot binary, slope binary, weight bi
 
 
 def _packed(c: int, part: int, which: int, spot: np.ndarray, slope: np.ndarray, weight: np.ndarray) -> pa.RecordBatch:
-    raw = [spot.astype("<i4").tobytes(), *(x.astype("<f4").tobytes() for x in (slope, weight))]
+    raw = [spot.astype("<i4").tobytes(), slope.astype("<f2").tobytes(), weight.astype("<f4").tobytes()]
     numbers = [pa.array([c]), pa.array([part]), pa.array([which])]
     names = ["class", "part", "which", "spot", "slope", "weight"]
     return pa.RecordBatch.from_arrays([*numbers, *(pa.array([x], pa.binary()) for x in raw)], names)
 
 
-def _added_up(words: int, batches: Iterable[pa.RecordBatch]) -> list[list[np.ndarray]]:
-    """Of targets and contexts of a class: the summed slopes and weights of some parts."""
+def _added_up(words: int, batches: Iterable[pa.RecordBatch]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of targets and contexts of a class: the weighted sums of some parts, and their weights."""
     rows = -(-words // WIDTH) + 1 + words, words
-    sums = [[np.zeros((rows[k], SIZE + 1 - k)) for _ in range(2)] for k in range(2)]
+    sums = [(np.zeros((rows[k], SIZE + 1 - k)), np.zeros(rows[k])) for k in range(2)]
     for r in batches:
-        for which, spot, *two in zip(*(r.column(n) for n in ("which", "spot", "slope", "weight"))):
-            spot = np.frombuffer(spot.as_buffer(), "<i4")
-            for total, part in zip(sums[which.as_py()], two):
-                total[spot] += np.frombuffer(part.as_buffer(), "<f4").reshape(len(spot), total.shape[1])
+        for which, spot, slope, weight in zip(*(r.column(n) for n in ("which", "spot", "slope", "weight"))):
+            spot, weight = np.frombuffer(spot.as_buffer(), "<i4"), np.frombuffer(weight.as_buffer(), "<f4")
+            total, weights = sums[which.as_py()]
+            total[spot] += weight[:, None] * np.frombuffer(slope.as_buffer(), "<f2").reshape(len(spot), total.shape[1])
+            weights[spot] += weight
     return sums
 
 
@@ -414,16 +418,18 @@ def _own_fitted(folder: str, chunks: DataFrame, model: Model, owned: np.ndarray,
     def some(key, t):
         c, part = (k.as_py() for k in key)
         sums = enumerate(_added_up(int(owned[c]), t.to_batches()))
-        spots = [(which, np.flatnonzero(weight.any(axis=1)), slope, weight) for which, (slope, weight) in sums]
+        spots = [(which, np.flatnonzero(weight), total, weight) for which, (total, weight) in sums]
         return pa.Table.from_batches([
-            _packed(c, part, which, spot, slope[spot], weight[spot]) for which, spot, slope, weight in spots
+            _packed(c, part, which, spot, total[spot] / weight[spot, None], weight[spot])
+            for which, spot, total, weight in spots
         ])
 
     def merge(key, t):
         c = key[0].as_py()
         out, ctx = _load_own(f"{folder}/own-0-{c}")
-        (slope, weight), (turn, square) = _added_up(int(owned[c]), t.to_batches())
-        _save_own(f"{folder}/own-1-{c}", out + slope / np.maximum(weight, 1e-12), ctx + turn / (1 + DAMPING * square))
+        (change, weight), (turn, square) = _added_up(int(owned[c]), t.to_batches())
+        out, ctx = out + change / np.maximum(weight, 1e-12)[:, None], ctx + turn / (1 + DAMPING * square)[:, None]
+        _save_own(f"{folder}/own-1-{c}", out, ctx)
         return pa.table({"class": [c]})
 
     parts = chunks.repartition(tasks).mapInArrow(run, PARTS)
@@ -498,8 +504,9 @@ def score_texts(
     kind = T.StructType([T.StructField("word", T.StringType()), T.StructField("top", T.IntegerType())])
     ranks = spark.createDataFrame([(w, i) for i, (w, _) in enumerate(tops)], kind)
     named = words.join(F.broadcast(ranks), "word", "left").withColumn("tail", tail_of(F.col("word")))
+    least = max(OWN, int(n**0.5 / OWN_ROOT))
     # words with vectors, numbered inside their group; then slabs of a group become classes
-    own = named.filter(f"first AND top IS NULL AND c >= {OWN}").select("word", "tail", "c")
+    own = named.filter(f"first AND top IS NULL AND c >= {least}").select("word", "tail", "c")
     own = materialize(numbered(own, [F.desc("c"), "word"], "place", ["tail"]), "own-words")
     own = own.select("word", "tail", (F.col("place") - 1).alias("place"), "c")
     slabs = np.ones(TAILS, np.int64)
@@ -513,8 +520,8 @@ def score_texts(
         "rank": F.coalesce((F.col("place") % SLAB).cast("int"), F.lit(-1)),
     })
     tails = classed.filter("first AND top IS NULL").groupBy("class").agg(
-        F.sum(F.when((F.col("c") > 0) & (F.col("c") < OWN), F.col("c") + 1)).alias("mass"), F.sum("c").alias("c"),
-        F.count(F.when(F.col("c") >= OWN, 1)).alias("own"),
+        F.sum(F.when((F.col("c") > 0) & (F.col("c") < least), F.col("c") + 1)).alias("mass"), F.sum("c").alias("c"),
+        F.count(F.when(F.col("c") >= least, 1)).alias("own"),
     ).collect()
     # Mass of each class's rarer words in slots; the last class of a group has one for unseen words.
     mass = np.zeros(classes)
