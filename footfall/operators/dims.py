@@ -6,13 +6,16 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from footfall.functions.text import is_blank
 from footfall.functions.times import week_of_year_us, week_start_sunday
 from footfall.functions.web import UNKNOWN
 from footfall.operators.skew import numbered
+from footfall.session import materialize
+from footfall.sinks.tables import current, publish, replace_partitions
 
 ALL = "all"
 
@@ -97,6 +100,35 @@ def with_dimension_id(facts: DataFrame, dimension: DataFrame, keys: Sequence[str
     return facts.join(ids, same, "left").drop(*keys, *[f"_dim_{k}" for k in keys])
 
 
+def store_dimension(values: DataFrame, root: str, keys: Sequence[str]) -> DataFrame:
+    """The stored dimension with an id for every combination in ``values``; new ones are published first."""
+    keys = list(keys)
+    spark = values.sparkSession
+    schema = T.StructType([T.StructField("id", T.LongType()), *values.select(*keys).schema.fields])
+    known = current(spark, root, schema)
+    whole = materialize(with_new_ids(known, values, keys), "dimension")
+    if whole.count() > known.count():
+        publish(whole, root)
+    return current(spark, root, schema)
+
+
+def store_facts(facts: DataFrame, root: str, dimensions: dict[str, Sequence[str]], run_by: str) -> None:
+    """Facts keyed by dimension ids instead of values; both are stored below ``root``.
+
+    ``dimensions`` maps the name of an id to the columns it stands for.  A run
+    replaces the facts it has computed before (same ``run_by`` id).
+    """
+    facts = materialize(facts, "facts")  # ids and facts must see the same rows
+    for name, keys in dimensions.items():
+        facts = with_dimension_id(facts, store_dimension(facts, f"{root}/{name}", keys), keys, name)
+    replace_partitions(facts, f"{root}/facts", [run_by])
+
+
+def stored_facts(spark: SparkSession, root: str) -> DataFrame:
+    facts = spark.read.parquet(f"{root}/facts")
+    return facts.select(*[F.col(c).cast("bigint").alias(c) if c.endswith("_id") else F.col(c) for c in facts.columns])
+
+
 def date_dimension(first_last: DataFrame) -> DataFrame:
     """Rows for every year, season, month, week and day between ``first`` and
     ``last`` (one-row frame of dates).  Unused parts are 0.

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from footfall.functions import predicates as P
 from footfall.functions import web
@@ -13,6 +14,7 @@ from footfall.functions.text import is_blank
 from footfall.functions.times import nginx_ms
 from footfall.functions.web import computed_once
 from footfall.operators.joins import ip_region
+from footfall.sources.files import literal_relation
 from footfall.operators.skew import top_per_group
 from footfall.schemas import EVENT_LOG_COLUMNS
 
@@ -103,10 +105,10 @@ def dedupe(events: DataFrame, order: Sequence[Column]) -> DataFrame:
     return kept.withColumn("row_key", row_key())
 
 
-def counters(parsed: DataFrame) -> DataFrame:
+def _counters() -> list[Column]:
     """Input, output and filtered records, and the filtered ones by reason."""
     reason = F.col("reject")
-    return parsed.agg(
+    return [
         F.count(F.lit(1)).alias("input_records"),
         F.count_if(reason.isNull()).alias("output_records"),
         F.count_if(reason.isNotNull()).alias("filtered_records"),
@@ -114,4 +116,18 @@ def counters(parsed: DataFrame) -> DataFrame:
             F.count_if(F.coalesce(reason == r, F.lit(False))).alias(f"filtered_{r}")
             for r in (BAD_FIELDS, NO_QUERY, BAD_EVENT, BAD_TIME)
         ],
-    )
+    ]
+
+
+def counters(parsed: DataFrame) -> DataFrame:
+    """The counters of a pass of their own."""
+    return parsed.agg(*_counters())
+
+
+def store_counted(parsed: DataFrame, path: str) -> DataFrame:
+    """Write the accepted records; returns the counters, collected in the same pass."""
+    seen = Observation()
+    accepted(parsed.observe(seen, *_counters())).write.mode("overwrite").parquet(path)
+    found = seen.get
+    schema = T.StructType([T.StructField(name, T.LongType()) for name in found])
+    return literal_relation(parsed.sparkSession, [tuple(found.values())], schema)

@@ -161,13 +161,34 @@ def ip_region(rows: DataFrame, ranges: DataFrame, ip: str = "ip", columns: Seque
 META = r"[.*+?^$|(){}\[\]\\]"
 
 
-def _literal_start(pattern: Column) -> Column:
-    """The text every match of a regular expression begins with, as far as it is plain."""
-    plain = F.regexp_extract(pattern, rf"^[^{META[1:]}*", 0)
-    after = F.substr(pattern, F.length(plain) + 1, F.lit(1))
-    loose = after.isin("*", "?", "{")  # the last character need not be there
-    cut = F.when(loose, F.left(plain, F.length(plain) - 1)).otherwise(plain)
-    return F.when(F.contains(pattern, F.lit("|")), F.lit("")).otherwise(cut)
+GAP = "\x01"  # where anything may stand
+DOT = "\x02"  # a dot that is meant
+
+
+def _required_texts(pattern: Column) -> Column:
+    """For each alternative of a regular expression, the longest text that all its matches contain.
+
+    Escapes of signs are read; classes, groups and whatever may be missing or
+    repeated are gaps.  An expression with flags, deep groups or an alternative
+    without any plain text gives an empty array.
+    """
+    def cut(c: Column, what: str, to: str = GAP) -> Column:
+        return F.regexp_replace(c, F.lit(what), F.lit(to))
+
+    c = cut(pattern, r"\\\.", DOT)
+    c = cut(c, r"\\([^A-Za-z0-9.|(){}\[\]*+?^$\\])", "$1")
+    c = cut(c, r"\\.")  # other escapes
+    c = cut(c, r"\[[^\]]*\]([*+?]|\{[^}]*\})?")
+    for _ in range(3):
+        c = cut(c, r"\([^()]*\)([*+?]|\{[^}]*\})?")
+    c = cut(c, r"[^\x01]([*?]|\{[^}]*\})[+?]?")  # the character before need not be there
+    c = cut(c, r"[.^$+*?]")
+    parts = F.transform(
+        F.split(c, r"\|"), lambda x: F.array_max(F.transform(F.split(x, GAP), lambda t: F.struct(F.length(t).alias("n"), t.alias("t"))))
+    )
+    texts = F.transform(parts, lambda p: F.translate(p["t"], DOT, "."))
+    unread = F.contains(pattern, F.lit("(?")) | c.rlike(r"[(){}\[\]]") | F.exists(texts, lambda t: t == "")
+    return F.when(unread, F.array().cast("array<string>")).otherwise(texts)
 
 
 LOOSE_SALTS = 64
@@ -176,28 +197,42 @@ LOOSE_SALTS = 64
 def inbound_of(rows: DataFrame, patterns: DataFrame, own_hosts: Sequence[str], url: str = "p_ref") -> DataFrame:
     """Adds ``inbound`` by matching the referrer host with a pattern table.
 
-    A pattern may be a host, a prefix or a regular expression.  Whatever it
-    matches begins with its plain first characters, so distinct hosts and
-    patterns meet in an equi-join on the host's beginnings, and only there the
-    expression is tried.  Expressions without a plain beginning meet every
-    host, dealt out by ``LOOSE_SALTS`` numbers.  The smallest matching id wins.
-    0 = internal or unparsable, 2 = none of the patterns.
+    A pattern may be a host, a prefix or a regular expression.  All it matches
+    contains its longest plain text (of each alternative), so distinct hosts
+    and patterns meet in an equi-join of those texts and the parts of the hosts
+    of the same lengths, and only there the expression is tried.  Expressions
+    without plain text meet every host, dealt out by ``LOOSE_SALTS`` numbers.
+    The smallest matching id wins.  0 = internal or unparsable, 2 = none of the
+    patterns.
     """
     hosted = with_external_host(rows, url, "_host", own_hosts)
     hosts = hosted.where(F.col("_host").isNotNull()).select("_host").distinct()
     h, u = F.col("_host"), F.col("url")
-    number = lambda c: F.concat(F.lit("\x01"), c.cast("string"))
-    starts = F.transform(F.sequence(F.lit(1), F.greatest(F.length(h), F.lit(1))), lambda i: F.left(h, i))
-    salt = number(F.pmod(F.xxhash64(h), F.lit(LOOSE_SALTS)))
-    plain = _literal_start(u)
+    number = lambda c: F.concat(F.lit(GAP), c.cast("string"))
+    is_plain = ~u.rlike(META)
+    required = _required_texts(u)
+    # an expression may also be meant as it is written
+    texts = F.when(is_plain, F.array(u)).otherwise(F.array_append(required, u))
     loose = F.transform(F.sequence(F.lit(0), F.lit(LOOSE_SALTS - 1)), number)
+    unknown = (~is_plain & (F.size(required) == 0)) | (u == "")
     known = patterns.where(u.isNotNull()).select(
-        F.col("id").alias("_id"), "url", F.explode(F.when(plain == "", loose).otherwise(F.array(plain))).alias("_start")
+        F.col("id").alias("_id"), "url", F.explode(F.array_distinct(F.when(unknown, loose).otherwise(texts))).alias("_part")
+    )
+    # as many lengths as the longest pattern has characters, at most
+    lengths = known.where(~F.startswith("_part", F.lit(GAP))).agg(F.array_sort(F.collect_set(F.length("_part"))).alias("_lengths"))
+    size = F.length(h)
+    parts = F.flatten(
+        F.transform(
+            F.filter("_lengths", lambda n: n <= size),
+            lambda n: F.transform(F.sequence(F.lit(1), size - n + 1), lambda at: F.substr(h, at, n)),
+        )
     )
-    matches = F.startswith(h, u) | (u.rlike(META) & F.rlike(h, F.concat(F.lit("^(?:"), u, F.lit(")$"))))
+    salt = number(F.pmod(F.xxhash64(h), F.lit(LOOSE_SALTS)))
+    matches = F.startswith(h, u) | (~is_plain & F.rlike(h, F.concat(F.lit("^(?:"), u, F.lit(")$"))))
     found = (
-        hosts.select("_host", F.explode(F.array_append(starts, salt)).alias("_start"))
-        .join(known, "_start")
+        hosts.join(F.broadcast(lengths))  # one row
+        .select("_host", F.explode(F.array_append(F.array_distinct(parts), salt)).alias("_part"))
+        .join(known, "_part")
         .where(matches)
         .groupBy("_host")
         .agg(F.min("_id").alias("_id"))

@@ -201,6 +201,16 @@ def sliced_running_sum(
     return joined.withColumn(name, F.col("_local") + F.col("_before")).drop("_v", "_local", "_before")
 
 
+def with_row_before(sorted_rows: DataFrame, value: str, name: str) -> DataFrame:
+    """Adds ``value`` of the row that stands before each, across partitions.
+
+    Rows are written in the order they come in, so this tells what a sort did.
+    """
+    place = F.monotonically_increasing_id()  # partition and place in it
+    kept = materialize(sorted_rows.withColumn("_at", place), "in-order").withColumn("_slice", F.shiftright("_at", 33))
+    return sliced_neighbour(kept, [], "_slice", ["_at"], {value: name}).drop("_at", "_slice")
+
+
 def numbered(
     df: DataFrame, order: Sequence[str | Column], name: str, keys: Sequence[str] = ()
 ) -> DataFrame:

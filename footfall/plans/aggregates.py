@@ -166,6 +166,15 @@ def word_count(spark, sf):
     return counted.orderBy(F.desc("n"), "word")
 
 
+@query(
+    "word_count_order",
+    """SELECT word, n, lag(word) OVER (ORDER BY n DESC, word) AS previous FROM (SELECT word, count(*) AS n
+FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents) WHERE word <> '' GROUP BY ALL)""",
+)
+def word_count_order(spark, sf):
+    return skew.with_row_before(word_count(spark, sf), "word", "previous")
+
+
 @query(
     "percent_of_total",
     """WITH g AS (SELECT l_returnflag, l_linestatus, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity

@@ -103,4 +103,4 @@ SELECT count(*) AS input_records, count(*) FILTER (reject IS NULL) AS output_rec
   count(*) FILTER (reject = 'server_time') AS filtered_server_time FROM tagged"""),
 )
 def etl_counters(spark, sf):
-    return etl.counters(etl.parse_lines(_lines(spark, sf, "access-log")))
+    return etl.store_counted(etl.parse_lines(_lines(spark, sf, "access-log")), workspace(spark, "records"))

@@ -4,6 +4,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
+from footfall.operators import dims as D
 from footfall.operators import kpi
 from footfall.operators.joins import with_previous_day
 from footfall.plans import params
@@ -379,6 +380,26 @@ def prev_period_join(spark, sf):
     return with_previous_day(kpi.active_users(src.event_logs(spark, sf)), ["platform"], "active_users")
 
 
+@query(
+    "kpi_fact_ids",
+    with_views("el", kpi_ctes() + """
+, f AS (SELECT date, platform, browser, browser_version, count(DISTINCT u_ud) AS active_users FROM both_br GROUP BY ALL),
+d AS (SELECT date, row_number() OVER (ORDER BY date) AS date_id FROM (SELECT DISTINCT date FROM f)),
+p AS (SELECT platform, row_number() OVER (ORDER BY platform) AS platform_id FROM (SELECT DISTINCT platform FROM f)),
+b AS (SELECT browser, browser_version, row_number() OVER (ORDER BY browser, browser_version) AS browser_id
+  FROM (SELECT DISTINCT browser, browser_version FROM f))
+SELECT date_id, platform_id, browser_id, active_users FROM f JOIN d USING (date) JOIN p USING (platform)
+  JOIN b USING (browser, browser_version)"""),
+)
+def kpi_fact_ids(spark, sf):
+    """Facts by the ids of stored dimensions, in two runs: the second finds all of its ids."""
+    root = workspace(spark, "facts")
+    facts = kpi.distinct_count(src.event_logs(spark, sf), "u_ud", "active_users", by="browser")
+    for _ in range(2):
+        D.store_facts(facts, root, {"date_id": ["date"], "platform_id": ["platform"], "browser_id": ["browser", "browser_version"]}, "date_id")
+    return D.stored_facts(spark, root).select("date_id", "platform_id", "browser_id", "active_users")
+
+
 @query(
     "browser_fact_export",
     with_views("el", kpi_ctes() + f"""{_HIST},

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from footfall.operators import etl, relational
+from footfall.operators import etl, relational, skew
 from footfall.plans.oracle_views import with_views
 from footfall.plans.registry import query
 from footfall.sources import tables as src
@@ -25,6 +25,26 @@ def secondary_sort(spark, sf):
     return rows.repartitionByRange("u_sd", "s_time", "event_id").sortWithinPartitions("u_sd", "s_time", "event_id")
 
 
+@query(
+    "sort_desc_order",
+    with_views("emp", """
+, s AS (SELECT name, CAST(round(salary*100) AS BIGINT) AS salary_cents FROM emp)
+SELECT *, lag(name) OVER (ORDER BY salary_cents DESC, name) AS previous FROM s"""),
+)
+def sort_desc_order(spark, sf):
+    """The rows of ``sort_desc`` with the one that stands before each."""
+    return skew.with_row_before(sort_desc(spark, sf), "name", "previous")
+
+
+@query(
+    "secondary_sort_order",
+    with_views("el", """
+SELECT u_sd, event_id, s_time, lag(event_id) OVER (ORDER BY u_sd NULLS FIRST, s_time NULLS FIRST, event_id) AS previous FROM el"""),
+)
+def secondary_sort_order(spark, sf):
+    return skew.with_row_before(secondary_sort(spark, sf), "event_id", "previous")
+
+
 @query(
     "take_n",
     with_views("emp", """

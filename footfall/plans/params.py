@@ -2,6 +2,7 @@
 
 START_DATE, END_DATE = "2024-01-10", "2024-01-20"
 RUN_DATE = "2024-01-15"
+RANGE_MS = (1705269600000, 1705287600000)  # 2024-01-14 22:00 to 2024-01-15 03:00 UTC
 SCAN_DAYS = ("2024-01-14", "2024-01-16")
 SAMPLE_TOTAL = 3000  # sessions, of all days
 PAGE_FLOW = [1, 2, 3, 4]

@@ -127,6 +127,19 @@ def event_log_scan(spark, sf):
     )
 
 
+@query(
+    "event_log_time_range",
+    with_views("el", f"""
+SELECT dt, en, u_ud, s_time, pl, browser, browser_v FROM el
+WHERE s_time >= {params.RANGE_MS[0]} AND s_time < {params.RANGE_MS[1]}"""),
+)
+def event_log_time_range(spark, sf):
+    """Some hours across midnight, of logs stored in the order of their time."""
+    logs = src.event_logs(spark, sf, params.SCAN_DAYS)
+    path = sink.overwrite_clustered(logs, workspace(spark, "event-logs"), ["dt"], ["s_time"])
+    return files.event_log_range(spark, path, *params.RANGE_MS, EVENT_LOG_SCHEMA_COLUMNS, schema=logs.schema)
+
+
 @query(
     "raw_log_scan",
     with_views("el", f"""
@@ -134,10 +147,10 @@ SELECT split_part(p_url, '/', 5) AS page, count(*) AS n FROM el WHERE dt = '{par
 )
 def raw_log_scan(spark, sf):
     root = workspace(spark, "logs")
-    lines = loglines.good_lines(src.event_logs(spark, sf, (params.RUN_DATE, params.RUN_DATE)))
-    lines.where(F.col("dt") == params.RUN_DATE).select("value").write.text(
-        files.raw_log_path(root, params.RUN_DATE)
-    )
+    lines = loglines.good_lines(src.event_logs(spark, sf, params.SCAN_DAYS))
+    # the wanted day's folder beside its neighbours'
+    for day in sorted({*params.SCAN_DAYS, params.RUN_DATE}):
+        lines.where(F.col("dt") == day).select("value").write.text(files.raw_log_path(root, day))
     parsed = etl.parse_lines(files.raw_log(spark, root, params.RUN_DATE))
     page = F.element_at(F.split("p_url", "/"), -1)
     return (

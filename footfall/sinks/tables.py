@@ -34,6 +34,21 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str
     return path
 
 
+def overwrite_clustered(
+    df: DataFrame, path: str, partition_by: Sequence[str], order: Sequence[str], rows_per_group: int = 20_000
+) -> str:
+    """Overwrite with files that hold neighbouring ranges of ``order``, sorted.
+
+    The smallest and largest value of a file's row groups then tell a reader of
+    a range which few of them to open; groups are kept small for that.
+    """
+    by = [*partition_by, *order]
+    laid_out = df.repartitionByRange(*by).sortWithinPartitions(*by)
+    writer = laid_out.write.mode("overwrite").partitionBy(*partition_by).option("parquet.block.row.count.limit", rows_per_group)
+    writer.parquet(path)
+    return path
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
     _laid_out(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
     return path

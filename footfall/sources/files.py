@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import re
 from collections.abc import Sequence
 
@@ -101,6 +102,26 @@ def event_log(
     return rows.select(*columns)
 
 
+def event_log_range(
+    spark: SparkSession,
+    path: str,
+    start_ms: int,
+    end_ms: int,
+    columns: Sequence[str],
+    schema: T.StructType | None = None,
+) -> DataFrame:
+    """Event records with ``start_ms <= s_time < end_ms``.
+
+    For a table partitioned by ``dt`` and clustered by ``s_time``: other days
+    are never listed, and of the range's days only the row groups that hold it
+    are read.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    day = lambda ms: datetime.datetime.fromtimestamp(ms / 1000, datetime.UTC).strftime("%Y-%m-%d")
+    rows = reader.parquet(path).where(F.col("dt").between(day(start_ms), day(max(start_ms, end_ms - 1))))
+    return rows.where((F.col("s_time") >= start_ms) & (F.col("s_time") < end_ms)).select(*columns)
+
+
 def only_known_events(df: DataFrame, column: str = "en") -> DataFrame:
     return df.where(known_event(F.col(column)))
 

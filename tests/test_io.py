@@ -205,3 +205,57 @@ def test_totals_day_by_day(spark, tmp_path):
         ("2024-01-03", "web"): (0, 5), ("2024-01-03", None): (0, 1), ("2024-01-03", "app"): (0, 4),
         ("2024-01-04", "web"): (0, 5), ("2024-01-04", None): (0, 1), ("2024-01-04", "app"): (1, 5),
     }
+
+
+def test_counters_of_the_writing_pass(spark, tmp_path):
+    from footfall.operators import etl
+
+    lines = spark.createDataFrame([("no fields",), ("1.1.1.1^A1704103200.1^Ah^A/p?en=e_pv&u_sd=s",), ("1.1.1.1^A1^Ah^A/p",)], "value string")
+    parsed = etl.parse_lines(lines)
+    seen = etl.store_counted(parsed, str(tmp_path / "out"))
+    assert seen.collect() == etl.counters(parsed).collect() and seen.columns == etl.counters(parsed).columns
+    assert spark.read.parquet(str(tmp_path / "out")).count() == seen.first()["output_records"]
+
+
+def test_a_day_without_logs_is_an_error(spark, tmp_path):
+    spark.range(3).selectExpr("CAST(id AS STRING) AS value").write.text(files.raw_log_path(str(tmp_path), "2024-01-15"))
+    assert files.raw_log(spark, str(tmp_path), "2024-01-15").count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        files.raw_log(spark, str(tmp_path), "2024-01-16").count()
+
+
+def test_a_time_range_reads_a_small_part_of_its_days(spark, tmp_path):
+    day, hour = 1_705_276_800_000, 3_600_000
+    logs = spark.range(200_000).selectExpr(
+        f"CAST({day} + (id * 7919) % 172800000 AS BIGINT) AS s_time", "uuid() AS u_sd", f"IF((id * 7919) % 172800000 < 86400000, '2024-01-15', '2024-01-16') AS dt"
+    )
+    path = sink.overwrite_clustered(logs, str(tmp_path / "logs"), ["dt"], ["s_time"], rows_per_group=2000)
+    rows = files.event_log_range(spark, path, day + hour, day + 2 * hour, ["u_sd"], logs.schema)
+    want = spark.read.parquet(path).where(f"s_time >= {day + hour} AND s_time < {day + 2 * hour}").count()
+    assert rows.count() == want > 0
+    plan = rows._jdf.queryExecution().executedPlan()
+    rows.collect()
+    assert "PartitionFilters: [isnotnull(dt" in plan.toString()
+    assert "GreaterThanOrEqual(s_time" in plan.toString() and "LessThan(s_time" in plan.toString()
+    # row groups that hold the hour, of those of the day
+    import pyarrow.parquet as pq
+
+    names = [f for f in os.listdir(f"{path}/dt=2024-01-15") if f.endswith(".parquet")]
+    held = [pq.ParquetFile(f"{path}/dt=2024-01-15/{f}").metadata for f in names]
+    groups = [m.row_group(i).column(0).statistics for m in held for i in range(m.num_row_groups)]
+    touched = [g for g in groups if g.max >= day + hour and g.min < day + 2 * hour]
+    assert len(touched) <= len(groups) / 8
+
+
+def test_a_second_run_adds_no_id(spark, tmp_path):
+    from footfall.operators import dims as D
+
+    root, ids = str(tmp_path / "f"), {"p_id": ["p"], "b_id": ["b", "v"]}
+    facts = lambda rows: spark.createDataFrame(rows, "p string, b string, v string, n long")
+    first = [("web", "x", "1", 5), ("web", None, "1", 6), ("app", "x", "2", 7)]
+    for rows in (first, first, first + [("tv", "x", "1", 8)]):
+        D.store_facts(facts(rows), root, ids, "p_id")
+    dim = sink.current(spark, f"{root}/p_id", D.T.StructType([D.T.StructField("id", D.T.LongType()), D.T.StructField("p", D.T.StringType())]))
+    assert sorted(map(tuple, dim.collect())) == [(1, "app"), (2, "web"), (3, "tv")]
+    assert sorted(tuple(r) for r in D.stored_facts(spark, root).select("p_id", "n").collect()) == [(1, 7), (2, 5), (2, 6), (3, 8)]
+    assert len([f for f in os.listdir(f"{root}/p_id") if f.startswith("version=")]) == 2

@@ -227,3 +227,38 @@ def test_sample_follows_the_hours(spark, remainders):
     counts = {(r["date"], r["hour"]): r["count"] for r in got}
     want = {0: 6, 1: 3, 2: 2} if remainders else {0: 5, 1: 3, 2: 1}  # of 11 a day: 5.5, 3.3, 1.87, 0.33
     assert counts == {(f"2024-01-0{d}", h): n for d in (1, 2) for h, n in want.items()}
+
+
+PATTERNS = [
+    r"www\.site-1\.com", r"(www|m)\.site-2\.com", r"site-3\.(com|org)", r"^shop[0-9]+\.example$", "www.", "site-4.com", r"a+b\.c",
+    r"colou?r\.net", r"x{2,3}y\.org", r".*", r"\d+\.\d+\.1\.1", r"(?i)CASE\.com", r"one\.com|two\.com", r"one\.com|.*three", r"[a-z]+\.io",
+]
+HOSTS = [
+    "www.site-1.com", "www-site-1.com", "m.site-2.com", "www.site-2.com", "site-2.com", "site-3.org", "site-3.net", "shop12.example",
+    "shop.example", "www.anything", "site-4.com.au", "site-4xcom", "aaab.c", "b.c", "color.net", "colour.net", "xxy.org", "xy.org", "9.8.1.1",
+    "case.com", "one.com", "two.com", "xthree", "abc.io", "www.site-n.com",
+]
+
+
+@pytest.mark.parametrize("k", range(len(PATTERNS)))
+def test_patterns_meet_the_hosts_that_hold_their_text(spark, k):
+    import re
+
+    from footfall.operators import joins
+
+    rows = spark.createDataFrame([(h, f"http://{h}/x") for h in HOSTS], "h string, p_ref string")
+    patterns = spark.createDataFrame([(7, PATTERNS[k])], "id int, url string")
+    got = {r["h"]: r["inbound"] == 7 for r in joins.inbound_of(rows, patterns, []).collect()}
+    plain = not re.search(r"[.*+?^$|(){}\[\]\\]", PATTERNS[k])
+    want = {h: h.startswith(PATTERNS[k]) or (not plain and bool(re.fullmatch(PATTERNS[k], h))) for h in HOSTS}
+    assert got == want
+
+
+def test_required_texts(spark):
+    from footfall.operators import joins
+
+    want = [["www.site-1.com"], [".site-2.com"], ["site-3."], [".example"], ["www"], ["site-4"], ["b.c"], ["r.net"], ["y.org"], [],
+            ["."], [], ["one.com", "two.com"], ["one.com", "three"], [".io"]]
+    rows = spark.createDataFrame(list(enumerate(PATTERNS)), "i int, p string")
+    got = rows.select("i", joins._required_texts(F.col("p")).alias("t")).orderBy("i").collect()
+    assert [sorted(r["t"]) for r in got[:10]] == [sorted(w) for w in want[:10]] and [r["t"] for r in got[11:]] == want[11:]

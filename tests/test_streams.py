@@ -178,3 +178,54 @@ def test_word_totals(spark, tmp_path):
 def test_kafka_source_needs_the_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         kafka_lines(spark, "localhost:1", "a, b")
+
+
+def test_a_fold_writes_the_days_its_batches_touched(spark, tmp_path):
+    import os
+
+    path, schema = f"{tmp_path}/t", ads.USER_AD
+    days = ["2024-01-01", "2024-01-01", "2024-01-02", "2024-01-02", "2024-01-03", "2024-01-01", "2024-01-03", "2024-01-03", None, "2024-01-03"]
+    for batch_id, day in enumerate(days):
+        for _ in range(2):  # every batch is repeated
+            ledger.fold_if_due(spark, path, schema, batch_id, ads._summed, 2)
+            ledger.store(spark.createDataFrame([(day, 1, 1, 1)], schema), path, batch_id)
+        got = {r["date"]: r["click_count"] for r in ledger.content(spark, path, schema, ads._summed, 2).collect()}
+        assert got == {d: days[: batch_id + 1].count(d) for d in days[: batch_id + 1]}
+    written = sorted(os.listdir(f"{path}/snapshots/before=6"))
+    assert [f for f in written if f.startswith("date=")] == ["date=2024-01-01", "date=2024-01-03"]  # the days of batches 4 and 5
+    assert not os.path.exists(f"{path}/snapshots/before=2/date=2024-01-01")  # superseded
+    assert os.path.exists(f"{path}/snapshots/before=4/date=2024-01-02")  # nothing since
+
+
+def test_keyed_state_restarts_and_counts_late_clicks(spark, tmp_path):
+    """Out of order, with a restart between batches; a key that has left the state starts another life."""
+    source = tmp_path / "in"
+    source.mkdir()
+    day = 1_705_276_800_000
+    want = {}
+    for i, clicks in enumerate([[(1, 5)], [(0, 5), (1, 5), (1, 6)], [(-3, 5), (0, 5)], [(1, 5)]]):
+        (source / f"{i}.txt").write_text("".join(f"{day + d * 86_400_000} P C 9 {ad}\n" for d, ad in clicks))
+        for d, ad in clicks:
+            want[d, ad] = want.get((d, ad), 0) + 1
+        out = ads.ad_state_totals(file_lines(spark, str(source)), f"{tmp_path}/out", f"{tmp_path}/cp", idle="1 ms", every=2)
+        assert sorted(r["click_count"] for r in out.collect()) == sorted(want.values())
+    lives = ledger.content(spark, f"{tmp_path}/out", ads.LIVES, ads._newest_lives, 2)
+    assert lives.count() > len(want)  # keys came back
+
+
+def test_changes_of_a_sliding_window(spark, tmp_path):
+    """Every window, from the runs, against counting each of them."""
+    source = tmp_path / "in"
+    source.mkdir()
+    start = 1_705_276_800_000
+    clicks = [(start + ms, ad) for ms, ad in [(0, 1), (5, 1), (10_000, 1), (3_600_000, 1), (86_400_000, 1), (20_000, 2), (-1, 2)]]
+    (source / "a.txt").write_text("".join(f"{ms} P C 9 {ad}\n" for ms, ad in clicks))
+    out = ads.sliding_changes(file_lines(spark, str(source)), f"{tmp_path}/out", f"{tmp_path}/cp", size_ms=60_000, slide_ms=10_000)
+    runs = out.selectExpr("unix_millis(CAST(first_start AS TIMESTAMP)) AS a", "unix_millis(CAST(last_start AS TIMESTAMP)) AS b", "ad_id", "click_count").collect()
+    got = {(s, r["ad_id"]): r["click_count"] for r in runs for s in range(r["a"], r["b"] + 1, 10_000)}
+    want = {}
+    for ms, ad in clicks:
+        for k in range(6):
+            s = (ms // 10_000 - k) * 10_000
+            want[s, ad] = want.get((s, ad), 0) + 1
+    assert got == want and len(runs) <= 2 * len(clicks)
