@@ -10,7 +10,7 @@ from footfall.llm import queries
 
 
 def test_one_query_per_operator():
-    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 14))
     assert [k for k, _ in corpus_pipeline.STAGES] == [
         "quality_classifier", "exact_dedup", "near_dedup", "decontaminate", "pack"
     ]
@@ -54,3 +54,32 @@ def test_stages(ready, small, tmp_path):
     assert len(whole) == len(packed) and set(whole["doc_id"]) == set(packed["doc_id"])
     labels = ready.read.parquet(f"{small}/labels.parquet").filter("quality = 1").count()
     assert sizes["quality_classifier"] >= labels
+
+
+def test_odd_rows_pass_all_stages(ready, small, tmp_path):
+    """Null ids, texts and other columns, empty and very long texts, repeated rows, columns named like the operators' own."""
+    for name in ("benchmark", "labels"):
+        ready.read.parquet(f"{small}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    good = ready.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    odd = ready.createDataFrame(
+        [(9001, None, None, None, None), (9002, "", "en", "s", 0), (None, "a text without an id " * 9, None, None, 5),
+         (9003, "said twice " * 30, "en", "s", 1), (9003, "said twice " * 30, "en", "s", 1), (9004, "long text goes on " * 20_000, "en", "s", 1)],
+        good.schema,
+    )
+    docs = good.unionByName(odd).selectExpr("*", "1 AS kept", "'x' AS node", "2.5 AS score", "array(1) AS pieces", "0 AS `a.b`")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    out = corpus_pipeline.run(ready, str(tmp_path)).toPandas()
+    assert (out.groupby("sequence_id")["length"].sum() <= 1024).all() and len(out) > 0
+    left = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        stage(ready, left, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
+        left = ready.read.parquet(f"{tmp_path}/{name}")
+        assert left.columns == docs.columns
+    assert left.where("doc_id = 9003").count() <= 1
+    assert set(out["doc_id"].dropna()) == {r["doc_id"] for r in left.select("doc_id").collect() if r["doc_id"] is not None}
+
+
+def test_no_documents(ready, small, tmp_path):
+    for name in ("benchmark", "labels", "documents"):
+        ready.read.parquet(f"{small}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(ready, str(tmp_path)).count() == 0
