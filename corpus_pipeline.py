@@ -4,6 +4,12 @@ Five stages, each on all that the one before kept: reject bad texts, drop exact
 copies, keep one document of each group of near copies, drop documents that
 hold benchmark passages, pack the rest.  Every stage is written to the shared
 folder and read again, so a lost executor costs no more than a stage.
+
+Odd rows: a null text counts as empty everywhere and is scored like any other;
+of empty texts and repeated rows one document stays.  Documents without words
+link with nothing and hold no passage.  A null id stays null.  Other columns
+pass through whatever their names and values; only the last stage drops them.
+Empty tables give empty results.
 """
 
 from __future__ import annotations
