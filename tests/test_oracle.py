@@ -29,3 +29,15 @@ def test_entry(spark):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+
+
+def test_no_query_is_empty():
+    """Equal results prove nothing where both have no rows."""
+    from footfall.plans import CATALOG
+
+    con = connect("/root/testdata/sf0.01")
+    empty = [
+        key for key, q in CATALOG.items()
+        if q.oracle is not None and not con.execute(f"SELECT count(*) FROM ({q.oracle})").fetchone()[0]
+    ]
+    assert empty == []
