@@ -14,9 +14,9 @@ from footfall.functions.text import is_blank
 from footfall.functions.times import nginx_ms
 from footfall.functions.web import computed_once
 from footfall.operators.joins import ip_region
-from footfall.sources.files import literal_relation
-from footfall.operators.skew import top_per_group
+from footfall.operators.skew import spread_nulls, top_per_group
 from footfall.schemas import EVENT_LOG_COLUMNS
+from footfall.sources.files import literal_relation
 
 # The two characters '^A' between the fields of a log line, and
 # the parameter that holds the user agent.
@@ -67,8 +67,17 @@ def rejected(parsed: DataFrame, line: str = "value") -> DataFrame:
 
 
 def with_user_agent(events: DataFrame, column: str = USER_AGENT) -> DataFrame:
-    """Browser and system columns; the raw user agent is dropped."""
-    return web.with_user_agent(events, column).drop(column)
+    """Browser and system columns; the raw user agent is dropped.
+
+    Each distinct agent is taken apart once, however many records have it, and
+    its parts are joined to the records.  Records without one are spread over
+    the tasks.
+    """
+    named = F.when(~is_blank(F.col(column)), F.col(column))
+    agents = events.select(named.alias(column)).where(F.col(column).isNotNull()).distinct()
+    parsed = web.with_user_agent(agents, column).withColumnRenamed(column, "_key")
+    kept = events.withColumn(column, named)
+    return spread_nulls(kept, column, "_key").join(parsed, "_key", "left").drop(column, "_key")
 
 
 def with_location(events: DataFrame, ranges: DataFrame) -> DataFrame:
