@@ -52,7 +52,6 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from footfall.llm.common import column, gathered, quoted
@@ -170,18 +169,19 @@ class Model:
 
     def log10(self, a: np.ndarray, b: np.ndarray, target: np.ndarray) -> np.ndarray:
         """log10 P(class of the token | the two before it), normalised over all classes."""
-        context, of = np.unique(a.astype(np.int64) * (self.start + 1) + b, return_inverse=True)
-        order = np.argsort(of, kind="stable")
+        context, of = _numbered(a.astype(np.int64) * (self.start + 1) + b, (self.start + 1) ** 2)
+        order = _order(of)
         ends = np.searchsorted(of[order], np.arange(0, len(context) + CONTEXTS, CONTEXTS))
         out = np.empty(len(target))
         for k, (x, y) in enumerate(zip(ends[:-1], ends[1:])):
             own = context[k * CONTEXTS : (k + 1) * CONTEXTS]
-            score = self.context(own // (self.start + 1), own % (self.start + 1)) @ self.q.T + self.bias
-            top = score.max(axis=1, keepdims=True)
-            norm = np.log(np.exp(score - top).sum(axis=1, dtype=np.float64)) + top[:, 0]
+            # a column per context: reductions over rows are the fast ones
+            score = self.q @ self.context(own // (self.start + 1), own % (self.start + 1)).T + self.bias[:, None]
+            top = score.max(axis=0)
+            norm = np.log(np.exp(score - top).sum(axis=0, dtype=np.float64)) + top
             rows = order[x:y]
             local = of[rows] - k * CONTEXTS
-            out[rows] = (score[local, target[rows]] - norm[local]) / np.log(10.0)
+            out[rows] = (score[target[rows], local] - norm[local]) / np.log(10.0)
         return out
 
     def train(self, a: np.ndarray, b: np.ndarray, target: np.ndarray, weight: np.ndarray, rng, state: dict) -> None:
@@ -213,6 +213,25 @@ def _summed(index: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     return np.stack([np.bincount(index, rows[:, j], n) for j in range(rows.shape[1])], axis=1)
 
 
+def _order(index: np.ndarray) -> np.ndarray:
+    """Stable order of numbers from 0 on, by 16 bits at a time."""
+    order = np.argsort((index & 0xFFFF).astype(np.uint16), kind="stable")
+    most, shift = int(index.max(initial=0)), 16
+    while most >> shift:
+        order = order[np.argsort((index[order] >> shift & 0xFFFF).astype(np.uint16), kind="stable")]
+        shift += 16
+    return order
+
+
+def _numbered(key: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, ascending, and the place of each key among them; keys are below ``bound``."""
+    if bound > 8 * len(key):  # a table of all keys would be larger than what it numbers
+        return np.unique(key, return_inverse=True)
+    there = np.zeros(bound, bool)
+    there[key] = True
+    return np.flatnonzero(there), (np.cumsum(there, dtype=np.int32) - 1)[key]
+
+
 def _contexts(classes: np.ndarray, at: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
     """The classes two places and one place before every token."""
     before = np.concatenate([[start], classes[:-1]]).astype(np.int64)
@@ -249,43 +268,50 @@ def _softmax(h: np.ndarray, target: np.ndarray, w: np.ndarray) -> np.ndarray:
     logs = np.zeros(len(h))
     for a in range(0, len(h) if len(w) > 1 else 0, CONTEXTS):
         z = target[a : a + CONTEXTS]
-        score = h[a : a + CONTEXTS] @ w.T
-        score -= score.max(axis=1, keepdims=True)
-        own = score[np.arange(len(z)), z]
+        score = w @ h[a : a + CONTEXTS].T
+        score -= score.max(axis=0)
+        own = score[z, np.arange(len(z))]
         np.exp(score, out=score)
-        logs[a : a + CONTEXTS] = own - np.log(score.sum(axis=1))
+        logs[a : a + CONTEXTS] = own - np.log(score.sum(axis=0))
     return logs
 
 
 def _contrasted(h: np.ndarray, target: np.ndarray, w: np.ndarray, share: np.ndarray, seen: np.ndarray, seed: int) -> np.ndarray:
     """Train the rows ``w`` against shared noise drawn by ``share``; the gradients of ``h``.
 
-    ``seen`` adds up how hard the rows were pulled either way; steps shrink with it.
+    ``seen`` adds up how hard vectors and biases were pulled either way; steps shrink with it.
     """
     back = np.zeros((len(h), SIZE), np.float32)
     if len(w) == 1:
         return back
     rng = np.random.default_rng([len(h), seed])
     log_noise = np.log(OWN_NOISE * share).astype(np.float32)
-    order, drawn = rng.permutation(len(h)), np.cumsum(share)
-    for a in range(0, len(h), OWN_BATCH):
-        rows = order[a : a + OWN_BATCH]
-        x, z = h[rows], target[rows]
-        noise = np.minimum(np.searchsorted(drawn, rng.random(OWN_NOISE)), len(w) - 1)
-        wz, wn = w[z], w[noise]
-        true = np.einsum("ij,ij->i", x, wz) - log_noise[z]
-        false = x @ wn.T - log_noise[noise]
-        up = 1 / (1 + np.exp(np.clip(true, -30, 30)))
-        down = 1 / (1 + np.exp(np.clip(-false, -30, 30)))
-        back[rows] = up[:, None] * wz[:, :SIZE] - down @ wn[:, :SIZE]
-        square = x * x
-        spots, total, curved = _grouped(z, up[:, None] * x, up[:, None] * square)
-        np.add.at(seen, noise, down.T @ square)
-        seen[spots] += curved
-        step = np.zeros_like(w)
-        np.add.at(step, noise, -(down.T @ x))
-        step[spots] += total
-        w += step / (1 + DAMPING * seen)
+    drawn = np.cumsum(share)
+    order = rng.permutation(len(h))
+    # each row with how hard it pulls at a vector and at a bias
+    rows = np.ones((len(h), SIZE + 3), np.float32)
+    np.take(h, order, axis=0, out=rows[:, : SIZE + 1])
+    rows[:, SIZE + 1] = np.einsum("ij,ij->i", rows[:, :SIZE], rows[:, :SIZE]) / SIZE
+    target = target[order]
+    turned = np.empty_like(back)
+    with np.errstate(over="ignore"):
+        for a in range(0, len(h), OWN_BATCH):
+            x, z = rows[a : a + OWN_BATCH], target[a : a + OWN_BATCH]
+            noise = np.minimum(np.searchsorted(drawn, rng.random(OWN_NOISE)), len(w) - 1)
+            wz, wn = w[z], w[noise]
+            up = 1 / (1 + np.exp(np.einsum("ij,ij->i", x[:, : SIZE + 1], wz) - log_noise[z]))
+            down = 1 / (1 + np.exp(log_noise[noise][:, None] - wn @ x[:, : SIZE + 1].T))
+            turned[a : a + OWN_BATCH] = up[:, None] * wz[:, :SIZE] - down.T @ wn[:, :SIZE]
+            pull = np.zeros((len(w), len(z)), np.float32)
+            pull[z, np.arange(len(z))] = up
+            total, away = pull @ x, down @ x
+            seen += total[:, SIZE + 1 :]
+            np.add.at(seen, noise, away[:, SIZE + 1 :])
+            np.subtract.at(total, noise, away)
+            rate = 1 / (1 + DAMPING * seen)
+            w[:, :SIZE] += total[:, :SIZE] * rate[:, :1]
+            w[:, SIZE] += total[:, SIZE] * rate[:, 1]
+    back[order] = turned
     return back
 
 
@@ -320,7 +346,7 @@ def in_class(
 
 def _grouped(index: np.ndarray, *rows: np.ndarray) -> tuple[np.ndarray, ...]:
     """The distinct numbers, and the sums of their rows."""
-    order = np.argsort(index, kind="stable")
+    order = _order(index)
     index = index[order]
     at = np.flatnonzero(np.diff(index, prepend=-1))
     return index[at], *(np.add.reduceat(r[order], at, axis=0) for r in rows)
@@ -330,13 +356,13 @@ def _own_pass(folder: str, version: int, model: Model, owned: np.ndarray, t: pa.
     """Log-probabilities of all tokens of a chunk inside their classes; or, learning, what changed of each class."""
     lists, ranks = t.column("classes"), t.column("ranks")
     at = np.asarray(lists.offsets).astype(np.int64)
-    key = lists.values.to_numpy()[at[0] : at[-1]].astype(np.int64) << 32
+    key = lists.values.to_numpy()[at[0] : at[-1]].astype(np.int64) * (SLAB + 1)
     at_ranks = np.asarray(ranks.offsets)
     key += ranks.values.to_numpy()[at_ranks[0] : at_ranks[-1]] + 1
     # Distinct words by class and rank, rank 0 for the rarer ones; contexts as their places, 0 before the first token.
-    distinct, place = np.unique(key, return_inverse=True)
+    distinct, place = _numbered(key, model.start * (SLAB + 1))
     del key
-    of, rank = distinct >> 32, (distinct & 0xFFFFFFFF) - 1
+    of, rank = distinct // (SLAB + 1), distinct % (SLAB + 1) - 1
     two, one = (x.astype(np.int32) for x in _contexts(place + 1, at - at[0], 0))
     vectors = np.concatenate([model.r[model.start :], model.r[of]])
     edges = np.searchsorted(of, np.arange(model.start + 1))
@@ -346,31 +372,33 @@ def _own_pass(folder: str, version: int, model: Model, owned: np.ndarray, t: pa.
         own = own[rank[own] >= 0]
         if len(own):
             vectors[own + 1] = _load_own(f"{folder}/own-{version}-{c}")[1][rank[own]]
-    order = np.argsort(place, kind="stable")
+    first, second = vectors @ model.c1, vectors @ model.c2
+    order = _order(place)
     bounds = np.searchsorted(place[order], edges)
     logs, changed = np.zeros(len(place)), {}
-    slope, square = (np.zeros(vectors.shape if learn else (0, SIZE), np.float32) for _ in range(2))
+    slope, square = np.zeros(vectors.shape if learn else (0, SIZE), np.float32), np.zeros(len(vectors), np.float32)
     for c in kinds:
         rows = order[bounds[c] : bounds[c + 1]]
         a, b = two[rows], one[rows]
         h = np.ones((len(rows), SIZE + 1), np.float32)
-        h[:, :SIZE] = vectors[b] @ model.c1 + vectors[a] @ model.c2
+        h[:, :SIZE] = first[b] + second[a]
         out = _load_own(f"{folder}/own-{version}-{c}")[0]
-        seen = np.zeros_like(out) if learn else None
+        seen = np.zeros((len(out), 2), np.float32) if learn else None
         old = out.copy() if learn else out
         logs[rows], back = in_class(h, rank[place[rows]], out, int(owned[c]), seen)
         if learn:
-            for spots, turned in ((b, back @ model.c1.T), (a, back @ model.c2.T)):
-                spot, total, squares = _grouped(spots, turned, turned * turned)
-                slope[spot] += total
-                square[spot] += squares
+            force = np.einsum("ij,ij->i", back, back)
+            for spots, turn in ((b, model.c1), (a, model.c2)):
+                spot, total, squares = _grouped(spots, back, force)
+                slope[spot] += total @ turn.T
+                square[spot] += squares * (turn * turn).sum() / SIZE  # as if the gradients had all directions
             weight = seen.sum(axis=1)
             spot = np.flatnonzero(weight)
             changed[c] = [(0, spot, (out - old)[spot], weight[spot])]
     for c in kinds if learn else []:
         own = np.arange(edges[c], edges[c + 1])
         own = own[rank[own] >= 0]  # none, if the chunk holds only rarer words of the class
-        weight = 1 + square[own + 1].mean(axis=1)
+        weight = 1 + square[own + 1] / SIZE
         changed[c].append((1, rank[own], slope[own + 1] / weight[:, None], weight))
     return logs / np.log(10.0), changed
 
@@ -501,8 +529,8 @@ def score_texts(
     common = [(r["word"], r["c"]) for r in distinct.filter(F.col("word") != END).orderBy(F.desc("c"), "word").limit(TOP - 1).collect()]
     ends = distinct.filter(F.col("word") == END).first()
     tops = [(END, ends["c"] if ends else 0), *common]  # ``TOP`` words at most
-    kind = T.StructType([T.StructField("word", T.StringType()), T.StructField("top", T.IntegerType())])
-    ranks = spark.createDataFrame([(w, i) for i, (w, _) in enumerate(tops)], kind)
+    # of an Arrow table, as of rows it would go through Python workers each time it is read
+    ranks = spark.createDataFrame(pa.table({"word": pa.array([w for w, _ in tops], pa.string()), "top": pa.array(range(len(tops)), pa.int32())}))
     named = words.join(F.broadcast(ranks), "word", "left").withColumn("tail", tail_of(F.col("word")))
     least = max(OWN, int(n**0.5 / OWN_ROOT))
     # words with vectors, numbered inside their group; then slabs of a group become classes
