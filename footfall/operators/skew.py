@@ -303,12 +303,17 @@ def salted_join(
     how: str = "inner",
     spread: Sequence[str] = (),
 ) -> DataFrame:
-    """Equi-join with ``left`` salted 0..n-1 and every ``right`` row repeated n times."""
+    """Equi-join with ``left`` salted 0..n-1 and every ``right`` row repeated n times.
+
+    Both sides are shuffled and merged.  The planner's estimate of ``right``
+    does not count the copies, so left to itself it broadcasts n times what its
+    limit allows, through the driver.
+    """
     _keeps_left(how)
     copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     return (
         left.withColumn("_salt", _salt(spread or left.columns, salts))
-        .join(right.withColumn("_salt", copies), [key, "_salt"], how)
+        .join(right.withColumn("_salt", copies).hint("merge"), [key, "_salt"], how)
         .drop("_salt")
     )
 

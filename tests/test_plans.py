@@ -110,6 +110,12 @@ def test_broadcast_is_checked(spark):
     assert "BroadcastHashJoin" in plan_of(left.join(skew.checked_broadcast(small), "id"))
 
 
+def test_repeated_side_is_not_broadcast(spark, small):
+    """The planner's estimate of the right side leaves its copies out."""
+    plan = final_plan(QUERIES["salted_expand_join"](spark, small))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_literal_relation_has_a_known_size(spark):
     from footfall import schemas
 
