@@ -16,6 +16,11 @@ SETTINGS = {
     # Split a skewed join partition even if the rows are grouped on the same
     # key afterwards: the extra exchange carries pre-aggregated rows.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Tasks are many before they are large.  A task that counts ids holds some
+    # twenty times what it reads of a shuffle; by default a shuffle is coalesced
+    # to one task a core until a task reads 64 MB, and a scan to 128 MB.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
+    "spark.sql.files.maxPartitionBytes": "16m",
     "spark.sql.parquet.filterPushdown": "true",
     # The last value of a repeated request parameter wins.
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",

@@ -116,6 +116,20 @@ def test_repeated_side_is_not_broadcast(spark, small):
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
+def test_shuffles_are_not_gathered_to_one_large_task_a_core(spark):
+    """24 million rows of some 200 MB: tasks grow in number, not in size."""
+    from footfall.session import apply_settings
+
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        apply_settings(spark)
+        ids = spark.range(24_000_000).select(F.xxhash64("id").alias("h")).groupBy("h").count()
+        plan = ids.groupBy(F.spark_partition_id().alias("p")).count()
+        assert plan.count() > 16
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
 def test_literal_relation_has_a_known_size(spark):
     from footfall import schemas
 
