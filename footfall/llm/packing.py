@@ -33,7 +33,7 @@ from footfall.llm.tokens import encoder, with_end
 from footfall.session import materialize
 
 GROUP = 8192
-TEXT_BYTES = 12 << 20
+TEXT_BYTES = 4 << 20
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = f"{PIECES}, sequence_id long, offset long, round int, group_sequences long, group_bound long"
 

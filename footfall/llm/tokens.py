@@ -18,7 +18,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
-KNOWN_PIECES = 1_500_000  # about 100 MB
+KNOWN_PIECES = 1_000_000  # about 65 MB
+SLICE_BYTES = 2 << 20  # of text encoded at a time
 LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 # Fixed value: how byte-level tokenizers of this family cut a text into groups.
 GROUPS = regex.compile(
@@ -50,6 +51,7 @@ class PieceTable:
 
     def clear(self) -> None:
         self.key = np.zeros(0, np.uint64)  # sorted
+        self.met = np.zeros(0, bool)  # again, since the table was last cut down
         self.text_at = self.text_len = self.ids_at = self.ids_len = np.zeros(0, np.int64)
         self.text = np.zeros(0, np.uint8)
         self.ids = np.zeros(0, "<u4")
@@ -76,11 +78,27 @@ class PieceTable:
             hit = hit[np.logical_and.reduceat(same, np.cumsum(size) - size)]
         out = np.full(len(h), -1)
         out[hit] = spot[hit]
+        self.met[spot[hit]] = True
         return out
 
+    def cut_down(self) -> None:
+        """Forget what was not met again, or everything if that leaves more than half."""
+        kept = np.flatnonzero(self.met)
+        if 2 * len(kept) > KNOWN_PIECES:
+            kept = kept[:0]
+        text_at, text_len, ids_at, ids_len = (
+            x[kept] for x in (self.text_at, self.text_len, self.ids_at, self.ids_len)
+        )
+        self.key, self.met = self.key[kept], np.zeros(len(kept), bool)
+        self.text, self.ids = ragged_take(self.text, text_at, text_len), ragged_take(self.ids, ids_at, ids_len)
+        self.text_at, self.text_len = np.cumsum(text_len) - text_len, text_len
+        self.ids_at, self.ids_len = np.cumsum(ids_len) - ids_len, ids_len
+
     def add(self, h: np.ndarray, texts: list[bytes], ids: list[bytes]) -> None:
+        if len(h) > KNOWN_PIECES:  # of one very long text
+            return
         if len(self.key) + len(h) > KNOWN_PIECES:
-            self.clear()
+            self.cut_down()
         h, one = np.unique(h, return_index=True)
         fresh = ~np.isin(h, self.key, assume_unique=True)
         h, one = h[fresh], one[fresh].tolist()
@@ -89,6 +107,7 @@ class PieceTable:
         key = np.concatenate([self.key, h])
         order = np.argsort(key, kind="stable")
         self.key = key[order]
+        self.met = np.concatenate([self.met, np.zeros(len(h), bool)])[order]
         self.text_at = np.concatenate([self.text_at, len(self.text) + np.cumsum(text_len) - text_len])[order]
         self.ids_at = np.concatenate([self.ids_at, len(self.ids) + np.cumsum(ids_len) - ids_len])[order]
         self.text_len = np.concatenate([self.text_len, text_len])[order]
@@ -154,10 +173,24 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids (uint32) and where each text's begin, one more than texts; null is empty."""
+        """All ids (uint32) and where each text's begin, one more than texts; null is empty.
+
+        Done by slices of about ``SLICE_BYTES``: the memory needed beside the
+        ids is that of a slice, or of one text that is longer.
+        """
+        size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        number = (np.cumsum(size) - size) // SLICE_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(texts)]
+        flat, lens = [np.zeros(0, "<u4")], [np.zeros(1, np.int64)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if b > a:
+                ids, at = self._encode_slice(texts.slice(a, b - a))
+                flat.append(ids)
+                lens.append(np.diff(at))
+        return np.concatenate(flat), np.cumsum(np.concatenate(lens))
+
+    def _encode_slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         n = len(texts)
-        if n == 0:
-            return np.zeros(0, "<u4"), np.zeros(1, np.int64)
         if not self.by_piece:
             whole = [
                 np.array(e.ids, "<u4").tobytes()

@@ -70,6 +70,29 @@ def test_a_full_table_starts_anew(encoder, monkeypatch):
         assert split(*encoder.encode(pa.array(t))) == library(encoder, t)
 
 
+def test_pieces_met_again_stay_known(encoder, monkeypatch):
+    monkeypatch.setattr(tokens, "KNOWN_PIECES", 40)
+    monkeypatch.setattr(tokens, "SLICE_BYTES", 100)
+    texts = [f"a often{i % 3} often{i % 3} b rare{i} c" for i in range(200)]
+    encoder.known.clear()
+    assert split(*encoder.encode(pa.array(texts))) == library(encoder, texts)
+    known = bytes(encoder.known.text)
+    assert len(encoder.known.key) <= 40 and all(b"often%d" % i in known for i in range(3)) and b"rare0" not in known
+
+
+def test_memory_of_many_texts_is_that_of_a_slice(encoder):
+    import tracemalloc
+
+    texts = pa.array(["the quick brown fox jumps over the lazy dog " * 50] * 5000)  # 11 MB
+    tracemalloc.start()
+    try:
+        ids, at = encoder.encode(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(at) == 5001 and peak < 2 * ids.nbytes + (48 << 20)
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(0, 63).flatmap(lambda b: st.integers(0, 2**b)), max_size=300))
 def test_simple8b_round_trip(values):
