@@ -31,7 +31,8 @@ from footfall.session import workspace
 MAGIC = b"S8BLOCK1"
 BLOCK = 4096
 READ_BLOCKS = 256
-TEXT_BYTES = 12 << 20
+READ_IDS = 1 << 18  # to a task that reads files back; a larger file has a task of its own
+TEXT_BYTES = 4 << 20
 # Fixed values of the coding: ids per word for selectors 1..14; 60 // n bits each.
 COUNTS = np.array([1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 1])
 BITS = np.array([0] + [60 // n for n in COUNTS[1:15].tolist()] + [60])
@@ -238,6 +239,7 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_i
             for t in gathered(batches, TEXT_BYTES):
                 ids, at = with_end(*encoder(tokenizer).encode(column(t, "text")), end_id)
                 start().add(column(t, "doc_id").to_pylist(), np.diff(at), ids)
+                pa.default_memory_pool().release_unused()
             done = start.finish()
         if done:
             yield pa.RecordBatch.from_pydict(
@@ -251,7 +253,8 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_i
     ordered = rows.repartitionByRange(*keys).sortWithinPartitions(*keys, "text")
     manifest = ordered.mapInArrow(write, "number int, path string, n_docs long, n_ids long")
     where = f"{folder}/manifest"
-    manifest.write.parquet(where)
+    # In one file: a row per token file is little, and a committed file costs its executor several processes.
+    manifest.repartition(1).write.parquet(where)
     return spark.read.parquet(where)
 
 
@@ -282,7 +285,7 @@ class _maybe_file:
 
 def read_ids(manifest: DataFrame) -> DataFrame:
     """Read the files back: doc_id, start, n_tokens, ids_crc32, one row per document."""
-    files = manifest.count()
+    files, ids = manifest.agg(F.count("*"), F.coalesce(F.sum("n_ids"), F.lit(0))).first()
     order = W.orderBy("number").rowsBetween(W.unboundedPreceding, -1)
     placed = manifest.select("path", F.coalesce(F.sum("n_ids").over(order), F.lit(0)).alias("start"))
     kind = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -308,4 +311,5 @@ def read_ids(manifest: DataFrame) -> DataFrame:
                             schema=schema,
                         )
 
-    return placed.repartition(max(1, files)).mapInArrow(read, kind)
+    tasks = min(files, -(-ids // READ_IDS))  # small files share one
+    return placed.repartition(max(1, tasks)).mapInArrow(read, kind)

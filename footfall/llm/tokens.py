@@ -18,8 +18,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
-KNOWN_PIECES = 1_000_000  # about 65 MB
+KNOWN_PIECES = 1_000_000  # about 70 MB
+KNOWN_BYTES = 16 << 20  # of their text, which bounds the ids too
 SLICE_BYTES = 2 << 20  # of text encoded at a time
+MERGE_PIECES = 8192  # new pieces given to the library at a time: it holds some hundred bytes for each
 LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 # Fixed value: how byte-level tokenizers of this family cut a text into groups.
 GROUPS = regex.compile(
@@ -84,7 +86,7 @@ class PieceTable:
     def cut_down(self) -> None:
         """Forget what was not met again, or everything if that leaves more than half."""
         kept = np.flatnonzero(self.met)
-        if 2 * len(kept) > KNOWN_PIECES:
+        if 2 * len(kept) > KNOWN_PIECES or 2 * self.text_len[kept].sum() > KNOWN_BYTES:
             kept = kept[:0]
         text_at, text_len, ids_at, ids_len = (
             x[kept] for x in (self.text_at, self.text_len, self.ids_at, self.ids_len)
@@ -95,23 +97,34 @@ class PieceTable:
         self.ids_at, self.ids_len = np.cumsum(ids_len) - ids_len, ids_len
 
     def add(self, h: np.ndarray, texts: list[bytes], ids: list[bytes]) -> None:
-        if len(h) > KNOWN_PIECES:  # of one very long text
+        size = sum(map(len, texts))
+        if len(h) > KNOWN_PIECES or size > KNOWN_BYTES:  # of one very long text
             return
-        if len(self.key) + len(h) > KNOWN_PIECES:
+        if len(self.key) + len(h) > KNOWN_PIECES or len(self.text) + size > KNOWN_BYTES:
             self.cut_down()
         h, one = np.unique(h, return_index=True)
-        fresh = ~np.isin(h, self.key, assume_unique=True)
-        h, one = h[fresh], one[fresh].tolist()
+        spot = np.searchsorted(self.key, h)
+        if len(self.key):
+            fresh = self.key[np.minimum(spot, len(self.key) - 1)] != h
+            h, one, spot = h[fresh], one[fresh], spot[fresh]
+        one = one.tolist()
         text_len = np.fromiter((len(texts[i]) for i in one), np.int64, len(one))
         ids_len = np.fromiter((len(ids[i]) // 4 for i in one), np.int64, len(one))
-        key = np.concatenate([self.key, h])
-        order = np.argsort(key, kind="stable")
-        self.key = key[order]
-        self.met = np.concatenate([self.met, np.zeros(len(h), bool)])[order]
-        self.text_at = np.concatenate([self.text_at, len(self.text) + np.cumsum(text_len) - text_len])[order]
-        self.ids_at = np.concatenate([self.ids_at, len(self.ids) + np.cumsum(ids_len) - ids_len])[order]
-        self.text_len = np.concatenate([self.text_len, text_len])[order]
-        self.ids_len = np.concatenate([self.ids_len, ids_len])[order]
+        new = spot + np.arange(len(h))  # places in the longer table
+        old = np.ones(len(self.key) + len(h), bool)
+        old[new] = False
+
+        def merged(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+            out = np.empty(len(old), x.dtype)
+            out[old], out[new] = x, y
+            return out
+
+        self.key = merged(self.key, h)
+        self.met = merged(self.met, np.zeros(len(h), bool))
+        self.text_at = merged(self.text_at, len(self.text) + np.cumsum(text_len) - text_len)
+        self.ids_at = merged(self.ids_at, len(self.ids) + np.cumsum(ids_len) - ids_len)
+        self.text_len = merged(self.text_len, text_len)
+        self.ids_len = merged(self.ids_len, ids_len)
         self.text = np.concatenate([self.text, np.frombuffer(b"".join([texts[i] for i in one]), np.uint8)])
         self.ids = np.concatenate([self.ids, np.frombuffer(b"".join([ids[i] for i in one]), "<u4")])
 
@@ -160,6 +173,12 @@ class Encoder:
 
     def pieces(self, pieces: list[str]) -> list[bytes]:
         """Ids of pieces, a leading space included where it stands."""
+        out: list[bytes] = []
+        for a in range(0, len(pieces), MERGE_PIECES):
+            out += self._some_pieces(pieces[a : a + MERGE_PIECES])
+        return out
+
+    def _some_pieces(self, pieces: list[str]) -> list[bytes]:
         cut = [[p] if p[:1] == " " and p[1:].isalpha() else GROUPS.findall(p) for p in pieces]
         groups = list(dict.fromkeys(g for groups in cut for g in groups))
         ids = dict(zip(groups, self._merge(groups)))

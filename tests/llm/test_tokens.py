@@ -93,6 +93,31 @@ def test_memory_of_many_texts_is_that_of_a_slice(encoder):
     assert len(at) == 5001 and peak < 2 * ids.nbytes + (48 << 20)
 
 
+def test_new_pieces_go_to_the_library_in_parts(encoder, monkeypatch):
+    asked, merge = [], encoder._merge
+
+    def counted(groups):
+        asked.append(len(groups))
+        return merge(groups)
+
+    monkeypatch.setattr(encoder, "_merge", counted)
+    encoder.known.clear()
+    texts = [" ".join(f"n{i}" for i in range(a, a + 100)) + " it's,ok" for a in range(0, 30_000, 100)]
+    assert split(*encoder.encode(pa.array(texts))) == library(encoder, texts)
+    # a piece such as " n123" is of two groups
+    assert sum(asked) > 30_000 and max(asked) <= 2 * 8192
+
+
+def test_the_table_of_pieces_is_bounded_in_bytes(encoder):
+    encoder.known.clear()
+    for part in range(12):
+        texts = [f"a {chr(97 + part)}{i}{'xyz' * 5000} b" for i in range(200)]  # 3 MB of long pieces
+        ids = split(*encoder.encode(pa.array(texts)))
+        assert len(encoder.known.text) <= 16 << 20 and len(encoder.known.ids) <= 16 << 20
+    assert ids[:2] == library(encoder, texts[:2])
+    encoder.known.clear()
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(0, 63).flatmap(lambda b: st.integers(0, 2**b)), max_size=300))
 def test_simple8b_round_trip(values):
@@ -127,6 +152,24 @@ def test_files_round_trip(make, encoder):
         assert (reader.read(last, 1) == whole[last * simple8b.BLOCK :]).all()
 
 
+def test_many_small_files_are_few_tasks(ready, make, monkeypatch):
+    rows = [(i, f"text number {i}") for i in range(200)]
+    ready.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = simple8b.write_ids(make(rows), tokenizer_file(), 2)
+    finally:
+        ready.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(manifest.inputFiles()) == 1 and manifest.count() > 1
+    got = simple8b.read_ids(manifest)
+    assert got.rdd.getNumPartitions() == 1
+    rows_of = lambda df: [tuple(r) for r in df.orderBy("start").collect()]
+    few = rows_of(got)
+    assert [r[0] for r in few] == list(range(200))
+    monkeypatch.setattr(simple8b, "READ_IDS", 1)
+    many = simple8b.read_ids(manifest)
+    assert many.rdd.getNumPartitions() == manifest.count() and rows_of(many) == few
+
+
 def test_no_documents(make):
     assert simple8b.read_ids(simple8b.write_ids(make([]), tokenizer_file(), 2)).count() == 0
     assert packing.pack(packing.cut(make([]), tokenizer_file(), 2, 1024), 1024).count() == 0
