@@ -147,10 +147,12 @@ def _forget(spark: SparkSession, path: str, schema: T.StructType, before_id: int
     if "date" not in schema.names:
         _delete(spark, _snapshot(path, older))
         return
-    now = _held_days(spark, path, before_id)
-    for day, held_by in _held_days(spark, path, older).items():
+    now, was = _held_days(spark, path, before_id), _held_days(spark, path, older)
+    for day, held_by in was.items():
         if now.get(day) != held_by:
             _delete(spark, _day_folder(path, day, held_by))
+    for held_by in set(was.values()) - set(now.values()):  # no day is left in it
+        _delete(spark, _snapshot(path, held_by))
     _delete(spark, _days_list(path, older))
 
 
